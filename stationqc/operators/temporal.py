@@ -62,17 +62,20 @@ def climatology(grid: DataFrame, half_days: float = 15.0, v: str = "v") -> DataF
     centre = g.groupBy("sid").agg(F.avg(v).alias("_c"))
     pre = (g.join(centre, "sid").withColumn("_d", F.col(v) - F.col("_c"))
            .groupBy("sid", "doy")
-           .agg(F.count(F.lit(1)).alias("r"), F.count(v).alias("n"), F.sum("_d").alias("s1"),
+           .agg(F.count(F.lit(1)).alias("r"), F.count(v).alias("n"), F.sum(v).alias("sv"), F.sum("_d").alias("s1"),
                 F.sum(F.col("_d") * F.col("_d")).alias("s2"), F.first("_c").alias("_c")))
     spread = pre.withColumn("k", F.explode(F.sequence(F.lit(lo), F.lit(hi)))) \
         .withColumn("doy_t", F.pmod(F.col("doy") - 1 + F.col("k"), F.lit(366)) + 1)
     agg = spread.groupBy("sid", F.col("doy_t").alias("doy")).agg(
-        F.sum("r").alias("clim_rows"), F.sum("n").alias("clim_n"), F.sum("s1").alias("s1"),
+        F.sum("r").alias("clim_rows"), F.sum("n").alias("clim_n"), F.sum("sv").alias("sv"), F.sum("s1").alias("s1"),
         F.sum("s2").alias("s2"), F.first("_c").alias("_c"))
     mean_d = F.col("s1") / F.nullif(F.col("clim_n"), F.lit(0))
     var = F.greatest(F.col("s2") / F.nullif(F.col("clim_n"), F.lit(0)) - mean_d * mean_d, F.lit(0.0))
+    # the mean from the plain sum (exact for exactly representable data); the
+    # spread from the centred sums (well conditioned)
+    mean = F.col("sv") / F.nullif(F.col("clim_n"), F.lit(0))
     return agg.select("sid", "doy", F.col("clim_rows").cast("long"), F.col("clim_n").cast("long"),
-                      (mean_d + F.col("_c")).alias("clim_mean"), F.sqrt(var).alias("clim_std"))
+                      mean.alias("clim_mean"), F.sqrt(var).alias("clim_std"))
 
 
 def seasonal_zscore(grid: DataFrame, clim: DataFrame, thr: float = 3.0, min_samples: int = 720,

@@ -57,3 +57,56 @@ def completeness_sql(src: str, flag: str, p: float, name: str = "comp") -> str:
           s.{flag} AND NOT (d.n_good / 24.0 < {float(p)!r}) AND NOT mb.month_bad AS out
           FROM {src} s JOIN {name}_d d ON d.sid = s.sid AND d.day = s.t::DATE
           JOIN {name}_mb mb ON mb.sid = s.sid AND mb.mk = year(s.t) * 12 + month(s.t) - 1)"""
+
+
+def proj_cte() -> str:
+    from stationqc.functions.columns import utm_sql
+
+    xs, ys = utm_sql("lat", "lon")
+    return f"proj AS (SELECT sid, lat, lon, alt, {xs} AS x, {ys} AS y FROM stations)"
+
+
+def buddy_ctes(src: str, vcol: str, prm, name: str) -> str:
+    """D4 over ``src(t, sid, <vcol>, ...)`` -> ``name`` = src columns + ``bs`` (suspect)."""
+    adj = "h.{v}".format(v=vcol)
+    if prm.elev_gradient != 0:
+        adj += f" + {float(prm.elev_gradient)!r} * (p.alt_j - p.alt_i)"
+    elev = f"AND abs(b.alt - a.alt) <= {float(prm.max_elev_diff)!r}" if prm.max_elev_diff > 0 else ""
+    return f"""{name}_pairs AS (SELECT a.sid AS i, b.sid AS j, a.alt AS alt_i, b.alt AS alt_j FROM proj a JOIN proj b
+     ON a.sid <> b.sid WHERE sqrt((b.x - a.x)^2 + (b.y - a.y)^2) <= {float(prm.radius)!r} {elev}),
+{name}_nb AS (SELECT g.t, g.sid, {adj} AS adj FROM {src} g JOIN {name}_pairs p ON p.i = g.sid
+     JOIN {src} h ON h.t = g.t AND h.sid = p.j WHERE g.{vcol} IS NOT NULL AND h.{vcol} IS NOT NULL),
+{name}_st AS (SELECT t, sid, count(*) AS n, count(adj) AS n_adj, avg(adj) AS m, stddev_pop(adj) AS s
+     FROM {name}_nb GROUP BY t, sid),
+{name} AS (SELECT g.*, (g.{vcol} IS NULL OR coalesce(st.n, 0) < {int(prm.num_min)}
+     OR coalesce(st.n_adj = st.n AND abs(g.{vcol} - st.m) > {float(prm.threshold)!r} * greatest(st.s, {float(prm.min_std)!r}), false)) AS bs
+     FROM {src} g LEFT JOIN {name}_st st ON st.t = g.t AND st.sid = g.sid)"""
+
+
+def sct_closed_ctes(src: str, vcol: str, prm, stct: bool, name: str) -> str:
+    """D7/D8 closed form over ``src`` -> ``name`` = src columns + temporal_flag + sct_flag."""
+    band = (f"AND abs(s.alt - i0.alt) BETWEEN {prm.min_elev_diff!r} AND {prm.max_elev_diff!r}" if stct else "")
+    bg = (f"(st.swv / st.sw + st.mda * {prm.vertical_scale!r})" if stct else "st.m")
+    temporal = "OR g.temporal_flag" if stct else ""
+    thr = float(prm.temporal_threshold)
+    return f"""{name}_i0 AS (SELECT sid, lon, lat, alt FROM stations ORDER BY sid LIMIT 1),
+{name}_nb AS (SELECT s.sid AS j, sqrt((s.lon - i0.lon)^2 + (s.lat - i0.lat)^2) AS dist, s.alt - i0.alt AS da
+     FROM stations s, {name}_i0 i0 WHERE s.sid <> i0.sid {band}),
+{name}_nk AS (SELECT * FROM {name}_nb ORDER BY dist, j LIMIT {int(prm.num_max)}),
+{name}_st AS (SELECT f.t, count(*) AS n, count(f.{vcol}) AS nv, avg(f.{vcol}) AS m, stddev_pop(f.{vcol}) AS s,
+     sum(f.{vcol} * (1.0 / (nk.dist + {prm.eps!r}))) AS swv, sum(1.0 / (nk.dist + {prm.eps!r})) AS sw,
+     avg(nk.da) AS mda FROM {src} f JOIN {name}_nk nk ON nk.j = f.sid GROUP BY f.t),
+{name}_g AS (SELECT *, coalesce(abs({vcol} - lag({vcol}) OVER (PARTITION BY sid ORDER BY t)) > {thr!r}, false)
+     OR coalesce(abs({vcol} - lead({vcol}) OVER (PARTITION BY sid ORDER BY t)) > {thr!r}, false) AS temporal_flag
+     FROM {src}),
+{name} AS (SELECT g.*, g.sid = (SELECT sid FROM {name}_i0) AND (SELECT count(*) FROM stations) - 1 >= {int(prm.num_min)}
+     AND (coalesce(st.nv = st.n AND (g.{vcol} - {bg} > {prm.pos_threshold!r} * st.s
+                                     OR g.{vcol} - {bg} < -{prm.neg_threshold!r} * st.s), false) {temporal}) AS sct_flag
+     FROM {name}_g g LEFT JOIN {name}_st st ON st.t = g.t)"""
+
+
+def completeness_counters_sql(rel: str, level: int) -> str:
+    return f"""(SELECT count(DISTINCT (sid, t::DATE)) FILTER (WHERE day_bad) FROM {rel})::BIGINT AS days_flagged_lvl{level},
+(SELECT count(DISTINCT (sid, year(t) * 12 + month(t))) FILTER (WHERE month_bad) FROM {rel})::BIGINT AS months_flagged_lvl{level},
+(SELECT count(DISTINCT sid) FILTER (WHERE day_bad) FROM {rel})::BIGINT AS stations_with_flagged_days_lvl{level},
+(SELECT count(DISTINCT sid) FILTER (WHERE month_bad) FROM {rel})::BIGINT AS stations_with_flagged_months_lvl{level}"""

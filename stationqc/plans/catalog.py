@@ -63,4 +63,4 @@ def month_str(t="t"):
 
 
 # import the query modules so that they register themselves
-from stationqc.plans import q_geo, q_grid, q_plans, q_spatial, q_temporal  # noqa: E402,F401
+from stationqc.plans import q_geo, q_grid, q_ingest, q_plans, q_spatial, q_temporal  # noqa: E402,F401

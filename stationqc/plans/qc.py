@@ -40,12 +40,14 @@ def batch_qc(grid: DataFrame, stations: DataFrame, limits: dict = BATCH_SEASON_L
              sct_plan: str = "auto") -> QcResult:
     """Seasonal -> timestep completeness -> buddy and SCT independently on the raw
     values of kept times -> combine -> station completeness -> final mask."""
-    g = grid.withColumn("seasonal_good", seasonal_good("v", "t", limits))
+    # the grid feeds eight branches below: materialise it once (reliable checkpoint)
+    g = cut_lineage(grid.withColumn("seasonal_good", seasonal_good("v", "t", limits)))
     tm = C.timestep_completeness(g, "seasonal_good", p).select("t", "keep_t")
     kept = g.join(tm.where("keep_t").select("t"), "t", "left_semi")
     k = buddy_check(kept, stations, buddy, out="buddy_suspect")
     k = sct(k, stations, sct_prm, stct=False, plan=sct_plan)
     k = k.withColumn("combined", F.col("seasonal_good") & ~F.col("buddy_suspect") & ~F.col("sct_flag"))
+    k = cut_lineage(k.select("t", "sid", "buddy_suspect", "sct_flag", "combined"))
     sm = C.station_completeness(k, "combined", p).select("sid", "keep_s")
     out = (g.join(k.select("t", "sid", "buddy_suspect", "sct_flag", "combined"), ["t", "sid"], "left")
            .join(tm, "t", "left").join(sm, "sid", "left"))
@@ -95,7 +97,7 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
     the daily/monthly completeness rule; values are masked after each step, so
     every test sees only the survivors of the previous one."""
     keep = (lambda d: cut_lineage(d)) if checkpoint else (lambda d: d)
-    g = grid.select("t", "sid", F.col("v").alias("t_lvl0"))
+    g = keep(grid.select("t", "sid", F.col("v").alias("t_lvl0")))
     # level 1
     g = g.withColumn("seasonal_ok", seasonal_good("t_lvl0", "t", limits))
     g = g.withColumn("t_lvl1", mask("t_lvl0", "seasonal_ok"))

@@ -133,6 +133,25 @@ def utm_xy(lat, lon, zone: int = 33) -> tuple[Column, Column]:
     return x, y
 
 
+def with_utm(df, lat: str = "lat", lon: str = "lon", zone: int = 33, x: str = "x", y: str = "y"):
+    """``utm_xy`` as staged projections: each intermediate is computed once per
+    row (Catalyst keeps a project whose non-trivial outputs are reused), which
+    keeps the generated code and the plan small."""
+    big_a, alpha, c = _utm_constants()
+    d = df.withColumn("_phi", F.radians(col_(lat))) \
+        .withColumn("_dl", F.radians(col_(lon)) - F.lit(math.radians(zone * 6.0 - 183.0)))
+    d = d.withColumn("_tt", F.sinh(F.atanh(F.sin("_phi")) - F.lit(c) * F.atanh(F.lit(c) * F.sin("_phi"))))
+    d = d.withColumn("_xi", F.atan2(F.col("_tt"), F.cos("_dl"))) \
+        .withColumn("_eta", F.atanh(F.sin("_dl") / F.sqrt(F.lit(1.0) + F.col("_tt") * F.col("_tt"))))
+    east, north = F.col("_eta"), F.col("_xi")
+    for j, a in enumerate(alpha, start=1):
+        east = east + F.lit(a) * F.cos(F.lit(2.0 * j) * F.col("_xi")) * F.sinh(F.lit(2.0 * j) * F.col("_eta"))
+        north = north + F.lit(a) * F.sin(F.lit(2.0 * j) * F.col("_xi")) * F.cosh(F.lit(2.0 * j) * F.col("_eta"))
+    d = d.withColumn(x, F.lit(UTM_FALSE_EASTING) + F.lit(UTM_K0 * big_a) * east) \
+        .withColumn(y, F.lit(UTM_K0 * big_a) * north)
+    return d.drop("_phi", "_dl", "_tt", "_xi", "_eta")
+
+
 def utm_sql(lat: str, lon: str, zone: int = 33) -> tuple[str, str]:
     """The same projection as SQL text (used by the oracle queries)."""
     big_a, alpha, c = _utm_constants()

@@ -1,26 +1,43 @@
 """Buddy check with lapse adjustment, and the time eligibility gate.
 
-Plan: the static pair list (C2 + C4) is joined to the filled cells by station
-``i`` and to the filled cells again by ``(t, j)``; the neighbour statistics are
-one hash aggregate by ``(t, i)`` with map-side partial aggregation.  A station
-with many neighbours therefore never gathers its rows in one place.
+Plan: the neighbour statistics of a cell need only the *neighbours'* values,
+so the filled cells are joined to the static pair list (C2 + C4) by the
+neighbour id ``j`` -- a broadcast hash join when the pair list is within a
+checked size -- and reduced by a partial hash aggregate on ``(t, i)`` in the
+same stage.  The cells x neighbours expansion therefore never crosses a
+shuffle; only partial aggregates do.  A station with many neighbours, or a hot
+time, is pre-reduced map-side.  The own value joins back once, on ``(t, sid)``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from stationqc.operators.geo import elev_max, neighbour_values, radius_pairs_metric
+from stationqc.operators.geo import elev_max, radius_pairs_metric
 from stationqc.params import BuddyParams
+from stationqc.session import spread
 
 
 def buddy_pairs(stations: DataFrame, prm: BuddyParams, zone: int = 33) -> DataFrame:
     return elev_max(radius_pairs_metric(stations, prm.radius, zone), prm.max_elev_diff)
 
 
-def buddy_stats(cells: DataFrame, pairs: DataFrame, prm: BuddyParams) -> DataFrame:
+PAIRS_BROADCAST_MAX = 5_000_000
+
+
+def sized_pairs(pairs: DataFrame, max_rows: int = PAIRS_BROADCAST_MAX) -> DataFrame:
+    """Broadcast the pair list only when its row count is within ``max_rows``;
+    beyond it the join is a shuffle join on the neighbour id."""
+    p = pairs.select("i", "j", "da")
+    return F.broadcast(p) if p.count() <= max_rows else p
+
+
+def buddy_stats(cells: DataFrame, pairs: DataFrame, prm: BuddyParams, sized: bool = True) -> DataFrame:
     """Per (t, i): neighbour count and mean / population std of the adjusted values."""
-    nb = neighbour_values(cells, pairs)
+    # hash-partition the cells by time: the broadcast join keeps that partitioning,
+    # so the (t, i) aggregate below needs no further exchange
+    b = spread(cells.select("t", F.col("sid").alias("j"), F.col("v").alias("v_j")), "t")
+    nb = b.join(sized_pairs(pairs) if sized else pairs.select("i", "j", "da"), "j")
     adj = F.col("v_j")
     if prm.elev_gradient != 0:
         adj = adj + F.lit(float(prm.elev_gradient)) * F.col("da")   # D5, sign as in the original

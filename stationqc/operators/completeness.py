@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stationqc.functions.columns import days_in_month, epoch_seconds, month_key
+from stationqc.session import spread
 
 EXPECTED_PER_DAY = 24  # fixed: hourly data assumed by the daily rule
 
@@ -44,7 +45,8 @@ def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "comp
     """
     p = float(p)
     g = grid.withColumn("day", F.to_date("t")).withColumn("mk", month_key("t")) \
-        .withColumn("fi", F.col(flag).cast("int")).repartition("sid")
+        .withColumn("fi", F.col(flag).cast("int"))
+    g = spread(g, "sid")
     w_day = Window.partitionBy("sid", "day")
     w_month = Window.partitionBy("sid", "mk")
     w_all = Window.partitionBy("sid")

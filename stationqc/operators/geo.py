@@ -12,13 +12,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stationqc.functions.columns import utm_xy
+from stationqc.functions.columns import with_utm
 
 
 def project(stations: DataFrame, zone: int = 33) -> DataFrame:
     """Add planar ``x, y`` (metres) to ``(sid, lat, lon, ...)``."""
-    x, y = utm_xy("lat", "lon", zone)
-    return stations.withColumn("x", x).withColumn("y", y)
+    return with_utm(stations, "lat", "lon", zone)
 
 
 def _pairs(st: DataFrame, xcol: str, ycol: str, r: float, keep_self: bool = False) -> DataFrame:

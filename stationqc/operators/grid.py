@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stationqc.functions.columns import mask, month_key, nan_to_null, season, timeframe_label
+from stationqc.session import spread
 
 
 def hourly_cells(obs: DataFrame, t: str = "t", sid: str = "sid", v: str = "v") -> DataFrame:
@@ -54,7 +55,7 @@ def dense_grid(cells: DataFrame, axis: DataFrame | None = None, extra: list[str]
     vals = ["v"] + extra
     if axis is None:
         axis = time_axis(cells)
-    c = cells.join(axis, "t")
+    c = spread(cells.join(axis, "t"), "sid")
     w = Window.partitionBy("sid").orderBy("idx")
     c = (c.withColumn("prev_idx", F.lag("idx").over(w))
          .withColumn("next_idx", F.lead("idx").over(w)))

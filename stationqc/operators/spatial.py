@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from stationqc.operators.geo import project
 from stationqc.operators.temporal import temporal_step
 from stationqc.params import SctParams
+from stationqc.session import spread
 
 
 def _coords(stations: DataFrame, prm: SctParams) -> DataFrame:
@@ -179,7 +180,7 @@ def sct_general(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool
 
     t_type = dict(grid.dtypes)["t"]
     s_type = dict(grid.dtypes)["sid"]
-    flags = rows.groupBy("t").applyInPandas(scan, f"t {t_type}, sid {s_type}, sct_flag boolean")
+    flags = spread(rows, "t").groupBy("t").applyInPandas(scan, f"t {t_type}, sid {s_type}, sct_flag boolean")
     return g.join(flags, ["t", "sid"], "left").withColumn("sct_flag", F.coalesce("sct_flag", F.lit(False)))
 
 

@@ -13,6 +13,7 @@ import math
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stationqc.functions.columns import epoch_seconds, round_to
+from stationqc.session import spread
 
 
 def temporal_step(grid: DataFrame, thr: float, v: str = "v", out: str = "step_suspect") -> DataFrame:
@@ -38,7 +39,7 @@ def rolling_zscore(grid: DataFrame, window_hours: int = 720, thr: float = 3.0, m
     """
     half = int(window_hours) // 2 * 3600
     w = Window.partitionBy("sid").orderBy("_sec").rangeBetween(-half, half)
-    g = grid.withColumn("_sec", epoch_seconds("t"))
+    g = spread(grid, "sid").withColumn("_sec", epoch_seconds("t"))
     g = (g.withColumn("roll_rows", F.count(F.lit(1)).over(w))
          .withColumn("_m", F.avg(v).over(w)).withColumn("_s", F.stddev_pop(v).over(w)))
     z = F.when(F.col("roll_rows") >= F.lit(int(min_samples)),

@@ -53,3 +53,15 @@ def cut_lineage(df, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def spread(df, *keys):
+    """Hash-partition ``df`` by ``keys`` into ``spark.sql.shuffle.partitions`` parts.
+
+    Used in front of compute-heavy stages (neighbour expansion, range windows,
+    per-time scans) whose *input* shuffle is small: an explicit count keeps AQE
+    from coalescing them into a single task, while the key still co-locates
+    the rows the stage needs.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)

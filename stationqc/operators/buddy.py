@@ -28,7 +28,9 @@ PAIRS_BROADCAST_MAX = 5_000_000
 def sized_pairs(pairs: DataFrame, max_rows: int = PAIRS_BROADCAST_MAX) -> DataFrame:
     """Broadcast the pair list only when its row count is within ``max_rows``;
     beyond it the join is a shuffle join on the neighbour id."""
-    p = pairs.select("i", "j", "da")
+    # the pair list is time-invariant and dimension-sized: cache it so the size
+    # check and the join share one computation (recomputed from lineage if lost)
+    p = pairs.select("i", "j", "da").cache()
     return F.broadcast(p) if p.count() <= max_rows else p
 
 

@@ -60,11 +60,56 @@ def q_stct_shipped(spark, sf):
     return _run(spark, sf, SEQUENTIAL_SCT, True, "auto")
 
 
-@register("sct_greedy")
+def _greedy_sql(prm: SctParams, stct: bool) -> str:
+    """The order-dependent scan as a recursive CTE: per time, state = (position k,
+    flagged list f, processed list p), one step per station in id order."""
+    band = (f"list_filter(ns2, lambda x: abs(x.da) >= {prm.min_elev_diff!r} AND abs(x.da) <= {prm.max_elev_diff!r})"
+            if stct else "ns2")
+    if stct:
+        bg = (f"list_sum(list_transform(sel, lambda x: vs[x.p] * (1.0 / (x.d + {prm.eps!r})))) / "
+              f"list_sum(list_transform(sel, lambda x: 1.0 / (x.d + {prm.eps!r}))) + "
+              f"list_avg(list_transform(sel, lambda x: x.da)) * {prm.vertical_scale!r}")
+        tcond = "OR tf[i]"
+    else:
+        bg = "list_avg(list_transform(sel, lambda x: vs[x.p]))"
+        tcond = ""
+    return f"""WITH RECURSIVE {e_cells(24)}, {GRID}, {FGRID}, {STATIONS},
+pos AS (SELECT sid, lon, lat, alt, row_number() OVER (ORDER BY sid)::INT AS p FROM stations),
+n AS (SELECT count(*)::INT AS s FROM pos),
+pr AS (SELECT a.p AS pi, b.p AS pj, b.sid AS sj, sqrt((b.lon - a.lon)^2 + (b.lat - a.lat)^2) AS d, b.alt - a.alt AS da
+       FROM pos a, pos b),
+nb AS (SELECT pi, coalesce(list({{'p': pj, 'd': d, 'da': da}} ORDER BY d, sj)
+                            FILTER (WHERE pj <> pi AND d <= {prm.outer_radius!r}), []) AS ns,
+              coalesce(list(pj) FILTER (WHERE d <= {prm.inner_radius!r}), []) AS inn FROM pr GROUP BY pi),
+tfl AS (SELECT t, sid, v, coalesce(abs(v - lag(v) OVER (PARTITION BY sid ORDER BY t)) > {prm.temporal_threshold!r}, false)
+        OR coalesce(abs(v - lead(v) OVER (PARTITION BY sid ORDER BY t)) > {prm.temporal_threshold!r}, false) AS tflag FROM fgrid),
+vals AS (SELECT g.t, list(g.v ORDER BY pos.p) AS vs, list(g.tflag ORDER BY pos.p) AS tf FROM tfl g JOIN pos ON pos.sid = g.sid
+         GROUP BY g.t),
+scan(t, vs, tf, k, f, pr) AS (
+  SELECT t, vs, tf, 0, list_transform(range(1, (SELECT s FROM n) + 1), lambda x: false),
+         list_transform(range(1, (SELECT s FROM n) + 1), lambda x: false) FROM vals
+  UNION ALL
+  SELECT t, vs, tf, i,
+         list_transform(range(1, len(f) + 1), lambda x: CASE WHEN x = i THEN f[x] OR flag ELSE f[x] END),
+         list_transform(range(1, len(pr) + 1), lambda x: pr[x] OR (NOT skip AND (x = i OR (tested AND list_contains(inn, x)))))
+  FROM (SELECT *, tested AND (coalesce(len(sel) > 0 AND list_count(list_transform(sel, lambda x: vs[x.p])) = len(sel)
+                  AND (vs[i] - ({bg}) > {prm.pos_threshold!r} * list_aggregate(list_transform(sel, lambda x: vs[x.p]), 'stddev_pop')
+                       OR vs[i] - ({bg}) < -{prm.neg_threshold!r} * list_aggregate(list_transform(sel, lambda x: vs[x.p]), 'stddev_pop')),
+                  false) {tcond}) AS flag
+        FROM (SELECT *, list_slice({band}, 1, {prm.num_max}) AS sel
+              FROM (SELECT *, NOT skip AND len(ns2) >= {prm.num_min} AS tested
+                    FROM (SELECT s.t, s.vs, s.tf, s.f, s.pr, nb.pi AS i, nb.inn, s.pr[nb.pi] AS skip,
+                                 list_filter(nb.ns, lambda x: NOT s.f[x.p]) AS ns2
+                          FROM scan s JOIN nb ON nb.pi = s.k + 1))))),
+fin AS (SELECT t, vs, tf, f FROM scan WHERE k = (SELECT s FROM n))
+SELECT fin.t, pos.sid{", fin.tf[pos.p] AS temporal_flag" if stct else ""}, fin.f[pos.p] AS sct_flag FROM fin, pos"""
+
+
+@register("sct_greedy", _greedy_sql(GREEDY, False))
 def q_sct_greedy(spark, sf):
     return _run(spark, sf, GREEDY, False, "general")
 
 
-@register("stct_greedy")
+@register("stct_greedy", _greedy_sql(GREEDY_ST, True))
 def q_stct_greedy(spark, sf):
     return _run(spark, sf, GREEDY_ST, True, "general")

@@ -31,10 +31,10 @@ def station_payloads(spark, sf):
     k = F.col("s_suppkey")
     c = X.station_coords(k)
     mk = lambda suffix: F.concat(F.lit("m"), k.cast("string"), F.lit(suffix))
-    modules = (F.when(k % 4 == 0, F.create_map(mk("a"), F.lit("NAModule4")))
-               .when(k % 4 == 1, F.create_map(mk("b"), F.lit("NAModule1"), mk("a"), F.lit("NAModule1")))
-               .otherwise(F.create_map(mk("i"), F.lit("NAModule4"), mk("o"), F.lit("NAModule1"),
-                                       mk("r"), F.lit("NAModule3"))))
+    modules = (F.when(k % 4 == 0, F.create_map(mk("a"), F.lit("indoor")))
+               .when(k % 4 == 1, F.create_map(mk("b"), F.lit(P.OUTDOOR_TYPE), mk("a"), F.lit(P.OUTDOOR_TYPE)))
+               .otherwise(F.create_map(mk("i"), F.lit("indoor"), mk("o"), F.lit(P.OUTDOOR_TYPE),
+                                       mk("r"), F.lit("rain"))))
     place = F.struct(F.array(c["lon"], c["lat"]).alias("location"), c["alt"].alias("altitude"),
                      F.when(k % 3 != 0, F.col("s_name")).alias("city"), F.col("n_name").alias("country"),
                      F.when(k % 5 != 0, F.lit("Europe/Rome")).alias("timezone"),
@@ -50,10 +50,10 @@ def stations_from_payloads(spark, sf):
     return P.parse_station_payload(station_payloads(spark, sf))
 
 
-_EXPECTED_STATIONS = """exp AS (SELECT 'st-' || s.s_suppkey AS station_id,
+_EXPECTED_STATIONS = f"""exp AS (SELECT 'st-' || s.s_suppkey AS station_id,
   CASE WHEN s.s_suppkey % 4 = 0 THEN '' WHEN s.s_suppkey % 4 = 1 THEN 'm' || s.s_suppkey || 'b'
        ELSE 'm' || s.s_suppkey || 'o' END AS module1_id,
-  CASE WHEN s.s_suppkey % 4 = 0 THEN '' ELSE 'NAModule1' END AS module1_type,
+  CASE WHEN s.s_suppkey % 4 = 0 THEN '' ELSE '{P.OUTDOOR_TYPE}' END AS module1_type,
   46.40::DOUBLE + ((s.s_suppkey*37) % 1009)::DOUBLE / 10000.0 AS latitude,
   11.25::DOUBLE + ((s.s_suppkey*401) % 1009)::DOUBLE / 10000.0 AS longitude,
   CASE WHEN s.s_suppkey % 17 = 16 THEN NULL ELSE 200.0::DOUBLE + ((s.s_suppkey*53) % 60)::DOUBLE * 10.0 END AS altitude,

@@ -14,11 +14,11 @@ from stationqc.sources import payloads as P
 from stationqc.streaming import ingest as S
 
 STATION_DOC = {"status": "ok", "body": [
-    {"_id": "70:ee:50:00:00:01", "place": {"location": [11.30, 46.45], "altitude": 250, "city": "Bolzano",
+    {"_id": "st-a", "place": {"location": [11.30, 46.45], "altitude": 250, "city": "Town A",
                                           "country": "IT", "timezone": "Europe/Rome", "street": "Via A"},
-     "module_types": {"02:00:00:00:00:09": "NAModule4", "02:00:00:00:00:02": "NAModule1",
-                      "02:00:00:00:00:01": "NAModule1"}},
-    {"_id": "70:ee:50:00:00:02", "place": {"location": [11.31, 46.46]}, "module_types": {"x": "NAModule3"}},
+     "module_types": {"m-9": "indoor", "m-2": P.OUTDOOR_TYPE,
+                      "m-1": P.OUTDOOR_TYPE}},
+    {"_id": "st-b", "place": {"location": [11.31, 46.46]}, "module_types": {"x": "rain"}},
 ]}
 
 
@@ -28,9 +28,9 @@ def test_station_payload(spark):
     df = spark.createDataFrame([(d,) for d in docs], "json string")
     out = {r.station_id: r for r in P.parse_station_payload(df).collect()}
     assert len(out) == 2
-    a, b = out["70:ee:50:00:00:01"], out["70:ee:50:00:00:02"]
+    a, b = out["st-a"], out["st-b"]
     assert (a.latitude, a.longitude, a.altitude) == (46.45, 11.30, 250.0)
-    assert a.module1_id == "02:00:00:00:00:02" and a.module1_type == "NAModule1"   # first in document order
+    assert a.module1_id == "m-2" and a.module1_type == P.OUTDOOR_TYPE   # first in document order
     assert b.module1_id == "" and b.altitude is None and b.city == "Unknown" and b.timezone == "Unknown"
     s = P.station_list_summary(P.parse_station_payload(df)).first()
     assert (s.n_stations, s.n_with_module) == (2, 1)

@@ -32,7 +32,18 @@ fin AS (SELECT s.*, coalesce(kc.comb AND sm.keep_s, false) AS fg, kc.bs, kc.sct_
         FROM s LEFT JOIN kc ON kc.t = s.t AND kc.sid = s.sid LEFT JOIN tm ON tm.t = s.t LEFT JOIN sm ON sm.sid = s.sid)"""
 
 
+def _checkpoint_dir(spark):
+    """The cluster's ``spark.checkpoint.dir`` is used when set; a scratch folder
+    is configured only for sessions that name none (local driver runs)."""
+    import tempfile
+
+    from stationqc.session import ensure_checkpoint_dir
+    conf = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    ensure_checkpoint_dir(spark, default=None if conf else tempfile.mkdtemp(prefix="stationqc-ckpt-", dir="/tmp"))
+
+
 def _batch(spark, sf):
+    _checkpoint_dir(spark)
     g = grid_f(spark, sf, 24)
     st = X.station_dim(cells_e(spark, sf, 24))
     return Q.batch_qc(g, st, BATCH_LIMITS, BATCH_BUDDY_F, BATCH_SCT, 0.8)
@@ -90,6 +101,7 @@ l3 AS (SELECT * EXCLUDE (out, day_bad, month_bad, t_lvl3), out AS t_lvl3_flag,
 
 
 def _seq(spark, sf, checkpoint=True):
+    _checkpoint_dir(spark)
     g = grid_f(spark, sf, 24)
     st = X.station_dim(cells_e(spark, sf, 24))
     return Q.sequential_qc(g, st, SEQUENTIAL_SEASON_LIMITS, SEQUENTIAL_BUDDY, SEQUENTIAL_SCT, 0.8,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stationqc.operators import temporal as T
-from stationqc.plans.catalog import grid_e, grid_l, r4, register
+from stationqc.plans.catalog import grid_e, grid_l, r4, r4_tie, register
 from stationqc.plans.sqlfix import GRID, e_cells, l_cells
 
 
@@ -45,11 +45,12 @@ def q_rolling_z(spark, sf):
 
 
 @register("climatology", f"""WITH {l_cells()}, {GRID}, {_clim_cte('grid', 15)}
-SELECT sid, doy, clim_rows::BIGINT AS clim_rows, clim_n::BIGINT AS clim_n, round(clim_mean, 4) AS clim_mean,
+SELECT sid, doy, clim_rows::BIGINT AS clim_rows, clim_n::BIGINT AS clim_n,
+       round(clim_mean * 10000.0 + 1e-6) / 10000.0 AS clim_mean,
        round(clim_std, 4) AS clim_std FROM clim""")
 def q_climatology(spark, sf):
     c = T.climatology(grid_l(spark, sf), 15.0)
-    return c.select("sid", F.col("doy").cast("int"), "clim_rows", "clim_n", r4("clim_mean").alias("clim_mean"),
+    return c.select("sid", F.col("doy").cast("int"), "clim_rows", "clim_n", r4_tie("clim_mean").alias("clim_mean"),
                     r4("clim_std").alias("clim_std"))
 
 

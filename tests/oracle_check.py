@@ -41,7 +41,8 @@ def main():
     import __spark_entry__ as E
     from stationqc.session import get_spark
 
-    spark = get_spark()
+    import os as _os
+    spark = get_spark(extra={"spark.sql.session.timeZone": _os.environ.get("ORACLE_TZ", "UTC")})
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")

@@ -94,6 +94,9 @@ def sct_closed_form(grid: DataFrame, stations: DataFrame, prm: SctParams, stct:
 
 
 # ------------------------------------------------------------------ general scan
+LIST_BROADCAST_MAX = 2_000_000
+
+
 def neighbour_lists(stations: DataFrame, prm: SctParams) -> DataFrame:
     """Per station: outer neighbours sorted by (distance, id) with distance and
     altitude difference, and the ids within the inner radius."""
@@ -165,7 +168,14 @@ def sct_general(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool
     else:
         g = g.withColumn("temporal_flag", F.lit(False))
     lists = neighbour_lists(stations, prm)
-    rows = g.select("t", "sid", F.col(v).alias("_v"), "temporal_flag").join(lists, "sid", "left")
+    # shuffle only the narrow cells by time; the station-sized neighbour lists are
+    # joined after the exchange (broadcast behind a row-count check), so the
+    # per-time grouping reuses the time partitioning and the arrays never travel
+    # through a shuffle
+    narrow = spread(g.select("t", "sid", F.col(v).alias("_v"), "temporal_flag"), "t")
+    lists = lists.cache()
+    side = F.broadcast(lists) if lists.count() <= LIST_BROADCAST_MAX else lists
+    rows = narrow.join(side, "sid", "left")
 
     def scan(pdf: pd.DataFrame) -> pd.DataFrame:
         empty = [np.zeros(0)] * len(pdf)
@@ -180,7 +190,7 @@ def sct_general(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool
 
     t_type = dict(grid.dtypes)["t"]
     s_type = dict(grid.dtypes)["sid"]
-    flags = spread(rows, "t").groupBy("t").applyInPandas(scan, f"t {t_type}, sid {s_type}, sct_flag boolean")
+    flags = rows.groupBy("t").applyInPandas(scan, f"t {t_type}, sid {s_type}, sct_flag boolean")
     return g.join(flags, ["t", "sid"], "left").withColumn("sct_flag", F.coalesce("sct_flag", F.lit(False)))
 
 

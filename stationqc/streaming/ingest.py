@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from stationqc.operators.seasonal import seasonal_good
 from stationqc.sources.ingest import merge_keep_last
 from stationqc.sources.payloads import parse_measure_payload
 
@@ -22,7 +23,9 @@ LANDED = T.StructType([T.StructField("station_id", T.StringType()),
 
 
 def start_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, available_now: bool = True,
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None, season_limits: dict | None = None):
+    """Start the ingest stream.  With ``season_limits`` every delivered reading also
+    carries the stateless seasonal good-flag (D1), computed per micro-batch."""
     src = spark.readStream.schema(LANDED)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -30,6 +33,8 @@ def start_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = parse_measure_payload(batch)
+        if season_limits is not None:
+            rows = rows.withColumn("seasonal_good", seasonal_good("temperature", "ts", season_limits))
         rows.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -37,9 +42,11 @@ def start_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
     return w.start()
 
 
-def read_ingested(spark: SparkSession, table: str) -> DataFrame:
+def read_ingested(spark: SparkSession, table: str, with_flag: bool = False) -> DataFrame:
     """The ingested table with duplicates resolved keep-last by batch id."""
-    raw = spark.read.schema("station_id string, ts timestamp_ntz, temperature double, batch_id long") \
-        .option("basePath", table).parquet(table)
+    cols = ["station_id", "ts", "temperature"] + (["seasonal_good"] if with_flag else [])
+    schema = "station_id string, ts timestamp_ntz, temperature double, " + \
+        ("seasonal_good boolean, " if with_flag else "") + "batch_id long"
+    raw = spark.read.schema(schema).option("basePath", table).parquet(table)
     empty = raw.limit(0)
-    return merge_keep_last(empty, raw, order="batch_id", columns=["station_id", "ts", "temperature"])
+    return merge_keep_last(empty, raw, order="batch_id", columns=cols)

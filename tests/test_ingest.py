@@ -149,3 +149,14 @@ def test_streaming_incremental_ingest(spark, tmpdir_path):
     assert rows == {("s1", dt.datetime(2021, 1, 1, 0)): 1.0, ("s1", dt.datetime(2021, 1, 1, 1)): 9.0,
                     ("s1", dt.datetime(2021, 1, 1, 2)): 3.0}
     assert len([d for d in os.listdir(table) if d.startswith("batch_id=")]) == 2
+
+
+def test_streaming_seasonal_flag(spark, tmpdir_path):
+    land, table, ck = (os.path.join(tmpdir_path, x) for x in ("landing", "table", "ckpt"))
+    os.makedirs(land)
+    with open(os.path.join(land, "a.json"), "w") as f:   # 2021-01-01: winter, DJF max 20
+        f.write(json.dumps({"station_id": "s1", "body": {"1609459200": [25.0], "1609462800": [5.0]}}) + "\n")
+    q = S.start_ingest(spark, land, table, ck, season_limits={"DJF": (-30.0, 20.0)})
+    q.awaitTermination(120)
+    got = {r.temperature: r.seasonal_good for r in S.read_ingested(spark, table, with_flag=True).collect()}
+    assert got == {25.0: False, 5.0: True}

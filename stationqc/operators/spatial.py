@@ -39,35 +39,50 @@ def _coords(stations: DataFrame, prm: SctParams) -> DataFrame:
     return stations.select("sid", F.col("lon").alias("cx"), F.col("lat").alias("cy"), "alt")
 
 
-def covers_all(stations: DataFrame, prm: SctParams) -> bool:
-    """True when the bounding-box diagonal of the network is within both radii."""
+def network_summary(stations: DataFrame, prm: SctParams):
+    """One small aggregate over the station dimension: station count, bounding-box
+    diagonal, and id / coordinates / altitude of the first station (lowest id)."""
     c = _coords(stations, prm)
-    row = c.agg(F.sqrt((F.max("cx") - F.min("cx")) ** 2 + (F.max("cy") - F.min("cy")) ** 2).alias("d")).first()
-    diag = row["d"] if row and row["d"] is not None else 0.0
+    return c.agg(F.count(F.lit(1)).alias("n"),
+                 F.sqrt((F.max("cx") - F.min("cx")) ** 2 + (F.max("cy") - F.min("cy")) ** 2).alias("diag"),
+                 F.min("sid").alias("i0"), F.min_by("cx", "sid").alias("x0"), F.min_by("cy", "sid").alias("y0"),
+                 F.min_by("alt", "sid").alias("a0")).first()
+
+
+def covers_all(stations: DataFrame, prm: SctParams, summary=None) -> bool:
+    """True when the bounding-box diagonal of the network is within both radii."""
+    row = summary or network_summary(stations, prm)
+    diag = row["diag"] if row and row["diag"] is not None else 0.0
     return diag <= min(prm.inner_radius, prm.outer_radius)
 
 
 # ------------------------------------------------------------------ closed form
-def _first_station_neighbours(stations: DataFrame, prm: SctParams, band: bool) -> tuple[DataFrame, object]:
+def _first_station_neighbours(stations: DataFrame, prm: SctParams, band: bool, summary) -> DataFrame:
     c = _coords(stations, prm)
-    i0 = c.select(F.min("sid")).scalar()
-    first = c.where(F.col("sid") == i0)
-    x0, y0, a0 = (first.select("cx").scalar(), first.select("cy").scalar(), first.select("alt").scalar())
-    nb = c.where(F.col("sid") != i0).select(
+    i0 = summary["i0"]
+    x0, y0 = F.lit(summary["x0"]).cast("double"), F.lit(summary["y0"]).cast("double")
+    a0 = F.lit(summary["a0"]).cast("double")
+    nb = c.where(F.col("sid") != F.lit(i0)).select(
         F.col("sid").alias("j"), F.sqrt((F.col("cx") - x0) ** 2 + (F.col("cy") - y0) ** 2).alias("dist"),
         (F.col("alt") - a0).alias("da"))
     if band:
         nb = nb.where(F.abs(F.col("da")).between(F.lit(float(prm.min_elev_diff)), F.lit(float(prm.max_elev_diff))))
     # distributed top-k: each partition keeps its num_max best, then one merge
     nb = nb.orderBy("dist", "j").limit(int(prm.num_max))
-    return nb, i0
+    return nb
 
 
 def sct_closed_form(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool = False,
-                    v: str = "v") -> DataFrame:
+                    v: str = "v", summary=None) -> DataFrame:
     """D7 (``stct=False``) or D8 closed form. Adds ``sct_flag`` (and ``temporal_flag`` for D8)."""
-    n_st = stations.select(F.count(F.lit(1))).scalar()
-    nb, i0 = _first_station_neighbours(stations, prm, band=stct)
+    summary = summary or network_summary(stations, prm)
+    if summary["n"] == 0:
+        return grid.withColumn("sct_flag", F.lit(False)) if not stct else \
+            temporal_step(grid, prm.temporal_threshold, v=v, out="temporal_flag").drop("v_prev", "v_next") \
+            .withColumn("sct_flag", F.lit(False))
+    n_st = F.lit(int(summary["n"]))
+    i0 = F.lit(summary["i0"])
+    nb = _first_station_neighbours(stations, prm, stct, summary)
     cells = grid.select("t", F.col("sid").alias("j"), F.col(v).alias("v_j"))
     j = cells.join(F.broadcast(nb), "j")   # nb has at most num_max rows
     w = F.lit(1.0) / (F.col("dist") + F.lit(float(prm.eps)))
@@ -197,8 +212,9 @@ def sct_general(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool
 def sct(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool = False, v: str = "v",
         plan: str = "auto") -> DataFrame:
     """Dispatch: closed form when the radii cover the whole network, else the scan."""
-    if plan == "closed" or (plan == "auto" and covers_all(stations, prm)):
-        return sct_closed_form(grid, stations, prm, stct, v)
+    summary = network_summary(stations, prm) if plan != "general" else None
+    if plan == "closed" or (plan == "auto" and covers_all(stations, prm, summary)):
+        return sct_closed_form(grid, stations, prm, stct, v, summary)
     return sct_general(grid, stations, prm, stct, v)
 
 

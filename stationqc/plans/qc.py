@@ -97,7 +97,7 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
     the daily/monthly completeness rule; values are masked after each step, so
     every test sees only the survivors of the previous one."""
     keep = (lambda d: cut_lineage(d)) if checkpoint else (lambda d: d)
-    g = keep(grid.select("t", "sid", F.col("v").alias("t_lvl0")))
+    g = grid.select("t", "sid", F.col("v").alias("t_lvl0"))   # read once by level 1: no copy
     # level 1
     g = g.withColumn("seasonal_ok", seasonal_good("t_lvl0", "t", limits))
     g = g.withColumn("t_lvl1", mask("t_lvl0", "seasonal_ok"))

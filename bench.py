@@ -39,6 +39,7 @@ def main():
     from stationqc.plans.q_spatial import GREEDY
     from stationqc.session import ensure_checkpoint_dir, get_spark
     from stationqc.sources import fixtures as X
+    from stationqc.sources.files import read_grid, write_grid
 
     spark = get_spark(f"local[{cpus}]", "stationqc-bench", int(cpus) * 2,
                       extra={"spark.driver.memory": "16g"})
@@ -50,25 +51,24 @@ def main():
     store = ensure_checkpoint_dir(spark).rstrip("/") + f"/bench-grids-{os.getpid()}"
     t0 = time.perf_counter()
     cells = G.hourly_cells(X.events_obs(spark, sf_dir, k))
-    ge = G.dense_grid(cells)
-    ge.write.mode("overwrite").parquet(f"{store}/grid_e")
+    write_grid(G.dense_grid(cells), f"{store}/grid_e")
     X.station_dim(cells).write.mode("overwrite").parquet(f"{store}/stations_e")
-    X.fill_rule(spark.read.parquet(f"{store}/grid_e")).write.mode("overwrite").parquet(f"{store}/grid_f")
-    G.dense_grid(G.hourly_cells(X.lineitem_obs(spark, sf_dir))).write.mode("overwrite").parquet(f"{store}/grid_l")
+    write_grid(X.fill_rule(read_grid(spark, f"{store}/grid_e")), f"{store}/grid_f")
+    write_grid(G.dense_grid(G.hourly_cells(X.lineitem_obs(spark, sf_dir))), f"{store}/grid_l")
     build = time.perf_counter() - t0
     print(f"# grid_build (once): {build:.3f}s", file=sys.stderr)
 
     def grid_e():
-        return spark.read.parquet(f"{store}/grid_e")
+        return read_grid(spark, f"{store}/grid_e")
 
     def grid_f():
-        return spark.read.parquet(f"{store}/grid_f")
+        return read_grid(spark, f"{store}/grid_f")
 
     def stations_e():
         return spark.read.parquet(f"{store}/stations_e")
 
     def grid_l():
-        return spark.read.parquet(f"{store}/grid_l")
+        return read_grid(spark, f"{store}/grid_l")
 
     def run(df):
         df.write.format("noop").mode("overwrite").save()

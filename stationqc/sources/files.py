@@ -79,3 +79,26 @@ def write_qc_dataset(grid: DataFrame, stats: DataFrame, path: str, value_cols=("
     meta = stats.select("*", F.lit(title).alias("title"),
                         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("creation_date"))
     meta.coalesce(1).write.mode(mode).parquet(f"{path}/dataset_meta")
+
+
+def write_grid(grid: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The stored time x station grid: Parquet partitioned by month and sorted by
+    station and time inside each file, so time slices prune partitions and
+    station predicates skip row groups."""
+    (grid.withColumn("month", F.date_format("t", "yyyy-MM"))
+     .repartition("month").sortWithinPartitions("sid", "t")
+     .write.mode(mode).partitionBy("month").parquet(path))
+
+
+def read_grid(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """Read a stored grid; a time range is turned into a month filter as well, so
+    the scan touches only the months it needs (partition pruning) before the
+    exact (inclusive) time filter."""
+    g = spark.read.parquet(path)
+    if start is not None:
+        g = g.where((F.col("month") >= F.date_format(F.lit(start).cast("timestamp_ntz"), "yyyy-MM"))
+                    & (F.col("t") >= F.lit(start).cast("timestamp_ntz")))
+    if end is not None:
+        g = g.where((F.col("month") <= F.date_format(F.lit(end).cast("timestamp_ntz"), "yyyy-MM"))
+                    & (F.col("t") <= F.lit(end).cast("timestamp_ntz")))
+    return g.drop("month")

@@ -64,3 +64,15 @@ def test_batch_good_within_total(spark):
     assert 0 <= s.good_values <= s.total_values == g.count()
     vp = Q.valid_percent(r).first()
     assert vp.valid_values == s.good_values
+
+
+def test_stored_grid_prunes_months(spark, tmpdir_path):
+    from stationqc.sources.files import read_grid, write_grid
+
+    g = G.dense_grid(G.hourly_cells(X.lineitem_obs(spark, SF)))
+    write_grid(g, f"{tmpdir_path}/grid")
+    s = read_grid(spark, f"{tmpdir_path}/grid", "1996-03-01 00:00:00", "1996-04-30 00:00:00")
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "PushedFilters: [IsNotNull(t)" in plan
+    expect = G.slice_time(g, "1996-03-01 00:00:00", "1996-04-30 00:00:00")
+    assert sorted(map(tuple, s.select("t", "sid", "v").collect())) == sorted(map(tuple, expect.collect()))

@@ -59,22 +59,22 @@ def climatology(grid: DataFrame, half_days: float = 15.0, v: str = "v") -> DataF
     h = int(math.floor(half_days))
     lo, hi = max(-h, -182), min(h, 183)
     g = grid.withColumn("doy", F.dayofyear("t"))
-    # centre per station: keeps the sum of squares well conditioned
-    centre = g.groupBy("sid").agg(F.avg(v).alias("_c"))
-    pre = (g.join(centre, "sid").withColumn("_d", F.col(v) - F.col("_c"))
-           .groupBy("sid", "doy")
-           .agg(F.count(F.lit(1)).alias("r"), F.count(v).alias("n"), F.sum(v).alias("sv"), F.sum("_d").alias("s1"),
-                F.sum(F.col("_d") * F.col("_d")).alias("s2"), F.first("_c").alias("_c")))
+    # per (station, day of year): row count, value count, sum and M2 (the
+    # within-group squared deviations, from the numerically stable var_pop)
+    pre = (g.groupBy("sid", "doy")
+           .agg(F.count(F.lit(1)).alias("r"), F.count(v).alias("n"), F.sum(v).alias("sv"),
+                (F.coalesce(F.var_pop(v), F.lit(0.0)) * F.count(v)).alias("m2")))
+    pre = pre.withColumn("bq", F.when(F.col("n") > 0, F.col("sv") * F.col("sv") / F.col("n")).otherwise(0.0))
     spread = pre.withColumn("k", F.explode(F.sequence(F.lit(lo), F.lit(hi)))) \
         .withColumn("doy_t", F.pmod(F.col("doy") - 1 + F.col("k"), F.lit(366)) + 1)
     agg = spread.groupBy("sid", F.col("doy_t").alias("doy")).agg(
-        F.sum("r").alias("clim_rows"), F.sum("n").alias("clim_n"), F.sum("sv").alias("sv"), F.sum("s1").alias("s1"),
-        F.sum("s2").alias("s2"), F.first("_c").alias("_c"))
-    mean_d = F.col("s1") / F.nullif(F.col("clim_n"), F.lit(0))
-    var = F.greatest(F.col("s2") / F.nullif(F.col("clim_n"), F.lit(0)) - mean_d * mean_d, F.lit(0.0))
-    # the mean from the plain sum (exact for exactly representable data); the
-    # spread from the centred sums (well conditioned)
-    mean = F.col("sv") / F.nullif(F.col("clim_n"), F.lit(0))
+        F.sum("r").alias("clim_rows"), F.sum("n").alias("clim_n"), F.sum("sv").alias("sv"),
+        F.sum("m2").alias("m2"), F.sum("bq").alias("bq"))
+    # merged M2 = sum of within-group M2 + between-group part sum(s_k^2/n_k) - S^2/N
+    n_ = F.nullif(F.col("clim_n"), F.lit(0))
+    var = F.greatest((F.col("m2") + F.col("bq") - F.col("sv") * F.col("sv") / n_) / n_, F.lit(0.0))
+    # the mean from the plain sum (exact for exactly representable data)
+    mean = F.col("sv") / n_
     return agg.select("sid", "doy", F.col("clim_rows").cast("long"), F.col("clim_n").cast("long"),
                       mean.alias("clim_mean"), F.sqrt(var).alias("clim_std"))
 

@@ -216,7 +216,7 @@ def q_ingest_progress(spark, sf):
 
 @register("station_metadata", f"""WITH {e_cells(24)},
 o AS (SELECT sid, t, CASE WHEN hour(t) >= 6 THEN 46.40::DOUBLE + ((sid*37) % 1009)::DOUBLE / 10000.0 + hour(t) / 1000.0 END AS lat,
-      CASE WHEN day(t) >= 3 THEN 200.0 + day(t) END AS alt FROM cells)
+      CASE WHEN day(t) >= 3 THEN 200.0::DOUBLE + day(t) END AS alt FROM cells)
 SELECT sid, round(arg_min(lat, t) FILTER (WHERE lat IS NOT NULL), 4) AS lat,
        arg_min(alt, t) FILTER (WHERE alt IS NOT NULL) AS alt FROM o GROUP BY sid""")
 def q_station_metadata(spark, sf):

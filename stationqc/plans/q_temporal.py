@@ -67,15 +67,15 @@ _LT = dict(window_hours=2400, seasonal_window_hours=360.0, thr=1.6, min_samples=
 
 @register("violations", f"""WITH {l_cells()}, {GRID}, {_roll_cte('grid', 1200, 40, 1.6)}, {_clim_cte('grid', 15)},
 {_seas_cte('rr', 40, 1.6)}
-SELECT sid, t, 'z_score' AS kind, round(v, 4) AS value, NULL::INT AS day_of_year, round(roll_z, 4) AS z
+SELECT sid, t, 'z_score' AS kind, round(v, 4) AS value, NULL::BIGINT AS day_of_year, round(roll_z, 4) AS z
 FROM ss WHERE NOT roll_good
 UNION ALL
-SELECT sid, t, 'seasonal' AS kind, round(v, 4) AS value, doy_s AS day_of_year, round(seas_z, 4) AS z
+SELECT sid, t, 'seasonal' AS kind, round(v, 4) AS value, doy_s::BIGINT AS day_of_year, round(seas_z, 4) AS z
 FROM ss WHERE NOT seas_good""")
 def q_violations(spark, sf):
     chk = T.long_term_check(grid_l(spark, sf), **_LT)
     vi = T.violations(chk)
-    return vi.select("sid", "t", "kind", r4("value").alias("value"), F.col("day_of_year").cast("int"),
+    return vi.select("sid", "t", "kind", r4("value").alias("value"), F.col("day_of_year").cast("long"),
                      r4("z").alias("z"))
 
 

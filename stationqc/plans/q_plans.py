@@ -13,18 +13,20 @@ from stationqc.plans import qc as Q
 from stationqc.plans.catalog import cells_e, grid_e, grid_f, register
 from stationqc.plans.sqlfix import (FGRID, GRID, STATIONS, buddy_ctes, completeness_counters_sql,
                                     completeness_sql, e_cells, proj_cte, sct_closed_ctes, seasonal_good_sql)
+from stationqc.plans.q_spatial import GREEDY, greedy_ctes
 from stationqc.sources import fixtures as X
 
 BATCH_LIMITS = dict(BATCH_SEASON_LIMITS, DJF=(6.0, 18.0))
 BATCH_BUDDY_F = BuddyParams(radius=5000.0, num_min=3, threshold=3.0, max_elev_diff=400.0, elev_gradient=-0.0065)
 OVERLAY_F = LongTermParams(window_hours=720, seasonal_window_hours=360.0, z_threshold=2.0, min_samples=300)
 
-_BATCH_CTES = f"""{e_cells(24)}, {GRID}, {FGRID}, {STATIONS}, {proj_cte()},
+def _batch_ctes(sct_part: str) -> str:
+    return f"""{e_cells(24)}, {GRID}, {FGRID}, {STATIONS}, {proj_cte()},
 s AS (SELECT t, sid, v, {seasonal_good_sql('v', 't', BATCH_LIMITS)} AS sg FROM fgrid),
 tm AS (SELECT t, avg(sg::INT) >= 0.8 AS keep_t FROM s GROUP BY t),
 k AS (SELECT s.* FROM s JOIN tm ON tm.t = s.t WHERE tm.keep_t),
 {buddy_ctes('k', 'v', BATCH_BUDDY_F, 'kb')},
-{sct_closed_ctes('kb', 'v', BATCH_SCT, False, 'ks')},
+{sct_part},
 kc AS (SELECT *, sg AND NOT bs AND NOT sct_flag AS comb FROM ks),
 sm AS (SELECT sid, avg(comb::INT) >= 0.8 AS keep_s FROM kc GROUP BY sid),
 fin AS (SELECT s.*, coalesce(kc.comb AND sm.keep_s, false) AS fg, kc.bs, kc.sct_flag, tm.keep_t, sm.keep_s,
@@ -32,6 +34,13 @@ fin AS (SELECT s.*, coalesce(kc.comb AND sm.keep_s, false) AS fg, kc.bs, kc.sct_
         FROM s LEFT JOIN kc ON kc.t = s.t AND kc.sid = s.sid LEFT JOIN tm ON tm.t = s.t LEFT JOIN sm ON sm.sid = s.sid)"""
 
 
+_BATCH_CTES = _batch_ctes(sct_closed_ctes("kb", "v", BATCH_SCT, False, "ks"))
+_BATCH_GREEDY_CTES = _batch_ctes(
+    greedy_ctes("kb", "v", GREEDY, False, "gk")
+    + ",\nks AS (SELECT kb.*, coalesce(gk.sct_flag, false) AS sct_flag FROM kb LEFT JOIN gk"
+    " ON gk.t = kb.t AND gk.sid = kb.sid)")
+
+
 def _checkpoint_dir(spark):
     """The cluster's ``spark.checkpoint.dir`` is used when set; a scratch folder
     is configured only for sessions that name none (local driver runs)."""
@@ -59,6 +68,22 @@ def q_batch_stats(spark, sf):
     return _batch(spark, sf).stats
 
 
+_BATCH_STATS_SELECT = """SELECT count(*)::BIGINT AS total_values, count(*) FILTER (WHERE fg)::BIGINT AS good_values,
+       (count(DISTINCT sid) - count(DISTINCT CASE WHEN keep_s THEN sid END))::BIGINT AS stations_removed,
+       (count(DISTINCT t) - count(DISTINCT CASE WHEN keep_t THEN t END))::BIGINT AS timesteps_removed,
+       count(*) FILTER (WHERE NOT sg)::BIGINT AS seasonal_flags, count(*) FILTER (WHERE bs)::BIGINT AS buddy_flags,
+       count(*) FILTER (WHERE sct_flag)::BIGINT AS sct_flags FROM fin"""
+
+
+@register("batch_stats_greedy", f"WITH RECURSIVE {_BATCH_GREEDY_CTES}\n{_BATCH_STATS_SELECT}")
+def q_batch_stats_greedy(spark, sf):
+    """Batch QC with the general (order-dependent) spatial scan on the kept times."""
+    _checkpoint_dir(spark)
+    g = grid_f(spark, sf, 24)
+    st = X.station_dim(cells_e(spark, sf, 24))
+    return Q.batch_qc(g, st, BATCH_LIMITS, BATCH_BUDDY_F, GREEDY, 0.8, sct_plan="general").stats
+
+
 @register("batch_masks", f"""WITH {_BATCH_CTES}
 SELECT sid, coalesce(bool_or(keep_s), false) AS keep_s, count(*) FILTER (WHERE fg)::BIGINT AS n_good,
        count(*) FILTER (WHERE keep_t)::BIGINT AS n_kept_times FROM fin GROUP BY sid""")

@@ -90,8 +90,9 @@ def duplicate_keys(df: DataFrame, keys=("t", "sid")) -> DataFrame:
 
 
 def to_wide(grid: DataFrame, station_ids: list | None = None, value: str = "v") -> DataFrame:
-    """One row per time, one column per station (export view only)."""
-    return grid.groupBy("t").pivot("sid", station_ids).agg(F.first(value, ignorenulls=True))
+    """One row per time, one column per station (export view only), in time
+    order (E8: a distributed range-partitioned sort at the edge)."""
+    return grid.groupBy("t").pivot("sid", station_ids).agg(F.first(value, ignorenulls=True)).orderBy("t")
 
 
 def to_long(wide: DataFrame, value: str = "v") -> DataFrame:

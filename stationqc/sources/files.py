@@ -28,7 +28,8 @@ def write_observation_files(obs: DataFrame, path: str, mode: str = "overwrite")
     out = obs.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "temperature", "longitude",
                      "latitude", F.coalesce(F.col("altitude").cast("string"), F.lit("Unknown")).alias("altitude"),
                      F.col("station_id").alias("station_ID"))
-    out.select(*OBS_FILE_COLUMNS).write.mode(mode).option("header", True).partitionBy("station_ID").csv(path)
+    (out.select(*OBS_FILE_COLUMNS).repartition("station_ID").sortWithinPartitions("ts")   # series in time order
+     .write.mode(mode).option("header", True).partitionBy("station_ID").csv(path))
 
 
 def read_observation_files(spark: SparkSession, path: str) -> DataFrame:

@@ -34,11 +34,16 @@ def sized_pairs(pairs: DataFrame, max_rows: int = PAIRS_BROADCAST_MAX) -> DataFr
     return F.broadcast(p) if p.count() <= max_rows else p
 
 
-def buddy_stats(cells: DataFrame, pairs: DataFrame, prm: BuddyParams, sized: bool = True) -> DataFrame:
-    """Per (t, i): neighbour count and mean / population std of the adjusted values."""
-    # hash-partition the cells by time: the broadcast join keeps that partitioning,
-    # so the (t, i) aggregate below needs no further exchange
-    b = spread(cells.select("t", F.col("sid").alias("j"), F.col("v").alias("v_j")), "t")
+def buddy_stats(cells: DataFrame, pairs: DataFrame, prm: BuddyParams, sized: bool = True,
+                partitioned: bool = False) -> DataFrame:
+    """Per (t, i): neighbour count and mean / population std of the adjusted values.
+
+    The cells are hash-partitioned by time (here, unless ``partitioned``): the
+    broadcast join keeps that partitioning, so the (t, i) aggregate needs no
+    further exchange."""
+    b = cells.select("t", F.col("sid").alias("j"), F.col("v").alias("v_j"))
+    if not partitioned:
+        b = spread(b, "t")
     nb = b.join(sized_pairs(pairs) if sized else pairs.select("i", "j", "da"), "j")
     adj = F.col("v_j")
     if prm.elev_gradient != 0:
@@ -59,12 +64,16 @@ def buddy_check(grid: DataFrame, stations: DataFrame, prm: BuddyParams = BuddyPa
     """
     if pairs is None:
         pairs = buddy_pairs(stations, prm)
-    cells = grid.where(F.col(v).isNotNull()).select("t", "sid", F.col(v).alias("v"))
-    st = buddy_stats(cells, pairs, prm).withColumnRenamed("i", "sid")
-    j = grid.join(st, ["t", "sid"], "left")
-    spread = F.greatest(F.col("nb_std"), F.lit(float(prm.min_std)))
+    # one shuffle of the grid by time: the cells, their neighbour statistics and
+    # the final own-value join all reuse it (the join on (t, sid) is co-partitioned
+    # on t when spark.sql.requireAllClusterKeysForCoPartition is false)
+    g = spread(grid, "t")
+    cells = g.where(F.col(v).isNotNull()).select("t", "sid", F.col(v).alias("v"))
+    st = buddy_stats(cells, pairs, prm, partitioned=True).withColumnRenamed("i", "sid")
+    j = g.join(st, ["t", "sid"], "left")
+    scale = F.greatest(F.col("nb_std"), F.lit(float(prm.min_std)))
     outlier = (F.col("n_adj") == F.col("n_nb")) & \
-        (F.abs(F.col(v) - F.col("nb_mean")) > F.lit(float(prm.threshold)) * spread)
+        (F.abs(F.col(v) - F.col("nb_mean")) > F.lit(float(prm.threshold)) * scale)
     suspect = (F.col(v).isNull() | (F.coalesce(F.col("n_nb"), F.lit(0)) < F.lit(int(prm.num_min)))
                | F.coalesce(outlier, F.lit(False)))
     return j.withColumn(out, suspect).drop("n_nb", "n_adj", "nb_mean", "nb_std")

@@ -22,6 +22,9 @@ def get_spark(master: str = "local[*]", app: str = "stationqc", shuffle_partitio
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # inputs hash-partitioned by time may join on (time, station) without a
+         # re-shuffle; every time holds one row per station, so no skew follows
+         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)

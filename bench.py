@@ -33,10 +33,9 @@ def main():
     from stationqc.operators import temporal as T
     from stationqc.operators.buddy import buddy_check
     from stationqc.operators.spatial import sct
-    from stationqc.params import BATCH_SCT, SEQUENTIAL_BUDDY, SEQUENTIAL_SCT, SEQUENTIAL_SEASON_LIMITS
+    from stationqc.params import BATCH_SCT, GREEDY, SEQUENTIAL_BUDDY, SEQUENTIAL_SCT, SEQUENTIAL_SEASON_LIMITS
     from stationqc.plans import qc as Q
     from stationqc.plans.q_plans import BATCH_BUDDY_F, BATCH_LIMITS
-    from stationqc.plans.q_spatial import GREEDY
     from stationqc.session import ensure_checkpoint_dir, get_spark
     from stationqc.sources import fixtures as X
     from stationqc.sources.files import read_grid, write_grid

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from stationqc.operators import grid as G
 from stationqc.operators.seasonal import seasonal_threshold
 from stationqc.operators.temporal import temporal_step
-from stationqc.params import (BATCH_SCT, BATCH_SEASON_LIMITS, SEQUENTIAL_BUDDY, SEQUENTIAL_SCT,
+from stationqc.params import (BATCH_SCT, GREEDY, BATCH_SEASON_LIMITS, SEQUENTIAL_BUDDY, SEQUENTIAL_SCT,
                               SEQUENTIAL_SEASON_LIMITS, BuddyParams, LongTermParams)
 from stationqc.plans import qc as Q
 from stationqc.plans.catalog import cells_e, grid_e, grid_f, register
 from stationqc.plans.sqlfix import (FGRID, GRID, STATIONS, buddy_ctes, completeness_counters_sql,
-                                    completeness_sql, e_cells, proj_cte, sct_closed_ctes, seasonal_good_sql)
-from stationqc.plans.q_spatial import GREEDY, greedy_ctes
+                                    completeness_sql, e_cells, greedy_ctes, proj_cte, sct_closed_ctes,
+                                    seasonal_good_sql)
 from stationqc.sources import fixtures as X
 
 BATCH_LIMITS = dict(BATCH_SEASON_LIMITS, DJF=(6.0, 18.0))

@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from stationqc.operators import spatial as SP
-from stationqc.params import BATCH_SCT, SEQUENTIAL_SCT, SctParams
+from stationqc.params import BATCH_SCT, GREEDY, GREEDY_ST, SEQUENTIAL_SCT, SctParams
 from stationqc.plans.catalog import cells_e, grid_f, register
-from stationqc.plans.sqlfix import FGRID, GRID, STATIONS, e_cells
+from stationqc.plans.sqlfix import FGRID, GRID, STATIONS, e_cells, greedy_ctes
 from stationqc.sources import fixtures as X
 
-# parameters of the general (order-dependent) case
-GREEDY = SctParams(inner_radius=0.015, outer_radius=0.04, num_min=3, num_max=5, pos_threshold=1.0,
-                   neg_threshold=1.0)
-GREEDY_ST = replace(GREEDY, min_elev_diff=20.0, max_elev_diff=400.0, vertical_scale=-0.0065,
-                    temporal_threshold=3.0, eps=0.1)
-
-
 def _closed_sql(prm: SctParams, stct: bool) -> str:
     band = (f"AND abs(s.alt - i0.alt) BETWEEN {prm.min_elev_diff!r} AND {prm.max_elev_diff!r}" if stct else "")
     bg = (f"(st.swv / st.sw + st.mda * {prm.vertical_scale!r})" if stct else "st.m")
@@ -60,55 +51,6 @@ def q_stct_shipped(spark, sf):
     return _run(spark, sf, SEQUENTIAL_SCT, True, "auto")
 
 
-def greedy_ctes(src: str, vcol: str, prm: SctParams, stct: bool, name: str) -> str:
-    """The order-dependent scan over ``src(t, sid, <vcol>)`` as a recursive CTE: per
-    time, state = (position k, flagged list f, processed list pr), one step per
-    station in id order.  Produces ``name(t, sid[, temporal_flag], sct_flag)``.
-    Needs the ``stations`` relation."""
-    band = (f"list_filter(ns2, lambda x: abs(x.da) >= {prm.min_elev_diff!r} AND abs(x.da) <= {prm.max_elev_diff!r})"
-            if stct else "ns2")
-    if stct:
-        bg = (f"list_sum(list_transform(sel, lambda x: vs[x.p] * (1.0 / (x.d + {prm.eps!r})))) / "
-              f"list_sum(list_transform(sel, lambda x: 1.0 / (x.d + {prm.eps!r}))) + "
-              f"list_avg(list_transform(sel, lambda x: x.da)) * {prm.vertical_scale!r}")
-        tcond = "OR tf[i]"
-    else:
-        bg = "list_avg(list_transform(sel, lambda x: vs[x.p]))"
-        tcond = ""
-    return f"""{name}_pos AS (SELECT sid, lon, lat, alt, row_number() OVER (ORDER BY sid)::INT AS p FROM stations),
-{name}_n AS (SELECT count(*)::INT AS s FROM {name}_pos),
-{name}_pr AS (SELECT a.p AS pi, b.p AS pj, b.sid AS sj, sqrt((b.lon - a.lon)^2 + (b.lat - a.lat)^2) AS d,
-       b.alt - a.alt AS da FROM {name}_pos a, {name}_pos b),
-{name}_nb AS (SELECT pi, coalesce(list({{'p': pj, 'd': d, 'da': da}} ORDER BY d, sj)
-                            FILTER (WHERE pj <> pi AND d <= {prm.outer_radius!r}), []) AS ns,
-              coalesce(list(pj) FILTER (WHERE d <= {prm.inner_radius!r}), []) AS inn FROM {name}_pr GROUP BY pi),
-{name}_tfl AS (SELECT t, sid, {vcol} AS v,
-        coalesce(abs({vcol} - lag({vcol}) OVER (PARTITION BY sid ORDER BY t)) > {prm.temporal_threshold!r}, false)
-        OR coalesce(abs({vcol} - lead({vcol}) OVER (PARTITION BY sid ORDER BY t)) > {prm.temporal_threshold!r}, false)
-        AS tflag FROM {src}),
-{name}_vals AS (SELECT g.t, list(g.v ORDER BY pos.p) AS vs, list(g.tflag ORDER BY pos.p) AS tf
-         FROM {name}_tfl g JOIN {name}_pos pos ON pos.sid = g.sid GROUP BY g.t),
-{name}_scan(t, vs, tf, k, f, pr) AS (
-  SELECT t, vs, tf, 0, list_transform(range(1, (SELECT s FROM {name}_n) + 1), lambda x: false),
-         list_transform(range(1, (SELECT s FROM {name}_n) + 1), lambda x: false) FROM {name}_vals
-  UNION ALL
-  SELECT t, vs, tf, i,
-         list_transform(range(1, len(f) + 1), lambda x: CASE WHEN x = i THEN f[x] OR flag ELSE f[x] END),
-         list_transform(range(1, len(pr) + 1), lambda x: pr[x] OR (NOT skip AND (x = i OR (tested AND list_contains(inn, x)))))
-  FROM (SELECT *, tested AND (coalesce(len(sel) > 0 AND list_count(list_transform(sel, lambda x: vs[x.p])) = len(sel)
-                  AND (vs[i] - ({bg}) > {prm.pos_threshold!r} * list_aggregate(list_transform(sel, lambda x: vs[x.p]), 'stddev_pop')
-                       OR vs[i] - ({bg}) < -{prm.neg_threshold!r} * list_aggregate(list_transform(sel, lambda x: vs[x.p]), 'stddev_pop')),
-                  false) {tcond}) AS flag
-        FROM (SELECT *, list_slice({band}, 1, {prm.num_max}) AS sel
-              FROM (SELECT *, NOT skip AND len(ns2) >= {prm.num_min} AS tested
-                    FROM (SELECT s.t, s.vs, s.tf, s.f, s.pr, nb.pi AS i, nb.inn, s.pr[nb.pi] AS skip,
-                                 list_filter(nb.ns, lambda x: NOT s.f[x.p]) AS ns2
-                          FROM {name}_scan s JOIN {name}_nb nb ON nb.pi = s.k + 1))))),
-{name}_fin AS (SELECT t, vs, tf, f FROM {name}_scan WHERE k = (SELECT s FROM {name}_n)),
-{name} AS (SELECT fin.t, pos.sid{", fin.tf[pos.p] AS temporal_flag" if stct else ""}, fin.f[pos.p] AS sct_flag
-           FROM {name}_fin fin, {name}_pos pos)"""
-
-
 def _greedy_sql(prm: SctParams, stct: bool) -> str:
     cols = "t, sid, temporal_flag, sct_flag" if stct else "t, sid, sct_flag"
     return f"""WITH RECURSIVE {e_cells(24)}, {GRID}, {FGRID}, {STATIONS}, {greedy_ctes('fgrid', 'v', prm, stct, 'gs')}

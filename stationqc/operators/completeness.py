@@ -33,7 +33,8 @@ def station_completeness(grid: DataFrame, flag: str, p: float, kept_times: DataF
     return agg.withColumn("keep_s", F.coalesce(F.col("share") >= F.lit(float(p)), F.lit(False)))
 
 
-def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "complete") -> DataFrame:
+def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "complete",
+                          partitioned: bool = False) -> DataFrame:
     """D12 on a dense grid with a non-null boolean ``flag`` column.
 
     Adds ``day_bad`` (D10), ``month_bad`` (D11) and ``out`` = flag and not
@@ -42,11 +43,13 @@ def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "comp
     * D11 (only if the whole axis spans >= 30 full days): per station-month,
       days with any good flag / expected < p -> bad; expected = min(days in
       month, whole days between the month's first and last axis time + 1).
+    ``partitioned``: the input is already hash-partitioned by station (skip the shuffle).
     """
     p = float(p)
     g = grid.withColumn("day", F.to_date("t")).withColumn("mk", month_key("t")) \
         .withColumn("fi", F.col(flag).cast("int"))
-    g = spread(g, "sid")
+    if not partitioned:
+        g = spread(g, "sid")
     w_day = Window.partitionBy("sid", "day")
     w_month = Window.partitionBy("sid", "mk")
     w_all = Window.partitionBy("sid")

@@ -23,7 +23,8 @@ def temporal_step(grid: DataFrame, thr: float, v: str = "v", out: str = "step_su
     the axis edges have no neighbour; a missing value is never suspect.
     """
     w = Window.partitionBy("sid").orderBy("t")
-    g = grid.withColumn("v_prev", F.lag(v).over(w)).withColumn("v_next", F.lead(v).over(w))
+    g = spread(grid, "sid")
+    g = g.withColumn("v_prev", F.lag(v).over(w)).withColumn("v_next", F.lead(v).over(w))
     s = (F.coalesce(F.abs(F.col(v) - F.col("v_prev")) > F.lit(float(thr)), F.lit(False))
          | F.coalesce(F.abs(F.col(v) - F.col("v_next")) > F.lit(float(thr)), F.lit(False)))
     return g.withColumn(out, s)

@@ -19,7 +19,7 @@ from stationqc.operators import temporal as T
 from stationqc.operators.buddy import buddy_check, eligible_times
 from stationqc.operators.grid import current_level
 from stationqc.operators.seasonal import seasonal_good
-from stationqc.operators.spatial import sct
+from stationqc.operators.spatial import covers_all, sct
 from stationqc.params import (BATCH_BUDDY, BATCH_SCT, BATCH_SEASON_LIMITS, OVERLAY, SEQUENTIAL_BUDDY,
                               SEQUENTIAL_SCT, SEQUENTIAL_SEASON_LIMITS, BuddyParams, LongTermParams, SctParams)
 from stationqc.session import cut_lineage
@@ -116,12 +116,15 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
     g = c2.drop("day", "mk", "day_bad", "month_bad")
     # level 3
     el = eligible_times(g, sct_prm.num_min, v="t_lvl2").select("t", F.col("eligible").alias("el3"))
-    s = sct(g.join(el, "t"), stations, sct_prm, stct=True, v="t_lvl2", plan=sct_plan)
+    closed = sct_plan == "closed" or (sct_plan == "auto" and covers_all(stations, sct_prm))
+    # the closed form keeps the station partitioning of its step-test window (its
+    # per-time statistics are a small broadcast side), so completeness reuses it
+    s = sct(g.join(el, "t"), stations, sct_prm, stct=True, v="t_lvl2", plan="closed" if closed else "general")
     s = (s.withColumn("sct_ok", ~(F.col("el3") & F.col("sct_flag")))
          .withColumn("temporal_ok", ~(F.col("el3") & F.col("temporal_flag")))
          .drop("sct_flag", "temporal_flag", "el3"))
     s = s.withColumn("l3_ok", F.col("sct_ok") & F.col("temporal_ok")).withColumn("t_lvl3", mask("t_lvl2", "l3_ok"))
-    c3 = C.completeness_temporal(s, "l3_ok", p, out="t_lvl3_flag")
+    c3 = C.completeness_temporal(s, "l3_ok", p, out="t_lvl3_flag", partitioned=closed)
     c3 = keep(c3.withColumn("t_lvl3", mask("t_lvl3", "t_lvl3_flag")))
     st3 = _completeness_counters(c3, 3)
     out = c3.drop("day", "mk", "day_bad", "month_bad")

@@ -25,6 +25,11 @@ def get_spark(master: str = "local[*]", app: str = "stationqc", shuffle_partitio
          # inputs hash-partitioned by time may join on (time, station) without a
          # re-shuffle; every time holds one row per station, so no skew follows
          .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
+         # no broadcast from static size *estimates*: only sides whose measured
+         # (runtime) size is small are broadcast by AQE, plus explicit hints on
+         # sides with a proven bound
+         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)

@@ -42,7 +42,11 @@ def main():
     from stationqc.session import get_spark
 
     import os as _os
-    spark = get_spark(extra={"spark.sql.session.timeZone": _os.environ.get("ORACLE_TZ", "UTC")})
+    if _os.environ.get("ORACLE_PLAIN"):      # a stock session, as another driver would build it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[*]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = get_spark(extra={"spark.sql.session.timeZone": _os.environ.get("ORACLE_TZ", "UTC")})
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")

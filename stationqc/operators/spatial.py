@@ -129,6 +129,39 @@ def neighbour_lists(stations: DataFrame, prm: SctParams) -> DataFrame:
                       F.transform("nb", lambda x: x["da"]).alias("nb_da"), "inner_j")
 
 
+def scan_components(stations: DataFrame, prm: SctParams, max_rounds: int = 10_000) -> DataFrame:
+    """``(sid, comp)``: connected components of the static graph joining stations
+    within max(inner, outer) of each other.
+
+    The scan only passes state between such neighbours (flags through the outer
+    radius, processed marks through the inner one), so each component is scanned
+    on its own, in station-id order, with results identical to the scan of the
+    whole network.  Min-label propagation over the station dimension; every
+    round is a small join and aggregate, and the labels are written to the
+    checkpoint folder each round.
+    """
+    from stationqc.operators.geo import _pairs
+    from stationqc.session import cut_lineage
+
+    c = _coords(stations, prm)
+    edges = _pairs(c.select("sid", "cx", "cy", "alt"), "cx", "cy", max(prm.inner_radius, prm.outer_radius)) \
+        .select("i", "j")
+    edges = cut_lineage(edges)
+    labels = cut_lineage(c.select("sid", F.col("sid").alias("comp")))
+    for _ in range(max_rounds):
+        prop = (edges.join(labels.select(F.col("sid").alias("j"), F.col("comp").alias("lj")), "j")
+                .groupBy("i").agg(F.min("lj").alias("lmin")))
+        new = (labels.join(prop, labels["sid"] == prop["i"], "left")
+               .select("sid", F.col("comp").alias("old"),
+                       F.least(F.col("comp"), F.coalesce(F.col("lmin"), F.col("comp"))).alias("comp")))
+        new = cut_lineage(new)
+        changed = new.where(F.col("comp") != F.col("old")).count()
+        labels = new.select("sid", "comp")
+        if changed == 0:
+            return labels
+    raise RuntimeError("component labelling did not converge")
+
+
 def greedy_scan(sids, v, tflag, nb_j, nb_d, nb_da, inner_j, prm: SctParams, stct: bool):
     """The order-dependent scan of one time step (numpy)."""
     n = len(sids)
@@ -175,14 +208,24 @@ def greedy_scan(sids, v, tflag, nb_j, nb_d, nb_da, inner_j, prm: SctParams, stct
     return flags
 
 
+GROUP_STATIONS_MAX = 5_000
+
+
 def sct_general(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool = False,
-                v: str = "v") -> DataFrame:
+                v: str = "v", by_component: bool | None = None) -> DataFrame:
+    """General scan.  One pandas group holds one time's stations of one component;
+    up to ``GROUP_STATIONS_MAX`` stations (checked) the whole network is one
+    group, beyond it the network is split into its independent components."""
     g = grid
     if stct:
         g = temporal_step(g, prm.temporal_threshold, v=v, out="temporal_flag").drop("v_prev", "v_next")
     else:
         g = g.withColumn("temporal_flag", F.lit(False))
-    lists = neighbour_lists(stations, prm)
+    n_st = stations.count()
+    if by_component is None:
+        by_component = n_st > GROUP_STATIONS_MAX
+    comps = scan_components(stations, prm) if by_component else stations.select("sid", F.lit(0).alias("comp"))
+    lists = neighbour_lists(stations, prm).join(comps, "sid")
     # shuffle only the narrow cells by time; the station-sized neighbour lists are
     # joined after the exchange (broadcast behind a row-count check), so the
     # per-time grouping reuses the time partitioning and the arrays never travel
@@ -205,17 +248,18 @@ def sct_general(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool
 
     t_type = dict(grid.dtypes)["t"]
     s_type = dict(grid.dtypes)["sid"]
-    flags = rows.groupBy("t").applyInPandas(scan, f"t {t_type}, sid {s_type}, sct_flag boolean")
+    # one group per (time, component): a component is the exact unit of the scan
+    flags = rows.groupBy("t", "comp").applyInPandas(scan, f"t {t_type}, sid {s_type}, sct_flag boolean")
     return g.join(flags, ["t", "sid"], "left").withColumn("sct_flag", F.coalesce("sct_flag", F.lit(False)))
 
 
 def sct(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool = False, v: str = "v",
-        plan: str = "auto") -> DataFrame:
+        plan: str = "auto", by_component: bool | None = None) -> DataFrame:
     """Dispatch: closed form when the radii cover the whole network, else the scan."""
     summary = network_summary(stations, prm) if plan != "general" else None
     if plan == "closed" or (plan == "auto" and covers_all(stations, prm, summary)):
         return sct_closed_form(grid, stations, prm, stct, v, summary)
-    return sct_general(grid, stations, prm, stct, v)
+    return sct_general(grid, stations, prm, stct, v, by_component)
 
 
 def _is_nan(x) -> bool:

@@ -112,3 +112,21 @@ def test_closed_form_is_chosen_when_radii_cover_network(spark):
     sdf = spark.createDataFrame([(s[0], s[2], s[1], s[3]) for s in st], "sid long, lat double, lon double, alt double")
     assert SP.covers_all(sdf, SctParams(inner_radius=2000.0, outer_radius=8000.0))
     assert not SP.covers_all(sdf, SctParams(inner_radius=0.01, outer_radius=0.04))
+
+
+def test_scan_by_component_matches_model(spark):
+    st, rows = _case(11, n_st=20)
+    # move every second station one degree east: two clusters, at least two components
+    st = sorted((s[0], s[1] + (1.0 if s[0] % 2 else 0.0), s[2], s[3]) for s in st)
+    prm = SctParams(inner_radius=0.01, outer_radius=0.05, num_min=2, num_max=4, pos_threshold=1.0, neg_threshold=1.0)
+    sdf = spark.createDataFrame([(s[0], s[2], s[1], s[3]) for s in st], "sid long, lat double, lon double, alt double")
+    comps = SP.scan_components(sdf, prm)
+    assert comps.select("comp").distinct().count() >= 2
+    g = spark.createDataFrame(rows, "t timestamp_ntz, sid long, v double")
+    got = {(r.t, r.sid) for r in SP.sct(g, sdf, prm, plan="general", by_component=True)
+           .where(F.col("sct_flag")).collect()}
+    expected = set()
+    for t in sorted({r[0] for r in rows}):
+        vals = {s: v for tt, s, v in rows if tt == t}
+        expected |= {(t, s) for s in model(st, vals, {}, prm, False)}
+    assert got == expected and len(expected) > 0

@@ -39,7 +39,7 @@ from stationqc.llm.common import shuffle_partitions
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Characters of a block: what one task holds of texts.
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 5_000_000
 
 
 @lru_cache(maxsize=2)
@@ -60,15 +60,22 @@ def chunks_are_independent(path: str) -> bool:
 
 
 def chunks(text: str) -> list[str]:
-    """Marked words of a text; the library puts one marker before a text that is not empty."""
-    return CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
+    """Marked words of a text, each without its first marker (every marked word has one).
+
+    The library puts a marker before a text that is not empty.
+    """
+    if not text:
+        return []
+    if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
+        return [w[1:] for w in CHUNK.findall(MARK + text.replace(" ", MARK))]
+    return text.split(" ")
 
 
 def segment(words: list[str], path: str) -> list[list[int]]:
-    """Ids of marked words: the library supplies the first marker itself."""
+    """Ids of marked words: the library supplies the first marker itself, except to nothing."""
     sp = processor(path)
     lone = sp.piece_to_id(MARK)
-    return [ids if w != MARK else [lone] for w, ids in zip(words, sp.encode([w[1:] for w in words], num_threads=1))]
+    return [ids if w else [lone] for w, ids in zip(words, sp.encode(words, num_threads=1))]
 
 
 def _by_fragment(words: set[str], fragments: int) -> list[list[str]]:
@@ -82,7 +89,7 @@ def _by_fragment(words: set[str], fragments: int) -> list[list[str]]:
 
 def _pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -158,7 +165,7 @@ def _join_back(path: str, fragments: int):
             size, pool = np.concatenate(sizes), np.concatenate(flat)
             start = np.concatenate(([0], np.cumsum(size)))[:-1]
             for doc, text in zip(table["doc_id"].to_pylist(), texts):
-                at = np.fromiter(map(place.__getitem__, chunks(text)), np.int64)
+                at = np.array([place[w] for w in chunks(text)], np.int64)
                 n = size[at]
                 ends = np.cumsum(n)
                 total = int(ends[-1]) if len(ends) else 0
@@ -202,9 +209,10 @@ def digest(encoded: DataFrame, path: str) -> DataFrame:
         sp = processor(path)
         sha = lambda data: hashlib.sha256(data).hexdigest()
         for pdf in batches:
-            arrays = [np.asarray(i, np.int64) for i in pdf["ids"]]
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"].astype("Int64"), "n_tokens": [len(a) for a in arrays],
-                "ids_sha256": [sha(a.astype("<u4").tobytes()) for a in arrays],
-                "decoded_sha256": [sha(sp.decode(a.tolist()).encode("utf-8")) for a in arrays]})
+            rows = []
+            for doc, ids in zip(pdf["doc_id"], pdf["ids"]):
+                text = sp.decode(np.asarray(ids).tolist())
+                rows.append((doc, len(ids), sha(np.asarray(ids, "<u4").tobytes()), sha(text.encode("utf-8"))))
+            out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
     return encoded.mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationqc.llm.common import md5_int, running_offsets
+from stationqc.llm.common import md5_int, running_offsets, settle
 
 Tree = Sequence[Sequence[Sequence[float]]]          # regions of racks of shard weights
 
@@ -42,21 +42,26 @@ def _array(values: Sequence, kind: str) -> Column:
     return F.array(*[F.lit(v).cast(kind) if not isinstance(v, Column) else v for v in values])
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _choose(key: Column, node: Column, weights: Column, width: int) -> Column:
     """Index of the child with the smallest weighted draw; children without weight never win."""
-    row = F.concat(F.coalesce(key, F.lit("null")), F.lit("|"), node, F.lit("/"))
-
-    def draw(k: Column) -> Column:
-        u = (md5_int(F.concat(row, k.cast("string")), 13) + F.lit(1)) / F.lit(float(16 ** 13 + 1))
-        weight = F.get(weights, k)
-        return F.when(weight > 0, F.struct((-F.ln(u) / weight).alias("d"), k.alias("k")))
+    def draw_with(row: Column) -> Column:
+        def draw(k: Column) -> Column:
+            u = (md5_int(F.concat(row, k.cast("string")), 13) + F.lit(1)) / F.lit(float(16 ** 13 + 1))
+            weight = F.get(weights, k)
+            return F.when(weight > 0, F.struct((-F.ln(u) / weight).alias("d"), k.alias("k")))
+        return F.array_min(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), draw))["k"]
 
-    return F.array_min(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), draw))["k"]
+    return _let(F.concat(F.coalesce(key, F.lit("null")), F.lit("|"), node, F.lit("/")), draw_with)
 
 
-def place(rows: DataFrame, key: str, tree: Tree, out: str) -> DataFrame:
-    """Add column ``out``: the shard number (shards counted in tree order) of each row."""
-    k = F.col(key).cast("string")
+def shard_of(key: Column, tree: Tree) -> Column:
+    """Shard number (shards counted in tree order) that a key descends to."""
+    key = key.cast("string")
     racks = max(len(region) for region in tree)
     leaves = max(len(rack) for region in tree for rack in region)
     first, numbers = 0, []
@@ -65,17 +70,20 @@ def place(rows: DataFrame, key: str, tree: Tree, out: str) -> DataFrame:
         for rack in region:
             numbers[-1].append(first)
             first += len(rack)
-    w_region = _array([sum(map(sum, region)) for region in tree], "double")
+    w_region = _array([float(sum(map(sum, region))) for region in tree], "double")
     w_rack = _array([_array([float(sum(rack)) for rack in region], "double") for region in tree], "array<double>")
     w_leaf = _array([_array([_array(rack, "double") for rack in region], "array<double>") for region in tree],
                     "array<array<double>>")
     base = _array([_array(starts, "int") for starts in numbers], "array<int>")
-    name = lambda *cols: F.concat_ws("/", F.lit("t"), *[F.col(c).cast("string") for c in cols])
-    return (rows.withColumn("_g", _choose(k, F.lit("t"), w_region, len(tree)))
-            .withColumn("_r", _choose(k, name("_g"), F.get(w_rack, F.col("_g")), racks))
-            .withColumn("_s", _choose(k, name("_g", "_r"), F.get(F.get(w_leaf, F.col("_g")), F.col("_r")), leaves))
-            .withColumn(out, (F.get(F.get(base, F.col("_g")), F.col("_r")) + F.col("_s")).cast("int"))
-            .drop("_g", "_r", "_s"))
+    name = lambda *parts: F.concat_ws("/", F.lit("t"), *[p.cast("string") for p in parts])
+
+    def in_region(g: Column) -> Column:
+        def in_rack(r: Column) -> Column:
+            leaf = _choose(key, name(g, r), F.get(F.get(w_leaf, g), r), leaves)
+            return F.get(F.get(base, g), r) + leaf
+        return _let(_choose(key, name(g), F.get(w_rack, g), racks), in_rack)
+
+    return _let(_choose(key, F.lit("t"), w_region, len(tree)), in_region).cast("int")
 
 
 def assign_shards(docs: DataFrame, tree: Tree, grown: Tree, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,12 +91,10 @@ def assign_shards(docs: DataFrame, tree: Tree, grown: Tree, id_col: str = "doc_i
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"))
-    rows = place(place(rows, "doc_id", tree, "shard"), "doc_id", grown, "grown_shard")
-    bucket = md5_int(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), 3)
-    rows = rows.withColumn("bucket", bucket)
-    ids = docs.select(F.col(id_col).alias("doc_id"), F.lit(1).alias("one"))
-    counts = place(ids, "doc_id", tree, "shard").withColumn("bucket", bucket)
-    offsets = running_offsets(counts, ["shard"], "bucket", "one", "before")
+    rows = settle(rows.withColumn("shard", shard_of(F.col("doc_id"), tree))
+                  .withColumn("grown_shard", shard_of(F.col("doc_id"), grown))
+                  .withColumn("bucket", md5_int(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), 3)))
+    offsets = running_offsets(rows.withColumn("one", F.lit(1)), ["shard"], "bucket", "one", "before")
     w = Window.partitionBy("shard", "bucket").orderBy("doc_id", "size", "text_crc32")
     return (rows.withColumn("rank", F.row_number().over(w)).join(offsets, ["shard", "bucket"])
             .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",

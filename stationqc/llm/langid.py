@@ -84,8 +84,11 @@ def training_sample(labelled: DataFrame, per_lang: int = PER_LANG, max_langs: in
     """(rank, lang, at, n): sparse counts of at most per_lang x max_langs documents."""
     langs = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).select("lang")
     keyed = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(F.broadcast(langs), "lang")
-    w = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = keyed.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= per_lang)
+    # first the smallest of each of 64 parts of a language, then the smallest of those
+    for part in (["lang", F.pmod("h", F.lit(64))], ["lang"]):
+        w = Window.partitionBy(*part).orderBy("h", "doc_id")
+        keyed = keyed.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= per_lang)
+    chosen = keyed
     # per_lang x max_langs rows at most: a proven bound
     chosen = chosen.groupBy("doc_id", "lang").agg(F.min("rank").alias("rank"))
     rows = (labelled.join(F.broadcast(chosen), ["doc_id", "lang"])
@@ -100,7 +103,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def train(sample: pd.DataFrame, reject_share: float = REJECT_SHARE, seed: int = 11) -> dict:
     """Model: langs, matrix (buckets x langs), bias, scale (inverse temperature), threshold."""
-    sample = sample[[len(a) > 0 for a in sample["at"]]].sort_values(["lang", "rank"], kind="stable")
+    sample = sample[np.array([len(a) > 0 for a in sample["at"]], bool)].sort_values(["lang", "rank"], kind="stable")
     langs = sorted(sample["lang"].unique(), key=lambda s: s.encode())
     if not langs:
         return {"langs": []}

@@ -24,7 +24,7 @@ The global order of shingles is rarest first (document frequency, then hash).
 
 Every pair that links is compared or already in one component, so components are
 those of all links.  Components come from contraction rounds over the links (each
-node adopts its smallest neighbour), never on the driver.
+node adopts its least neighbour), never on the driver.
 
 Defined results: null text, and text without words, has an empty set and no link;
 a text of fewer than five words is one shingle; repeated rows and equal sets are one
@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationqc.llm.blocks import blocks
-from stationqc.llm.common import settle
+from stationqc.llm.common import settle, stored
 
 N = 5
 #: Threshold as a share of 100: 100 * intersection >= 75 * union.
@@ -349,25 +349,25 @@ def _sizes_fit(n_a: str, n_b: str):
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) of every node of the links (a, b): rounds of contraction to the smallest neighbour.
+    """(node, root) of every node of the links (a, b): rounds of contraction to the least neighbour.
 
-    Node names are hashes, so chains of ever smaller neighbours are short and the
-    links left shrink quickly from round to round.
+    Least by a hash of the name: whatever the names, chains of ever smaller
+    neighbours are short then, and the links left shrink quickly from round to round.
     """
+    by_hash = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("v"))
     tidy = lambda e: (e.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    links = settle(tidy(links))
-    roots = None
+    links = stored(tidy(links))
+    roots = links.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
+    first = True
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
-        up = settle(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("up")))
-        if roots is None:
-            roots = up.select(F.col("a").alias("node"), F.col("up").alias("root"))
-        else:
-            roots = (roots.join(up, roots["root"] == up["a"], "left")
-                     .select("node", F.coalesce("up", "root").alias("root")))
+        up = stored(both.groupBy("a").agg(F.least(F.min(by_hash("b")), F.first(by_hash("a")))["v"].alias("up")))
+        roots = stored(up.select(F.col("a").alias("node"), F.col("up").alias("root")) if first else
+                       roots.join(up, roots["root"] == up["a"], "left").select("node", F.coalesce("up", "root").alias("root")))
+        first = False
         to_b = up.select(F.col("a").alias("b"), F.col("up").alias("up_b"))
-        links = settle(tidy(links.join(up, "a").join(to_b, "b").select(F.col("up").alias("a"), F.col("up_b").alias("b"))))
-    return settle(roots) if roots is not None else links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        links = stored(tidy(links.join(up, "a").join(to_b, "b").select(F.col("up").alias("a"), F.col("up_b").alias("b"))))
+    return roots
 
 
 def class_links(classes: DataFrame) -> DataFrame:

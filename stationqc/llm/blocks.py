@@ -7,26 +7,44 @@ each block and compare it where results of two passes meet.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.sql import DataFrame
 
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
 
-def blocks(batches: Iterator[pd.DataFrame], chars: int, rows: int = 65_000) -> Iterator[tuple[int, list, list[str]]]:
+
+def blocks(batches: Iterator[pa.RecordBatch], chars: int, rows: int = 65_000) -> Iterator[tuple[int, list, list[str]]]:
     """(block, identifiers, texts) of consecutive documents; null text is empty."""
-    first = TaskContext.get().partitionId() << 32
+    block = TaskContext.get().partitionId() << 32
     ids: list = []
     texts: list[str] = []
     size = 0
-    for pdf in batches:
-        for i, t in zip(pdf["doc_id"], pdf["text"]):
-            t = t or ""
-            if texts and (size + len(t) > chars or len(texts) >= rows):
-                yield first, ids, texts
-                first, ids, texts, size = first + 1, [], [], 0
-            ids.append(None if pd.isna(i) else int(i))
-            texts.append(t)
-            size += len(t)
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):             # few texts at a time leave the batch as Python strings
+            part = batch.slice(lo, 256)
+            for i, t in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+                t = t or ""
+                if texts and (size + len(t) > chars or len(texts) >= rows):
+                    yield block, ids, texts
+                    block, ids, texts, size = block + 1, [], [], 0
+                ids.append(i)
+                texts.append(t)
+                size += len(t)
     if texts:
-        yield first, ids, texts
+        yield block, ids, texts
+
+
+def map_blocks(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``run`` over the Arrow batches of (doc_id, text); it yields pandas frames of the given columns."""
+    fields = [f.split() for f in schema.split(", ")]
+    out = pa.schema([(name, _ARROW[kind]) for name, kind in fields])
+
+    def arrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in run(batches):
+            yield pa.RecordBatch.from_pandas(frame, schema=out, preserve_index=False)
+
+    return docs.mapInArrow(arrow, schema)

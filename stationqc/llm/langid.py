@@ -30,11 +30,11 @@ BUCKETS = 1 << 14
 DIM = 16
 ORDERS = (1, 2, 3, 4)
 #: Bounds of the training sample: documents of a language, and languages (the most frequent).
-PER_LANG = 400
+PER_LANG = 250
 MAX_LANGS = 64
-EPOCHS = 30
+STEPS = 800                  # updates, as many on a small sample
 BATCH = 32
-RATE = 0.5
+RATE = 0.05
 CALIBRATE = 5               # one document in five is kept back
 REJECT_SHARE = 0.002
 #: Characters handled at once; longer texts are counted piece by piece.
@@ -123,19 +123,27 @@ def train(sample: pd.DataFrame, reject_share: float = REJECT_SHARE, seed: int =
     emb = rng.normal(0, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, len(langs)), np.float32), np.zeros(len(langs), np.float32)
     learn = np.flatnonzero(~held)
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
-        for part in np.array_split(rng.permutation(learn), max(1, len(learn) // BATCH)):
+    # steps shrink with the gradients seen so far (per weight), so no step can run away
+    seen_emb, seen_out, seen_bias = np.full_like(emb, 1e-8), np.full_like(out, 1e-8), np.full_like(bias, 1e-8)
+    batches = max(1, len(learn) // BATCH)
+    for _ in range(-(-STEPS // batches)):
+        for part in np.array_split(rng.permutation(learn), batches):
             x = dense(part)
             cols = np.flatnonzero(x.any(axis=0))
             x = x[:, cols]
             mean = x @ emb[cols]
             err = _softmax(mean @ out + bias)
             err[np.arange(len(part)), y[part]] -= 1
-            grad = err @ out.T
-            out -= rate * DIM / len(part) * (mean.T @ err)
-            bias -= rate * err.mean(axis=0)
-            emb[cols] -= rate * DIM * (x.T @ grad)
+            err /= len(part)
+            g_emb, g_out, g_bias = x.T @ (err @ out.T), mean.T @ err, err.sum(axis=0)
+            seen_out += g_out ** 2
+            seen_bias += g_bias ** 2
+            seen_emb[cols] += g_emb ** 2
+            out -= RATE * g_out / np.sqrt(seen_out)
+            bias -= RATE * g_bias / np.sqrt(seen_bias)
+            emb[cols] -= RATE * g_emb / np.sqrt(seen_emb[cols])
+    if not (np.isfinite(emb).all() and np.isfinite(out).all()):
+        raise ArithmeticError("language model: training left the finite numbers")
     matrix = (emb @ out).astype(np.float64)
     probe = np.flatnonzero(held) if held.any() else learn
     z = np.concatenate([dense(part) @ matrix for part in np.array_split(probe, max(1, len(probe) // BATCH))]) + bias

@@ -40,10 +40,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationqc.llm.blocks import blocks
+from stationqc.llm.blocks import blocks, map_blocks
 from stationqc.llm.common import settle, stored
 
 N = 5
@@ -172,7 +173,7 @@ def _sets(h: np.ndarray, o: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarr
     return size, names[:, 0], names[:, 1]
 
 
-def _shingled(batches: Iterator[pd.DataFrame]):
+def _shingled(batches: Iterator[pa.RecordBatch]):
     for block, ids, texts in blocks(batches, BLOCK_CHARS):
         o, h = shingles(texts)
         yield block, ids, o, h
@@ -180,25 +181,25 @@ def _shingled(batches: Iterator[pd.DataFrame]):
 
 def document_sets(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, node, name): the set of every document; node is null for an empty set."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for _, ids, o, h in _shingled(batches):
             size, node, name = _sets(h, o, len(ids))
             yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "n_shingles": size,
                                 "node": pd.array(np.where(size > 0, node, 0), "Int64").copy(), "name": name})
-    rows = docs.mapInPandas(run, "doc_id long, n_shingles long, node long, name long")
+    rows = map_blocks(docs, run, "doc_id long, n_shingles long, node long, name long")
     return rows.withColumn("node", F.when(F.col("n_shingles") > 0, F.col("node")))
 
 
 def heavy_hitters(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Sorted hashes of very frequent shingles (at most HOT_MAX), and the number of all shingles."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for _, _, o, h in _shingled(batches):
             value, count = np.unique(h, return_counts=True)
             often = count >= HOT_IN_BLOCK
             yield pd.DataFrame({"h": pd.array(np.append(value[often].astype(np.int64), 0), "Int64"),
                                 "n": np.append(count[often], len(h)),
                                 "total": np.append(np.zeros(often.sum(), bool), True)})
-    found = settle(docs.mapInPandas(run, "h long, n long, total boolean")
+    found = settle(map_blocks(docs, run, "h long, n long, total boolean")
                    .groupBy("h", "total").agg(F.sum("n").alias("n")))
     top = found.filter(~F.col("total") & (F.col("n") >= HOT_LEAST)).orderBy(F.desc("n"), "h").limit(HOT_MAX).collect()
     total = found.filter("total").agg(F.sum("n")).first()[0] or 0
@@ -216,7 +217,7 @@ def _send(bits: int, hot: np.ndarray):
     """Packed shingles of a block, one row per fragment: hash rest (40 bits, two planes) and document."""
     shift = np.uint64(64 - bits - REST_BITS)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for block, _, o, h in _shingled(batches):
             cold = ~_is_hot(h, hot)
             name, doc = h[cold] >> shift, o[cold].astype(np.uint16)
@@ -259,7 +260,7 @@ def _block_sets(bits: int, hot: np.ndarray):
     """One row per block: its documents' sets, and their hot shingles."""
     shift = np.uint64(64 - bits - REST_BITS)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for block, ids, o, h in _shingled(batches):
             size, node, name = _sets(h, o, len(ids))
             m = _is_hot(h, hot)
@@ -312,10 +313,10 @@ def prefix_classes(docs: DataFrame) -> DataFrame:
     """One row per distinct set that shares a prefix shingle with another document."""
     hot, total = heavy_hitters(docs)
     bits = min(16, max(4, math.ceil(math.log2(max(total, 1) / FRAGMENT_SHINGLES + 1))))
-    sent = docs.mapInPandas(_send(bits, hot), "fragment int, block long, hi binary, lo binary, doc binary")
+    sent = map_blocks(docs, _send(bits, hot), "fragment int, block long, hi binary, lo binary, doc binary")
     answers = sent.groupBy("fragment").applyInPandas(_count_fragment, "block long, shingle binary, df binary, doc binary")
-    sets = docs.mapInPandas(_block_sets(bits, hot),
-                            "block long, size binary, node binary, name binary, hot binary, hot_doc binary")
+    sets = map_blocks(docs, _block_sets(bits, hot),
+                      "block long, size binary, node binary, name binary, hot binary, hot_doc binary")
     rows = sets.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_assemble, _SETS)
     classes = settle(rows.groupBy("node").agg(F.min("name").alias("name"), F.max("name").alias("other"),
                                               *[F.first(c).alias(c) for c in ("n", "shared", "prefix", "rare", "common")]))

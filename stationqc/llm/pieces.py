@@ -33,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationqc.llm.blocks import blocks
+from stationqc.llm.blocks import blocks, map_blocks
 from stationqc.llm.common import shuffle_partitions
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Characters of a block: what one task holds of texts.
-BLOCK_CHARS = 5_000_000
+BLOCK_CHARS = 4_000_000
 
 
 @lru_cache(maxsize=2)
@@ -110,7 +110,7 @@ def _words_of(texts: list[str]) -> set[str]:
 
 
 def _send_words(fragments: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for block, _, texts in blocks(batches, BLOCK_CHARS):
             rows = [(f, block, _pack(pa.table({"w": pa.array(words, pa.large_string())})))
                     for f, words in enumerate(_by_fragment(_words_of(texts), fragments)) if words]
@@ -134,7 +134,7 @@ def _answer(path: str):
     return run
 
 
-def _send_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _send_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
     for block, ids, texts in blocks(batches, BLOCK_CHARS):
         table = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.large_string())})
         yield pd.DataFrame({"block": [block], "texts": [_pack(table)]})
@@ -195,24 +195,29 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     if not chunks_are_independent(path):
         return rows.mapInPandas(_encode_whole(path), "doc_id long, ids array<int>")
     fragments = max(16, shuffle_partitions(docs.sparkSession))
-    words = rows.mapInPandas(_send_words(fragments), "fragment int, block long, words binary")
+    words = map_blocks(rows, _send_words(fragments), "fragment int, block long, words binary")
     answers = words.groupBy("fragment").applyInPandas(
         _answer(path), "block long, fragment int, check long, n binary, ids binary")
-    texts = rows.mapInPandas(_send_texts, "block long, texts binary")
+    texts = map_blocks(rows, _send_texts, "block long, texts binary")
     return (texts.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInPandas(_join_back(path, fragments), "doc_id long, ids array<int>"))
 
 
 def digest(encoded: DataFrame, path: str) -> DataFrame:
     """Decode every id list with the library and digest both sides."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(path)
-        sha = lambda data: hashlib.sha256(data).hexdigest()
-        for pdf in batches:
-            rows = []
-            for doc, ids in zip(pdf["doc_id"], pdf["ids"]):
-                text = sp.decode(np.asarray(ids).tolist())
-                rows.append((doc, len(ids), sha(np.asarray(ids, "<u4").tobytes()), sha(text.encode("utf-8"))))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
-    return encoded.mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        for batch in batches:
+            n, sha_ids, sha_text = [], [], []
+            for ids in batch.column("ids"):                  # one list at a time, no copy of the batch
+                ids = ids.values.to_numpy()
+                n.append(len(ids))
+                sha_ids.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+                sha_text.append(hashlib.sha256(sp.decode(ids.tolist()).encode("utf-8")).hexdigest())
+            columns = [batch.column("doc_id"), n, sha_ids, sha_text]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

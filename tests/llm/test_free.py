@@ -221,6 +221,20 @@ def test_language_id_held_out_accuracy(spark):
     assert np.allclose(again["matrix"], model["matrix"]) and again["langs"] == model["langs"]
 
 
+def test_training_stays_finite_on_balanced_samples():
+    import pandas as pd
+
+    rng = np.random.default_rng(0)
+    rows = []
+    for rank in range(1, 201):
+        for k, lang in enumerate(("aa", "bb", "cc")):
+            at = rng.choice(4000, 900, replace=False).astype(np.int32)
+            at[:60] = 5000 + 100 * k + np.arange(60)
+            rows.append((rank, lang, at, rng.integers(1, 30, 900).astype(np.float32)))
+    model = langid.train(pd.DataFrame(rows, columns=["rank", "lang", "at", "n"]))
+    assert np.isfinite(model["matrix"]).all() and 1 / 3 < model["threshold"] < 0.7
+
+
 def test_language_id_without_labels(spark):
     docs = frame(spark, [(1, "a b"), (2, "c")]).withColumn("lang", langid.F.lit(None).cast("string"))
     model = langid.fit(docs)

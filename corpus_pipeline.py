@@ -53,8 +53,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every remaining text, decoded and digested."""
-    path = public_tokenizers.path(PIECE_MODEL)
-    return pieces.digest(pieces.encode(docs, path), path)
+    return pieces.encode_digests(docs, public_tokenizers.path(PIECE_MODEL))
 
 
 STAGES = [("language_id", known_language), ("exact_dedup", distinct_texts), ("ngram_join", distinct_contents),

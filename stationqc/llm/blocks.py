@@ -7,6 +7,7 @@ each block and compare it where results of two passes meet.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,6 +18,26 @@ from pyspark.sql import DataFrame
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
 
 
+def release() -> None:
+    """Give freed memory back to the system: a reused worker must not hold the peak of its last task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):                        # another C library
+        pass
+
+
+def released(kernel: Callable) -> Callable:
+    """A grouped kernel that gives its memory back after each group."""
+    def run(*args):
+        out = kernel(*args)
+        release()
+        return out
+
+    # Spark reads the number of arguments
+    return (lambda a, b: run(a, b)) if kernel.__code__.co_argcount == 2 else (lambda a: run(a))
+
+
 def blocks(batches: Iterator[pa.RecordBatch], chars: int, rows: int = 65_000) -> Iterator[tuple[int, list, list[str]]]:
     """(block, identifiers, texts) of consecutive documents; null text is empty."""
     block = TaskContext.get().partitionId() << 32
@@ -46,5 +67,6 @@ def map_blocks(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterat
     def arrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in run(batches):
             yield pa.RecordBatch.from_pandas(frame, schema=out, preserve_index=False)
+        release()
 
     return docs.mapInArrow(arrow, schema)

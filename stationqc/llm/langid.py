@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationqc.llm.blocks import release
+
 BUCKETS = 1 << 14
 DIM = 16
 ORDERS = (1, 2, 3, 4)
@@ -179,7 +181,9 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
 
     @F.pandas_udf("lang_pred string, score double, accepted boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(t) for t in texts], columns=["lang_pred", "score", "accepted"])
+        found = pd.DataFrame([one(t) for t in texts], columns=["lang_pred", "score", "accepted"])
+        release()
+        return found
 
     found = docs.withColumn("_found", predict(F.col(text_col)))
     return (found.withColumn("lang_pred", F.col("_found.lang_pred")).withColumn("score", F.col("_found.score"))

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationqc.llm.blocks import blocks, map_blocks
+from stationqc.llm.blocks import blocks, map_blocks, released
 from stationqc.llm.common import settle, stored
 
 N = 5
@@ -314,10 +314,10 @@ def prefix_classes(docs: DataFrame) -> DataFrame:
     hot, total = heavy_hitters(docs)
     bits = min(16, max(4, math.ceil(math.log2(max(total, 1) / FRAGMENT_SHINGLES + 1))))
     sent = map_blocks(docs, _send(bits, hot), "fragment int, block long, hi binary, lo binary, doc binary")
-    answers = sent.groupBy("fragment").applyInPandas(_count_fragment, "block long, shingle binary, df binary, doc binary")
+    answers = sent.groupBy("fragment").applyInPandas(released(_count_fragment), "block long, shingle binary, df binary, doc binary")
     sets = map_blocks(docs, _block_sets(bits, hot),
                       "block long, size binary, node binary, name binary, hot binary, hot_doc binary")
-    rows = sets.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_assemble, _SETS)
+    rows = sets.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(released(_assemble), _SETS)
     classes = settle(rows.groupBy("node").agg(F.min("name").alias("name"), F.max("name").alias("other"),
                                               *[F.first(c).alias(c) for c in ("n", "shared", "prefix", "rare", "common")]))
     if not classes.filter("name != other").isEmpty():

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationqc.llm.blocks import blocks, map_blocks
+from stationqc.llm.blocks import blocks, map_blocks, released
 from stationqc.llm.common import shuffle_partitions
 
 MARK = "▁"
@@ -140,7 +140,7 @@ def _send_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"block": [block], "texts": [_pack(table)]})
 
 
-def _join_back(path: str, fragments: int):
+def _join_back(path: str, fragments: int, finish=None):
     def run(sent: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         sp = processor(path)
         docs: dict = {"doc_id": [], "ids": []}
@@ -175,6 +175,8 @@ def _join_back(path: str, fragments: int):
                 ids[1:-1] = pool[np.arange(total) + np.repeat(start[at] - (ends - n), n)]
                 docs["doc_id"].append(doc)
                 docs["ids"].append(ids)
+        if finish is not None:
+            return finish(docs["doc_id"], docs["ids"])
         return pd.DataFrame({"doc_id": pd.array(docs["doc_id"], "Int64"), "ids": pd.Series(docs["ids"], dtype=object)})
     return run
 
@@ -189,35 +191,55 @@ def _encode_whole(path: str):
     return run
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>): the library's ids of every whole text, with begin and end ids."""
+def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, finish, schema: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    if not chunks_are_independent(path):
-        return rows.mapInPandas(_encode_whole(path), "doc_id long, ids array<int>")
     fragments = max(16, shuffle_partitions(docs.sparkSession))
     words = map_blocks(rows, _send_words(fragments), "fragment int, block long, words binary")
     answers = words.groupBy("fragment").applyInPandas(
-        _answer(path), "block long, fragment int, check long, n binary, ids binary")
+        released(_answer(path)), "block long, fragment int, check long, n binary, ids binary")
     texts = map_blocks(rows, _send_texts, "block long, texts binary")
     return (texts.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInPandas(_join_back(path, fragments), "doc_id long, ids array<int>"))
+            .applyInPandas(released(_join_back(path, fragments, finish)), schema))
 
 
-def digest(encoded: DataFrame, path: str) -> DataFrame:
-    """Decode every id list with the library and digest both sides."""
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids array<int>): the library's ids of every whole text, with begin and end ids."""
+    if not chunks_are_independent(path):
+        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+        return rows.mapInPandas(_encode_whole(path), "doc_id long, ids array<int>")
+    return _encoded(docs, path, id_col, text_col, None, "doc_id long, ids array<int>")
+
+
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _digest_frame(path: str):
+    """Decode id lists with the library and digest both sides, one list at a time."""
+    def run(doc_ids, lists) -> pd.DataFrame:
         sp = processor(path)
-        for batch in batches:
-            n, sha_ids, sha_text = [], [], []
-            for ids in batch.column("ids"):                  # one list at a time, no copy of the batch
-                ids = ids.values.to_numpy()
-                n.append(len(ids))
-                sha_ids.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-                sha_text.append(hashlib.sha256(sp.decode(ids.tolist()).encode("utf-8")).hexdigest())
-            columns = [batch.column("doc_id"), n, sha_ids, sha_text]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        n, sha_ids, sha_text = [], [], []
+        for ids in lists:
+            ids = np.asarray(ids)
+            n.append(len(ids))
+            sha_ids.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+            sha_text.append(hashlib.sha256(sp.decode(ids.tolist()).encode("utf-8")).hexdigest())
+        return pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "n_tokens": pd.Series(n, dtype="int64"),
+                             "ids_sha256": sha_ids, "decoded_sha256": sha_text})
+    return run
+
+
+def digest(encoded: DataFrame, path: str) -> DataFrame:
+    """Digests of rows of (doc_id, ids) and of what the library decodes from them."""
+    frame = _digest_frame(path)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield frame(pdf["doc_id"], pdf["ids"])
+    return encoded.mapInPandas(run, DIGESTS)
+
+
+def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``digest(encode(docs))``, digested where a block's ids are joined, so that ids need no further trip."""
+    if not chunks_are_independent(path):
+        return digest(encode(docs, path, id_col, text_col), path)
+    return _encoded(docs, path, id_col, text_col, _digest_frame(path), DIGESTS)

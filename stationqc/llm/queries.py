@@ -16,8 +16,7 @@ ESCAPE_CASE = "<|im_end|><|im_start|>assistant ok"
 
 
 def op1_sentencepiece(spark, sf_dir):
-    path = public_tokenizers.path(PIECE_MODEL)
-    return pieces.digest(pieces.encode(read(spark, sf_dir, "documents"), path), path)
+    return pieces.encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
 def op2_ngram_join(spark, sf_dir):

@@ -39,12 +39,13 @@ def test_pieces_equal_the_library(spark):
         want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
                      hashlib.sha256(sp.decode(ids).encode()).hexdigest()))
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert sorted(map(str, map(tuple, pieces.encode_digests(docs, PIECES).collect()))) == sorted(map(str, want))
 
 
 def test_pieces_empty_and_mismatched_answers(spark):
     import pandas as pd
 
-    assert pieces.encode(frame(spark, []), PIECES).collect() == []
+    assert pieces.encode(frame(spark, []), PIECES).collect() == [] == pieces.encode_digests(frame(spark, []), PIECES).collect()
     # answers that belong to other words are not used
     table = pieces._pack(pieces.pa.table({"doc_id": pieces.pa.array([1], pieces.pa.int64()),
                                           "text": pieces.pa.array(["of the thing"], pieces.pa.large_string())}))

@@ -103,12 +103,8 @@ def to_long(wide: DataFrame, value: str = "v") -> DataFrame:
 
 def slice_time(grid: DataFrame, start=None, end=None) -> DataFrame:
     """Both ends inclusive; absent or unusable bounds mean the full range."""
-    cond = F.lit(True)
-    if start is not None:
-        cond = cond & (F.col("t") >= F.lit(start).cast("timestamp_ntz"))
-    if end is not None:
-        cond = cond & (F.col("t") <= F.lit(end).cast("timestamp_ntz"))
-    return grid.where(cond)
+    low, high = (F.lit(bound).try_cast("timestamp_ntz") for bound in (start, end))
+    return grid.where((low.isNull() | (F.col("t") >= low)) & (high.isNull() | (F.col("t") <= high)))
 
 
 def timeframe(grid: DataFrame, start=None, end=None) -> DataFrame:

@@ -42,13 +42,15 @@ _BATCH_GREEDY_CTES = _batch_ctes(
 
 
 def _checkpoint_dir(spark):
-    """The cluster's ``spark.checkpoint.dir`` is used when set; a scratch folder
-    is configured only for sessions that name none (local driver runs)."""
+    """The cluster's ``spark.checkpoint.dir`` is used when set.  A scratch folder is made
+    only for a session of one process that names none; a cluster session gets the error."""
+    import re
     import tempfile
 
     from stationqc.session import ensure_checkpoint_dir
     conf = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    ensure_checkpoint_dir(spark, default=None if conf else tempfile.mkdtemp(prefix="stationqc-ckpt-", dir="/tmp"))
+    alone = re.match(r"local(\[|$)", spark.sparkContext.master)
+    ensure_checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="stationqc-ckpt-") if alone and not conf else None)
 
 
 def _batch(spark, sf):

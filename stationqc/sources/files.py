@@ -7,6 +7,9 @@ pushdown reach the scan.
 
 from __future__ import annotations
 
+import posixpath
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationqc.schemas import OBS_FILE, OBS_FILE_COLUMNS, STATION_LIST, STATION_LIST_COLUMNS
@@ -49,16 +52,25 @@ def layered_write(df: DataFrame, base: str, layer: str, partition_by=("station_i
     return path
 
 
-def layer_inventory(spark: SparkSession, base: str) -> DataFrame:
-    """Files and size in MB per layer.  Only ``path`` and ``length`` are
-    selected, so file contents are never read."""
+def file_inventory(spark: SparkSession, base: str) -> DataFrame:
+    """Layer, name below the base, and bytes of every stored file.  The layer is
+    the first path part below the base (empty if that is none of the layers).  Only
+    ``path`` and ``length`` are selected, so file contents are never read."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
              .select("path", "length"))
-    layer = F.regexp_extract("path", r"/(raw|processed|qc)/", 1)
+    below = posixpath.normpath(re.sub(r"^[a-z0-9+.-]+:(//[^/]*)?", "", base)) + "/"
+    name = F.substring_index("path", below, -1)
+    layer = F.substring_index(name, "/", 1)
     return (files.where(~F.col("path").rlike(r"/(_SUCCESS|\.[^/]*)$"))
-            .groupBy(layer.alias("layer"))
+            .select(F.when(layer.isin("raw", "processed", "qc"), layer).otherwise("").alias("layer"),
+                    name.alias("name"), F.col("length").alias("n_bytes")))
+
+
+def layer_inventory(spark: SparkSession, base: str) -> DataFrame:
+    """Files and size in MB per layer."""
+    return (file_inventory(spark, base).groupBy("layer")
             .agg(F.count(F.lit(1)).cast("long").alias("n_files"),
-                 F.round(F.sum("length") / F.lit(1024.0 * 1024.0), 1).alias("size_mb")))
+                 F.round(F.sum("n_bytes") / F.lit(1024.0 * 1024.0), 1).alias("size_mb")))
 
 
 # Variable attributes of the QC output.

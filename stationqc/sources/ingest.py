@@ -71,18 +71,20 @@ def fetch_plan(starts: DataFrame, now, chunk_hours: int = CHUNK_HOURS) -> DataFr
 
 
 def merge_keep_last(existing: DataFrame, new: DataFrame, keys=("station_id", "ts"), order: str = "_batch",
-                    columns: list[str] | None = None) -> DataFrame:
-    """Append; one row per key, the latest delivery wins; fixed column order.
+                    columns: list[str] | None = None, arrival: tuple[str, ...] = ()) -> DataFrame:
+    """Append; one row per key, the last appended wins; fixed column order.
 
     ``order`` ranks deliveries (the newer batch has the higher value); it is
-    added as 0 / 1 when absent.  ``max_by`` over a struct keeps the winning row
-    with a hash aggregate (partial aggregation map-side, no sort).
+    added as 0 / 1 when absent.  ``arrival`` names the columns that order the rows
+    within a delivery (source file, position in file); rows that still tie are ordered
+    by their values, so the result never depends on partitioning.  ``max_by`` over a
+    struct keeps the winning row with an aggregate that is partial before the shuffle.
     """
     a = existing if order in existing.columns else existing.withColumn(order, F.lit(0))
     b = new if order in new.columns else new.withColumn(order, F.lit(1))
     u = a.unionByName(b, allowMissingColumns=True)
-    vals = [c for c in u.columns if c not in keys and c != order]
-    w = u.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col(order)).alias("_r"))
+    vals = [c for c in u.columns if c not in keys and c != order and c not in arrival]
+    w = u.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.struct(order, *arrival, *vals)).alias("_r"))
     out = w.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in vals])
     return out.select(*(columns or out.columns))
 

@@ -160,3 +160,28 @@ def test_streaming_seasonal_flag(spark, tmpdir_path):
     q.awaitTermination(120)
     got = {r.temperature: r.seasonal_good for r in S.read_ingested(spark, table, with_flag=True).collect()}
     assert got == {25.0: False, 5.0: True}
+
+
+def test_merge_keep_last_repeats_inside_one_delivery(spark):
+    t = dt.datetime(2024, 1, 1)
+    old = spark.createDataFrame([("s", t, 1.0, "f0", 0)], "station_id string, ts timestamp_ntz, temperature double, file string, pos int")
+    new = spark.createDataFrame([("s", t, float(v), "f1", p) for p, v in enumerate((9, 2, 7, 5))], old.schema)
+    for n in (1, 3, 17):
+        got = I.merge_keep_last(old, new.repartition(n), arrival=("file", "pos"), columns=["station_id", "ts", "temperature"])
+        assert [r.temperature for r in got.collect()] == [5.0]                # the last appended
+        tied = I.merge_keep_last(old.drop("file", "pos"), new.drop("file", "pos").repartition(n))
+        assert [r.temperature for r in tied.collect()] == [9.0]               # no arrival order: by value
+
+
+def test_inventory_below_a_base_named_like_a_layer(spark, tmpdir_path):
+    base = f"{tmpdir_path}/raw/net"
+    Fi.layered_write(spark.range(3).withColumn("station_id", F.lit("a")), base, "qc", partition_by=("station_id",))
+    assert {r.layer for r in Fi.layer_inventory(spark, base).collect()} == {"qc"}
+    files = Fi.file_inventory(spark, base + "/").collect()
+    assert files and all(r.layer == "qc" and r.name.startswith("qc/") and r.n_bytes > 0 for r in files)
+
+
+def test_slice_time_with_an_unusable_bound(spark):
+    from stationqc.operators.grid import slice_time
+    g = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS t UNION ALL SELECT timestamp_ntz'2024-01-02 00:00:00'")
+    assert slice_time(g, "garbage", None).count() == 2 and slice_time(g, "2024-01-02", "nonsense").count() == 1

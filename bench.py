@@ -49,7 +49,7 @@ def main():
     # workflow); the operators are timed on the stored grids.
     store = ensure_checkpoint_dir(spark).rstrip("/") + f"/bench-grids-{os.getpid()}"
     t0 = time.perf_counter()
-    cells = G.hourly_cells(X.events_obs(spark, sf_dir, k))
+    cells = G.hourly_cells(X.events_obs(spark, sf_dir))
     write_grid(G.dense_grid(cells), f"{store}/grid_e")
     X.station_dim(cells).write.mode("overwrite").parquet(f"{store}/stations_e")
     write_grid(X.fill_rule(read_grid(spark, f"{store}/grid_e")), f"{store}/grid_f")

@@ -2,8 +2,8 @@
 
 Plan: the neighbour statistics of a cell need only the *neighbours'* values,
 so the filled cells are joined to the static pair list (C2 + C4) by the
-neighbour id ``j`` -- a broadcast hash join when the pair list is within a
-checked size -- and reduced by a partial hash aggregate on ``(t, i)`` in the
+neighbour id ``j`` -- a broadcast hash join where AQE measures the pair list small
+at run time -- and reduced by a partial hash aggregate on ``(t, i)`` in the
 same stage.  The cells x neighbours expansion therefore never crosses a
 shuffle; only partial aggregates do.  A station with many neighbours, or a hot
 time, is pre-reduced map-side.  The own value joins back once, on ``(t, sid)``.
@@ -22,29 +22,17 @@ def buddy_pairs(stations: DataFrame, prm: BuddyParams, zone: int = 33) -> DataFr
     return elev_max(radius_pairs_metric(stations, prm.radius, zone), prm.max_elev_diff)
 
 
-PAIRS_BROADCAST_MAX = 5_000_000
-
-
-def sized_pairs(pairs: DataFrame, max_rows: int = PAIRS_BROADCAST_MAX) -> DataFrame:
-    """Broadcast the pair list only when its row count is within ``max_rows``;
-    beyond it the join is a shuffle join on the neighbour id."""
-    # the pair list is time-invariant and dimension-sized: cache it so the size
-    # check and the join share one computation (recomputed from lineage if lost)
-    p = pairs.select("i", "j", "da").cache()
-    return F.broadcast(p) if p.count() <= max_rows else p
-
-
-def buddy_stats(cells: DataFrame, pairs: DataFrame, prm: BuddyParams, sized: bool = True,
+def buddy_stats(cells: DataFrame, pairs: DataFrame, prm: BuddyParams,
                 partitioned: bool = False) -> DataFrame:
     """Per (t, i): neighbour count and mean / population std of the adjusted values.
 
-    The cells are hash-partitioned by time (here, unless ``partitioned``): the
+    The cells are hash-partitioned by time (here, unless ``partitioned``): a
     broadcast join keeps that partitioning, so the (t, i) aggregate needs no
-    further exchange."""
+    further exchange; after a shuffle join it exchanges partial aggregates."""
     b = cells.select("t", F.col("sid").alias("j"), F.col("v").alias("v_j"))
     if not partitioned:
         b = spread(b, "t")
-    nb = b.join(sized_pairs(pairs) if sized else pairs.select("i", "j", "da"), "j")
+    nb = b.join(pairs.select("i", "j", "da"), "j")
     adj = F.col("v_j")
     if prm.elev_gradient != 0:
         adj = adj + F.lit(float(prm.elev_gradient)) * F.col("da")   # D5, sign as in the original

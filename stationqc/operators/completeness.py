@@ -1,10 +1,8 @@
 """Completeness rules D2, D3, D10-D13.
 
-The daily and monthly rules run as windows over the dense grid after one
-shuffle by station: ``(sid, day)`` and ``(sid, month)`` partitions are
-satisfied by the hash partitioning on ``sid``, so the three windows share the
-exchange and only re-sort.  Every station carries every axis time in the dense
-grid, so axis-wide quantities (span guard, month extent) are windows too.
+The daily and monthly rules are hash aggregates: cells to station-days (map-side
+first), station-days to station-months, and a month table of the axis (twelve rows
+a year).  The cells get both verdicts back by one join on the station-day.
 """
 
 from __future__ import annotations
@@ -12,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stationqc.functions.columns import days_in_month, epoch_seconds, month_key
-from stationqc.session import spread
 
 EXPECTED_PER_DAY = 24  # fixed: hourly data assumed by the daily rule
 
@@ -33,38 +30,50 @@ def station_completeness(grid: DataFrame, flag: str, p: float, kept_times: DataF
     return agg.withColumn("keep_s", F.coalesce(F.col("share") >= F.lit(float(p)), F.lit(False)))
 
 
-def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "complete",
-                          partitioned: bool = False) -> DataFrame:
+def station_days(grid: DataFrame, flag: str, p: float) -> DataFrame:
+    """D10 and D11 as aggregates: one row ``(sid, day, mk, day_bad, month_bad)`` per
+    station-day of the dense grid.
+
+    The grid is reduced to station-days once (map-side first); station-months come
+    from those days, and the month extents and the span of the axis from the days of
+    all stations (every station carries every axis time): twelve rows a year.
+    """
+    p = float(p)
+    sec = epoch_seconds("t")
+    days = (grid.groupBy("sid", F.to_date("t").alias("day"))
+            .agg(F.count_if(F.col(flag)).alias("n_good"), F.min(sec).alias("lo"), F.max(sec).alias("hi"))
+            .withColumn("mk", month_key("day")))
+    axis_days = days.groupBy("day", "mk").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    months = axis_days.groupBy("mk").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                         F.first(days_in_month("day")).cast("long").alias("dim"))
+    whole = Window.partitionBy()   # over the month table only
+    months = months.select("mk", (F.floor((F.max("hi").over(whole) - F.min("lo").over(whole)) / 86400) >= 30)
+                           .alias("guard"),
+                           F.least("dim", F.floor((F.col("hi") - F.col("lo")) / 86400) + 1).alias("expected"))
+    valid = days.groupBy("sid", "mk").agg(F.count_if(F.col("n_good") > 0).alias("valid_days"))
+    month_bad = F.col("guard") & (F.col("valid_days") / F.col("expected") < F.lit(p))
+    by_month = valid.join(F.broadcast(months), "mk").select("sid", "mk", month_bad.alias("month_bad"))
+    day_bad = F.col("n_good") / F.lit(float(EXPECTED_PER_DAY)) < F.lit(p)
+    return (days.select("sid", "day", "mk", day_bad.alias("day_bad")).join(by_month, ["sid", "mk"])
+            .select("sid", "day", "mk", "day_bad", "month_bad"))
+
+
+def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "complete") -> DataFrame:
     """D12 on a dense grid with a non-null boolean ``flag`` column.
 
-    Adds ``day_bad`` (D10), ``month_bad`` (D11) and ``out`` = flag and not
-    day_bad and not month_bad.  Both rules read the *input* flags.
+    Adds ``day``, ``mk``, ``day_bad`` (D10), ``month_bad`` (D11) and ``out`` = flag and
+    not day_bad and not month_bad.  Both rules read the *input* flags.
     * D10: per station-day, good flags / 24 < p -> the station-day is bad.
     * D11 (only if the whole axis spans >= 30 full days): per station-month,
       days with any good flag / expected < p -> bad; expected = min(days in
       month, whole days between the month's first and last axis time + 1).
-    ``partitioned``: the input is already hash-partitioned by station (skip the shuffle).
+    ``grid`` is read twice (station-days, then the cells): give a stored table or a
+    checkpoint where it is costly to derive.
     """
-    p = float(p)
-    g = grid.withColumn("day", F.to_date("t")).withColumn("mk", month_key("t")) \
-        .withColumn("fi", F.col(flag).cast("int"))
-    if not partitioned:
-        g = spread(g, "sid")
-    w_day = Window.partitionBy("sid", "day")
-    w_month = Window.partitionBy("sid", "mk")
-    w_all = Window.partitionBy("sid")
-    sec = epoch_seconds("t")
-    g = (g.withColumn("n_good_day", F.sum("fi").over(w_day))
-         .withColumn("valid_days", F.size(F.collect_set(F.when(F.col("fi") == 1, F.col("day"))).over(w_month)))
-         .withColumn("m_lo", F.min(sec).over(w_month)).withColumn("m_hi", F.max(sec).over(w_month))
-         .withColumn("a_lo", F.min(sec).over(w_all)).withColumn("a_hi", F.max(sec).over(w_all)))
-    guard = F.floor((F.col("a_hi") - F.col("a_lo")) / 86400) >= 30
-    expected = F.least(days_in_month("t").cast("long"), F.floor((F.col("m_hi") - F.col("m_lo")) / 86400) + 1)
-    day_bad = F.col("n_good_day") / F.lit(float(EXPECTED_PER_DAY)) < F.lit(p)
-    month_bad = guard & (F.col("valid_days") / expected < F.lit(p))
-    g = g.withColumn("day_bad", day_bad).withColumn("month_bad", month_bad)
-    g = g.withColumn(out, F.col(flag) & ~F.col("day_bad") & ~F.col("month_bad"))
-    return g.drop("fi", "n_good_day", "valid_days", "m_lo", "m_hi", "a_lo", "a_hi")
+    per_day = station_days(grid, flag, p)
+    g = grid.withColumn("day", F.to_date("t")).join(per_day, ["sid", "day"])
+    return (g.withColumn(out, F.col(flag) & ~F.col("day_bad") & ~F.col("month_bad"))
+            .select(*[F.col(c) for c in grid.columns if c != out], "day", "mk", "day_bad", "month_bad", out))
 
 
 def completeness_stats(flagged: DataFrame, out: str | None = None) -> DataFrame:

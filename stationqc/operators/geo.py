@@ -66,9 +66,9 @@ def elev_band(pairs: DataFrame, lo: float, hi: float) -> DataFrame:
 
 
 def nearest_k(pairs: DataFrame, k: int) -> DataFrame:
-    """The k nearest neighbours per station (ties by neighbour id)."""
+    """The k nearest neighbours per station (ties by neighbour id), with their ``rank``."""
     w = Window.partitionBy("i").orderBy("dist", "j")
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
+    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def neighbour_values(cells: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -107,6 +107,20 @@ def slice_time(grid: DataFrame, start=None, end=None) -> DataFrame:
     return grid.where((low.isNull() | (F.col("t") >= low)) & (high.isNull() | (F.col("t") <= high)))
 
 
+def dense_slice(cells: DataFrame, start=None, end=None) -> DataFrame:
+    """B6 before B3: the slice of the dense grid, without building the rest of it.
+
+    Every axis time holds a cell, so the sliced cells give the sliced axis.  Every
+    station of the whole table stays: one missing cell at the slice's first time.
+    """
+    part = slice_time(cells, start, end).select("t", "sid", "v")
+    first = part.agg(F.min("t")).scalar()
+    empty = (cells.select("sid").distinct().select(first.alias("t"), "sid", F.lit(None).cast("double").alias("v"))
+             .where(F.col("t").isNotNull()))
+    filled = part.unionByName(empty)
+    return dense_grid(filled.groupBy("t", "sid").agg(F.max("v").alias("v")), time_axis(part))
+
+
 def timeframe(grid: DataFrame, start=None, end=None) -> DataFrame:
     """Label of a selection (``yyyyMMdd_yyyyMMdd``) or of the full range (with hours)."""
     if start is not None and end is not None:

@@ -12,24 +12,24 @@ Two plans:
   the lowest station id is tested at each time and its neighbour set is the
   same for every time.  This is one static neighbour list (a distributed
   top-k), one join and one hash aggregate by time -- plain SQL.
-* **General scan** otherwise: the static neighbour lists (sorted by distance,
-  id) are joined to the cells, the cells are grouped by time and each time's
-  scan runs in ``applyInPandas``.  A time's group holds one row per station;
-  the scan is sequential by definition and linear in stations x neighbours.
+* **General scan** otherwise: the network is split into the connected components
+  of its static neighbour graph, and blocks of times of one component are scanned
+  by a numpy kernel in a cogroup with the component's pair list.  The scan is
+  sequential over a component's stations by definition; the times of a block go
+  through each of its steps together.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from stationqc.operators.geo import project
+from stationqc.functions.columns import epoch_seconds
+from stationqc.operators.geo import _pairs, project
 from stationqc.operators.temporal import temporal_step
 from stationqc.params import SctParams
-from stationqc.session import spread
+from stationqc.session import cut_lineage
 
 
 def _coords(stations: DataFrame, prm: SctParams) -> DataFrame:
@@ -39,14 +39,18 @@ def _coords(stations: DataFrame, prm: SctParams) -> DataFrame:
     return stations.select("sid", F.col("lon").alias("cx"), F.col("lat").alias("cy"), "alt")
 
 
-def network_summary(stations: DataFrame, prm: SctParams):
+def network_summary(stations: DataFrame, prm: SctParams, to_check: str | None = None):
     """One small aggregate over the station dimension: station count, bounding-box
-    diagonal, and id / coordinates / altitude of the first station (lowest id)."""
+    diagonal, and id / coordinates / altitude of the first checked station (lowest id)."""
     c = _coords(stations, prm)
+    first = F.col("sid")
+    if to_check:
+        c = c.join(stations.select("sid", F.coalesce(F.col(to_check), F.lit(False)).alias("_chk")), "sid")
+        first = F.when(F.col("_chk"), F.col("sid"))
     return c.agg(F.count(F.lit(1)).alias("n"),
                  F.sqrt((F.max("cx") - F.min("cx")) ** 2 + (F.max("cy") - F.min("cy")) ** 2).alias("diag"),
-                 F.min("sid").alias("i0"), F.min_by("cx", "sid").alias("x0"), F.min_by("cy", "sid").alias("y0"),
-                 F.min_by("alt", "sid").alias("a0")).first()
+                 F.min(first).alias("i0"), F.min_by("cx", first).alias("x0"), F.min_by("cy", first).alias("y0"),
+                 F.min_by("alt", first).alias("a0")).first()
 
 
 def covers_all(stations: DataFrame, prm: SctParams, summary=None) -> bool:
@@ -73,10 +77,10 @@ def _first_station_neighbours(stations: DataFrame, prm: SctParams, band: bool, s
 
 
 def sct_closed_form(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool = False,
-                    v: str = "v", summary=None) -> DataFrame:
+                    v: str = "v", summary=None, to_check: str | None = None) -> DataFrame:
     """D7 (``stct=False``) or D8 closed form. Adds ``sct_flag`` (and ``temporal_flag`` for D8)."""
-    summary = summary or network_summary(stations, prm)
-    if summary["n"] == 0:
+    summary = summary or network_summary(stations, prm, to_check)
+    if summary["i0"] is None:   # no station, or none to check
         return grid.withColumn("sct_flag", F.lit(False)) if not stct else \
             temporal_step(grid, prm.temporal_threshold, v=v, out="temporal_flag").drop("v_prev", "v_next") \
             .withColumn("sct_flag", F.lit(False))
@@ -109,158 +113,167 @@ def sct_closed_form(grid: DataFrame, stations: DataFrame, prm: SctParams, stct:
 
 
 # ------------------------------------------------------------------ general scan
-LIST_BROADCAST_MAX = 2_000_000
+GROUP_CELLS = 400_000   # cells of one scan group: as many whole times of a component as fit, at least one
 
 
-def neighbour_lists(stations: DataFrame, prm: SctParams) -> DataFrame:
-    """Per station: outer neighbours sorted by (distance, id) with distance and
-    altitude difference, and the ids within the inner radius."""
-    from stationqc.operators.geo import _pairs
+def _links(stations: DataFrame, prm: SctParams) -> DataFrame:
+    """Ordered pairs ``(i, j, dist, da)``, a station itself included, within max(inner, outer)."""
+    return _pairs(_coords(stations, prm), "cx", "cy", max(prm.inner_radius, prm.outer_radius), keep_self=True)
 
-    c = _coords(stations, prm)
-    r = max(prm.inner_radius, prm.outer_radius)
-    pairs = _pairs(c.select("sid", "cx", "cy", "alt"), "cx", "cy", r, keep_self=True)
-    agg = pairs.groupBy(F.col("i").alias("sid")).agg(
-        F.array_sort(F.collect_list(F.when((F.col("i") != F.col("j")) & (F.col("dist") <= prm.outer_radius),
-                                           F.struct("dist", "j", "da")))).alias("nb"),
-        F.collect_list(F.when(F.col("dist") <= prm.inner_radius, F.col("j"))).alias("inner_j"))
-    return agg.select("sid", F.transform("nb", lambda x: x["j"]).alias("nb_j"),
-                      F.transform("nb", lambda x: x["dist"]).alias("nb_d"),
-                      F.transform("nb", lambda x: x["da"]).alias("nb_da"), "inner_j")
-
-
-def scan_components(stations: DataFrame, prm: SctParams, max_rounds: int = 10_000) -> DataFrame:
+
+def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """One star step on undirected edges ``(a, b)``: every station's neighbours are
+    re-linked to the smallest id it sees -- the larger ones (large) or the smaller
+    ones and itself (small)."""
+    if large:
+        seen = edges.union(edges.select("b", "a"))
+    else:
+        seen = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    low = seen.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
+    near = seen.join(low, "a")
+    if large:
+        out = near.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
+    else:
+        out = (near.select(F.col("b").alias("a"), F.col("low").alias("b"))
+               .union(low.select("a", F.col("low").alias("b"))))
+    return out.where(F.col("a") != F.col("b")).distinct()
+
+
+def scan_components(stations: DataFrame, prm: SctParams, links: DataFrame | None = None) -> DataFrame:
     """``(sid, comp)``: connected components of the static graph joining stations
-    within max(inner, outer) of each other.
+    within max(inner, outer) of each other; ``comp`` is the smallest id.
 
     The scan only passes state between such neighbours (flags through the outer
     radius, processed marks through the inner one), so each component is scanned
     on its own, in station-id order, with results identical to the scan of the
-    whole network.  Min-label propagation over the station dimension; every
-    round is a small join and aggregate, and the labels are written to the
-    checkpoint folder each round.
+    whole network.  Alternating large-star / small-star steps over the pair list
+    (a logarithmic number of rounds), each written to the checkpoint folder; the
+    loop runs until the edges no longer change, so this part is not lazy.
     """
-    from stationqc.operators.geo import _pairs
-    from stationqc.session import cut_lineage
-
-    c = _coords(stations, prm)
-    edges = _pairs(c.select("sid", "cx", "cy", "alt"), "cx", "cy", max(prm.inner_radius, prm.outer_radius)) \
-        .select("i", "j")
-    edges = cut_lineage(edges)
-    labels = cut_lineage(c.select("sid", F.col("sid").alias("comp")))
-    for _ in range(max_rounds):
-        prop = (edges.join(labels.select(F.col("sid").alias("j"), F.col("comp").alias("lj")), "j")
-                .groupBy("i").agg(F.min("lj").alias("lmin")))
-        new = (labels.join(prop, labels["sid"] == prop["i"], "left")
-               .select("sid", F.col("comp").alias("old"),
-                       F.least(F.col("comp"), F.coalesce(F.col("lmin"), F.col("comp"))).alias("comp")))
-        new = cut_lineage(new)
-        changed = new.where(F.col("comp") != F.col("old")).count()
-        labels = new.select("sid", "comp")
-        if changed == 0:
-            return labels
-    raise RuntimeError("component labelling did not converge")
-
-
-def greedy_scan(sids, v, tflag, nb_j, nb_d, nb_da, inner_j, prm: SctParams, stct: bool):
-    """The order-dependent scan of one time step (numpy)."""
-    n = len(sids)
-    order = np.argsort(sids, kind="stable")
-    pos = {int(sids[k]): k for k in range(n)}
-    flags = np.zeros(n, dtype=bool)
-    processed = np.zeros(n, dtype=bool)
-    for k in order:
-        if processed[k]:
-            continue
-        idx = np.array([pos[int(j)] for j in nb_j[k] if int(j) in pos], dtype=np.int64)
-        d = np.array([dd for j, dd in zip(nb_j[k], nb_d[k]) if int(j) in pos], dtype=float)
-        da = np.array([a if a is not None else np.nan for j, a in zip(nb_j[k], nb_da[k]) if int(j) in pos],
-                      dtype=float)
-        keep = ~flags[idx] if len(idx) else np.zeros(0, dtype=bool)
-        idx, d, da = idx[keep], d[keep], da[keep]
-        if len(idx) < prm.num_min:
-            processed[k] = True
+    links = _links(stations, prm) if links is None else links
+    edges = cut_lineage(links.where(F.col("i") < F.col("j")).select(F.col("i").alias("a"), F.col("j").alias("b")))
+    mark = [F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
+    before = None
+    while True:
+        state = edges.agg(*mark).first()
+        if state == before or state[0] == 0:
+            break
+        before = state
+        edges = cut_lineage(_star(_star(edges, True), False))
+    low = edges.select(F.col("a").alias("sid"), F.col("b").alias("comp"))
+    return stations.select("sid").join(low, "sid", "left").select("sid", F.coalesce("comp", "sid").alias("comp"))
+
+
+def neighbour_arrays(links: pd.DataFrame, n: int, prm: SctParams):
+    """Flat arrays of one component's pair list: the outer neighbours of position k are
+    ``pos[start[k]:start[k + 1]]`` by (distance, id), likewise the inner ones."""
+    i, j, d = links["pi"].to_numpy(), links["pj"].to_numpy(), links["dist"].to_numpy(dtype=float)
+    da = links["da"].to_numpy(dtype=float, na_value=np.nan)
+    by_near = np.lexsort((j, d, i))
+    i, j, d, da = i[by_near], j[by_near], d[by_near], da[by_near]
+    outer, inner = (i != j) & (d <= prm.outer_radius), d <= prm.inner_radius
+    o_start = np.searchsorted(i[outer], np.arange(n + 1))
+    n_start = np.searchsorted(i[inner], np.arange(n + 1))
+    return o_start, j[outer], d[outer], da[outer], n_start, j[inner]
+
+
+def greedy_scan(v, present, tflag, arrays, checked, prm: SctParams, stct: bool):
+    """The order-dependent scan of several times at once: ``v``, ``present`` and
+    ``tflag`` are (times x positions); the times do not influence each other, so
+    every step handles one station at all times where it is still unprocessed."""
+    o_start, o_pos, o_d, o_da, n_start, n_pos = arrays
+    flags = np.zeros(v.shape, dtype=bool)
+    processed = ~present
+    for k in np.flatnonzero(checked):
+        at = np.flatnonzero(~processed[:, k])
+        part = slice(o_start[k], o_start[k + 1])
+        nb, d, da = o_pos[part], o_d[part], o_da[part]
+        use = present[np.ix_(at, nb)] & ~flags[np.ix_(at, nb)]
+        enough = use.sum(axis=1) >= prm.num_min
+        at, use = at[enough], use[enough]
+        if not len(at):
             continue
         if stct:
             with np.errstate(invalid="ignore"):
-                band = (np.abs(da) >= prm.min_elev_diff) & (np.abs(da) <= prm.max_elev_diff)
-            idx, d, da = idx[band], d[band], da[band]
-        if len(idx) > prm.num_max:
-            idx, d, da = idx[:prm.num_max], d[:prm.num_max], da[:prm.num_max]
-        vals = v[idx]
-        spatial = False
-        if len(idx) > 0:
-            with np.errstate(invalid="ignore", divide="ignore"):
-                if stct:
-                    w = 1.0 / (d + prm.eps)
-                    bg = float(np.sum(w * vals) / np.sum(w) + np.mean(da) * prm.vertical_scale)
-                else:
-                    bg = float(np.mean(vals))
-                dev = v[k] - bg
-                err = float(np.std(vals))
-                spatial = bool(dev > prm.pos_threshold * err or dev < -prm.neg_threshold * err)
-        if spatial or (stct and tflag[k]):
-            flags[k] = True
-        processed[k] = True
-        for j in inner_j[k]:
-            if int(j) in pos:
-                processed[pos[int(j)]] = True
+                use &= (np.abs(da) >= prm.min_elev_diff) & (np.abs(da) <= prm.max_elev_diff)
+        use &= np.cumsum(use, axis=1) <= prm.num_max
+        count = use.sum(axis=1)
+        vals = np.where(use, v[np.ix_(at, nb)], 0.0)   # a missing value stays NaN: no comparison
+        with np.errstate(invalid="ignore", divide="ignore"):
+            mean = vals.sum(axis=1) / count
+            if stct:
+                w = np.where(use, 1.0 / (d + prm.eps), 0.0)
+                bg = (w * vals).sum(axis=1) / w.sum(axis=1) \
+                    + np.where(use, da, 0.0).sum(axis=1) / count * prm.vertical_scale
+            else:
+                bg = mean
+            err = np.sqrt((np.where(use, vals - mean[:, None], 0.0) ** 2).sum(axis=1) / count)
+            dev = v[at, k] - bg
+            bad = (dev > prm.pos_threshold * err) | (dev < -prm.neg_threshold * err)
+        if stct:
+            bad |= tflag[at, k]
+        flags[at, k] = bad
+        processed[np.ix_(at, n_pos[n_start[k]:n_start[k + 1]])] = True
     return flags
 
 
-GROUP_STATIONS_MAX = 5_000
-
-
-def sct_general(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool = False,
-                v: str = "v", by_component: bool | None = None) -> DataFrame:
-    """General scan.  One pandas group holds one time's stations of one component;
-    up to ``GROUP_STATIONS_MAX`` stations (checked) the whole network is one
-    group, beyond it the network is split into its independent components."""
+def sct_general(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool = False, v: str = "v",
+                to_check: str | None = None) -> DataFrame:
+    """General scan.  One group holds some times of one component (``GROUP_CELLS``
+    cells, at least one whole time, which is the exact unit of the scan): its narrow
+    cells are cogrouped with the component's pair list, which so travels once per
+    group instead of once per cell.  Station ids of any orderable type: positions in
+    id order stand for them inside the scan.  ``to_check`` names a boolean column of
+    ``stations``: only those stations are tested (the others still serve as
+    neighbours)."""
     g = grid
     if stct:
         g = temporal_step(g, prm.temporal_threshold, v=v, out="temporal_flag").drop("v_prev", "v_next")
-    else:
-        g = g.withColumn("temporal_flag", F.lit(False))
-    n_st = stations.count()
-    if by_component is None:
-        by_component = n_st > GROUP_STATIONS_MAX
-    comps = scan_components(stations, prm) if by_component else stations.select("sid", F.lit(0).alias("comp"))
-    lists = neighbour_lists(stations, prm).join(comps, "sid")
-    # shuffle only the narrow cells by time; the station-sized neighbour lists are
-    # joined after the exchange (broadcast behind a row-count check), so the
-    # per-time grouping reuses the time partitioning and the arrays never travel
-    # through a shuffle
-    narrow = spread(g.select("t", "sid", F.col(v).alias("_v"), "temporal_flag"), "t")
-    lists = lists.cache()
-    side = F.broadcast(lists) if lists.count() <= LIST_BROADCAST_MAX else lists
-    rows = narrow.join(side, "sid", "left")
-
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        empty = [np.zeros(0)] * len(pdf)
-        nb_j = [x if x is not None else np.zeros(0) for x in pdf["nb_j"]] if len(pdf) else empty
-        nb_d = [x if x is not None else np.zeros(0) for x in pdf["nb_d"]] if len(pdf) else empty
-        nb_da = [x if x is not None else np.zeros(0) for x in pdf["nb_da"]] if len(pdf) else empty
-        inner = [x if x is not None else np.zeros(0) for x in pdf["inner_j"]] if len(pdf) else empty
-        vv = pdf["_v"].to_numpy(dtype=float, na_value=np.nan)
-        tf = pdf["temporal_flag"].fillna(False).to_numpy(dtype=bool)
-        fl = greedy_scan(pdf["sid"].to_numpy(), vv, tf, nb_j, nb_d, nb_da, inner, prm, stct)
-        return pd.DataFrame({"t": pdf["t"], "sid": pdf["sid"], "sct_flag": fl})
-
-    t_type = dict(grid.dtypes)["t"]
-    s_type = dict(grid.dtypes)["sid"]
-    # one group per (time, component): a component is the exact unit of the scan
-    flags = rows.groupBy("t", "comp").applyInPandas(scan, f"t {t_type}, sid {s_type}, sct_flag boolean")
+    links = cut_lineage(_links(stations, prm).select("i", "j", "dist", "da"))
+    comps = scan_components(stations, prm, links)
+    checked = F.coalesce(F.col(to_check), F.lit(False)) if to_check else F.lit(True)
+    comps = comps.join(stations.select("sid", checked.alias("checked")), "sid")
+    by_comp = Window.partitionBy("comp")
+    n = F.count(F.lit(1)).over(by_comp)
+    # one component's stations meet in one task here, as they do in the scan
+    comps = cut_lineage(comps.select("sid", "comp", "checked", n.alias("n"), F.row_number().over(by_comp.orderBy("sid"))
+                                     .cast("int").alias("pos")).withColumn("pos", F.col("pos") - 1))
+    tflag = F.coalesce(F.col("temporal_flag"), F.lit(False)) if stct else F.lit(False)
+    block = F.floor(epoch_seconds("t") / 3600 / F.greatest(F.lit(1), F.floor(F.lit(GROUP_CELLS) / F.col("n"))))
+    cells = (g.select("t", "sid", F.col(v).alias("_v"), tflag.alias("tf")).join(comps, "sid")
+             .select("comp", block.alias("block"), "t", "pos", "_v", "tf"))
+    place = comps.select(F.col("sid").alias("i"), "comp", "n", F.col("pos").alias("pi"), "checked")
+    pairs = (links.join(place, "i").join(comps.select(F.col("sid").alias("j"), F.col("pos").alias("pj")), "j")
+             .select("comp", "n", "pi", "pj", "dist", "da", "checked"))
+    # the pair list once for every group that exists
+    groups = cells.select(F.col("comp").alias("in_comp"), F.col("block").alias("in_block")).distinct()
+    pairs = pairs.join(groups, F.col("comp") == F.col("in_comp")).drop("comp")
+
+    def scan(cells: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+        n = int(pairs["n"].iloc[0]) if len(pairs) else 0
+        times, row = np.unique(cells["t"].to_numpy(), return_inverse=True)
+        pos = cells["pos"].to_numpy()
+        values = np.full((len(times), n), np.nan)
+        present, tf = np.zeros(values.shape, dtype=bool), np.zeros(values.shape, dtype=bool)
+        values[row, pos] = cells["_v"].to_numpy(dtype=float, na_value=np.nan)
+        present[row, pos] = True
+        tf[row, pos] = cells["tf"].to_numpy(dtype=bool)
+        checked = np.zeros(n, dtype=bool)
+        checked[pairs["pi"].to_numpy()] = pairs["checked"].to_numpy(dtype=bool)
+        flags = greedy_scan(values, present, tf, neighbour_arrays(pairs, n, prm), checked, prm, stct)
+        return cells.loc[flags[row, pos], ["comp", "t", "pos"]]
+
+    types = dict(grid.dtypes)
+    found = (cells.groupBy("comp", "block").cogroup(pairs.groupBy("in_comp", "in_block"))
+             .applyInPandas(scan, f"comp {types['sid']}, t {types['t']}, pos int"))
+    flags = found.join(comps, ["comp", "pos"]).select("t", "sid", F.lit(True).alias("sct_flag"))
     return g.join(flags, ["t", "sid"], "left").withColumn("sct_flag", F.coalesce("sct_flag", F.lit(False)))
 
 
 def sct(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool = False, v: str = "v",
-        plan: str = "auto", by_component: bool | None = None) -> DataFrame:
+        plan: str = "auto", to_check: str | None = None) -> DataFrame:
     """Dispatch: closed form when the radii cover the whole network, else the scan."""
-    summary = network_summary(stations, prm) if plan != "general" else None
+    summary = network_summary(stations, prm, to_check) if plan != "general" else None
     if plan == "closed" or (plan == "auto" and covers_all(stations, prm, summary)):
-        return sct_closed_form(grid, stations, prm, stct, v, summary)
-    return sct_general(grid, stations, prm, stct, v, by_component)
-
-
-def _is_nan(x) -> bool:
-    return x is None or (isinstance(x, float) and math.isnan(x))
+        return sct_closed_form(grid, stations, prm, stct, v, summary, to_check)
+    return sct_general(grid, stations, prm, stct, v, to_check)

@@ -39,15 +39,31 @@ def rolling_zscore(grid: DataFrame, window_hours: int = 720, thr: float = 3.0, m
     Adds ``roll_rows``, ``roll_z`` and ``roll_good``.
     """
     half = int(window_hours) // 2 * 3600
-    w = Window.partitionBy("sid").orderBy("_sec").rangeBetween(-half, half)
-    g = spread(grid, "sid").withColumn("_sec", epoch_seconds("t"))
-    g = (g.withColumn("roll_rows", F.count(F.lit(1)).over(w))
-         .withColumn("_m", F.avg(v).over(w)).withColumn("_s", F.stddev_pop(v).over(w)))
-    z = F.when(F.col("roll_rows") >= F.lit(int(min_samples)),
-               (F.col(v) - F.col("_m")) / F.nullif(F.col("_s"), F.lit(0.0)))
-    g = g.withColumn("roll_z", z)
+    by_sid = Window.partitionBy("sid")
+    run = by_sid.orderBy("_sec")
+    upto = run.rangeBetween(Window.unboundedPreceding, half)
+    before = run.rangeBetween(Window.unboundedPreceding, -half - 1)
+    # running sums up to both window edges, linear in the cells; centred on the
+    # station's mean so that the squares stay small
+    g = spread(grid, "sid").withColumn("_sec", epoch_seconds("t")).withColumn("_c", F.avg(v).over(by_sid))
+    x = F.col(v) - F.col("_c")
+    sums = F.struct(F.count(F.lit(1)).over(upto).alias("rows"), F.count(v).over(upto).alias("n"),
+                    F.coalesce(F.sum(x).over(upto), F.lit(0.0)).alias("s1"),
+                    F.coalesce(F.sum(x * x).over(upto), F.lit(0.0)).alias("s2"))
+    less = F.struct(F.count(F.lit(1)).over(before).alias("rows"), F.count(v).over(before).alias("n"),
+                    F.coalesce(F.sum(x).over(before), F.lit(0.0)).alias("s1"),
+                    F.coalesce(F.sum(x * x).over(before), F.lit(0.0)).alias("s2"))
+    g = g.withColumn("_a", sums).withColumn("_b", less)
+    part = {k: F.col(f"_a.{k}") - F.col(f"_b.{k}") for k in ("rows", "n", "s1", "s2")}
+    mean = part["s1"] / F.nullif(part["n"], F.lit(0))
+    var = part["s2"] / F.nullif(part["n"], F.lit(0)) - mean * mean
+    # equal values leave rounding noise of the running sums instead of zero
+    spread_ok = (part["n"] > 1) & (var > F.lit(1e-13) * F.greatest(F.col("_a.s2"), F.col("_c") * F.col("_c")))
+    z = F.when((part["rows"] >= F.lit(int(min_samples))) & spread_ok,
+               (F.col(v) - F.col("_c") - mean) / F.sqrt(F.greatest(var, F.lit(0.0))))
+    g = g.withColumn("roll_rows", part["rows"]).withColumn("roll_z", z)
     return g.withColumn("roll_good", ~F.coalesce(F.abs(F.col("roll_z")) > F.lit(float(thr)), F.lit(False))) \
-        .drop("_sec", "_m", "_s")
+        .drop("_sec", "_c", "_a", "_b")
 
 
 def climatology(grid: DataFrame, half_days: float = 15.0, v: str = "v") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Seasonal limits (min, max) in degrees Celsius used by the batch run.
 BATCH_SEASON_LIMITS = {"DJF": (-30.0, 20.0), "MAM": (-10.0, 30.0), "JJA": (0.0, 40.0), "SON": (-10.0, 30.0)}
@@ -62,14 +62,6 @@ OVERLAY = LongTermParams(window_hours=720, seasonal_window_hours=360.0, z_thresh
 MIN_COMPLETENESS = 0.8
 
 
-@dataclass(frozen=True)
-class PipelineParams:
-    season_limits: dict = field(default_factory=lambda: dict(BATCH_SEASON_LIMITS))
-    buddy: BuddyParams = BATCH_BUDDY
-    sct: SctParams = BATCH_SCT
-    min_completeness: float = MIN_COMPLETENESS
-
-
 # Parameters of the general (order-dependent) greedy case used by the fixtures.
 GREEDY = SctParams(inner_radius=0.015, outer_radius=0.04, num_min=3, num_max=5, pos_threshold=1.0,
                    neg_threshold=1.0)

@@ -28,12 +28,12 @@ def register(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- adapters
-def cells_e(spark, sf, k):
-    return G.hourly_cells(X.events_obs(spark, sf, k))
+def cells_e(spark, sf):
+    return G.hourly_cells(X.events_obs(spark, sf))
 
 
-def grid_e(spark, sf, k):
-    return G.dense_grid(cells_e(spark, sf, k))
+def grid_e(spark, sf):
+    return G.dense_grid(cells_e(spark, sf))
 
 
 def cells_l(spark, sf):
@@ -44,8 +44,8 @@ def grid_l(spark, sf):
     return G.dense_grid(cells_l(spark, sf))
 
 
-def grid_f(spark, sf, k):
-    return X.fill_rule(grid_e(spark, sf, k))
+def grid_f(spark, sf):
+    return X.fill_rule(grid_e(spark, sf))
 
 
 def r4(c):

@@ -64,14 +64,11 @@ def q_elev_pairs(spark, sf):
 SELECT i, j, rnk FROM (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY dist, j)::BIGINT AS rnk FROM dp)
 WHERE rnk <= 5""")
 def q_nearest_k(spark, sf):
-    p = Geo.radius_pairs_degree(stations_l(spark, sf), 0.04)
-    from pyspark.sql import Window
-    w = Window.partitionBy("i").orderBy("dist", "j")
-    return Geo.nearest_k(p, 5).select("i", "j").join(
-        p.withColumn("rnk", F.row_number().over(w).cast("long")).select("i", "j", "rnk"), ["i", "j"])
+    p = Geo.nearest_k(Geo.radius_pairs_degree(stations_l(spark, sf), 0.04), 5)
+    return p.select("i", "j", F.col("rank").cast("long").alias("rnk"))
 
 
-@register("idw_background", f"""WITH {e_cells(24)}, {GRID}, {FGRID}, {STATIONS}, {DPAIRS.format(r=0.04)},
+@register("idw_background", f"""WITH {e_cells()}, {GRID}, {FGRID}, {STATIONS}, {DPAIRS.format(r=0.04)},
 nk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY dist, j) AS rnk FROM dp) WHERE rnk <= 5),
 nb AS (SELECT g.t, nk.i, nk.dist, nk.da, h.v AS v_j FROM fgrid g JOIN nk ON nk.i = g.sid
        JOIN fgrid h ON h.t = g.t AND h.sid = nk.j WHERE g.v IS NOT NULL AND h.v IS NOT NULL)
@@ -80,9 +77,9 @@ SELECT t, i, count(*)::BIGINT AS n,
              sum(v_j / (dist + 0.1)) / sum(1.0 / (dist + 0.1)) + avg(da) * -0.0065 END, 4) AS background
 FROM nb GROUP BY t, i""")
 def q_idw_background(spark, sf):
-    g = grid_f(spark, sf, 24)
+    g = grid_f(spark, sf)
     cells = g.where(F.col("v").isNotNull())
-    pairs = Geo.nearest_k(Geo.radius_pairs_degree(X.station_dim(cells_e(spark, sf, 24)), 0.04), 5)
+    pairs = Geo.nearest_k(Geo.radius_pairs_degree(X.station_dim(cells_e(spark, sf)), 0.04), 5)
     nb = Geo.neighbour_values(cells, pairs)
     bg = Geo.idw_background(nb, eps=0.1, slope=-0.0065)
     return bg.select("t", "i", F.col("n").cast("long").alias("n"), r4("background").alias("background"))
@@ -101,7 +98,9 @@ st AS (SELECT t, sid, count(*) AS n, count(adj) AS n_adj, avg(adj) AS m, stddev_
 SELECT g.t, g.sid, CASE WHEN g.v IS NULL THEN 'missing'
                         WHEN coalesce(st.n, 0) < 3 THEN 'isolated'
                         WHEN st.n_adj = st.n AND abs(g.v - st.m) > {thr!r} * greatest(st.s, 0.1) THEN 'outlier'
-                        ELSE 'ok' END AS category
+                        ELSE 'ok' END AS category,
+       g.v IS NULL OR coalesce(st.n, 0) < 3
+       OR coalesce(st.n_adj = st.n AND abs(g.v - st.m) > {thr!r} * greatest(st.s, 0.1), false) AS suspect
 FROM {grid_rel} g LEFT JOIN st ON st.t = g.t AND st.sid = g.sid"""
 
 
@@ -114,33 +113,33 @@ def _buddy_categories(g, stations, prm):
     cat = (F.when(F.col("v").isNull(), "missing")
            .when(F.coalesce(F.col("n_nb"), F.lit(0)) < prm.num_min, "isolated")
            .when(F.col("suspect"), "outlier").otherwise("ok"))
-    return j.select("t", "sid", cat.alias("category"))
+    return j.select("t", "sid", cat.alias("category"), "suspect")
 
 
-@register("buddy_flags", _buddy_sql("grid", e_cells(24), 5000.0, 100.0, 3.0, -0.0065))
+@register("buddy_flags", _buddy_sql("grid", e_cells(), 20000.0, 100.0, 3.0, -0.0065))
 def q_buddy_flags(spark, sf):
-    cells = cells_e(spark, sf, 24)
-    prm = BuddyParams(radius=5000.0, num_min=3, threshold=3.0, max_elev_diff=100.0, elev_gradient=-0.0065)
-    return _buddy_categories(grid_e(spark, sf, 24), X.station_dim(cells), prm)
+    cells = cells_e(spark, sf)
+    prm = BuddyParams(radius=20000.0, num_min=3, threshold=3.0, max_elev_diff=100.0, elev_gradient=-0.0065)
+    return _buddy_categories(grid_e(spark, sf), X.station_dim(cells), prm)
 
 
-@register("buddy_lapse", _buddy_sql("fgrid", e_cells(24), 5000.0, 400.0, 1.5, -0.0065, extra_ctes=FGRID + ", "))
+@register("buddy_lapse", _buddy_sql("fgrid", e_cells(), 5000.0, 400.0, 1.5, -0.0065, extra_ctes=FGRID + ", "))
 def q_buddy_lapse(spark, sf):
-    cells = cells_e(spark, sf, 24)
+    cells = cells_e(spark, sf)
     prm = BuddyParams(radius=5000.0, num_min=3, threshold=1.5, max_elev_diff=400.0, elev_gradient=-0.0065)
-    return _buddy_categories(grid_f(spark, sf, 24), X.station_dim(cells), prm)
+    return _buddy_categories(grid_f(spark, sf), X.station_dim(cells), prm)
 
 
-@register("eligible_timesteps", f"""WITH {e_cells(24)}, {GRID}
+@register("eligible_timesteps", f"""WITH {e_cells()}, {GRID}
 SELECT t, count(v)::BIGINT AS n_valid, count(v) >= 10 AS eligible FROM grid GROUP BY t""")
 def q_eligible_timesteps(spark, sf):
-    e = B.eligible_times(grid_e(spark, sf, 24), 10)
+    e = B.eligible_times(grid_e(spark, sf), 10)
     return e.select("t", F.col("n_valid").cast("long").alias("n_valid"), "eligible")
 
 
-@register("step_flags", f"""WITH {e_cells(24)}, {GRID},
+@register("step_flags", f"""WITH {e_cells()}, {GRID},
 s AS (SELECT *, lag(v) OVER (PARTITION BY sid ORDER BY t) AS vp, lead(v) OVER (PARTITION BY sid ORDER BY t) AS vn
       FROM grid)
 SELECT t, sid, coalesce(abs(v - vp) > 3.0, false) OR coalesce(abs(v - vn) > 3.0, false) AS suspect FROM s""")
 def q_step_flags(spark, sf):
-    return temporal_step(grid_e(spark, sf, 24), 3.0, out="suspect").select("t", "sid", "suspect")
+    return temporal_step(grid_e(spark, sf), 3.0, out="suspect").select("t", "sid", "suspect")

@@ -16,17 +16,17 @@ from stationqc.sources import fixtures as X
 LIM = BATCH_SEASON_LIMITS
 
 
-@register("hourly_cells", f"""WITH {e_cells(8)}
+@register("hourly_cells", f"""WITH {e_cells()}
 SELECT t, sid, round(v, 4) AS v FROM cells""")
 def q_hourly_cells(spark, sf):
-    return cells_e(spark, sf, 8).select("t", "sid", r4("v").alias("v"))
+    return cells_e(spark, sf).select("t", "sid", r4("v").alias("v"))
 
 
-@register("dense_grid_counts", f"""WITH {e_cells(24)}, {GRID}
+@register("dense_grid_counts", f"""WITH {e_cells()}, {GRID}
 SELECT sid, count(*)::BIGINT AS n_cells, count(v)::BIGINT AS n_filled, min(t) AS first_t, max(t) AS last_t,
        count(DISTINCT t::DATE)::BIGINT AS n_days FROM grid GROUP BY sid""")
 def q_dense_grid_counts(spark, sf):
-    g = grid_e(spark, sf, 24)
+    g = grid_e(spark, sf)
     return g.groupBy("sid").agg(F.count(F.lit(1)).cast("long").alias("n_cells"),
                                 F.count("v").cast("long").alias("n_filled"),
                                 F.min("t").alias("first_t"), F.max("t").alias("last_t"),
@@ -45,52 +45,52 @@ def q_seasonal_flags(spark, sf):
         F.count_if(~F.col("seasonal_good")).cast("long").alias("n_bad"))
 
 
-@register("seasonal_daily_valid", f"""WITH {e_cells(8)}, {GRID},
+@register("seasonal_daily_valid", f"""WITH {e_cells()}, {GRID},
 f AS (SELECT *, {seasonal_good_sql('v', 't', LIM)} AS sgood,
       v IS NOT NULL AND {seasonal_good_sql('v', 't', LIM)} AS flag FROM grid),
-{completeness_sql('f', 'flag', 0.8)}
+{completeness_sql('f', 'flag', 0.1)}
 SELECT sid, count(*)::BIGINT AS n_cells, count(v)::BIGINT AS n_filled,
        count(*) FILTER (WHERE NOT sgood)::BIGINT AS n_seasonal_bad,
        count(DISTINCT CASE WHEN day_bad THEN t::DATE END)::BIGINT AS n_days_bad,
        count(*) FILTER (WHERE out)::BIGINT AS n_valid FROM comp GROUP BY sid""")
 def q_seasonal_daily_valid(spark, sf):
-    """Minimum slice: adapter E(8) -> B1 -> B3 -> D1 -> D10/D12 -> per-station counts."""
-    return R.seasonal_daily_valid(grid_e(spark, sf, 8), LIM, 0.8)
+    """Minimum slice: adapter E -> B1 -> B3 -> D1 -> D10/D12 -> per-station counts."""
+    return R.seasonal_daily_valid(grid_e(spark, sf), LIM, 0.1)
 
 
-@register("dataset_summary", f"""WITH {e_cells(24)}, {GRID}, {STATIONS}
+@register("dataset_summary", f"""WITH {e_cells()}, {GRID}, {STATIONS}
 SELECT count(DISTINCT sid)::BIGINT AS n_stations, count(DISTINCT t)::BIGINT AS n_times,
        min(t) AS first_t, max(t) AS last_t, count(*) FILTER (WHERE v IS NULL)::BIGINT AS missing_cells,
        (SELECT count(*) FROM stations WHERE alt IS NULL)::BIGINT AS stations_no_alt FROM grid""")
 def q_dataset_summary(spark, sf):
-    cells = cells_e(spark, sf, 24)
+    cells = cells_e(spark, sf)
     return R.dataset_summary(G.dense_grid(cells), X.station_dim(cells))
 
 
-@register("timestep_mask", f"""WITH {e_cells(8)}, {GRID}
-SELECT t, round(avg((v IS NOT NULL)::INT), 4) AS share, avg((v IS NOT NULL)::INT) >= 0.8 AS keep_t
+@register("timestep_mask", f"""WITH {e_cells()}, {GRID}
+SELECT t, round(avg((v IS NOT NULL)::INT), 4) AS share, avg((v IS NOT NULL)::INT) >= 0.09 AS keep_t
 FROM grid GROUP BY t""")
 def q_timestep_mask(spark, sf):
-    g = grid_e(spark, sf, 8).withColumn("filled", F.col("v").isNotNull())
-    return C.timestep_completeness(g, "filled", 0.8).select("t", r4("share").alias("share"), "keep_t")
+    g = grid_e(spark, sf).withColumn("filled", F.col("v").isNotNull())
+    return C.timestep_completeness(g, "filled", 0.09).select("t", r4("share").alias("share"), "keep_t")
 
 
-@register("station_mask", f"""WITH {e_cells(8)}, {GRID}
-SELECT sid, round(avg((v IS NOT NULL)::INT), 4) AS share, avg((v IS NOT NULL)::INT) >= 0.82 AS keep_s
+@register("station_mask", f"""WITH {e_cells()}, {GRID}
+SELECT sid, round(avg((v IS NOT NULL)::INT), 4) AS share, avg((v IS NOT NULL)::INT) >= 0.09 AS keep_s
 FROM grid GROUP BY sid""")
 def q_station_mask(spark, sf):
-    g = grid_e(spark, sf, 8).withColumn("filled", F.col("v").isNotNull())
-    return C.station_completeness(g, "filled", 0.82).select("sid", r4("share").alias("share"), "keep_s")
+    g = grid_e(spark, sf).withColumn("filled", F.col("v").isNotNull())
+    return C.station_completeness(g, "filled", 0.09).select("sid", r4("share").alias("share"), "keep_s")
 
 
-@register("daily_completeness", f"""WITH {e_cells(8)}, {GRID},
-f AS (SELECT *, v IS NOT NULL AS flag FROM grid), {completeness_sql('f', 'flag', 0.8)}
+@register("daily_completeness", f"""WITH {e_cells()}, {GRID},
+f AS (SELECT *, v IS NOT NULL AS flag FROM grid), {completeness_sql('f', 'flag', 0.1)}
 SELECT sid, strftime(t::DATE, '%Y-%m-%d') AS day, count(*) FILTER (WHERE flag)::BIGINT AS n_good,
        bool_or(day_bad) AS day_bad, bool_or(month_bad) AS month_bad,
        count(*) FILTER (WHERE out)::BIGINT AS n_out FROM comp GROUP BY 1, 2""")
 def q_daily_completeness(spark, sf):
-    g = grid_e(spark, sf, 8).withColumn("flag", F.col("v").isNotNull())
-    c = C.completeness_temporal(g, "flag", 0.8, out="out")
+    g = grid_e(spark, sf).withColumn("flag", F.col("v").isNotNull())
+    c = C.completeness_temporal(g, "flag", 0.1, out="out")
     return c.groupBy("sid", day_str().alias("day")).agg(
         F.count_if("flag").cast("long").alias("n_good"), F.bool_or("day_bad").alias("day_bad"),
         F.bool_or("month_bad").alias("month_bad"), F.count_if("out").cast("long").alias("n_out"))
@@ -124,12 +124,12 @@ def q_completeness_stats(spark, sf):
     return C.completeness_stats(c, out="out")
 
 
-@register("all_true_completeness", f"""WITH {e_cells(8)}, {GRID},
+@register("all_true_completeness", f"""WITH {e_cells()}, {GRID},
 f AS (SELECT *, true AS flag FROM grid), {completeness_sql('f', 'flag', 0.8)}
 SELECT sid, count(*)::BIGINT AS n_cells, count(*) FILTER (WHERE out)::BIGINT AS n_qc_true,
        count(CASE WHEN out THEN v END)::BIGINT AS n_valid FROM comp GROUP BY sid""")
 def q_all_true_completeness(spark, sf):
-    out = C.apply_completeness(grid_e(spark, sf, 8), 0.8)
+    out = C.apply_completeness(grid_e(spark, sf), 0.8)
     return out.groupBy("sid").agg(F.count(F.lit(1)).cast("long").alias("n_cells"),
                                   F.count_if("qc_flags").cast("long").alias("n_qc_true"),
                                   F.count("v").cast("long").alias("n_valid"))
@@ -154,42 +154,43 @@ def q_seasonal_summary(spark, sf):
     return R.seasonal_summary(grid_l(spark, sf))
 
 
-@register("seasonal_summary_events", _seasonal_summary_sql(e_cells(8)))
+@register("seasonal_summary_events", _seasonal_summary_sql(e_cells()))
 def q_seasonal_summary_events(spark, sf):
-    return R.seasonal_summary(grid_e(spark, sf, 8))
+    return R.seasonal_summary(grid_e(spark, sf))
 
 
-@register("time_slice", f"""WITH {e_cells(8)}, {GRID}
+@register("time_slice", f"""WITH {e_cells()}, {GRID}
 SELECT sid, count(*)::BIGINT AS n_cells, count(v)::BIGINT AS n_filled, min(t) AS first_t, max(t) AS last_t
 FROM grid WHERE t BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 23:00:00' GROUP BY sid""")
 def q_time_slice(spark, sf):
-    g = G.slice_time(grid_e(spark, sf, 8), "2024-01-10 00:00:00", "2024-01-20 23:00:00")
+    cells, (lo, hi) = cells_e(spark, sf), ("2024-01-10 00:00:00", "2024-01-20 23:00:00")
+    g = G.dense_slice(cells, lo, hi)
     return g.groupBy("sid").agg(F.count(F.lit(1)).cast("long").alias("n_cells"),
                                 F.count("v").cast("long").alias("n_filled"),
                                 F.min("t").alias("first_t"), F.max("t").alias("last_t"))
 
 
-@register("timeframe_label", f"""WITH {e_cells(8)}, {GRID}
+@register("timeframe_label", f"""WITH {e_cells()}, {GRID}
 SELECT 'full' AS kind, strftime(min(t), '%Y%m%d_%H%M') || '_' || strftime(max(t), '%Y%m%d_%H%M') AS label FROM grid
 UNION ALL
 SELECT 'selection' AS kind, '20240110_20240120' AS label""")
 def q_timeframe_label(spark, sf):
-    g = grid_e(spark, sf, 8)
+    g = cells_e(spark, sf)   # the first and last cell are those of the dense grid
     full = G.timeframe(g).select(F.lit("full").alias("kind"), "label")
     sel = G.timeframe(G.slice_time(g, "2024-01-10 00:00:00", "2024-01-20 23:00:00"),
                       "2024-01-10 00:00:00", "2024-01-20 23:00:00")
     return full.unionByName(sel.select(F.lit("selection").alias("kind"), "label"))
 
 
-@register("drop_empty_stations", f"""WITH {e_cells(24)}, {GRID},
-f AS (SELECT *, v IS NOT NULL AS flag FROM grid), {completeness_sql('f', 'flag', 0.5)},
+@register("drop_empty_stations", f"""WITH {e_cells()}, {GRID},
+f AS (SELECT *, v IS NOT NULL AS flag FROM grid), {completeness_sql('f', 'flag', 0.25)},
 m AS (SELECT sid, t, CASE WHEN out THEN v END AS v FROM comp),
 keep AS (SELECT DISTINCT sid FROM m WHERE v IS NOT NULL)
 SELECT sid, count(*)::BIGINT AS n_cells, count(v)::BIGINT AS n_valid FROM m WHERE sid IN (SELECT sid FROM keep)
 GROUP BY sid""")
 def q_drop_empty_stations(spark, sf):
-    g = grid_e(spark, sf, 24).withColumn("flag", F.col("v").isNotNull())
-    c = C.completeness_temporal(g, "flag", 0.5, out="out")
+    g = grid_e(spark, sf).withColumn("flag", F.col("v").isNotNull())
+    c = C.completeness_temporal(g, "flag", 0.25, out="out")
     m = G.apply_mask(c, "out").select("sid", "t", "v")
     kept = G.drop_empty_stations(m)
     return kept.groupBy("sid").agg(F.count(F.lit(1)).cast("long").alias("n_cells"),

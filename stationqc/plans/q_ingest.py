@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stationqc.operators import grid as G
 from stationqc.plans.catalog import cells_e, r4, register
-from stationqc.plans.sqlfix import GRID, e_cells
+from stationqc.plans.sqlfix import ALT, GRID, LAT, LON, e_cells
 from stationqc.sources import fixtures as X
 from stationqc.sources import ingest as I
 from stationqc.sources import payloads as P
@@ -54,9 +54,8 @@ _EXPECTED_STATIONS = f"""exp AS (SELECT 'st-' || s.s_suppkey AS station_id,
   CASE WHEN s.s_suppkey % 4 = 0 THEN '' WHEN s.s_suppkey % 4 = 1 THEN 'm' || s.s_suppkey || 'b'
        ELSE 'm' || s.s_suppkey || 'o' END AS module1_id,
   CASE WHEN s.s_suppkey % 4 = 0 THEN '' ELSE '{P.OUTDOOR_TYPE}' END AS module1_type,
-  46.40::DOUBLE + ((s.s_suppkey*37) % 1009)::DOUBLE / 10000.0 AS latitude,
-  11.25::DOUBLE + ((s.s_suppkey*401) % 1009)::DOUBLE / 10000.0 AS longitude,
-  CASE WHEN s.s_suppkey % 17 = 16 THEN NULL ELSE 200.0::DOUBLE + ((s.s_suppkey*53) % 60)::DOUBLE * 10.0 END AS altitude,
+  {LAT.format('s.s_suppkey')} AS latitude, {LON.format('s.s_suppkey')} AS longitude,
+  {ALT.format('s.s_suppkey')} AS altitude,
   CASE WHEN s.s_suppkey % 3 <> 0 THEN s.s_name ELSE 'Unknown' END AS city, n.n_name AS country,
   CASE WHEN s.s_suppkey % 2 = 0 THEN 'Via ' || s.s_name ELSE 'Unknown' END AS street,
   CASE WHEN s.s_suppkey % 5 <> 0 THEN 'Europe/Rome' ELSE 'Unknown' END AS timezone
@@ -83,9 +82,9 @@ def q_outdoor_module(spark, sf):
 
 
 @register("bbox", f"""WITH {_EXPECTED_STATIONS}
-SELECT station_id FROM exp WHERE latitude BETWEEN 46.40 AND 46.45 AND longitude BETWEEN 11.28 AND 11.33""")
+SELECT station_id FROM exp WHERE latitude BETWEEN 46.42 AND 46.75 AND longitude BETWEEN 11.28 AND 11.33""")
 def q_bbox(spark, sf):
-    return P.bbox_filter(stations_from_payloads(spark, sf), (46.45, 11.33), (46.40, 11.28)).select("station_id")
+    return P.bbox_filter(stations_from_payloads(spark, sf), (46.75, 11.33), (46.42, 11.28)).select("station_id")
 
 
 @register("station_summary", f"""WITH {_EXPECTED_STATIONS}
@@ -100,20 +99,20 @@ def q_eligible_stations(spark, sf):
     return P.eligible_stations(stations_from_payloads(spark, sf)).select("station_id", "module1_id")
 
 
-def obs_from_payloads(spark, sf, k=24, chunk=CHUNK):
-    docs = I.measure_payloads(cells_e(spark, sf, k), chunk).withColumn(
+def obs_from_payloads(spark, sf, chunk=CHUNK):
+    docs = I.measure_payloads(cells_e(spark, sf), chunk).withColumn(
         "station_id", F.concat(F.lit("st-"), F.col("sid").cast("string")))
     return P.parse_measure_payload(docs)
 
 
-@register("measure_payload", f"""WITH {e_cells(24)}
+@register("measure_payload", f"""WITH {e_cells()}
 SELECT 'st-' || sid AS station_id, t AS ts, round(v, 4) AS temperature FROM cells""")
 def q_measure_payload(spark, sf):
     o = obs_from_payloads(spark, sf)
     return o.select("station_id", "ts", r4("temperature").alias("temperature"))
 
 
-@register("attach_metadata", f"""WITH {e_cells(24)}, {_EXPECTED_STATIONS}
+@register("attach_metadata", f"""WITH {e_cells()}, {_EXPECTED_STATIONS}
 SELECT 'st-' || c.sid AS station_id, count(*)::BIGINT AS n, round(min(e.latitude), 4) AS latitude,
        round(min(e.longitude), 4) AS longitude, min(e.altitude) AS altitude
 FROM cells c LEFT JOIN exp e ON e.station_id = 'st-' || c.sid GROUP BY 1""")
@@ -124,7 +123,7 @@ def q_attach_metadata(spark, sf):
                                        r4(F.min("longitude")).alias("longitude"), F.min("altitude").alias("altitude"))
 
 
-@register("high_water", f"""WITH {e_cells(24)}
+@register("high_water", f"""WITH {e_cells()}
 SELECT 'events' AS adapter, 'st-' || sid AS station_id,
        CASE WHEN year(max(t)) >= 2020 THEN max(t) END AS mark FROM cells WHERE t < TIMESTAMP '{SPLIT}' GROUP BY sid
 UNION ALL
@@ -152,13 +151,13 @@ def _starts(spark, sf):
     return I.fetch_start(st, I.high_water_mark(e), start=START)
 
 
-@register("fetch_start", f"""WITH {e_cells(24)}, {_EXPECTED_STATIONS}, {_STARTS_SQL}
+@register("fetch_start", f"""WITH {e_cells()}, {_EXPECTED_STATIONS}, {_STARTS_SQL}
 SELECT station_id, mark, fetch_from FROM starts""")
 def q_fetch_start(spark, sf):
     return _starts(spark, sf)
 
 
-@register("fetch_plan", f"""WITH RECURSIVE {e_cells(24)}, {_EXPECTED_STATIONS}, {_STARTS_SQL},
+@register("fetch_plan", f"""WITH RECURSIVE {e_cells()}, {_EXPECTED_STATIONS}, {_STARTS_SQL},
 req(station_id, chunk, begin_epoch, end_epoch) AS (
   SELECT station_id, 0::BIGINT, epoch(fetch_from)::BIGINT,
          least(epoch(fetch_from)::BIGINT + {CHUNK * 3600}, epoch(TIMESTAMP '{NOW}')::BIGINT)
@@ -186,13 +185,13 @@ def _merged(spark, sf):
     return I.merge_keep_last(ex, nw, columns=["station_id", "ts", "temperature"])
 
 
-@register("merge_keep_last", f"""WITH {e_cells(24)}, {_MERGE_SQL}
+@register("merge_keep_last", f"""WITH {e_cells()}, {_MERGE_SQL}
 SELECT station_id, ts, round(temperature, 4) AS temperature FROM merged""")
 def q_merge_keep_last(spark, sf):
     return _merged(spark, sf).select("station_id", "ts", r4("temperature").alias("temperature"))
 
 
-@register("ingest_progress", f"""WITH RECURSIVE {e_cells(24)}, {_EXPECTED_STATIONS}, {_MERGE_SQL},
+@register("ingest_progress", f"""WITH RECURSIVE {e_cells()}, {_EXPECTED_STATIONS}, {_MERGE_SQL},
 loaded AS (SELECT station_id, count(*) AS n_rows, max(ts) AS last_ts FROM merged GROUP BY station_id),
 starts AS (SELECT e.station_id, greatest(TIMESTAMP '{START}',
            coalesce(CASE WHEN year(l.last_ts) >= 2020 THEN l.last_ts END + INTERVAL 1 HOUR, TIMESTAMP '{START}')) AS fetch_from
@@ -214,13 +213,13 @@ def q_ingest_progress(spark, sf):
     return I.ingest_progress(st, _merged(spark, sf), NOW, START, CHUNK)
 
 
-@register("station_metadata", f"""WITH {e_cells(24)},
+@register("station_metadata", f"""WITH {e_cells()},
 o AS (SELECT sid, t, CASE WHEN hour(t) >= 6 THEN 46.40::DOUBLE + ((sid*37) % 1009)::DOUBLE / 10000.0 + hour(t) / 1000.0 END AS lat,
       CASE WHEN day(t) >= 3 THEN 200.0::DOUBLE + day(t) END AS alt FROM cells)
 SELECT sid, round(arg_min(lat, t) FILTER (WHERE lat IS NOT NULL), 4) AS lat,
        arg_min(alt, t) FILTER (WHERE alt IS NOT NULL) AS alt FROM o GROUP BY sid""")
 def q_station_metadata(spark, sf):
-    c = cells_e(spark, sf, 24)
+    c = cells_e(spark, sf)
     o = c.select("sid", "t",
                  F.when(F.hour("t") >= 6, F.lit(46.40) + (F.col("sid") * 37 % 1009).cast("double") / F.lit(10000.0)
                         + F.hour("t") / F.lit(1000.0)).alias("lat"),
@@ -229,19 +228,19 @@ def q_station_metadata(spark, sf):
     return m.select("sid", r4("lat").alias("lat"), "alt")
 
 
-@register("wide_long", f"""WITH {e_cells(8)}, {GRID}
+@register("wide_long", f"""WITH {e_cells()}, {GRID}
 SELECT t, sid::VARCHAR AS sid, round(v, 4) AS v FROM grid""")
 def q_wide_long(spark, sf):
-    g = G.dense_grid(cells_e(spark, sf, 8))
+    g = G.dense_grid(cells_e(spark, sf))
     w = G.to_wide(g)   # pivot values found by Spark (bounded by spark.sql.pivotMaxValues)
     return G.to_long(w).select("t", "sid", r4("v").alias("v"))
 
 
-@register("outer_product", f"""WITH {e_cells(8)}, {GRID}
+@register("outer_product", f"""WITH {e_cells()}, {GRID}
 SELECT sid, count(*)::BIGINT AS n_cells, count(v)::BIGINT AS n_v, count(v * 2)::BIGINT AS n_v2,
        round(max(v * 2), 4) AS max_v2 FROM grid GROUP BY sid""")
 def q_outer_product(spark, sf):
-    c = cells_e(spark, sf, 8).withColumn("v2", F.col("v") * 2)
+    c = cells_e(spark, sf).withColumn("v2", F.col("v") * 2)
     g = G.outer_product(c, values=["v", "v2"])
     return g.groupBy("sid").agg(F.count(F.lit(1)).cast("long").alias("n_cells"), F.count("v").cast("long").alias("n_v"),
                                 F.count("v2").cast("long").alias("n_v2"), r4(F.max("v2")).alias("max_v2"))

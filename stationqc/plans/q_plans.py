@@ -21,7 +21,7 @@ BATCH_BUDDY_F = BuddyParams(radius=5000.0, num_min=3, threshold=3.0, max_elev_di
 OVERLAY_F = LongTermParams(window_hours=720, seasonal_window_hours=360.0, z_threshold=2.0, min_samples=300)
 
 def _batch_ctes(sct_part: str) -> str:
-    return f"""{e_cells(24)}, {GRID}, {FGRID}, {STATIONS}, {proj_cte()},
+    return f"""{e_cells()}, {GRID}, {FGRID}, {STATIONS}, {proj_cte()},
 s AS (SELECT t, sid, v, {seasonal_good_sql('v', 't', BATCH_LIMITS)} AS sg FROM fgrid),
 tm AS (SELECT t, avg(sg::INT) >= 0.8 AS keep_t FROM s GROUP BY t),
 k AS (SELECT s.* FROM s JOIN tm ON tm.t = s.t WHERE tm.keep_t),
@@ -41,22 +41,9 @@ _BATCH_GREEDY_CTES = _batch_ctes(
     " ON gk.t = kb.t AND gk.sid = kb.sid)")
 
 
-def _checkpoint_dir(spark):
-    """The cluster's ``spark.checkpoint.dir`` is used when set.  A scratch folder is made
-    only for a session of one process that names none; a cluster session gets the error."""
-    import re
-    import tempfile
-
-    from stationqc.session import ensure_checkpoint_dir
-    conf = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    alone = re.match(r"local(\[|$)", spark.sparkContext.master)
-    ensure_checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="stationqc-ckpt-") if alone and not conf else None)
-
-
 def _batch(spark, sf):
-    _checkpoint_dir(spark)
-    g = grid_f(spark, sf, 24)
-    st = X.station_dim(cells_e(spark, sf, 24))
+    g = grid_f(spark, sf)
+    st = X.station_dim(cells_e(spark, sf))
     return Q.batch_qc(g, st, BATCH_LIMITS, BATCH_BUDDY_F, BATCH_SCT, 0.8)
 
 
@@ -80,9 +67,8 @@ _BATCH_STATS_SELECT = """SELECT count(*)::BIGINT AS total_values, count(*) FILTE
 @register("batch_stats_greedy", f"WITH RECURSIVE {_BATCH_GREEDY_CTES}\n{_BATCH_STATS_SELECT}")
 def q_batch_stats_greedy(spark, sf):
     """Batch QC with the general (order-dependent) spatial scan on the kept times."""
-    _checkpoint_dir(spark)
-    g = grid_f(spark, sf, 24)
-    st = X.station_dim(cells_e(spark, sf, 24))
+    g = grid_f(spark, sf)
+    st = X.station_dim(cells_e(spark, sf))
     return Q.batch_qc(g, st, BATCH_LIMITS, BATCH_BUDDY_F, GREEDY, 0.8, sct_plan="general").stats
 
 
@@ -104,7 +90,7 @@ def q_valid_percent(spark, sf):
     return Q.valid_percent(_batch(spark, sf))
 
 
-_SEQ_CTES = f"""{e_cells(24)}, {GRID}, {FGRID}, {STATIONS}, {proj_cte()},
+_SEQ_CTES = f"""{e_cells()}, {GRID}, {FGRID}, {STATIONS}, {proj_cte()},
 l0 AS (SELECT t, sid, v AS t_lvl0 FROM fgrid),
 l1a AS (SELECT *, {seasonal_good_sql('t_lvl0', 't', SEQUENTIAL_SEASON_LIMITS)} AS seasonal_ok FROM l0),
 l1b AS (SELECT *, CASE WHEN seasonal_ok THEN t_lvl0 END AS t_lvl1 FROM l1a),
@@ -128,9 +114,8 @@ l3 AS (SELECT * EXCLUDE (out, day_bad, month_bad, t_lvl3), out AS t_lvl3_flag,
 
 
 def _seq(spark, sf, checkpoint=True):
-    _checkpoint_dir(spark)
-    g = grid_f(spark, sf, 24)
-    st = X.station_dim(cells_e(spark, sf, 24))
+    g = grid_f(spark, sf)
+    st = X.station_dim(cells_e(spark, sf))
     return Q.sequential_qc(g, st, SEQUENTIAL_SEASON_LIMITS, SEQUENTIAL_BUDDY, SEQUENTIAL_SCT, 0.8,
                            checkpoint=checkpoint)
 
@@ -180,14 +165,14 @@ def q_overlay_level(spark, sf):
     return Q.temporal_overlay(_seq(spark, sf).grid, OVERLAY_F).stats
 
 
-@register("mask_any", f"""WITH {e_cells(24)}, {GRID},
+@register("mask_any", f"""WITH {e_cells()}, {GRID},
 f AS (SELECT *, NOT {seasonal_good_sql('v', 't', BATCH_LIMITS)} AS seasonal_bad,
       coalesce(abs(v - lag(v) OVER (PARTITION BY sid ORDER BY t)) > 3.0, false)
       OR coalesce(abs(v - lead(v) OVER (PARTITION BY sid ORDER BY t)) > 3.0, false) AS step_bad FROM grid)
 SELECT sid, count(*) FILTER (WHERE seasonal_bad OR step_bad)::BIGINT AS n_any_flag,
        count(CASE WHEN NOT (seasonal_bad OR step_bad) THEN v END)::BIGINT AS n_valid FROM f GROUP BY sid""")
 def q_mask_any(spark, sf):
-    g = seasonal_threshold(grid_e(spark, sf, 24), BATCH_LIMITS).withColumn("seasonal_bad", ~F.col("seasonal_good"))
+    g = seasonal_threshold(grid_e(spark, sf), BATCH_LIMITS).withColumn("seasonal_bad", ~F.col("seasonal_good"))
     g = temporal_step(g, 3.0, out="step_bad")
     m = G.mask_any(g, ["seasonal_bad", "step_bad"])
     return m.groupBy("sid").agg(F.count_if("any_flag").cast("long").alias("n_any_flag"),

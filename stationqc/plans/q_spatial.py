@@ -15,7 +15,7 @@ def _closed_sql(prm: SctParams, stct: bool) -> str:
     bg = (f"(st.swv / st.sw + st.mda * {prm.vertical_scale!r})" if stct else "st.m")
     temporal = "OR g.temporal_flag" if stct else ""
     tcol = ", g.temporal_flag" if stct else ""
-    return f"""WITH {e_cells(24)}, {GRID}, {FGRID}, {STATIONS},
+    return f"""WITH {e_cells()}, {GRID}, {FGRID}, {STATIONS},
 i0 AS (SELECT sid, lon, lat, alt FROM stations ORDER BY sid LIMIT 1),
 nb AS (SELECT s.sid AS j, sqrt((s.lon - i0.lon)^2 + (s.lat - i0.lat)^2) AS dist, s.alt - i0.alt AS da
        FROM stations s, i0 WHERE s.sid <> i0.sid {band}),
@@ -34,8 +34,8 @@ FROM g LEFT JOIN st ON st.t = g.t"""
 
 
 def _run(spark, sf, prm, stct, plan):
-    g = grid_f(spark, sf, 24)
-    st = X.station_dim(cells_e(spark, sf, 24))
+    g = grid_f(spark, sf)
+    st = X.station_dim(cells_e(spark, sf))
     out = SP.sct(g, st, prm, stct=stct, plan=plan)
     cols = ["t", "sid"] + (["temporal_flag"] if stct else []) + ["sct_flag"]
     return out.select(*cols)
@@ -51,9 +51,34 @@ def q_stct_shipped(spark, sf):
     return _run(spark, sf, SEQUENTIAL_SCT, True, "auto")
 
 
+TEXT_STATIONS = (STATIONS.replace("stations AS", "stations_n AS", 1)
+                 + ", stations AS (SELECT 'st-' || sid AS sid, lat, lon, alt FROM stations_n)")
+
+
+@register("sct_greedy_text_ids", f"""WITH RECURSIVE {e_cells()}, {GRID}, {FGRID}, {TEXT_STATIONS},
+tgrid AS (SELECT t, 'st-' || sid AS sid, v FROM fgrid), {greedy_ctes('tgrid', 'v', GREEDY, False, 'gs')}
+SELECT t, sid, sct_flag FROM gs""")
+def q_sct_greedy_text_ids(spark, sf):
+    """The scan in the order of text ids (``st-10`` before ``st-2``)."""
+    name = F.concat(F.lit("st-"), F.col("sid").cast("string"))
+    g = grid_f(spark, sf).withColumn("sid", name)
+    st = X.station_dim(cells_e(spark, sf)).withColumn("sid", name)
+    return SP.sct(g, st, GREEDY, plan="general").select("t", "sid", "sct_flag")
+
+
+@register("sct_obs_to_check", f"""WITH RECURSIVE {e_cells()}, {GRID}, {FGRID}, {STATIONS},
+{greedy_ctes('fgrid', 'v', GREEDY_ST, True, 'gs', check='alt >= 400')}
+SELECT t, sid, temporal_flag, sct_flag FROM gs""")
+def q_sct_obs_to_check(spark, sf):
+    """Only stations at 400 m and above are tested (none of unknown altitude)."""
+    st = X.station_dim(cells_e(spark, sf)).withColumn("check", F.col("alt") >= 400)
+    out = SP.sct(grid_f(spark, sf), st, GREEDY_ST, stct=True, plan="general", to_check="check")
+    return out.select("t", "sid", "temporal_flag", "sct_flag")
+
+
 def _greedy_sql(prm: SctParams, stct: bool) -> str:
     cols = "t, sid, temporal_flag, sct_flag" if stct else "t, sid, sct_flag"
-    return f"""WITH RECURSIVE {e_cells(24)}, {GRID}, {FGRID}, {STATIONS}, {greedy_ctes('fgrid', 'v', prm, stct, 'gs')}
+    return f"""WITH RECURSIVE {e_cells()}, {GRID}, {FGRID}, {STATIONS}, {greedy_ctes('fgrid', 'v', prm, stct, 'gs')}
 SELECT {cols} FROM gs"""
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stationqc.operators import temporal as T
-from stationqc.plans.catalog import grid_e, grid_l, r4, r4_tie, register
+from stationqc.plans.catalog import cells_e, cells_l, grid_e, grid_l, r4, r4_tie, register
 from stationqc.plans.sqlfix import GRID, e_cells, l_cells
 
 
@@ -37,10 +37,10 @@ sz AS (SELECT *, CASE WHEN clim_rows >= {min_samples} THEN (v - clim_mean) / nul
 ss AS (SELECT *, NOT coalesce(abs(seas_z) > {thr!r}, false) AS seas_good FROM sz)"""
 
 
-@register("rolling_z", f"""WITH {e_cells(24)}, {GRID}, {_roll_cte('grid', 360, 300, 3.0)}
+@register("rolling_z", f"""WITH {e_cells()}, {GRID}, {_roll_cte('grid', 360, 300, 3.0)}
 SELECT t, sid, roll_rows::BIGINT AS roll_rows, round(roll_z, 4) AS roll_z, roll_good FROM rr""")
 def q_rolling_z(spark, sf):
-    r = T.rolling_zscore(grid_e(spark, sf, 24), 720, 3.0, 300)
+    r = T.rolling_zscore(grid_e(spark, sf), 720, 3.0, 300)
     return r.select("t", "sid", F.col("roll_rows").cast("long"), r4("roll_z").alias("roll_z"), "roll_good")
 
 
@@ -108,7 +108,7 @@ SELECT 'events' AS adapter, floor((epoch(max(t)) - epoch(min(t))) / 86400)::BIGI
 FROM (SELECT date_trunc('hour', ts) AS t FROM events)""")
 def q_history_span(spark, sf):
     out = None
-    for name, g in (("lineitem", grid_l(spark, sf)), ("events", grid_e(spark, sf, 8))):
+    for name, g in (("lineitem", cells_l(spark, sf)), ("events", cells_e(spark, sf))):
         h5 = T.history_span(g, 5.0)
         h = h5.select(F.lit(name).alias("adapter"), "span_days", "span_years", F.col("sufficient").alias("five_years"),
                       (F.col("span_days") / F.lit(365.25) >= F.lit(10.0)).alias("ten_years"))

@@ -19,7 +19,7 @@ from stationqc.operators import temporal as T
 from stationqc.operators.buddy import buddy_check, eligible_times
 from stationqc.operators.grid import current_level
 from stationqc.operators.seasonal import seasonal_good
-from stationqc.operators.spatial import covers_all, sct
+from stationqc.operators.spatial import sct
 from stationqc.params import (BATCH_BUDDY, BATCH_SCT, BATCH_SEASON_LIMITS, OVERLAY, SEQUENTIAL_BUDDY,
                               SEQUENTIAL_SCT, SEQUENTIAL_SEASON_LIMITS, BuddyParams, LongTermParams, SctParams)
 from stationqc.session import cut_lineage
@@ -53,19 +53,18 @@ def batch_qc(grid: DataFrame, stations: DataFrame, limits: dict = BATCH_SEASON_L
            .join(tm, "t", "left").join(sm, "sid", "left"))
     out = out.withColumn("final_good", F.coalesce(F.col("combined") & F.col("keep_s"), F.lit(False)))
     out = out.withColumn("v_qc", mask("v", "final_good"))
+    # stations and times are counted on their own small tables, not over the grid
+    n_removed = (g.select("sid").distinct().join(sm.where("keep_s"), "sid", "left_anti")
+                 .agg(F.count(F.lit(1)).cast("long")).scalar())
+    t_removed = tm.agg(F.count_if(~F.col("keep_t")).cast("long")).scalar()
     stats = out.agg(
         F.count(F.lit(1)).cast("long").alias("total_values"),
         F.count_if("final_good").cast("long").alias("good_values"),
-        F.count_distinct("sid").cast("long").alias("n_stations"),
-        F.count_distinct(F.when(F.col("keep_s"), F.col("sid"))).cast("long").alias("n_stations_kept"),
-        F.count_distinct("t").cast("long").alias("n_times"),
-        F.count_distinct(F.when(F.col("keep_t"), F.col("t"))).cast("long").alias("n_times_kept"),
         F.count_if(~F.col("seasonal_good")).cast("long").alias("seasonal_flags"),
         F.count_if(F.col("buddy_suspect")).cast("long").alias("buddy_flags"),
         F.count_if(F.col("sct_flag")).cast("long").alias("sct_flags"))
-    stats = stats.select("total_values", "good_values",
-                         (F.col("n_stations") - F.col("n_stations_kept")).alias("stations_removed"),
-                         (F.col("n_times") - F.col("n_times_kept")).alias("timesteps_removed"),
+    stats = stats.select("total_values", "good_values", n_removed.alias("stations_removed"),
+                         t_removed.alias("timesteps_removed"),
                          "seasonal_flags", "buddy_flags", "sct_flags")
     return QcResult(out, stats, tm, sm)
 
@@ -100,32 +99,30 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
     g = grid.select("t", "sid", F.col("v").alias("t_lvl0"))   # read once by level 1: no copy
     # level 1
     g = g.withColumn("seasonal_ok", seasonal_good("t_lvl0", "t", limits))
-    g = g.withColumn("t_lvl1", mask("t_lvl0", "seasonal_ok"))
+    g = keep(g.withColumn("t_lvl1", mask("t_lvl0", "seasonal_ok")))
     c1 = C.completeness_temporal(g, "seasonal_ok", p, out="t_lvl1_flag")
-    c1 = keep(c1.withColumn("t_lvl1", mask("t_lvl1", "t_lvl1_flag")))
+    c1 = c1.withColumn("t_lvl1", mask("t_lvl1", "t_lvl1_flag"))
     st1 = _completeness_counters(c1, 1)
     g = c1.drop("day", "mk", "day_bad", "month_bad")
     # level 2
     el = eligible_times(g, buddy.num_min, v="t_lvl1").select("t", F.col("eligible").alias("el2"))
     b = buddy_check(g.join(el, "t"), stations, buddy, v="t_lvl1", out="_bs")
     b = b.withColumn("buddy_ok", ~(F.col("el2") & F.col("_bs"))).drop("_bs", "el2")
-    b = b.withColumn("t_lvl2", mask("t_lvl1", "buddy_ok"))
+    b = keep(b.withColumn("t_lvl2", mask("t_lvl1", "buddy_ok")))
     c2 = C.completeness_temporal(b, "buddy_ok", p, out="t_lvl2_flag")
-    c2 = keep(c2.withColumn("t_lvl2", mask("t_lvl2", "t_lvl2_flag")))
+    c2 = c2.withColumn("t_lvl2", mask("t_lvl2", "t_lvl2_flag"))
     st2 = _completeness_counters(c2, 2)
     g = c2.drop("day", "mk", "day_bad", "month_bad")
     # level 3
     el = eligible_times(g, sct_prm.num_min, v="t_lvl2").select("t", F.col("eligible").alias("el3"))
-    closed = sct_plan == "closed" or (sct_plan == "auto" and covers_all(stations, sct_prm))
-    # the closed form keeps the station partitioning of its step-test window (its
-    # per-time statistics are a small broadcast side), so completeness reuses it
-    s = sct(g.join(el, "t"), stations, sct_prm, stct=True, v="t_lvl2", plan="closed" if closed else "general")
+    s = sct(g.join(el, "t"), stations, sct_prm, stct=True, v="t_lvl2", plan=sct_plan)
     s = (s.withColumn("sct_ok", ~(F.col("el3") & F.col("sct_flag")))
          .withColumn("temporal_ok", ~(F.col("el3") & F.col("temporal_flag")))
          .drop("sct_flag", "temporal_flag", "el3"))
-    s = s.withColumn("l3_ok", F.col("sct_ok") & F.col("temporal_ok")).withColumn("t_lvl3", mask("t_lvl2", "l3_ok"))
-    c3 = C.completeness_temporal(s, "l3_ok", p, out="t_lvl3_flag", partitioned=closed)
-    c3 = keep(c3.withColumn("t_lvl3", mask("t_lvl3", "t_lvl3_flag")))
+    s = keep(s.withColumn("l3_ok", F.col("sct_ok") & F.col("temporal_ok"))
+             .withColumn("t_lvl3", mask("t_lvl2", "l3_ok")))
+    c3 = C.completeness_temporal(s, "l3_ok", p, out="t_lvl3_flag")
+    c3 = c3.withColumn("t_lvl3", mask("t_lvl3", "t_lvl3_flag"))
     st3 = _completeness_counters(c3, 3)
     out = c3.drop("day", "mk", "day_bad", "month_bad")
     counts = out.agg(

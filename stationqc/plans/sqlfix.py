@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 
-def e_cells(k: int) -> str:
-    return (f"obs AS (SELECT user_id % {k} AS sid, date_trunc('hour', ts) AS t, "
-            f"10.0 + (value - 50.0) / 10.0 AS v FROM events), "
+def e_cells() -> str:
+    return ("obs AS (SELECT user_id AS sid, date_trunc('hour', ts) AS t, "
+            "10.0 + (value - 50.0) / 10.0 AS v FROM events), "
             "cells AS (SELECT t, sid, avg(v) AS v FROM obs WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY t, sid)")
 
 
@@ -14,9 +14,12 @@ def l_cells() -> str:
             "cells AS (SELECT t, sid, avg(v) AS v FROM obs WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY t, sid)")
 
 
-STATIONS = ("stations AS (SELECT sid, 46.40::DOUBLE + ((sid*37) % 1009)::DOUBLE / 10000.0 AS lat, "
-            "11.25::DOUBLE + ((sid*401) % 1009)::DOUBLE / 10000.0 AS lon, "
-            "CASE WHEN sid % 17 = 16 THEN NULL ELSE 200.0::DOUBLE + ((sid*53) % 60)::DOUBLE * 10.0 END AS alt "
+# Coordinates of station {0}: blocks of 24 stations, each in a 0.1 degree square of its own.
+LAT = "46.40::DOUBLE + (({0}*37) % 1009)::DOUBLE / 10000.0 + (({0} // 24) % 100)::DOUBLE / 10.0"
+LON = "11.25::DOUBLE + (({0}*401) % 1009)::DOUBLE / 10000.0 + ({0} // 2400)::DOUBLE * 0.15"
+ALT = "CASE WHEN {0} % 17 = 16 THEN NULL ELSE 200.0::DOUBLE + (({0}*53) % 60)::DOUBLE * 10.0 END"
+
+STATIONS = (f"stations AS (SELECT sid, {LAT.format('sid')} AS lat, {LON.format('sid')} AS lon, {ALT.format('sid')} AS alt "
             "FROM (SELECT DISTINCT sid FROM cells))")
 
 GRID = ("grid AS (SELECT a.t, s.sid, c.v FROM (SELECT DISTINCT t FROM cells) a "
@@ -112,11 +115,11 @@ def completeness_counters_sql(rel: str, level: int) -> str:
 (SELECT count(DISTINCT sid) FILTER (WHERE month_bad) FROM {rel})::BIGINT AS stations_with_flagged_months_lvl{level}"""
 
 
-def greedy_ctes(src: str, vcol: str, prm: SctParams, stct: bool, name: str) -> str:
+def greedy_ctes(src: str, vcol: str, prm: SctParams, stct: bool, name: str, check: str = "true") -> str:
     """The order-dependent scan over ``src(t, sid, <vcol>)`` as a recursive CTE: per
     time, state = (position k, flagged list f, processed list pr), one step per
     station in id order.  Produces ``name(t, sid[, temporal_flag], sct_flag)``.
-    Needs the ``stations`` relation."""
+    Needs the ``stations`` relation; only stations where ``check`` holds are tested."""
     band = (f"list_filter(ns2, lambda x: abs(x.da) >= {prm.min_elev_diff!r} AND abs(x.da) <= {prm.max_elev_diff!r})"
             if stct else "ns2")
     if stct:
@@ -127,11 +130,11 @@ def greedy_ctes(src: str, vcol: str, prm: SctParams, stct: bool, name: str) -> s
     else:
         bg = "list_avg(list_transform(sel, lambda x: vs[x.p]))"
         tcond = ""
-    return f"""{name}_pos AS (SELECT sid, lon, lat, alt, row_number() OVER (ORDER BY sid)::INT AS p FROM stations),
+    return f"""{name}_pos AS (SELECT sid, lon, lat, alt, coalesce({check}, false) AS chk, row_number() OVER (ORDER BY sid)::INT AS p FROM stations),
 {name}_n AS (SELECT count(*)::INT AS s FROM {name}_pos),
-{name}_pr AS (SELECT a.p AS pi, b.p AS pj, b.sid AS sj, sqrt((b.lon - a.lon)^2 + (b.lat - a.lat)^2) AS d,
+{name}_pr AS (SELECT a.p AS pi, a.chk, b.p AS pj, b.sid AS sj, sqrt((b.lon - a.lon)^2 + (b.lat - a.lat)^2) AS d,
        b.alt - a.alt AS da FROM {name}_pos a, {name}_pos b),
-{name}_nb AS (SELECT pi, coalesce(list({{'p': pj, 'd': d, 'da': da}} ORDER BY d, sj)
+{name}_nb AS (SELECT pi, bool_and(chk) AS chk, coalesce(list({{'p': pj, 'd': d, 'da': da}} ORDER BY d, sj)
                             FILTER (WHERE pj <> pi AND d <= {prm.outer_radius!r}), []) AS ns,
               coalesce(list(pj) FILTER (WHERE d <= {prm.inner_radius!r}), []) AS inn FROM {name}_pr GROUP BY pi),
 {name}_tfl AS (SELECT t, sid, {vcol} AS v,
@@ -153,7 +156,7 @@ def greedy_ctes(src: str, vcol: str, prm: SctParams, stct: bool, name: str) -> s
                   false) {tcond}) AS flag
         FROM (SELECT *, list_slice({band}, 1, {prm.num_max}) AS sel
               FROM (SELECT *, NOT skip AND len(ns2) >= {prm.num_min} AS tested
-                    FROM (SELECT s.t, s.vs, s.tf, s.f, s.pr, nb.pi AS i, nb.inn, s.pr[nb.pi] AS skip,
+                    FROM (SELECT s.t, s.vs, s.tf, s.f, s.pr, nb.pi AS i, nb.inn, s.pr[nb.pi] OR NOT nb.chk AS skip,
                                  list_filter(nb.ns, lambda x: NOT s.f[x.p]) AS ns2
                           FROM {name}_scan s JOIN {name}_nb nb ON nb.pi = s.k + 1))))),
 {name}_fin AS (SELECT t, vs, tf, f FROM {name}_scan WHERE k = (SELECT s FROM {name}_n)),

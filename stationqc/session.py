@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -42,7 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
     """Return the checkpoint directory, configuring it from the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that value is
-    used as is.  ``default`` is only applied when nothing is configured (tests).
+    used as is.  Only where nothing is configured, ``default`` (tests) or, in a
+    session of one process, a scratch folder is taken; a cluster session without a
+    setting gets an error, since its executors could not read a local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     target = conf or default
+    if not target and re.match(r"local(\[|$)", sc.master):
+        target = tempfile.mkdtemp(prefix="stationqc-ckpt-")
     if not target:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for checkpoints")
     sc.setCheckpointDir(target)

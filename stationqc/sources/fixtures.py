@@ -1,6 +1,6 @@
 """Adapters that turn the driver's tables into station observations.
 
-``events`` -> hourly observations of K stations (adapter E), ``lineitem`` ->
+``events`` -> hourly observations, one station per user (adapter E), ``lineitem`` ->
 daily observations of the suppliers (adapter L), plus a deterministic station
 dimension.  All of them are lazy projections/aggregations of the given tables,
 so their work grows with the tables.
@@ -17,10 +17,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events_obs(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+def events_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw hourly readings ``(sid, t, v)``; duplicates per hour are left to ``hourly_cells``."""
     ev = read_table(spark, sf_dir, "events")
-    return ev.select((F.col("user_id") % F.lit(k)).alias("sid"),
+    return ev.select(F.col("user_id").alias("sid"),
                      hour_floor("ts").alias("t"),
                      nan_to_null(F.lit(10.0) + (F.col("value") - F.lit(50.0)) / F.lit(10.0)).alias("v"))
 
@@ -33,10 +33,14 @@ def lineitem_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def station_coords(sid) -> dict:
-    """Deterministic coordinates in a 0.1 degree square (fixed formulas of the fixtures)."""
+    """Deterministic coordinates (fixed formulas of the fixtures).  Every block of 24
+    stations has a 0.1 degree square of its own, so the network grows in area and a
+    station's neighbour count stays the same however many stations there are."""
     s = F.col(sid) if isinstance(sid, str) else sid
-    lat = F.lit(46.40) + (s * 37 % 1009).cast("double") / F.lit(10000.0)
-    lon = F.lit(11.25) + (s * 401 % 1009).cast("double") / F.lit(10000.0)
+    lat = F.lit(46.40) + (s * 37 % 1009).cast("double") / F.lit(10000.0) \
+        + (F.floor(s / 24) % 100).cast("double") / F.lit(10.0)
+    lon = F.lit(11.25) + (s * 401 % 1009).cast("double") / F.lit(10000.0) \
+        + F.floor(s / 2400).cast("double") * F.lit(0.15)
     alt = F.when(s % 17 == 16, F.lit(None).cast("double")).otherwise(
         F.lit(200.0) + (s * 53 % 60).cast("double") * F.lit(10.0))
     return {"lat": lat, "lon": lon, "alt": alt}

@@ -13,19 +13,12 @@ from stationqc.functions.columns import epoch_seconds, valid_from_year
 
 CHUNK_HOURS = 1024          # fixed value: readings per request
 DEFAULT_HISTORY_DAYS = 365  # fixed value: default start is now minus this many days
-BROADCAST_MAX_STATIONS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_STATIONS) -> DataFrame:
-    """Broadcast ``df`` only when its row count is within ``max_rows`` (checked)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def attach_station_metadata(obs: DataFrame, stations: DataFrame) -> DataFrame:
-    """Add longitude, latitude, altitude to each reading (station table checked, then broadcast)."""
+    """Add longitude, latitude, altitude to each reading (AQE broadcasts a station table it measures small)."""
     st = stations.select("station_id", "longitude", "latitude", "altitude")
-    return obs.join(bounded_broadcast(st), "station_id", "left")
+    return obs.join(st, "station_id", "left")
 
 
 def high_water_mark(obs: DataFrame, station: str = "station_id", ts: str = "ts") -> DataFrame:

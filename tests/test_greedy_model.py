@@ -123,7 +123,7 @@ def test_scan_by_component_matches_model(spark):
     comps = SP.scan_components(sdf, prm)
     assert comps.select("comp").distinct().count() >= 2
     g = spark.createDataFrame(rows, "t timestamp_ntz, sid long, v double")
-    got = {(r.t, r.sid) for r in SP.sct(g, sdf, prm, plan="general", by_component=True)
+    got = {(r.t, r.sid) for r in SP.sct(g, sdf, prm, plan="general")
            .where(F.col("sct_flag")).collect()}
     expected = set()
     for t in sorted({r[0] for r in rows}):

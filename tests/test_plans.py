@@ -17,19 +17,19 @@ def _plan(df):
 
 
 def test_dense_grid_has_no_product(spark):
-    p = _plan(G.dense_grid(G.hourly_cells(X.events_obs(spark, SF, 8))))
+    p = _plan(G.dense_grid(G.hourly_cells(X.events_obs(spark, SF))))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "Generate" in p    # gap filling by sequence + explode
 
 
 def test_scan_prunes_columns(spark):
-    df = G.hourly_cells(X.events_obs(spark, SF, 8))
+    df = G.hourly_cells(X.events_obs(spark, SF))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
 
 
 def test_buddy_expansion_is_map_side(spark):
-    cells = G.hourly_cells(X.events_obs(spark, SF, 24))
+    cells = G.hourly_cells(X.events_obs(spark, SF))
     df = buddy_check(G.dense_grid(cells), X.station_dim(cells), SEQUENTIAL_BUDDY)
     p = _plan(df)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
@@ -37,14 +37,14 @@ def test_buddy_expansion_is_map_side(spark):
 
 
 def test_completeness_output_implies_input(spark):
-    g = G.dense_grid(G.hourly_cells(X.events_obs(spark, SF, 8))).withColumn("flag", F.col("v").isNotNull())
+    g = G.dense_grid(G.hourly_cells(X.events_obs(spark, SF))).withColumn("flag", F.col("v").isNotNull())
     out = C.completeness_temporal(g, "flag", 0.5, out="out")
     assert out.where(F.col("out") & ~F.col("flag")).count() == 0
     assert out.count() == g.count()
 
 
 def test_sequential_levels_monotone(spark):
-    cells = G.hourly_cells(X.events_obs(spark, SF, 24))
+    cells = G.hourly_cells(X.events_obs(spark, SF))
     g = X.fill_rule(G.dense_grid(cells))
     r = Q.sequential_qc(g, X.station_dim(cells), SEQUENTIAL_SEASON_LIMITS, SEQUENTIAL_BUDDY, SEQUENTIAL_SCT, 0.8)
     s = r.stats.first()
@@ -57,7 +57,7 @@ def test_sequential_levels_monotone(spark):
 
 
 def test_batch_good_within_total(spark):
-    cells = G.hourly_cells(X.events_obs(spark, SF, 24))
+    cells = G.hourly_cells(X.events_obs(spark, SF))
     g = X.fill_rule(G.dense_grid(cells))
     r = Q.batch_qc(g, X.station_dim(cells))
     s = r.stats.first()

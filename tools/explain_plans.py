@@ -32,7 +32,7 @@ def main():
     from stationqc.sources import fixtures as X
 
     spark = get_spark()
-    cells = G.hourly_cells(X.events_obs(spark, sf, 24))
+    cells = G.hourly_cells(X.events_obs(spark, sf))
     grid = G.dense_grid(cells)
     st = X.station_dim(cells)
     gl = G.dense_grid(G.hourly_cells(X.lineitem_obs(spark, sf)))

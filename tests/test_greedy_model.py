@@ -130,3 +130,41 @@ def test_scan_by_component_matches_model(spark):
         vals = {s: v for tt, s, v in rows if tt == t}
         expected |= {(t, s) for s in model(st, vals, {}, prm, False)}
     assert got == expected and len(expected) > 0
+
+
+def test_text_ids_follow_their_own_order(spark):
+    """st-10 comes before st-2: the scan of text ids equals the model on the re-sorted stations."""
+    st, rows = _case(5)
+    st = sorted((f"st-{s[0]}", *s[1:]) for s in st)
+    rows = [(t, f"st-{s}", v) for t, s, v in rows]
+    prm = SctParams(inner_radius=0.015, outer_radius=0.05, num_min=2, num_max=4, pos_threshold=1.0, neg_threshold=1.0)
+    sdf = spark.createDataFrame([(s[0], s[2], s[1], s[3]) for s in st], "sid string, lat double, lon double, alt double")
+    g = spark.createDataFrame(rows, "t timestamp_ntz, sid string, v double")
+    got = {(r.t, r.sid) for r in SP.sct(g, sdf, prm, plan="general").where(F.col("sct_flag")).collect()}
+    expected = set()
+    for t in {r[0] for r in rows}:
+        expected |= {(t, s) for s in model(st, {s: v for tt, s, v in rows if tt == t}, {}, prm, False)}
+    assert got == expected and expected
+
+
+@pytest.mark.parametrize("plan", ["general", "closed"])
+def test_only_checked_stations_are_tested(spark, plan):
+    """Radii over the whole network: the lowest checked station alone is tested, by both plans."""
+    st, rows = _case(7)
+    prm = SctParams(inner_radius=1.0, outer_radius=1.0, num_min=3, num_max=5, pos_threshold=0.2, neg_threshold=0.2)
+    sdf = spark.createDataFrame([(s[0], s[2], s[1], s[3], {4: True, 9: True, 2: None}.get(s[0], False)) for s in st],
+                                "sid long, lat double, lon double, alt double, chk boolean")
+    g = spark.createDataFrame(rows, "t timestamp_ntz, sid long, v double")
+    got = {r.sid for r in SP.sct(g, sdf, prm, plan=plan, to_check="chk").where(F.col("sct_flag")).collect()}
+    assert got == {4}
+
+
+def test_components_of_a_chain(spark):
+    """A chain of stations in shuffled id order is one component, a station apart its own."""
+    ids = list(range(40))
+    random.Random(3).shuffle(ids)
+    sdf = spark.createDataFrame([(s, 46.0, 11.0 + 0.01 * k, 0.0) for k, s in enumerate(ids)] + [(99, 50.0, 11.0, 0.0)],
+                                "sid long, lat double, lon double, alt double")
+    prm = SctParams(inner_radius=0.005, outer_radius=0.0101)
+    got = {r.sid: r.comp for r in SP.scan_components(sdf, prm).collect()}
+    assert got == {**{s: 0 for s in ids}, 99: 99}

@@ -227,3 +227,24 @@ def test_masks_and_levels(spark):
 def test_station_metadata_first_non_null(spark):
     df = spark.createDataFrame([(1, T0, None), (1, T0 + H, 5.0), (1, T0 + 2 * H, 6.0)], "sid long, t timestamp_ntz, alt double")
     assert G.station_metadata(df, cols=("alt",)).first().alt == 5.0
+
+
+@pytest.mark.parametrize("offset", [0.0, 300.0])
+def test_rolling_prefix_sums_match_a_direct_window(spark, offset):
+    """Uneven times, missing values and a stretch of equal values (no z there)."""
+    import random
+    import statistics
+
+    rnd = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    hours = sorted(rnd.sample(range(400), 260))
+    rows = [(t0 + dt.timedelta(hours=h), 1, None if rnd.random() < 0.2 else
+             offset + (5.0 if 100 <= h <= 160 else rnd.gauss(0, 2))) for h in hours]
+    got = {r.t: (r.roll_rows, r.roll_z) for r in T.rolling_zscore(cells(spark, rows), 20, 3.0, 6).collect()}
+    for t, _, v in rows:
+        part = [x for u, _, x in rows if abs((u - t).total_seconds()) <= 10 * 3600]
+        have = [x for x in part if x is not None]
+        sd = statistics.pstdev(have) if have else 0.0
+        z = (v - statistics.fmean(have)) / sd if v is not None and len(part) >= 6 and sd > 0 else None
+        assert got[t][0] == len(part)
+        assert got[t][1] is None if z is None else abs(got[t][1] - z) < 1e-6, (t, got[t], z)

@@ -12,6 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stationqc.operators.grid import drop_empty_stations
 from stationqc.schemas import OBS_FILE, OBS_FILE_COLUMNS, STATION_LIST, STATION_LIST_COLUMNS
 
 LAYERS = ("raw", "processed", "qc")  # fixed values: storage areas
@@ -26,29 +27,37 @@ def read_station_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATION_LIST).option("header", True).csv(path)
 
 
-def write_observation_files(obs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Observation CSVs, one directory per station (time first, fixed columns)."""
+def bucketed(df: DataFrame, station: str, buckets: int) -> DataFrame:
+    """Add ``bucket``, a hash of the station, and rebalance by it: files per bucket, not
+    per station; AQE splits a large bucket over tasks and joins small ones."""
+    b = F.pmod(F.xxhash64(station), F.lit(int(buckets))).cast("int")
+    return df.withColumn("bucket", b).hint("rebalance", "bucket")
+
+
+def write_observation_files(obs: DataFrame, path: str, mode: str = "overwrite", buckets: int = 64) -> None:
+    """Observation CSVs (time first, fixed columns), series in time order inside a file."""
     out = obs.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "temperature", "longitude",
                      "latitude", F.coalesce(F.col("altitude").cast("string"), F.lit("Unknown")).alias("altitude"),
                      F.col("station_id").alias("station_ID"))
-    (out.select(*OBS_FILE_COLUMNS).repartition("station_ID").sortWithinPartitions("ts")   # series in time order
-     .write.mode(mode).option("header", True).partitionBy("station_ID").csv(path))
+    (bucketed(out.select(*OBS_FILE_COLUMNS), "station_ID", buckets).sortWithinPartitions("bucket", "station_ID", "ts")
+     .write.mode(mode).option("header", True).partitionBy("bucket").csv(path))
 
 
 def read_observation_files(spark: SparkSession, path: str) -> DataFrame:
     """All observation CSVs below ``path``; the first column is the time;
     altitude is numeric or NULL ('Unknown' and other text -> NULL)."""
-    raw = spark.read.schema(OBS_FILE).option("header", True).option("recursiveFileLookup", False).csv(path)
+    raw = spark.read.schema(OBS_FILE).option("header", True).option("recursiveFileLookup", True).csv(path)
     return raw.select(F.col("station_ID").alias("station_id"), F.to_timestamp_ntz("ts").alias("ts"),
                       "temperature", "longitude", "latitude", F.col("altitude").try_cast("double").alias("altitude"))
 
 
-def layered_write(df: DataFrame, base: str, layer: str, partition_by=("station_id",), mode: str = "overwrite") -> str:
-    """Write a frame into one of the storage areas, one directory per station."""
+def layered_write(df: DataFrame, base: str, layer: str, station: str = "station_id", buckets: int = 64,
+                  mode: str = "overwrite") -> str:
+    """Write a frame into one of the storage areas, in buckets of stations."""
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
     path = f"{base.rstrip('/')}/{layer}"
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    bucketed(df, station, buckets).sortWithinPartitions("bucket", station).write.mode(mode).partitionBy("bucket").parquet(path)
     return path
 
 
@@ -79,17 +88,34 @@ FLAG_UNITS = {"units": "1", "long_name": "Quality control flag", "flag_values":
               "flag_meanings": "failed_qc passed_qc"}
 
 
+def level_units(column: str) -> dict:
+    """Attributes of a value column: those of its level for ``t_lvlN``."""
+    level = re.fullmatch(r"t_lvl(\d+)", column)
+    if not level:
+        return TEMPERATURE_UNITS
+    return TEMPERATURE_UNITS | {"long_name": f"Air temperature at quality control level {level.group(1)}"}
+
+
 def write_qc_dataset(grid: DataFrame, stats: DataFrame, path: str, value_cols=("v_qc",), flag_cols=("final_good",),
+                     stations: DataFrame | None = None, methods: str = "", drop_empty: str | None = None,
                      title: str = "Quality controlled temperature data", mode: str = "overwrite") -> None:
-    """Values, 0/1 flags and station vectors as Parquet partitioned by month,
-    units / names as column metadata, statistics and title in a one-row table."""
+    """Values and 0/1 flags as Parquet partitioned by month, units / names as column
+    metadata; statistics, methods and title in a one-row table; with ``stations`` the
+    station vectors (id, position, altitude) of the stations in the dataset.
+    ``drop_empty`` names the value column without whose values a station is left out.
+    A dataset of all levels lists every ``t_lvlN`` and its flags."""
+    kept = drop_empty_stations(grid, drop_empty) if drop_empty else grid
     cols = [F.col("t"), F.col("sid")]
-    cols += [F.col(c).alias(c, metadata=TEMPERATURE_UNITS) for c in value_cols]
+    cols += [F.col(c).alias(c, metadata=level_units(c)) for c in value_cols]
     cols += [F.col(c).cast("int").alias(c, metadata=FLAG_UNITS) for c in flag_cols]
-    extra = [c for c in ("lat", "lon", "alt") if c in grid.columns]
-    out = grid.select(*cols, *extra, F.date_format("t", "yyyy-MM").alias("month"))
-    out.write.mode(mode).partitionBy("month").parquet(f"{path}/data")
-    meta = stats.select("*", F.lit(title).alias("title"),
+    out = kept.select(*cols, F.date_format("t", "yyyy-MM").alias("month"))
+    (out.hint("rebalance", "month").sortWithinPartitions("month", "sid", "t")
+     .write.mode(mode).partitionBy("month").parquet(f"{path}/data"))
+    if stations is not None:
+        present = grid.sparkSession.read.parquet(f"{path}/data").select("sid").distinct()
+        (stations.select("sid", "lat", "lon", "alt").join(present, "sid", "left_semi")
+         .write.mode(mode).parquet(f"{path}/stations"))
+    meta = stats.select("*", F.lit(title).alias("title"), F.lit(methods).alias("qc_methods"),
                         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("creation_date"))
     meta.coalesce(1).write.mode(mode).parquet(f"{path}/dataset_meta")
 
@@ -97,9 +123,10 @@ def write_qc_dataset(grid: DataFrame, stats: DataFrame, path: str, value_cols=("
 def write_grid(grid: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The stored time x station grid: Parquet partitioned by month and sorted by
     station and time inside each file, so time slices prune partitions and
-    station predicates skip row groups."""
+    station predicates skip row groups.  The rebalance lets AQE write a large month
+    from many tasks."""
     (grid.withColumn("month", F.date_format("t", "yyyy-MM"))
-     .repartition("month").sortWithinPartitions("sid", "t")
+     .hint("rebalance", "month").sortWithinPartitions("month", "sid", "t")
      .write.mode(mode).partitionBy("month").parquet(path))
 
 

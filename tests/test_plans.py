@@ -43,6 +43,22 @@ def test_completeness_output_implies_input(spark):
     assert out.count() == g.count()
 
 
+def test_completeness_is_aggregated(spark):
+    """No window over station-months: the only window runs over the month table."""
+    g = spark.createDataFrame([], "t timestamp_ntz, sid long, flag boolean")
+    p = C.completeness_temporal(g, "flag", 0.5, out="out")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in p.splitlines() if line.lstrip(" :+-").startswith("Window")]
+    assert windows and all("sid" not in line and "day" not in line for line in windows)
+    assert p.count("Window") >= 1 and "collect_set" not in p
+
+
+def test_selection_queries_build_no_dense_grid(spark):
+    from stationqc.plans.catalog import QUERIES
+
+    for name in ("history_span", "timeframe_label"):
+        assert "Generate" not in _plan(QUERIES[name](spark, SF))
+
+
 def test_sequential_levels_monotone(spark):
     cells = G.hourly_cells(X.events_obs(spark, SF))
     g = X.fill_rule(G.dense_grid(cells))

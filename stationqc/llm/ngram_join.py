@@ -100,6 +100,22 @@ def _hash_piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _mix(poly + (stop - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), first
 
 
+def _hash_long(b: bytes, at: int) -> tuple[np.ndarray, int]:
+    """Hash of the one word at ``at``, of any length, and where it ends: its sum is carried from piece to piece."""
+    total, n = 0, 0
+    while at < len(b):
+        low = _LOWER[np.frombuffer(b, np.uint8, min(PIECE, len(b) - at), at)]
+        space = np.flatnonzero(_SPACE[low])
+        if len(space):
+            low = low[:space[0]]
+        part = int((_BYTE[low] * _UP[:len(low)]).sum(dtype=np.uint64))
+        total = (total + part * pow(int(_ODD), n, 2 ** 64)) % 2 ** 64
+        n, at = n + len(low), at + len(low)
+        if len(space):
+            break
+    return _mix(np.array([total], np.uint64) + np.array([n], np.uint64) * np.uint64(0xD6E8FEB86659FD93)), at
+
+
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hash and document number of every word of some documents."""
     hashes, owner = [], []
@@ -123,8 +139,13 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 stop = at + PIECE - 1
                 while stop > at and not _SPACE[b[stop - 1]]:
                     stop -= 1
-                if stop == at:
-                    raise ValueError(f"a word of more than {PIECE} bytes")
+                if stop == at:                         # a word longer than a piece
+                    flush()
+                    size = 0
+                    h, at = _hash_long(b, at)
+                    hashes.append(h)
+                    owner.append(np.array([d]))
+                    continue
             part = b[at:stop]
             if size + len(part) + 1 > PIECE:
                 flush()

@@ -126,6 +126,18 @@ def test_long_text_is_hashed_piece_by_piece(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, cut))
 
 
+def test_words_longer_than_a_piece(monkeypatch):
+    rng = np.random.default_rng(8)
+    blob = "".join(rng.choice(list("abcXYZ/+é語"), 9000))
+    texts = ["a b " + blob + " c d e f", blob, "x" * 2048, "x" * 2047 + " y", blob + "\t" + blob + "q", "g h i j k l", ""]
+    whole, parts = ngram_join.words(texts), ngram_join.shingles(texts)
+    for piece in (2048, 1000, 7):
+        monkeypatch.setattr(ngram_join, "PIECE", piece)
+        assert all((a == b).all() for a, b in zip(whole, ngram_join.words(texts), strict=True))
+        assert all((a == b).all() for a, b in zip(parts, ngram_join.shingles(texts), strict=True))
+    assert len(whole[0]) == 7 + 1 + 1 + 2 + 2 + 6
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, 200), (200, 300), (7, 7)]
     got = dict(map(tuple, ngram_join.components(spark.createDataFrame(chain, "a long, b long")).collect()))

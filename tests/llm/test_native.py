@@ -196,6 +196,21 @@ def test_pii_formats_and_linkage(spark):
     assert (got[1].n_card, got[1].n_ip, got[1].n_date, got[1].n_phone, got[1].n_ssn, got[1].n_email, got[1].n_secret) == (1, 1, 2, 1, 1, 1, 2)
 
 
+def test_pii_secrets_of_any_length(spark):
+    sizes = (6, 199, 200, 201, 300, 5000)
+    value = lambda n: ("aB3." * n)[:n]
+    rows = [(n, f'token = "{value(n)}", password={value(n)} end', "s") for n in sizes]
+    rows += [(-1, "password=1234567890123456 end", "s"), (-2, "password=" + "7" * 5000 + " end", "s"),
+             (-3, 'token = "2023-02-30" end', "s"), (-4, 'token = "' + "q" * 300, "s")]
+    got = {r.doc_id: r for r in pii.pseudonymize(frame(spark, rows), "k").collect()}
+    for n in sizes:
+        tag = "SECRET_" + hashlib.sha256(f"k|secret|{value(n)}".encode()).hexdigest()[:16]
+        assert got[n].text == f'token = "{tag}", password={tag} end' and got[n].n_secret == 2
+    for i in (-1, -2, -3):
+        assert re.fullmatch(r'(password=|token = ")SECRET_[0-9a-f]{16}"? end', got[i].text) and got[i].n_secret == 1
+    assert got[-4].text == rows[-1][1]                        # no closing quote
+
+
 def test_feistel_is_a_permutation(spark):
     a = F.col("id")
     out = spark.range(12 * 31).select(pii.feistel(a, F.lit(12), F.lit(31), "k", "t").alias("v")).distinct()

@@ -211,6 +211,31 @@ def test_pii_secrets_of_any_length(spark):
     assert got[-4].text == rows[-1][1]                        # no closing quote
 
 
+def test_pii_cards_beside_other_numbers(spark):
+    card, spaced, amex = "4111111111111111", "4111 1111 1111 1111", "3782 822463 10005"
+    cases = [f"{card} 12/27", f"{spaced} 123", f"order 42 {spaced}", f"42-{card}-7", f"{spaced} {spaced} {card}",
+             f"{spaced} 212 555 0187", f"{spaced} 2024-02-29", f"{spaced} 05/06/1999", f"{spaced} 10.0.255.7",
+             f"1 2 3 {amex} 4 5", f"{card} 1234567890123456789012345", f"{spaced} 3rd", f"id {card}0000000000 x"]
+    cases += [f"{n} {spaced} {m}" for n in range(7, 60, 4) for m in (5, 31, 999)]
+    rows = [(i, t, "s") for i, t in enumerate([card, spaced, amex, *cases])]
+    rows.append((-1, "3 " * 100_000 + "x", "s"))               # a long run
+    got = {r.doc_id: r for r in pii.pseudonymize(frame(spark, rows), "k").collect()}
+    new = {t: got[i].text for i, t in enumerate((card, spaced, amex))}
+    assert all(luhn(re.sub(r"\D", "", v)) == 0 and v != t for t, v in new.items())
+    others = {" 212 555 0187": "n_phone", " 2024-02-29": "n_date", " 05/06/1999": "n_date", " 10.0.255.7": "n_ip"}
+    for i, t in enumerate(cases, 3):
+        want = t
+        for old, value in new.items():
+            want = want.replace(old, value) if i < len(rows) - 1 and "0000000000 x" not in t else want
+        for tail, n in others.items():
+            if t.endswith(tail):
+                assert got[i][n] == 1 and not got[i].text.endswith(tail)
+                want = got[i].text if got[i].text.startswith(want[:-len(tail)] + " ") else None
+        assert got[i].text == want, t
+        assert got[i].n_card == sum(t.count(c) for c in new) - t.count(f"{card}0")
+    assert len(got[-1].text) == 200_001
+
+
 def test_feistel_is_a_permutation(spark):
     a = F.col("id")
     out = spark.range(12 * 31).select(pii.feistel(a, F.lit(12), F.lit(31), "k", "t").alias("v")).distinct()

@@ -3,8 +3,8 @@
 A text is the bag of the hashed character 1- to 4-grams of its lower-cased words.
 Each n-gram has an embedding; their mean passes a linear softmax.  Embeddings and
 softmax are trained together by stochastic gradient descent in numpy on a bounded
-sample of the labelled rows (``per_lang`` documents of a language, the smallest by
-a hash of the identifier; whole texts, counted in the tasks, so that one task trains
+sample of the labelled rows (``per_lang`` documents of every language, fewer where
+many languages share ``BUDGET``, the smallest by a hash of the identifier; whole texts, counted in the tasks, so that one task trains
 on count vectors of bounded size and only the model reaches the driver).  A part of the sample is kept back to calibrate:
 a temperature by least log-loss, and the rejection threshold as the confidence
 that all but ``reject_share`` of the kept-back documents exceed.
@@ -32,9 +32,11 @@ from stationqc.llm.blocks import release, released
 BUCKETS = 1 << 14
 DIM = 16
 ORDERS = (1, 2, 3, 4)
-#: Bounds of the training sample: documents of a language, and languages (the most frequent).
+#: Bounds of the training sample: documents of a language, and documents of all, which the languages share.
+#: Every language is learned, from LEAST documents at least, however many there are.
 PER_LANG = 250
-MAX_LANGS = 64
+BUDGET = 16_000
+LEAST = 50
 STEPS = 800                  # updates, as many on a small sample
 BATCH = 32
 RATE = 0.05
@@ -83,16 +85,21 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"rank": pdf["rank"], "lang": pdf["lang"], "at": at, "n": n})
 
 
-def training_sample(labelled: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> DataFrame:
-    """(rank, lang, at, n): sparse counts of at most per_lang x max_langs documents."""
-    langs = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).select("lang")
-    keyed = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(F.broadcast(langs), "lang")
+def share(langs: int, per_lang: int = PER_LANG) -> int:
+    """Documents that each of so many languages gives to the sample."""
+    return min(per_lang, max(LEAST, BUDGET // max(1, langs)))
+
+
+def training_sample(labelled: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
+    """(rank, lang, at, n): sparse counts of at most BUDGET documents, or LEAST of every language if these are more."""
+    per_lang = share(labelled.agg(F.countDistinct("lang")).first()[0], per_lang)
+    keyed = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
     # first the smallest of each of 64 parts of a language, then the smallest of those
     for part in (["lang", F.pmod("h", F.lit(64))], ["lang"]):
         w = Window.partitionBy(*part).orderBy("h", "doc_id")
         keyed = keyed.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= per_lang)
     chosen = keyed
-    # per_lang x max_langs rows at most: a proven bound
+    # at most BUDGET rows, or LEAST of every language
     chosen = chosen.groupBy("doc_id", "lang").agg(F.min("rank").alias("rank"))
     rows = (labelled.join(F.broadcast(chosen), ["doc_id", "lang"])
             .dropDuplicates(["doc_id", "lang"]).select("rank", "lang", "text"))
@@ -165,7 +172,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.filter("lang is not null and text is not null and doc_id is not null")
     kernel = lambda sample: pd.DataFrame({"model": [pickle.dumps(train(sample))]})
-    # a sample of proven bound: one task trains on it, and only the model reaches the driver
+    # a bounded sample: one task trains on it, and only the model reaches the driver
     found = (training_sample(rows, per_lang).groupBy(F.lit(0).alias("all"))
              .applyInPandas(released(kernel), "model binary").collect())
     return pickle.loads(found[0]["model"]) if found else {"langs": []}

@@ -234,6 +234,21 @@ def test_language_id_held_out_accuracy(spark):
     assert np.allclose(again["matrix"], model["matrix"]) and again["langs"] == model["langs"]
 
 
+def test_language_id_learns_every_label(spark):
+    rng = np.random.default_rng(4)
+    langs = [f"l{k:02}" for k in range(80)]
+    names = {v: ["".join(rng.choice(list(string.ascii_lowercase), 6)) for _ in range(12)] for v in langs}
+    rows = [(k * 100 + i, " ".join(rng.choice(names[v], 30)), v) for k, v in enumerate(langs) for i in range(30 + (k < 64))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    learn = docs.filter("doc_id % 100 >= 5")
+    model = langid.fit(learn)
+    assert model["langs"] == langs
+    got = langid.identify(docs.filter("doc_id % 100 < 5"), model).collect()
+    assert np.mean([r.lang_pred == r.lang for r in got]) >= 0.95
+    assert {r.lang_pred for r in got} >= set(langs[64:])
+    assert [langid.share(k) for k in (0, 4, 64, 100, 1000)] == [250, 250, 250, 160, 50]
+
+
 def test_training_stays_finite_on_balanced_samples():
     import pandas as pd
 

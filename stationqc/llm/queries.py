@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stationqc.llm import (ann, chat, exact_dedup, langid, line_dedup, mixing, ngram_join, pieces, pii, sharding)
+from stationqc.llm import (ann, chat, codes, exact_dedup, langid, licenses, line_dedup, mixing, negatives, ngram_join, pieces, pii,
+                          sharding)
 from stationqc.llm.common import read
 
 #: Names of the public vocabularies; ``public_tokenizers.path`` gives their place on every machine.
@@ -62,8 +63,22 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+def op12_licenses(spark, sf_dir):
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark, sf_dir):
+    return codes.compress(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_ngram_join, op3_exact_dedup, op4_ann, op5_sharding, op6_chat,
-                                   op7_pii, op8_langid, op9_line_dedup, op10_mixing)}
+                                   op7_pii, op8_langid, op9_line_dedup, op10_mixing, op11_hard_negatives, op12_licenses, op13_vector_codes)}
 
 # ---- DuckDB SQL -------------------------------------------------------------
 
@@ -178,4 +193,54 @@ tk AS (SELECT rid, any_value(doc_id) AS doc_id,
 
 OP10_SQL = f"WITH sized AS (SELECT doc_id, source, len({_WORDS}) AS size FROM documents),{mix_sql('sized', 'mixed')} SELECT * FROM mixed"
 
-ORACLE = {"op3_exact_dedup": OP3_SQL, "op5_sharding": _op5_sql(), "op9_line_dedup": OP9_SQL, "op10_mixing": OP10_SQL}
+_WHOLE = """coalesce(len(list_filter(embedding, lambda v: v IS NULL OR isnan(v) OR isinf(v))) = 0, false)"""
+
+OP11_SQL = f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda v: floor({negatives.SCALE} * v::DOUBLE)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND {_WHOLE}),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS kin, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM k a JOIN k b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE kin
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {negatives.POSITIVES})
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT kin AND {negatives.LOW} * positive_score <= 100 * score AND 100 * score <= {negatives.HIGH} * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= {negatives.NEGATIVES}
+"""
+
+
+def _op13_sql() -> str:
+    c = codes
+    nearest = ("SELECT p.i, p.part, arg_min(b.e, (list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, b.x) + "
+               "list_inner_product(b.x, b.x), b.e)) AS e FROM p JOIN {book} b USING (part) GROUP BY p.i, p.part")
+    rounds = "".join(f"""
+a{r} AS MATERIALIZED ({nearest.format(book=f"b{r}")}),
+b{r + 1} AS MATERIALIZED (
+  SELECT part, e, coalesce(n.x, b.x) AS x FROM b{r} b LEFT JOIN (
+    SELECT part, e, list(v ORDER BY j) AS x FROM (
+      SELECT part, e, j, floor(sum(v) / count(*)) AS v FROM (
+        SELECT part, e, unnest(x) AS v, unnest(range(len(x))) AS j FROM a{r} JOIN p USING (i, part)) GROUP BY part, e, j)
+    GROUP BY part, e) n USING (part, e)),""" for r in range(c.ROUNDS))
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, label, list_transform(embedding, lambda v: floor({c.SCALE} * v::DOUBLE)) AS x
+  FROM embeddings WHERE {_WHOLE}),
+p AS MATERIALIZED (SELECT i, part, x[part * (len(x) // {c.PARTS}) + 1:(part + 1) * (len(x) // {c.PARTS})] AS x
+  FROM (SELECT i, x, unnest(range({c.PARTS})) AS part FROM k)),
+b0 AS MATERIALIZED (SELECT part, i - 1 AS e, x FROM p WHERE i <= {c.ENTRIES}),{rounds}
+z AS MATERIALIZED ({nearest.format(book=f"b{c.ROUNDS}")}),
+r AS (SELECT i, string_agg(printf('%02x', e), '' ORDER BY part) AS code,
+             sum(list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, b.x) + list_inner_product(b.x, b.x))::BIGINT AS error
+      FROM z JOIN p USING (i, part) JOIN b{c.ROUNDS} b USING (part, e) GROUP BY i)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda v: v::BIGINT), ','), ',' ORDER BY part, e)) FROM b{c.ROUNDS})
+         AS codebooks_sha256
+FROM r JOIN k USING (i)
+"""
+
+
+ORACLE = {"op3_exact_dedup": OP3_SQL, "op5_sharding": _op5_sql(), "op9_line_dedup": OP9_SQL, "op10_mixing": OP10_SQL,
+          "op11_hard_negatives": OP11_SQL, "op12_licenses": licenses.SQL, "op13_vector_codes": _op13_sql()}

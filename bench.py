@@ -36,7 +36,7 @@ def main():
     from stationqc.params import BATCH_SCT, GREEDY, SEQUENTIAL_BUDDY, SEQUENTIAL_SCT, SEQUENTIAL_SEASON_LIMITS
     from stationqc.plans import qc as Q
     from stationqc.plans.q_plans import BATCH_BUDDY_F, BATCH_LIMITS
-    from stationqc.session import ensure_checkpoint_dir, get_spark
+    from stationqc.session import cut_lineage, ensure_checkpoint_dir, get_spark
     from stationqc.sources import fixtures as X
     from stationqc.sources.files import read_grid, write_grid
 
@@ -88,7 +88,9 @@ def main():
 
     def q_completeness():
         g = grid_l().withColumn("flag", F.col("v").isNotNull())
-        C.completeness_stats(C.completeness_temporal(g, "flag", 0.2, out="out"), out="out").collect()
+        per_day = cut_lineage(C.station_days(g, "flag", 0.2))
+        run(C.completeness_temporal(g, "flag", 0.2, out="out", per_day=per_day))
+        C.completeness_stats(per_day, out=True).collect()
 
     def q_rolling():
         run(T.rolling_zscore(grid_e(), 720, 3.0, 300))

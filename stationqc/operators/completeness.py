@@ -54,11 +54,12 @@ def station_days(grid: DataFrame, flag: str, p: float) -> DataFrame:
     month_bad = F.col("guard") & (F.col("valid_days") / F.col("expected") < F.lit(p))
     by_month = valid.join(F.broadcast(months), "mk").select("sid", "mk", month_bad.alias("month_bad"))
     day_bad = F.col("n_good") / F.lit(float(EXPECTED_PER_DAY)) < F.lit(p)
-    return (days.select("sid", "day", "mk", day_bad.alias("day_bad")).join(by_month, ["sid", "mk"])
-            .select("sid", "day", "mk", "day_bad", "month_bad"))
+    return (days.select("sid", "day", "mk", "n_good", day_bad.alias("day_bad")).join(by_month, ["sid", "mk"])
+            .select("sid", "day", "mk", "n_good", "day_bad", "month_bad"))
 
 
-def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "complete") -> DataFrame:
+def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "complete",
+                          per_day: DataFrame | None = None) -> DataFrame:
     """D12 on a dense grid with a non-null boolean ``flag`` column.
 
     Adds ``day``, ``mk``, ``day_bad`` (D10), ``month_bad`` (D11) and ``out`` = flag and
@@ -68,28 +69,25 @@ def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "comp
       days with any good flag / expected < p -> bad; expected = min(days in
       month, whole days between the month's first and last axis time + 1).
     ``grid`` is read twice (station-days, then the cells): give a stored table or a
-    checkpoint where it is costly to derive.
+    checkpoint where it is costly to derive.  ``per_day`` is the ``station_days`` of the
+    grid where the caller has them already.
     """
-    per_day = station_days(grid, flag, p)
-    g = grid.withColumn("day", F.to_date("t")).join(per_day, ["sid", "day"])
+    per_day = station_days(grid, flag, p) if per_day is None else per_day
+    g = grid.withColumn("day", F.to_date("t")).join(per_day.drop("n_good"), ["sid", "day"])
     return (g.withColumn(out, F.col(flag) & ~F.col("day_bad") & ~F.col("month_bad"))
             .select(*[F.col(c) for c in grid.columns if c != out], "day", "mk", "day_bad", "month_bad", out))
 
 
-def completeness_stats(flagged: DataFrame, out: str | None = None) -> DataFrame:
-    """The four counters of D12 from the output of ``completeness_temporal``.
+def completeness_stats(per_day: DataFrame, out: bool = False) -> DataFrame:
+    """The four counters of D12 from the output of ``station_days``: no cell is read again.
 
-    Station-days nest in station-months, so one aggregate per (sid, day), one per
-    (sid, month) and one per sid reduce the grid step by step (each a partial
-    aggregate before its shuffle).  With ``out`` the count of true output flags
-    is added as ``n_out``.
+    Station-days nest in station-months and these in stations, each step a partial
+    aggregate before its shuffle.  With ``out`` the good flags of days that are not bad,
+    in months that are not bad, are added as ``n_out`` (the true output flags).
     """
-    o = F.col(out).cast("long") if out else F.lit(0).cast("long")
-    per_sd = flagged.groupBy("sid", "mk", "day").agg(
-        F.max(F.col("day_bad").cast("int")).alias("db"), F.max(F.col("month_bad").cast("int")).alias("mb"),
-        F.sum(o).alias("no"))
-    per_sm = per_sd.groupBy("sid", "mk").agg(F.sum("db").alias("nd"), F.max("mb").alias("mb"),
-                                             F.sum("no").alias("no"))
+    o = F.when(~F.col("day_bad") & ~F.col("month_bad"), F.col("n_good")).otherwise(0)
+    per_sm = per_day.groupBy("sid", "mk").agg(F.count_if("day_bad").alias("nd"), F.max(F.col("month_bad").cast("int")).alias("mb"),
+                                              F.sum(o).alias("no"))
     per_s = per_sm.groupBy("sid").agg(F.sum("nd").alias("nd"), F.sum("mb").alias("nm"), F.sum("no").alias("no"))
     res = per_s.agg(
         F.coalesce(F.sum("nd"), F.lit(0)).cast("long").alias("days_flagged"),

@@ -122,11 +122,11 @@ def dense_slice(cells: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def timeframe(grid: DataFrame, start=None, end=None) -> DataFrame:
-    """Label of a selection (``yyyyMMdd_yyyyMMdd``) or of the full range (with hours)."""
+    """Label of a selection (``yyyyMMdd_yyyyMMdd``; no row if nothing is selected) or
+    of the full range (with hours)."""
     if start is not None and end is not None:
-        return grid.sparkSession.range(1).select(
-            timeframe_label(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), False)
-            .alias("label"))
+        label = timeframe_label(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), False)
+        return slice_time(grid, start, end).agg(F.min("t").alias("t")).where(F.col("t").isNotNull()).select(label.alias("label"))
     return grid.agg(timeframe_label(F.min("t"), F.max("t"), True).alias("label"))
 
 

@@ -12,11 +12,12 @@ Two plans:
   the lowest station id is tested at each time and its neighbour set is the
   same for every time.  This is one static neighbour list (a distributed
   top-k), one join and one hash aggregate by time -- plain SQL.
-* **General scan** otherwise: the network is split into the connected components
-  of its static neighbour graph, and blocks of times of one component are scanned
-  by a numpy kernel in a cogroup with the component's pair list.  The scan is
-  sequential over a component's stations by definition; the times of a block go
-  through each of its steps together.
+* **General scan** otherwise, in one of two forms with the same result.  A network
+  whose connected components (of the static neighbour graph) are small is scanned by
+  component: blocks of times of one component go through a numpy kernel in a cogroup
+  with the component's pair list.  With a component beyond ``SCAN_STATIONS`` the
+  scan runs as dependency rounds (``spatial_rounds``), joins and aggregates in which
+  no task holds a component.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from stationqc.functions.columns import epoch_seconds
 from stationqc.operators.geo import _pairs, project
+from stationqc.operators.spatial_rounds import sct_rounds, testable
 from stationqc.operators.temporal import temporal_step
 from stationqc.params import SctParams
 from stationqc.session import cut_lineage
@@ -114,6 +116,7 @@ def sct_closed_form(grid: DataFrame, stations: DataFrame, prm: SctParams, stct:
 
 # ------------------------------------------------------------------ general scan
 GROUP_CELLS = 400_000   # cells of one scan group: as many whole times of a component as fit, at least one
+SCAN_STATIONS = 2_000   # stations of a component that one scan group may hold
 
 
 def _links(stations: DataFrame, prm: SctParams) -> DataFrame:
@@ -164,6 +167,12 @@ def scan_components(stations: DataFrame, prm: SctParams, links: DataFrame | None
     return stations.select("sid").join(low, "sid", "left").select("sid", F.coalesce("comp", "sid").alias("comp"))
 
 
+def scan_levels(stations: DataFrame, prm: SctParams, to_check: str | None = None) -> DataFrame:
+    """``(sid, level)``: the dependency round that settles each station that can be tested."""
+    links = cut_lineage(_links(stations, prm).select("i", "j", "dist", "da"))
+    return testable(stations, links, prm, to_check)[0].select("sid", "level")
+
+
 def neighbour_arrays(links: pd.DataFrame, n: int, prm: SctParams):
     """Flat arrays of one component's pair list: the outer neighbours of position k are
     ``pos[start[k]:start[k + 1]]`` by (distance, id), likewise the inner ones."""
@@ -218,19 +227,27 @@ def greedy_scan(v, present, tflag, arrays, checked, prm: SctParams, stct: bool):
 
 
 def sct_general(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool = False, v: str = "v",
-                to_check: str | None = None) -> DataFrame:
-    """General scan.  One group holds some times of one component (``GROUP_CELLS``
+                to_check: str | None = None, plan: str = "general") -> DataFrame:
+    """General scan: ``plan`` 'scan' (by component), 'rounds', or 'general' for the one that fits.
+
+    By component, one group holds some times of one component (``GROUP_CELLS``
     cells, at least one whole time, which is the exact unit of the scan): its narrow
     cells are cogrouped with the component's pair list, which so travels once per
     group instead of once per cell.  Station ids of any orderable type: positions in
     id order stand for them inside the scan.  ``to_check`` names a boolean column of
     ``stations``: only those stations are tested (the others still serve as
     neighbours)."""
+    links = cut_lineage(_links(stations, prm).select("i", "j", "dist", "da"))
+    if plan == "rounds":
+        return sct_rounds(grid, stations, links, prm, stct, v, to_check)
+    comps = scan_components(stations, prm, links)
+    if plan == "general":
+        largest = comps.groupBy("comp").count().agg(F.max("count")).first()[0]
+        if largest and largest > SCAN_STATIONS:
+            return sct_rounds(grid, stations, links, prm, stct, v, to_check)
     g = grid
     if stct:
         g = temporal_step(g, prm.temporal_threshold, v=v, out="temporal_flag").drop("v_prev", "v_next")
-    links = cut_lineage(_links(stations, prm).select("i", "j", "dist", "da"))
-    comps = scan_components(stations, prm, links)
     checked = F.coalesce(F.col(to_check), F.lit(False)) if to_check else F.lit(True)
     comps = comps.join(stations.select("sid", checked.alias("checked")), "sid")
     by_comp = Window.partitionBy("comp")
@@ -272,8 +289,9 @@ def sct_general(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool
 
 def sct(grid: DataFrame, stations: DataFrame, prm: SctParams, stct: bool = False, v: str = "v",
         plan: str = "auto", to_check: str | None = None) -> DataFrame:
-    """Dispatch: closed form when the radii cover the whole network, else the scan."""
-    summary = network_summary(stations, prm, to_check) if plan != "general" else None
+    """Dispatch: closed form when the radii cover the whole network, else the scan
+    (``plan`` 'closed', 'general', 'scan' or 'rounds' asks for a form)."""
+    summary = network_summary(stations, prm, to_check) if plan in ("auto", "closed") else None
     if plan == "closed" or (plan == "auto" and covers_all(stations, prm, summary)):
         return sct_closed_form(grid, stations, prm, stct, v, summary, to_check)
-    return sct_general(grid, stations, prm, stct, v, to_check)
+    return sct_general(grid, stations, prm, stct, v, to_check, "general" if plan == "auto" else plan)

@@ -31,21 +31,38 @@ def temporal_step(grid: DataFrame, thr: float, v: str = "v", out: str = "step_su
 
 
 def rolling_zscore(grid: DataFrame, window_hours: int = 720, thr: float = 3.0, min_samples: int = 720,
-                   v: str = "v") -> DataFrame:
+                   v: str = "v", block_hours: int | None = None) -> DataFrame:
     """Centred window [t - W//2 h, t + W//2 h], both ends inclusive, self included.
 
     Needs >= min_samples axis rows (missing rows count); z = (v - mean)/std with
     the mean and population std of the non-missing values; bad when |z| > thr.
     Adds ``roll_rows``, ``roll_z`` and ``roll_good``.
+
+    With ``block_hours`` (half the window at least) a station's axis is cut into blocks
+    of that many hours.  A cell goes to its own block and, within half a window of an
+    edge, as a halo to the block behind it; the windows of a block's own cells so lie
+    within the block and its halos.  A long history is spread over tasks by block, and
+    running sums are as long as a block, whatever the length of the history.
     """
     half = int(window_hours) // 2 * 3600
-    by_sid = Window.partitionBy("sid")
-    run = by_sid.orderBy("_sec")
+    keys = ["sid"]
+    g = grid.withColumn("_sec", epoch_seconds("t"))
+    if block_hours is not None:
+        size = int(block_hours) * 3600
+        if size < half or size <= 0:
+            raise ValueError("a block has to hold half a window")
+        keys.append("_block")
+        own = F.floor(F.col("_sec") / F.lit(size)).cast("long")
+        at = F.col("_sec") - own * F.lit(size)
+        homes = F.array(own, F.when(at < F.lit(half), own - 1), F.when(at >= F.lit(size - half), own + 1))
+        g = (g.withColumn("_own", own).withColumn("_block", F.explode(F.array_compact(homes))))
+    by_key = Window.partitionBy(*keys)
+    run = by_key.orderBy("_sec")
     upto = run.rangeBetween(Window.unboundedPreceding, half)
     before = run.rangeBetween(Window.unboundedPreceding, -half - 1)
-    # running sums up to both window edges, linear in the cells; centred on the
-    # station's mean so that the squares stay small
-    g = spread(grid, "sid").withColumn("_sec", epoch_seconds("t")).withColumn("_c", F.avg(v).over(by_sid))
+    # running sums up to both window edges, linear in the cells; centred on the mean of
+    # the station (or block) so that the squares stay small
+    g = spread(g, *keys).withColumn("_c", F.avg(v).over(by_key))
     x = F.col(v) - F.col("_c")
     sums = F.struct(F.count(F.lit(1)).over(upto).alias("rows"), F.count(v).over(upto).alias("n"),
                     F.coalesce(F.sum(x).over(upto), F.lit(0.0)).alias("s1"),
@@ -54,6 +71,8 @@ def rolling_zscore(grid: DataFrame, window_hours: int = 720, thr: float = 3.0, m
                     F.coalesce(F.sum(x).over(before), F.lit(0.0)).alias("s1"),
                     F.coalesce(F.sum(x * x).over(before), F.lit(0.0)).alias("s2"))
     g = g.withColumn("_a", sums).withColumn("_b", less)
+    if block_hours is not None:
+        g = g.where(F.col("_block") == F.col("_own")).drop("_block", "_own")
     part = {k: F.col(f"_a.{k}") - F.col(f"_b.{k}") for k in ("rows", "n", "s1", "s2")}
     mean = part["s1"] / F.nullif(part["n"], F.lit(0))
     var = part["s2"] / F.nullif(part["n"], F.lit(0)) - mean * mean
@@ -107,9 +126,9 @@ def seasonal_zscore(grid: DataFrame, clim: DataFrame, thr: float = 3.0, min_samp
 
 
 def long_term_check(grid: DataFrame, window_hours: int = 720, seasonal_window_hours: float = 360.0,
-                    thr: float = 3.0, min_samples: int = 720, v: str = "v") -> DataFrame:
+                    thr: float = 3.0, min_samples: int = 720, v: str = "v", block_hours: int | None = None) -> DataFrame:
     """good = rolling good and seasonal good, all stations at once."""
-    r = rolling_zscore(grid, window_hours, thr, min_samples, v)
+    r = rolling_zscore(grid, window_hours, thr, min_samples, v, block_hours)
     clim = climatology(grid, seasonal_window_hours / 24.0, v)
     s = seasonal_zscore(r, clim, thr, min_samples, v)
     return s.withColumn("lt_good", F.col("roll_good") & F.col("seas_good"))

@@ -120,8 +120,7 @@ SELECT (SELECT count(*) FROM sd WHERE db)::BIGINT AS days_flagged,
        (SELECT count(*) FROM comp WHERE out)::BIGINT AS n_out""")
 def q_completeness_stats(spark, sf):
     g = grid_l(spark, sf).withColumn("flag", F.col("v").isNotNull())
-    c = C.completeness_temporal(g, "flag", 0.2, out="out")
-    return C.completeness_stats(c, out="out")
+    return C.completeness_stats(C.station_days(g, "flag", 0.2), out=True)
 
 
 @register("all_true_completeness", f"""WITH {e_cells()}, {GRID},
@@ -173,12 +172,12 @@ def q_time_slice(spark, sf):
 @register("timeframe_label", f"""WITH {e_cells()}, {GRID}
 SELECT 'full' AS kind, strftime(min(t), '%Y%m%d_%H%M') || '_' || strftime(max(t), '%Y%m%d_%H%M') AS label FROM grid
 UNION ALL
-SELECT 'selection' AS kind, '20240110_20240120' AS label""")
+SELECT 'selection' AS kind, '20240110_20240120' AS label FROM grid
+WHERE t BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 23:00:00' HAVING count(*) > 0""")
 def q_timeframe_label(spark, sf):
     g = cells_e(spark, sf)   # the first and last cell are those of the dense grid
     full = G.timeframe(g).select(F.lit("full").alias("kind"), "label")
-    sel = G.timeframe(G.slice_time(g, "2024-01-10 00:00:00", "2024-01-20 23:00:00"),
-                      "2024-01-10 00:00:00", "2024-01-20 23:00:00")
+    sel = G.timeframe(g, "2024-01-10 00:00:00", "2024-01-20 23:00:00")
     return full.unionByName(sel.select(F.lit("selection").alias("kind"), "label"))
 
 

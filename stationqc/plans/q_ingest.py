@@ -7,14 +7,20 @@ become measurement payloads), so every query grows with the tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from stationqc.functions.columns import epoch_seconds
 from stationqc.operators import grid as G
 from stationqc.plans.catalog import cells_e, r4, register
 from stationqc.plans.sqlfix import ALT, GRID, LAT, LON, e_cells
 from stationqc.sources import fixtures as X
 from stationqc.sources import ingest as I
 from stationqc.sources import payloads as P
+from stationqc.sources import series as Se
+from stationqc.session import ensure_checkpoint_dir
+from stationqc.streaming import ingest as S
 
 NOW = "2024-02-01 00:00:00"
 START = "2024-01-10 00:00:00"
@@ -244,3 +250,103 @@ def q_outer_product(spark, sf):
     g = G.outer_product(c, values=["v", "v2"])
     return g.groupBy("sid").agg(F.count(F.lit(1)).cast("long").alias("n_cells"), F.count("v").cast("long").alias("n_v"),
                                 F.count("v2").cast("long").alias("n_v2"), r4(F.max("v2")).alias("max_v2"))
+
+
+# ---------------------------------------------------------------- keyed series, rejects, stream
+def damaged_documents(spark, sf, chunk=CHUNK):
+    """Measurement documents of the event readings, some of them damaged by rule: cut off,
+    with a key that is no number, or with a text where the reading belongs."""
+    hour = F.floor(epoch_seconds("t") / 3600).cast("long")
+    c = cells_e(spark, sf).select("sid", hour.alias("h"), "v", F.floor(hour / F.lit(chunk)).cast("long").alias("window"))
+    key = F.concat(F.when((F.col("h") + F.col("sid")) % 97 == 0, "x").otherwise(""), (F.col("h") * 3600).cast("string"))
+    value = F.when((F.col("h") * 3 + F.col("sid")) % 89 == 0, F.lit('["n/a"]')).otherwise(F.concat(F.lit("["), F.col("v").cast("string"), F.lit("]")))
+    docs = c.groupBy("sid", "window").agg(F.array_join(F.collect_list(F.concat(F.lit('"'), key, F.lit('":'), value)), ",").alias("body"))
+    doc = F.concat(F.lit('{"station_id":"st-'), F.col("sid").cast("string"), F.lit('","body":{'), F.col("body"), F.lit("}}"))
+    cut = (F.col("sid") * 7 + F.col("window")) % 13 == 0
+    docs = docs.select("window", cut.alias("cut"), doc.alias("doc"))
+    return docs.select("window", F.when(F.col("cut"), F.left("doc", F.length("doc") - 3)).otherwise(F.col("doc")).alias("value"))
+
+
+_DAMAGED = f"""entry AS (SELECT sid, t, v, epoch(t)::BIGINT // 3600 AS h, (epoch(t)::BIGINT // 3600) // {CHUNK} AS w FROM cells),
+judged AS (SELECT *, CASE WHEN (sid * 7 + w) % 13 = 0 THEN 'bad_json' WHEN (h + sid) % 97 = 0 THEN 'bad_epoch'
+           WHEN (h * 3 + sid) % 89 = 0 THEN 'bad_value' ELSE 'accepted' END AS fate FROM entry)"""
+
+
+@register("measure_rejects", f"""WITH {e_cells()}, {_DAMAGED}
+SELECT fate, count(*)::BIGINT AS n, count(DISTINCT sid)::BIGINT AS n_stations FROM judged WHERE fate <> 'bad_json' GROUP BY fate
+UNION ALL SELECT 'bad_json', count(DISTINCT (sid, w))::BIGINT, 0::BIGINT FROM judged WHERE fate = 'bad_json' HAVING count(*) > 0""")
+def q_measure_rejects(spark, sf):
+    """Landed entries by what becomes of them; a document that is cut off is one entry."""
+    entries = P.measure_entries(damaged_documents(spark, sf), "value", station_col=None)
+    return entries.groupBy(F.coalesce("reason", F.lit("accepted")).alias("fate")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("station_id").alias("n_stations"))
+
+
+EARLY = "2024-01-04 00:00:00"
+
+
+def merged_deliveries(spark, sf):
+    """The event readings in three deliveries (the second one repeated) merged into a keyed table."""
+    o = cells_e(spark, sf).select("sid", F.concat(F.lit("st-"), F.col("sid").cast("string")).alias("station_id"),
+                                  F.col("t").alias("ts"), F.col("v").alias("temperature"))
+    table = Se.SeriesTable(f"{ensure_checkpoint_dir(spark)}/series-{uuid.uuid4().hex}", buckets=2, period="yyyy-MM-dd")
+    first = o.where(F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz"))
+    second = o.where((F.col("ts") >= F.lit(OVERLAP).cast("timestamp_ntz")) & (F.col("sid") % 5 == 0)) \
+        .withColumn("temperature", F.col("temperature") + 1)
+    late = o.where((F.col("ts") < F.lit(EARLY).cast("timestamp_ntz")) & (F.col("sid") % 7 == 1)) \
+        .withColumn("temperature", F.col("temperature") - 0.5)
+    for delivery, rows in ((0, first), (1, second), (1, second), (2, late)):
+        Se.upsert_series(spark, table, rows, delivery)
+    return table
+
+
+_DELIVERIES = f"""delivered AS (
+SELECT 0 AS d, 'st-' || sid AS station_id, t AS ts, v AS temperature FROM cells WHERE t < TIMESTAMP '{SPLIT}'
+UNION ALL SELECT 1, 'st-' || sid, t, v + 1.0 FROM cells WHERE t >= TIMESTAMP '{OVERLAP}' AND sid % 5 = 0
+UNION ALL SELECT 2, 'st-' || sid, t, v - 0.5 FROM cells WHERE t < TIMESTAMP '{EARLY}' AND sid % 7 = 1)"""
+
+
+@register("series_upsert", f"""WITH {e_cells()}, {_DELIVERIES}
+SELECT station_id, ts, round(arg_max(temperature, d), 4) AS temperature, max(d)::BIGINT AS delivery FROM delivered GROUP BY station_id, ts""")
+def q_series_upsert(spark, sf):
+    """The keyed table after three deliveries, read without grouping."""
+    rows = Se.read_series(spark, merged_deliveries(spark, sf))
+    return rows.select("station_id", "ts", r4("temperature").alias("temperature"), "delivery")
+
+
+@register("upsert_partitions", f"""WITH {e_cells()}, {_DELIVERIES},
+placed AS (SELECT *, ts::DATE AS day, ('0x' || substr(md5(station_id), 1, 8))::BIGINT % 2 AS bucket FROM delivered),
+hit AS (SELECT DISTINCT d, day, bucket FROM placed),
+held AS (SELECT DISTINCT h.d, h.day, h.bucket, p.station_id, p.ts FROM hit h JOIN placed p ON p.day = h.day AND p.bucket = h.bucket AND p.d <= h.d)
+SELECT d::BIGINT AS delivery, count(DISTINCT (day, bucket))::BIGINT AS n_partitions, count(*)::BIGINT AS n_rows FROM held GROUP BY d""")
+def q_upsert_partitions(spark, sf):
+    """Partitions that each delivery rewrote, and the rows they hold since; the repeated delivery rewrote none."""
+    done = Se.read_manifest(spark, merged_deliveries(spark, sf))
+    return done.where("period IS NOT NULL").groupBy("delivery").agg(F.count(F.lit(1)).alias("n_partitions"), F.sum("n_rows").alias("n_rows"))
+
+
+@register("ingest_marks", f"""WITH {e_cells()}, {_DELIVERIES},
+known AS (SELECT a.*, (SELECT max(b.ts) FROM delivered b WHERE b.station_id = a.station_id AND b.d < a.d) AS mark FROM delivered a)
+SELECT station_id, CASE WHEN year(max(ts)) >= 2020 THEN max(ts) END AS mark, count(*)::BIGINT AS n_delivered,
+       count(*) FILTER (WHERE ts <= mark)::BIGINT AS n_late, count(DISTINCT ts)::BIGINT AS hours,
+       (epoch(max(ts))::BIGINT - epoch(min(ts))::BIGINT) // 3600 + 1 - count(DISTINCT ts)::BIGINT AS gap_hours
+FROM known GROUP BY station_id""")
+def q_ingest_marks(spark, sf):
+    """Marks, late rows and gaps per station from the state that the deliveries advanced."""
+    return Se.read_marks(spark, merged_deliveries(spark, sf))
+
+
+@register("incremental_ingest", f"""WITH {e_cells()}, {_DAMAGED}
+SELECT 'st-' || sid AS station_id, count(*)::BIGINT AS n_hours, min(t) AS first_ts, max(t) AS last_ts,
+       round(min(v), 4) AS lowest, round(max(v), 4) AS highest FROM judged WHERE fate = 'accepted' GROUP BY sid""")
+def q_incremental_ingest(spark, sf):
+    """Two landings of documents, damaged ones among them, each taken up by a run of the stream."""
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    table = Se.SeriesTable(f"{base}/series", buckets=2, period="yyyy-MM-dd")
+    docs = damaged_documents(spark, sf)
+    for part in (0, 1):
+        docs.where(F.col("window") % 2 == part).select("value").write.mode("append").text(f"{base}/landing")
+        S.start_series_ingest(spark, f"{base}/landing", table, f"{base}/rejects", f"{base}/progress").awaitTermination()
+    return Se.read_series(spark, table).groupBy("station_id").agg(
+        F.count(F.lit(1)).alias("n_hours"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        r4(F.min("temperature")).alias("lowest"), r4(F.max("temperature")).alias("highest"))

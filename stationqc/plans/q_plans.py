@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from stationqc.operators import grid as G
@@ -14,6 +16,7 @@ from stationqc.plans.catalog import cells_e, grid_e, grid_f, register
 from stationqc.plans.sqlfix import (FGRID, GRID, STATIONS, buddy_ctes, completeness_counters_sql,
                                     completeness_sql, e_cells, greedy_ctes, proj_cte, sct_closed_ctes,
                                     seasonal_good_sql)
+from stationqc.session import ensure_checkpoint_dir
 from stationqc.sources import fixtures as X
 
 BATCH_LIMITS = dict(BATCH_SEASON_LIMITS, DJF=(6.0, 18.0))
@@ -139,14 +142,16 @@ def q_level_stats(spark, sf):
 
 @register("level_report", f"""WITH {_SEQ_CTES},
 tot AS (SELECT count(*) AS n FROM l3),
-lv AS (SELECT 't_lvl0' AS level, count(t_lvl0) AS valid FROM l3 UNION ALL SELECT 't_lvl1', count(t_lvl1) FROM l3
-       UNION ALL SELECT 't_lvl2', count(t_lvl2) FROM l3 UNION ALL SELECT 't_lvl3', count(t_lvl3) FROM l3)
-SELECT level, valid::BIGINT AS valid, round(100.0 * valid / (SELECT n FROM tot), 2) AS pct FROM lv""")
+long AS (SELECT sid, t, 't_lvl0' AS level, t_lvl0 AS v FROM l3 UNION ALL SELECT sid, t, 't_lvl1', t_lvl1 FROM l3
+       UNION ALL SELECT sid, t, 't_lvl2', t_lvl2 FROM l3 UNION ALL SELECT sid, t, 't_lvl3', t_lvl3 FROM l3)
+SELECT level, count(v)::BIGINT AS valid, round(100.0 * count(v) / (SELECT n FROM tot), 2) AS pct, count(DISTINCT t)::BIGINT AS n_times,
+       count(DISTINCT sid)::BIGINT AS n_stations, count(DISTINCT CASE WHEN v IS NOT NULL THEN sid END)::BIGINT AS stations_with_values
+FROM long GROUP BY level""")
 def q_level_report(spark, sf):
-    return Q.level_report(_seq(spark, sf).stats)
+    return Q.level_report(_seq(spark, sf))
 
 
-@register("overlay_level", f"""WITH {_SEQ_CTES},
+_OVERLAY_CTES = f"""{_SEQ_CTES},
 r0 AS (SELECT *, count(*) OVER w AS roll_rows, avg(t_lvl3) OVER w AS m, stddev_pop(t_lvl3) OVER w AS s
        FROM l3 WINDOW w AS (PARTITION BY sid ORDER BY t RANGE BETWEEN INTERVAL 360 HOURS PRECEDING
        AND INTERVAL 360 HOURS FOLLOWING)),
@@ -158,13 +163,30 @@ clim AS (SELECT g2.sid, tg.doy_t AS doy, count(*) AS clim_rows, sum(g2.v) / null
          stddev_pop(g2.v) AS clim_std FROM targets tg JOIN g2
          ON least(abs(g2.doy - tg.doy_t), 366 - abs(g2.doy - tg.doy_t)) <= 15 GROUP BY 1, 2),
 ss AS (SELECT rr.*, NOT coalesce(abs(CASE WHEN c.clim_rows >= 300 THEN (rr.t_lvl3 - c.clim_mean) / nullif(c.clim_std, 0)
-       END) > 2.0, false) AS seas_good FROM rr LEFT JOIN clim c ON c.sid = rr.sid AND c.doy = dayofyear(rr.t))
+       END) > 2.0, false) AS seas_good FROM rr LEFT JOIN clim c ON c.sid = rr.sid AND c.doy = dayofyear(rr.t))"""
+
+
+@register("overlay_level", f"""WITH {_OVERLAY_CTES}
 SELECT 't_lvl4' AS new_level, count(*)::BIGINT AS cells,
        count(CASE WHEN roll_good AND seas_good THEN t_lvl3 END)::BIGINT AS valid_values FROM ss""")
 def q_overlay_level(spark, sf):
     return Q.temporal_overlay(_seq(spark, sf).grid, OVERLAY_F).stats
 
 
+@register("overlay_dataset", f"""WITH {_OVERLAY_CTES}
+SELECT sid, count(*)::BIGINT AS n_cells, count(CASE WHEN roll_good AND seas_good THEN t_lvl3 END)::BIGINT AS n_valid,
+       't_lvl4' AS new_level, {OVERLAY_F.window_hours}::BIGINT AS window_hours, {OVERLAY_F.z_threshold!r}::DOUBLE AS z_threshold,
+       {OVERLAY_F.min_samples}::BIGINT AS min_samples FROM ss GROUP BY sid""")
+def q_overlay_dataset(spark, sf):
+    """The overlay written as a dataset and read back: its values and the parameters stored with them."""
+    path = f"{ensure_checkpoint_dir(spark)}/overlay-{uuid.uuid4().hex}"
+    Q.write_overlay(Q.temporal_overlay(_seq(spark, sf).grid, OVERLAY_F), path)
+    meta = spark.read.parquet(f"{path}/dataset_meta").first()
+    data = spark.read.parquet(f"{path}/data").groupBy("sid").agg(F.count(F.lit(1)).alias("n_cells"), F.count(meta["new_level"]).alias("n_valid"))
+    return data.select("*", F.lit(meta["new_level"]).alias("new_level"), F.lit(meta["temporal_window_hours"]).cast("long").alias("window_hours"),
+                       F.lit(meta["temporal_z_threshold"]).alias("z_threshold"), F.lit(meta["temporal_min_samples"]).cast("long").alias("min_samples"))
+
+
 @register("mask_any", f"""WITH {e_cells()}, {GRID},
 f AS (SELECT *, NOT {seasonal_good_sql('v', 't', BATCH_LIMITS)} AS seasonal_bad,
       coalesce(abs(v - lag(v) OVER (PARTITION BY sid ORDER BY t)) > 3.0, false)

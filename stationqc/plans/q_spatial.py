@@ -11,26 +11,24 @@ from stationqc.plans.sqlfix import FGRID, GRID, STATIONS, e_cells, greedy_ctes
 from stationqc.sources import fixtures as X
 
 def _closed_sql(prm: SctParams, stct: bool) -> str:
+    """The first station against its neighbours at each time; every other cell is plainly false."""
     band = (f"AND abs(s.alt - i0.alt) BETWEEN {prm.min_elev_diff!r} AND {prm.max_elev_diff!r}" if stct else "")
-    bg = (f"(st.swv / st.sw + st.mda * {prm.vertical_scale!r})" if stct else "st.m")
-    temporal = "OR g.temporal_flag" if stct else ""
-    tcol = ", g.temporal_flag" if stct else ""
-    return f"""WITH {e_cells()}, {GRID}, {FGRID}, {STATIONS},
-i0 AS (SELECT sid, lon, lat, alt FROM stations ORDER BY sid LIMIT 1),
-nb AS (SELECT s.sid AS j, sqrt((s.lon - i0.lon)^2 + (s.lat - i0.lat)^2) AS dist, s.alt - i0.alt AS da
-       FROM stations s, i0 WHERE s.sid <> i0.sid {band}),
-nk AS (SELECT * FROM nb ORDER BY dist, j LIMIT {prm.num_max}),
-st AS (SELECT f.t, count(*) AS n, count(f.v) AS nv, avg(f.v) AS m, stddev_pop(f.v) AS s,
-       sum(f.v * (1.0 / (nk.dist + {prm.eps!r}))) AS swv, sum(1.0 / (nk.dist + {prm.eps!r})) AS sw, avg(nk.da) AS mda
-       FROM fgrid f JOIN nk ON nk.j = f.sid GROUP BY f.t),
-g AS (SELECT *, coalesce(abs(v - lag(v) OVER (PARTITION BY sid ORDER BY t)) > {prm.temporal_threshold!r}, false)
+    w = f"(1.0 / (nk.dist + {prm.eps!r}))"
+    bg = f"(sum(f.v * {w}) / sum({w}) + avg(nk.da) * {prm.vertical_scale!r})" if stct else "avg(f.v)"
+    cells = "fgrid"
+    if stct:
+        cells = f"""(SELECT *, coalesce(abs(v - lag(v) OVER (PARTITION BY sid ORDER BY t)) > {prm.temporal_threshold!r}, false)
              OR coalesce(abs(v - lead(v) OVER (PARTITION BY sid ORDER BY t)) > {prm.temporal_threshold!r}, false)
-             AS temporal_flag FROM fgrid)
-SELECT g.t, g.sid{tcol},
-       g.sid = (SELECT sid FROM i0) AND (SELECT count(*) FROM stations) - 1 >= {prm.num_min}
-       AND (coalesce(st.nv = st.n AND (g.v - {bg} > {prm.pos_threshold!r} * st.s
-                                       OR g.v - {bg} < -{prm.neg_threshold!r} * st.s), false) {temporal}) AS sct_flag
-FROM g LEFT JOIN st ON st.t = g.t"""
+             AS temporal_flag FROM fgrid)"""
+    tcol, also = (", g.temporal_flag", " OR g.temporal_flag") if stct else ("", "")
+    return f"""WITH {e_cells()}, {GRID}, {FGRID}, {STATIONS},
+i0 AS MATERIALIZED (SELECT *, (SELECT count(*) FROM stations) - 1 >= {prm.num_min} AS enough FROM stations ORDER BY sid LIMIT 1),
+nk AS MATERIALIZED (SELECT s.sid AS j, sqrt((s.lon - i0.lon)^2 + (s.lat - i0.lat)^2) AS dist, s.alt - i0.alt AS da
+       FROM stations s, i0 WHERE s.sid <> i0.sid {band} ORDER BY dist, j LIMIT {prm.num_max}),
+st AS MATERIALIZED (SELECT f.t, count(*) = count(f.v) AS whole, {bg} AS bg, stddev_pop(f.v) AS s FROM fgrid f JOIN nk ON nk.j = f.sid GROUP BY f.t)
+SELECT g.t, g.sid{tcol}, i0.sid IS NOT NULL AND i0.enough
+       AND (coalesce(st.whole AND (g.v - st.bg > {prm.pos_threshold!r} * st.s OR g.v - st.bg < -{prm.neg_threshold!r} * st.s), false){also}) AS sct_flag
+FROM {cells} g LEFT JOIN i0 ON i0.sid = g.sid LEFT JOIN st ON st.t = g.t AND i0.sid = g.sid"""
 
 
 def _run(spark, sf, prm, stct, plan):
@@ -90,3 +88,29 @@ def q_sct_greedy(spark, sf):
 @register("stct_greedy", _greedy_sql(GREEDY_ST, True))
 def q_stct_greedy(spark, sf):
     return _run(spark, sf, GREEDY_ST, True, "general")
+
+
+@register("sct_greedy_rounds", _greedy_sql(GREEDY, False))
+def q_sct_greedy_rounds(spark, sf):
+    """D7 as dependency rounds: joins and aggregates, no component in one task."""
+    return _run(spark, sf, GREEDY, False, "rounds")
+
+
+@register("stct_greedy_rounds", _greedy_sql(GREEDY_ST, True))
+def q_stct_greedy_rounds(spark, sf):
+    return _run(spark, sf, GREEDY_ST, True, "rounds")
+
+
+@register("sct_levels", f"""WITH RECURSIVE {e_cells()}, {STATIONS},
+pr AS (SELECT a.sid AS i, b.sid AS j, sqrt((b.lon - a.lon)^2 + (b.lat - a.lat)^2) AS d FROM stations a, stations b WHERE a.sid <> b.sid),
+able AS (SELECT i AS sid FROM pr WHERE d <= {GREEDY.outer_radius!r} GROUP BY i HAVING count(*) >= {GREEDY.num_min}),
+lower AS (SELECT i, j FROM pr WHERE j < i AND d <= {max(GREEDY.inner_radius, GREEDY.outer_radius)!r}
+          AND i IN (SELECT sid FROM able) AND j IN (SELECT sid FROM able)),
+up(sid, level) AS (SELECT sid, 0::INTEGER FROM able UNION SELECT lower.i, up.level + 1 FROM up JOIN lower ON lower.j = up.sid),
+lev AS (SELECT sid, max(level) AS level FROM up GROUP BY sid)
+SELECT level, count(*)::BIGINT AS stations, min(sid) AS first_station FROM lev GROUP BY level""")
+def q_sct_levels(spark, sf):
+    """The rounds of the scan: how many stations each settles."""
+    stations = X.station_dim(cells_e(spark, sf))
+    lev = SP.scan_levels(stations, GREEDY)
+    return lev.groupBy("level").agg(F.count(F.lit(1)).alias("stations"), F.min("sid").alias("first_station"))

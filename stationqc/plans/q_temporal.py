@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from stationqc.operators import moments as M
 from stationqc.operators import temporal as T
-from stationqc.plans.catalog import cells_e, cells_l, grid_e, grid_l, r4, r4_tie, register
+from stationqc.plans.catalog import ORACLE, cells_e, cells_l, grid_e, grid_l, r4, r4_tie, register
 from stationqc.plans.sqlfix import GRID, e_cells, l_cells
+from stationqc.session import ensure_checkpoint_dir
 
 
 def _roll_sql(half_h: int) -> str:
@@ -114,3 +118,25 @@ def q_history_span(spark, sf):
                       (F.col("span_days") / F.lit(365.25) >= F.lit(10.0)).alias("ten_years"))
         out = h if out is None else out.unionByName(h)
     return out
+
+
+@register("rolling_z_blocks", ORACLE["rolling_z"])
+def q_rolling_z_blocks(spark, sf):
+    """The rolling test with every station's axis cut into blocks of 15 days with halos."""
+    r = T.rolling_zscore(grid_e(spark, sf), 720, 3.0, 300, block_hours=360)
+    return r.select("t", "sid", F.col("roll_rows").cast("long"), r4("roll_z").alias("roll_z"), "roll_good")
+
+
+@register("climatology_moments", ORACLE["climatology"])
+def q_climatology_moments(spark, sf):
+    """Three deliveries merged into stored moments; the last replaces the values of the second."""
+    cells = cells_l(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark)}/moments-{uuid.uuid4().hex}"
+    first, second = cells.where("t < '1994-03-01'"), cells.where("t >= '1994-03-01'")
+    raw = second.withColumn("v", F.col("v") * 2 + 1)
+    M.update_moments(spark, path, first, 0)
+    M.update_moments(spark, path, raw, 1)
+    M.update_moments(spark, path, second, 2, replaced=raw)
+    c = M.stored_climatology(spark, path, 2)
+    return c.select("sid", F.col("doy").cast("int"), "clim_rows", "clim_n", r4_tie("clim_mean").alias("clim_mean"),
+                    r4("clim_std").alias("clim_std"))

@@ -9,7 +9,9 @@ executor recomputes at most one level.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+import re
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,6 +25,7 @@ from stationqc.operators.spatial import sct
 from stationqc.params import (BATCH_BUDDY, BATCH_SCT, BATCH_SEASON_LIMITS, OVERLAY, SEQUENTIAL_BUDDY,
                               SEQUENTIAL_SCT, SEQUENTIAL_SEASON_LIMITS, BuddyParams, LongTermParams, SctParams)
 from stationqc.session import cut_lineage
+from stationqc.sources.files import write_qc_dataset
 
 
 @dataclass
@@ -84,8 +87,8 @@ def valid_percent(result: QcResult) -> DataFrame:
 LEVEL_COLS = ["t_lvl0", "t_lvl1", "t_lvl2", "t_lvl3"]
 
 
-def _completeness_counters(df: DataFrame, level: int) -> DataFrame:
-    st = C.completeness_stats(df)
+def _completeness_counters(per_day: DataFrame, level: int) -> DataFrame:
+    st = C.completeness_stats(per_day)
     return st.select(*[F.col(c).alias(f"{c}_lvl{level}") for c in st.columns])
 
 
@@ -100,18 +103,20 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
     # level 1
     g = g.withColumn("seasonal_ok", seasonal_good("t_lvl0", "t", limits))
     g = keep(g.withColumn("t_lvl1", mask("t_lvl0", "seasonal_ok")))
-    c1 = C.completeness_temporal(g, "seasonal_ok", p, out="t_lvl1_flag")
+    d1 = keep(C.station_days(g, "seasonal_ok", p))      # one row per station-day, for the cells and the counters
+    c1 = C.completeness_temporal(g, "seasonal_ok", p, out="t_lvl1_flag", per_day=d1)
     c1 = c1.withColumn("t_lvl1", mask("t_lvl1", "t_lvl1_flag"))
-    st1 = _completeness_counters(c1, 1)
+    st1 = _completeness_counters(d1, 1)
     g = c1.drop("day", "mk", "day_bad", "month_bad")
     # level 2
     el = eligible_times(g, buddy.num_min, v="t_lvl1").select("t", F.col("eligible").alias("el2"))
     b = buddy_check(g.join(el, "t"), stations, buddy, v="t_lvl1", out="_bs")
     b = b.withColumn("buddy_ok", ~(F.col("el2") & F.col("_bs"))).drop("_bs", "el2")
     b = keep(b.withColumn("t_lvl2", mask("t_lvl1", "buddy_ok")))
-    c2 = C.completeness_temporal(b, "buddy_ok", p, out="t_lvl2_flag")
+    d2 = keep(C.station_days(b, "buddy_ok", p))      # one row per station-day, for the cells and the counters
+    c2 = C.completeness_temporal(b, "buddy_ok", p, out="t_lvl2_flag", per_day=d2)
     c2 = c2.withColumn("t_lvl2", mask("t_lvl2", "t_lvl2_flag"))
-    st2 = _completeness_counters(c2, 2)
+    st2 = _completeness_counters(d2, 2)
     g = c2.drop("day", "mk", "day_bad", "month_bad")
     # level 3
     el = eligible_times(g, sct_prm.num_min, v="t_lvl2").select("t", F.col("eligible").alias("el3"))
@@ -121,9 +126,10 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
          .drop("sct_flag", "temporal_flag", "el3"))
     s = keep(s.withColumn("l3_ok", F.col("sct_ok") & F.col("temporal_ok"))
              .withColumn("t_lvl3", mask("t_lvl2", "l3_ok")))
-    c3 = C.completeness_temporal(s, "l3_ok", p, out="t_lvl3_flag")
+    d3 = keep(C.station_days(s, "l3_ok", p))      # one row per station-day, for the cells and the counters
+    c3 = C.completeness_temporal(s, "l3_ok", p, out="t_lvl3_flag", per_day=d3)
     c3 = c3.withColumn("t_lvl3", mask("t_lvl3", "t_lvl3_flag"))
-    st3 = _completeness_counters(c3, 3)
+    st3 = _completeness_counters(d3, 3)
     out = c3.drop("day", "mk", "day_bad", "month_bad")
     counts = out.agg(
         F.count(F.lit(1)).cast("long").alias("total_values"),
@@ -139,22 +145,41 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
     return QcResult(out, stats)
 
 
-def level_report(stats: DataFrame) -> DataFrame:
-    """E5: per level, valid count and percent of all cells."""
-    rows = [F.struct(F.lit(c).alias("level"), F.col(f"{c}_valid").alias("valid")) for c in LEVEL_COLS]
-    ex = stats.select("total_values", F.explode(F.array(*rows)).alias("r"))
+def level_report(result: QcResult) -> DataFrame:
+    """E5: per level, valid count, percent of all cells, and the dimensions: timesteps x
+    stations, and the stations that still have values."""
+    per = result.grid.groupBy("sid").agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(c) for c in LEVEL_COLS])
+    dims = per.agg(F.count(F.lit(1)).alias("n_stations"), F.max("n").alias("n_times"), F.sum("n").alias("total"),
+                   *[F.struct(F.sum(c).alias("valid"), F.count_if(F.col(c) > 0).alias("active")).alias(c) for c in LEVEL_COLS])
+    rows = [F.struct(F.lit(c).alias("level"), F.col(f"{c}.valid").alias("valid"), F.col(f"{c}.active").alias("active")) for c in LEVEL_COLS]
+    ex = dims.select("n_stations", "n_times", "total", F.explode(F.array(*rows)).alias("r"))
     return ex.select(F.col("r.level").alias("level"), F.col("r.valid").alias("valid"),
-                     round_to(F.lit(100.0) * F.col("r.valid") / F.col("total_values"), 2).alias("pct"))
+                     round_to(F.lit(100.0) * F.col("r.valid") / F.col("total"), 2).alias("pct"),
+                     "n_times", "n_stations", F.col("r.active").alias("stations_with_values"))
 
 
 # ------------------------------------------------------------------ D22
 def temporal_overlay(levels: DataFrame, prm: LongTermParams = OVERLAY) -> QcResult:
-    """Long-term check on the highest level; its survivors become the next level."""
+    """Long-term check on the highest level; its survivors become the next level.
+
+    The parameters are stored with the level: in the metadata of its column and, by
+    ``write_overlay``, in the dataset's table of attributes.
+    """
     lvl = current_level(levels.columns)
     cur, nxt = f"t_lvl{lvl}", f"t_lvl{lvl + 1}"
     chk = T.long_term_check(levels.withColumnRenamed(cur, "v"), prm.window_hours, prm.seasonal_window_hours,
                             prm.z_threshold, prm.min_samples).withColumnRenamed("v", cur)
-    out = chk.withColumn(nxt, mask(cur, "lt_good"))
+    params = asdict(prm)
+    out = chk.withColumn(nxt, mask(cur, "lt_good").alias(nxt, metadata={"temporal_analysis_params": json.dumps(params)}))
     stats = out.agg(F.lit(nxt).alias("new_level"), F.count(F.lit(1)).cast("long").alias("cells"),
                     F.count(nxt).cast("long").alias("valid_values"))
-    return QcResult(out, stats, extra={"level": lvl + 1, "params": str(prm)})
+    return QcResult(out, stats, extra={"level": lvl + 1, "params": params})
+
+
+def write_overlay(result: QcResult, path: str, stations: DataFrame | None = None) -> None:
+    """The overlay's dataset: all levels, the flag of the new one, and its parameters as columns of the attributes."""
+    params = [F.lit(v).alias(f"temporal_{k}") for k, v in result.extra["params"].items()]
+    attrs = result.stats.select("*", *params, F.lit(result.extra["level"]).alias("temporal_qc_level"))
+    levels = sorted(c for c in result.grid.columns if re.fullmatch(r"t_lvl\d+", c))
+    write_qc_dataset(result.grid, attrs, path, value_cols=levels, flag_cols=["lt_good"], stations=stations,
+                     methods="rolling and seasonal z-score on the highest level")

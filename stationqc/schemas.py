@@ -20,6 +20,14 @@ STATION_PAYLOAD = T.StructType([
 
 MEASURE_PAYLOAD = T.StructType([T.StructField("body", T.MapType(T.StringType(), T.ArrayType(T.DoubleType())))])
 
+# A measurement document as it lands: the station may stand beside the body; the text of one that does not fit is kept.
+MEASURE_DOCUMENT = T.StructType([T.StructField("station_id", T.StringType()), *MEASURE_PAYLOAD.fields,
+                                 T.StructField("_corrupt", T.StringType())])
+# The same with entries as raw text, for documents in which some entry does not fit.
+MEASURE_LENIENT = T.StructType([T.StructField("station_id", T.StringType()),
+                                T.StructField("body", T.MapType(T.StringType(), T.StringType())),
+                                T.StructField("_corrupt", T.StringType())])
+
 # Column order of the station list file.
 STATION_LIST_COLUMNS = ["station_id", "module1_id", "module1_type", "latitude", "longitude", "altitude",
                         "city", "country", "street", "timezone"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 import posixpath
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stationqc.operators.grid import drop_empty_stations
 from stationqc.schemas import OBS_FILE, OBS_FILE_COLUMNS, STATION_LIST, STATION_LIST_COLUMNS
@@ -23,8 +23,27 @@ def write_station_list(stations: DataFrame, path: str, mode: str = "overwrite")
     stations.select(*STATION_LIST_COLUMNS).write.mode(mode).option("header", True).csv(path)
 
 
+#: Column that keeps the text of a CSV line that does not fit its schema.
+CORRUPT = "_corrupt_record"
+
+
+def _checked(spark: SparkSession, schema: T.StructType):
+    with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return (spark.read.schema(with_text).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT))
+
+
+def station_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A4 with nothing lost: one row per line with ``reason`` (NULL, ``bad_line`` or ``no_station``) and ``raw``."""
+    reason = F.when(F.col(CORRUPT).isNotNull(), "bad_line").when(F.col("station_id").isNull(), "no_station")
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in STATION_LIST_COLUMNS])
+    return _checked(spark, STATION_LIST).csv(path).select(
+        *STATION_LIST_COLUMNS, reason.alias("reason"), F.when(reason.isNotNull(), F.coalesce(CORRUPT, line)).alias("raw"))
+
+
 def read_station_list(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STATION_LIST).option("header", True).csv(path)
+    """A4: the station list; lines that do not fit are left out (``station_lines`` names them)."""
+    return station_lines(spark, path).where(F.col("reason").isNull()).select(*STATION_LIST_COLUMNS)
 
 
 def bucketed(df: DataFrame, station: str, buckets: int) -> DataFrame:
@@ -43,12 +62,25 @@ def write_observation_files(obs: DataFrame, path: str, mode: str = "overwrite",
      .write.mode(mode).option("header", True).partitionBy("bucket").csv(path))
 
 
+def observation_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A14 with nothing lost: one row per line of all observation CSVs below ``path``, with
+    ``reason`` and ``raw``.  ``reason`` is NULL for an accepted line, else ``bad_line`` (a wrong
+    number of fields or a text where a number belongs), ``no_station`` or ``bad_time``."""
+    raw = _checked(spark, OBS_FILE).option("recursiveFileLookup", True).csv(path)
+    ts = F.col("ts").try_cast("timestamp_ntz")
+    reason = (F.when(F.col(CORRUPT).isNotNull(), "bad_line").when(F.col("station_ID").isNull(), "no_station")
+              .when(ts.isNull(), "bad_time"))
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in OBS_FILE_COLUMNS])
+    return raw.select(F.col("station_ID").alias("station_id"), ts.alias("ts"), "temperature", "longitude", "latitude",
+                      F.col("altitude").try_cast("double").alias("altitude"), reason.alias("reason"),
+                      F.when(reason.isNotNull(), F.coalesce(CORRUPT, line)).alias("raw"))
+
+
 def read_observation_files(spark: SparkSession, path: str) -> DataFrame:
     """All observation CSVs below ``path``; the first column is the time;
-    altitude is numeric or NULL ('Unknown' and other text -> NULL)."""
-    raw = spark.read.schema(OBS_FILE).option("header", True).option("recursiveFileLookup", True).csv(path)
-    return raw.select(F.col("station_ID").alias("station_id"), F.to_timestamp_ntz("ts").alias("ts"),
-                      "temperature", "longitude", "latitude", F.col("altitude").try_cast("double").alias("altitude"))
+    altitude is numeric or NULL ('Unknown' and other text -> NULL).  Lines that do not fit
+    are left out (``observation_lines`` names them)."""
+    return observation_lines(spark, path).where(F.col("reason").isNull()).drop("reason", "raw")
 
 
 def layered_write(df: DataFrame, base: str, layer: str, station: str = "station_id", buckets: int = 64,
@@ -106,7 +138,7 @@ def write_qc_dataset(grid: DataFrame, stats: DataFrame, path: str, value_cols=("
     A dataset of all levels lists every ``t_lvlN`` and its flags."""
     kept = drop_empty_stations(grid, drop_empty) if drop_empty else grid
     cols = [F.col("t"), F.col("sid")]
-    cols += [F.col(c).alias(c, metadata=level_units(c)) for c in value_cols]
+    cols += [F.col(c).alias(c, metadata=(kept.schema[c].metadata or {}) | level_units(c)) for c in value_cols]
     cols += [F.col(c).cast("int").alias(c, metadata=FLAG_UNITS) for c in flag_cols]
     out = kept.select(*cols, F.date_format("t", "yyyy-MM").alias("month"))
     (out.hint("rebalance", "month").sortWithinPartitions("month", "sid", "t")

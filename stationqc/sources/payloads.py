@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stationqc.functions.columns import epoch_to_ntz, nan_to_null
-from stationqc.schemas import MEASURE_PAYLOAD, STATION_LIST_COLUMNS, STATION_PAYLOAD
+from stationqc.schemas import MEASURE_DOCUMENT, MEASURE_LENIENT, STATION_LIST_COLUMNS, STATION_PAYLOAD
 
 OUTDOOR_TYPE = "NAModule1"  # fixed value: module type of the outdoor sensor
 UNKNOWN = "Unknown"         # fixed value: sentinel for absent text fields
@@ -67,14 +67,63 @@ def eligible_stations(stations: DataFrame) -> DataFrame:
     return stations.where(F.col("module1_id").isNotNull() & (F.col("module1_id") != ""))
 
 
+# Epoch seconds of the years 1 to 9999, the range of a timestamp.
+EPOCH_RANGE = (-62135596800, 253402300799)
+_KEEP_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+
+
+def measure_entries(json_df: DataFrame, col: str = "json", station_col: str | None = "station_id") -> DataFrame:
+    """A6 with nothing lost: one row ``(station_id, ts, temperature, reason, raw)`` per landed entry.
+
+    ``reason`` is NULL for an accepted reading, else ``bad_json`` (the document is no
+    object with a ``body`` map: one row), ``no_station``, ``bad_epoch`` (the key is no
+    epoch second of a timestamp) or ``bad_value`` (the entry is no array that begins
+    with a number or null); ``raw`` holds the text.  The station comes from
+    ``station_col`` or, if that is None, from the document.  A document that fits is
+    parsed once; only one with some entry that does not fit is read again as text.
+    """
+    station = F.col(station_col) if station_col else F.lit(None).cast("string")
+    p = json_df.select(station.alias("_station"), F.col(col).alias("_doc"), F.from_json(F.col(col), MEASURE_DOCUMENT, _KEEP_CORRUPT).alias("p"))
+    p = p.withColumn("q", F.from_json(F.when(F.col("p._corrupt").isNotNull(), F.col("_doc")), MEASURE_LENIENT, _KEEP_CORRUPT))
+    broken = F.col("p").isNull() | F.col("q._corrupt").isNotNull()
+
+    def entry(epoch, value, reason, raw):
+        return F.struct(epoch.alias("epoch"), value.alias("value"), reason.alias("reason"), raw.alias("raw"))
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    typed = F.transform(F.map_entries("p.body"), lambda e: entry(e["key"], F.get(e["value"], 0), text, text))
+
+    def from_text(e):
+        items = F.from_json(e["value"], "array<string>")
+        value = F.get(items, 0).try_cast("double")
+        bad = e["value"].isNotNull() & (items.isNull() | (F.get(items, 0).isNotNull() & value.isNull()))
+        return entry(e["key"], value, F.when(bad, "bad_value"), F.concat_ws(": ", e["key"], e["value"]))
+    lenient = F.transform(F.map_entries("q.body"), from_text)
+    whole = F.array(entry(text, number, F.lit("bad_json"), F.col("_doc")))
+    found = (p.select(F.coalesce("_station", "p.station_id", "q.station_id").alias("station_id"),
+                      F.explode(F.when(broken, whole).when(F.col("q").isNotNull(), lenient).otherwise(typed)).alias("e"))
+             .select("station_id", "e.*"))
+    epoch = F.col("epoch").try_cast("long")
+    epoch = F.when(epoch.between(*EPOCH_RANGE), epoch)
+    reason = (F.when(F.col("reason") == "bad_json", F.col("reason")).when(F.col("station_id").isNull(), "no_station")
+              .when(epoch.isNull(), "bad_epoch").otherwise(F.col("reason")))
+    return found.select("station_id", epoch_to_ntz(epoch).alias("ts"), nan_to_null("value").alias("temperature"), reason.alias("reason"),
+                        F.when(F.col("reason") == "bad_json", F.col("raw"))
+                        .otherwise(F.coalesce("raw", F.concat_ws(": ", "epoch", F.col("value").cast("string")))).alias("raw"))
+
+
+def accepted(entries: DataFrame) -> DataFrame:
+    return entries.where(F.col("reason").isNull()).select("station_id", "ts", "temperature")
+
+
+def rejected(entries: DataFrame) -> DataFrame:
+    return entries.where(F.col("reason").isNotNull()).select("station_id", "reason", "raw")
+
+
 def parse_measure_payload(json_df: DataFrame, col: str = "json", station_col: str = "station_id") -> DataFrame:
     """``{body: {epoch: [temperature]}}`` -> one row per entry.
 
     The first array element is the reading; epoch seconds are read as UTC into a
-    naive timestamp; an empty or absent body gives no rows.
+    naive timestamp; an empty or absent body gives no rows; entries that do not fit
+    are left out (``measure_entries`` names them).
     """
-    p = json_df.select(F.col(station_col).alias("station_id"),
-                       F.from_json(F.col(col), MEASURE_PAYLOAD).alias("p"))
-    e = p.select("station_id", F.explode(F.col("p.body")).alias("epoch", "vals"))
-    return e.select("station_id", epoch_to_ntz(F.col("epoch").cast("long")).alias("ts"),
-                    nan_to_null(F.get(F.col("vals"), 0)).alias("temperature"))
+    return accepted(measure_entries(json_df, col, station_col))

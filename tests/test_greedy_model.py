@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationqc.operators import spatial as SP
+from stationqc.operators.spatial_rounds import sct_rounds as rounds
 from stationqc.params import SctParams
 
 
@@ -80,7 +81,7 @@ def test_greedy_matches_model(spark, inner, outer, stct):
                     temporal_threshold=3.0, eps=0.1)
     sdf = spark.createDataFrame([(s[0], s[2], s[1], s[3]) for s in st], "sid long, lat double, lon double, alt double")
     g = spark.createDataFrame(rows, "t timestamp_ntz, sid long, v double")
-    plans = ["general"] + (["closed"] if inner >= 0.2 else [])
+    plans = ["scan", "rounds"] + (["closed"] if inner >= 0.2 else [])
     # temporal flags of the model from the positional neighbours
     by_sid = {}
     for t, s, v in sorted(rows):
@@ -104,7 +105,6 @@ def test_greedy_matches_model(spark, inner, outer, stct):
         if stct:
             tf = {(r.t, r.sid) for r in out.where(F.col("temporal_flag")).collect()}
             assert tf == {k for k, f in tflag.items() if f}
-    assert plans[0] == "general"
 
 
 def test_closed_form_is_chosen_when_radii_cover_network(spark):
@@ -140,14 +140,15 @@ def test_text_ids_follow_their_own_order(spark):
     prm = SctParams(inner_radius=0.015, outer_radius=0.05, num_min=2, num_max=4, pos_threshold=1.0, neg_threshold=1.0)
     sdf = spark.createDataFrame([(s[0], s[2], s[1], s[3]) for s in st], "sid string, lat double, lon double, alt double")
     g = spark.createDataFrame(rows, "t timestamp_ntz, sid string, v double")
-    got = {(r.t, r.sid) for r in SP.sct(g, sdf, prm, plan="general").where(F.col("sct_flag")).collect()}
     expected = set()
     for t in {r[0] for r in rows}:
         expected |= {(t, s) for s in model(st, {s: v for tt, s, v in rows if tt == t}, {}, prm, False)}
-    assert got == expected and expected
+    for plan in ("scan", "rounds"):
+        got = {(r.t, r.sid) for r in SP.sct(g, sdf, prm, plan=plan).where(F.col("sct_flag")).collect()}
+        assert got == expected and expected
 
 
-@pytest.mark.parametrize("plan", ["general", "closed"])
+@pytest.mark.parametrize("plan", ["scan", "rounds", "closed"])
 def test_only_checked_stations_are_tested(spark, plan):
     """Radii over the whole network: the lowest checked station alone is tested, by both plans."""
     st, rows = _case(7)
@@ -168,3 +169,30 @@ def test_components_of_a_chain(spark):
     prm = SctParams(inner_radius=0.005, outer_radius=0.0101)
     got = {r.sid: r.comp for r in SP.scan_components(sdf, prm).collect()}
     assert got == {**{s: 0 for s in ids}, 99: 99}
+
+
+def test_rounds_on_one_component_of_5000_stations(spark, monkeypatch):
+    """A connected strip of 5,000 stations: the rounds flag what the scan flags, without a Python
+    node, in a few rounds; the general plan picks them by the size of the component."""
+    rnd = random.Random(21)
+    n, hours = 5000, 2
+    ids = list(range(n))
+    rnd.shuffle(ids)
+    st = [(s, 46.0 + rnd.random() * 0.02, 11.0 + k * 0.003, 200.0 + rnd.randrange(0, 300)) for k, s in enumerate(ids)]
+    sdf = spark.createDataFrame(st, "sid long, lat double, lon double, alt double").repartition(8)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(hours=h), s, None if rnd.random() < 0.01 else round(10 + rnd.gauss(0, 2), 3)) for h in range(hours) for s in ids]
+    g = spark.createDataFrame(rows, "t timestamp_ntz, sid long, v double").repartition(8).checkpoint()
+    prm = SctParams(inner_radius=0.004, outer_radius=0.02, num_min=3, num_max=5, pos_threshold=1.0, neg_threshold=1.0)
+    assert SP.scan_components(sdf, prm).select("comp").distinct().count() == 1
+    scan = {(r.t, r.sid) for r in SP.sct(g, sdf, prm, plan="scan").where("sct_flag").collect()}
+    asked = []
+    monkeypatch.setattr(SP, "sct_rounds", lambda *a: asked.append(1) or rounds(*a))
+    out = SP.sct(g, sdf, prm)
+    assert asked == [1]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Pandas" not in plan and "Python" not in plan
+    got = {(r.t, r.sid) for r in out.where("sct_flag").collect()}
+    assert got == scan and len(got) > 200 and out.count() == n * hours
+    levels = SP.scan_levels(sdf, prm).groupBy("level").count().collect()
+    assert 5 < len(levels) < 60 and sum(r["count"] for r in levels) <= n

@@ -66,7 +66,7 @@ def test_sequential_levels_monotone(spark):
     s = r.stats.first()
     assert s.t_lvl0_valid >= s.t_lvl1_valid >= s.t_lvl2_valid >= s.t_lvl3_valid
     assert s.total_values == g.count()
-    rep = {x.level: x.valid for x in Q.level_report(r.stats).collect()}
+    rep = {x.level: x.valid for x in Q.level_report(r).collect()}
     assert rep["t_lvl3"] == s.t_lvl3_valid
     ov = Q.temporal_overlay(r.grid).stats.first()
     assert ov.new_level == "t_lvl4" and ov.valid_values <= s.t_lvl3_valid

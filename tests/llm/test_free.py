@@ -1,6 +1,7 @@
 """Pieces, n-gram join, search, chat and language ID against brute force on small fixtures."""
 
 import hashlib
+import itertools
 import re
 import string
 from collections import defaultdict
@@ -185,6 +186,41 @@ def test_ann_few_odd_and_equal_vectors(spark):
     assert len(few) == 20 and ann.search(vectors(spark, []), vectors(spark, []), 20).collect() == []
 
 
+def recall(found, x, queries, k=20):
+    """Share of the true neighbours found; every list is whole, distinct and in order."""
+    hits = 0
+    for q in queries:
+        mine = sorted((r.rank, r.vec_id) for r in found if r.query_id == q)
+        assert [r for r, _ in mine] == list(range(1, k + 1)) and len({i for _, i in mine}) == k
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s, kind="stable")[:k].tolist()) & {i for _, i in mine})
+    return hits / (k * len(queries))
+
+
+@pytest.mark.parametrize("shape", ["unit", "tiny", "log-normal", "clustered"])
+def test_ann_recall_on_10000_vectors(spark, shape):
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((10_000, 64))
+    if shape == "clustered":
+        x = np.repeat(rng.standard_normal((100, 64)) * 3, 100, axis=0) + x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= {"tiny": 1e-7, "log-normal": rng.lognormal(0, 1.5, (10_000, 1))}.get(shape, 1.0)
+    v = vectors(spark, list(enumerate(x.tolist())))
+    kept = np.array([r.embedding for r in v.orderBy("vec_id").collect()], float)
+    got = ann.search(v, v.filter("vec_id % 200 = 0"), 20).collect()
+    assert recall(got, kept, range(0, 10_000, 200)) >= 0.9
+
+
+def test_ann_repeated_rows_count_once(spark):
+    rng = np.random.default_rng(12)
+    rows = list(enumerate(rng.standard_normal((300, 8)).tolist()))
+    v = vectors(spark, rows + rows[:60] + [(0, [9.0] * 8)])
+    got = ann.search(v, v.filter("vec_id % 20 = 0"), 20).collect()
+    assert len(got) == 15 * 20 and len({(r.query_id, r.vec_id) for r in got}) == len(got)
+    assert len({(r.query_id, r.rank) for r in got}) == len(got)
+
+
 def test_probe_order_is_by_score():
     inside = np.array([0.1, 0.6, 0.45])
     cost = lambda s: sum((d if k < 0 else 1 - d) ** 2 for d, k in zip(inside, s) if k)
@@ -219,6 +255,14 @@ def test_escape_is_reversible(text):
     assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
 
 
+def test_any_role_comes_back():
+    for n in range(6):
+        for chars in itertools.product("<\\n>|\n", repeat=n):
+            role = "".join(chars)
+            line = chat.escape_role(role)
+            assert chat.unescape_role(line) == role and "\n" not in line and "<|" not in line
+
+
 def test_language_id_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("held", langid.held_out())
     model = langid.fit(docs.filter("not held"))

@@ -4,8 +4,9 @@ Every turn is encoded in separate segments (header, text); the marks of the
 template are reserved ids spliced between them, so no text can spell a mark: in
 the ids a mark is unmistakable.  Control strings occurring in content are escaped
 reversibly as well, so the rendered text is unambiguous too: ``<|`` becomes
-``<\\|`` and a backslash run between ``<`` and ``|`` grows by one.  The loss mask of a
-conversation follows from the segment lengths by prefix sums.
+``<\\|`` and a backslash run between ``<`` and ``|`` grows by one.  A line feed in a role
+becomes ``<\\n>``, and a backslash run between ``<`` and ``n>`` there grows by one.  The
+loss mask of a conversation follows from the segment lengths by prefix sums.
 
 Turns are encoded row by row, before grouping; a conversation (one output row) is
 assembled from its turns' ids.
@@ -40,6 +41,15 @@ def unescape(text: str) -> str:
     return re.sub(r"<\\(\\*)\|", r"<\1|", text)
 
 
+def escape_role(role: str) -> str:
+    """A role on one line: escaped, line feeds written as a mark of their own."""
+    return escape(re.sub(r"<(\\+)n>", r"<\\\1n>", role).replace("\n", "<\\n>"))
+
+
+def unescape_role(line: str) -> str:
+    return re.sub(r"<\\(\\*)n>", lambda m: f"<{m[1]}n>" if m[1] else "\n", unescape(line))
+
+
 @lru_cache(maxsize=2)
 def tokenizer(path: str):
     from tokenizers import Tokenizer
@@ -80,7 +90,7 @@ def encode_turns(rows: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf["head"] = encode_segments([escape(r).replace("\n", "<\\n>") + "\n" for r in pdf["role"]], path)
+            pdf["head"] = encode_segments([escape_role(r) + "\n" for r in pdf["role"]], path)
             pdf["body"] = encode_segments([escape(t) for t in pdf["text"]], path)
             yield pdf
 
@@ -138,7 +148,7 @@ def read_back(ids: np.ndarray, mask: np.ndarray, table: list[bytes]) -> tuple[li
         shown += [text(ids[tail:a]), names[ids[a]], inner, names[ids[z]]]
         tail = z + 1
         role, _, body = inner.partition("\n")
-        turns.append((unescape(role.replace("<\\n>", "\n")), unescape(body)))
+        turns.append((unescape_role(role), unescape(body)))
         loss.append(unescape(text(ids[a:z][mask[a:z]])))
     return turns, "".join(loss), "".join(shown) + text(ids[tail:])
 

@@ -211,6 +211,16 @@ def test_pii_secrets_of_any_length(spark):
     assert got[-4].text == rows[-1][1]                        # no closing quote
 
 
+def test_pii_addresses_of_any_length(spark):
+    sizes, labels = (1, 64, 65, 200, 5000), (1, 3, 8, 9, 20, 300)
+    mails = ["a" * n + "@b.example.com" for n in sizes] + ["x.y@" + "".join(f"l{k}." for k in range(n)) + "org" for n in labels]
+    rows = [(i, f"to {m}, or <{m}> end", "s") for i, m in enumerate(mails)] + [(-1, "z" * 300_000 + "@", "s"), (-2, "q@w no dot", "s")]
+    got = {r.doc_id: r for r in pii.pseudonymize(frame(spark, rows), "k").collect()}
+    for i, m in enumerate(mails):
+        assert re.fullmatch(r"to (u[0-9a-f]+@example\.invalid), or <\1> end", got[i].text) and got[i].n_email == 2
+    assert got[-1].text == rows[-2][1] and got[-2].text == rows[-1][1]
+
+
 def test_pii_cards_beside_other_numbers(spark):
     card, spaced, amex = "4111111111111111", "4111 1111 1111 1111", "3782 822463 10005"
     cases = [f"{card} 12/27", f"{spaced} 123", f"order 42 {spaced}", f"42-{card}-7", f"{spaced} {spaced} {card}",

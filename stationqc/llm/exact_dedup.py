@@ -8,6 +8,11 @@ the runs that meet there are merged by (digest, text length), keeping the smalle
 identifier.  After the last round an address is given by the digest alone, so each
 digest is held once, at one of all addresses: no task ever sees all entries.
 
+Runs are partitioned by their address, so a run lies in one task, sorted by digest;
+a round is one exchange by the new address, a sort and a merge of equal neighbours,
+without another exchange.  Runs stay even: rows are dealt to their origin by hash, and
+from then on a digest is in a run at most once.
+
 The verdict descends the same tree: an entry of a level is unique per (address,
 digest), so a group of copies as large as a third of all rows still meets every
 join as at most one row per run; its rows are spread over the runs evenly.
@@ -53,14 +58,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ident = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     key = ["addr", "digest", "bytes"]
-    tree = [rows.groupBy(*key).agg(F.min(ident).alias("keep"), F.count("*").alias("size"))]
+
+    def run(entries: DataFrame) -> DataFrame:
+        """Entries at their addresses, each address whole in one task and sorted by digest."""
+        return entries.repartition(shuffle_partitions(docs.sparkSession), "addr").sortWithinPartitions(*key)
+    # each level is stored: the verdict descends over the same runs, and a lost executor costs one round
+    tree = [settle(run(rows).groupBy(*key).agg(F.min(ident).alias("keep"), F.count("*").alias("size")))]
     home = F.pmod(F.xxhash64("digest"), F.lit(runs)).cast("int")
     parents = []
     for t in range(1, levels + 1):
         low = fan ** t
         parents.append((F.col("addr") - F.col("addr") % low + home % low).cast("int"))
-        tree.append(tree[-1].withColumn("addr", parents[-1]).groupBy(*key)
-                    .agg(F.min("keep").alias("keep"), F.sum("size").alias("size")))
+        tree.append(settle(run(tree[-1].withColumn("addr", parents[-1])).groupBy(*key)
+                           .agg(F.min("keep").alias("keep"), F.sum("size").alias("size"))))
 
     verdict = tree[-1]
     for level, parent in zip(reversed(tree[:-1]), reversed(parents)):

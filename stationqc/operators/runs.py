@@ -147,24 +147,19 @@ def station_months(grid: RunGrid, p: float, good: Column | None = None, missing_
 
 
 def station_days(grid: RunGrid, p: float, good: Column | None = None, missing_good: bool = False) -> DataFrame:
-    """D10 for every station-day of the axis ``(sid, day, n_good, day_bad, month_bad, n_out)``: the
-    days that a station has, and the days of the axis between them (runs of days, written out here only)."""
-    held = _held_days(grid, p, good, missing_good)
+    """D10 for every station-day of the axis ``(sid, day, n_good, day_bad, month_bad, n_out)``: here, as
+    the output, the days without cells are written out."""
+    held = _held_days(grid, p, good, missing_good).select("sid", "day", F.col("n_good").alias("held"))
     days = grid.days.withColumn("pos", F.row_number().over(Window.orderBy("day")) - 1)                        # the day table
     last = days.select(F.max("pos")).scalar()
-    w = Window.partitionBy("sid").orderBy("pos")
-    at = held.join(days.select("day", "pos"), "day").select("sid", "pos")
-    at = at.withColumn("before", F.lag("pos").over(w)).withColumn("after", F.coalesce(F.lead("pos").over(w), last + 1))
-    lead = F.when(F.col("before").isNull() & (F.col("pos") > 0), F.struct(F.lit(0).alias("a"), (F.col("pos") - 1).alias("b")))
-    gap = F.when(F.col("after") > F.col("pos") + 1, F.struct((F.col("pos") + 1).alias("a"), (F.col("after") - 1).alias("b")))
-    runs = at.select("sid", F.explode(F.filter(F.array(lead, gap), lambda r: r.isNotNull())).alias("r"))
-    empty = (runs.select("sid", F.explode(F.sequence("r.a", "r.b")).alias("pos")).join(days.select("pos", "day", "mk", "n_rows"), "pos")
-             .select("sid", "day", "mk", _empty_good(missing_good).alias("n_good")))
-    every = held.select("sid", "day", "mk", "n_good").unionByName(empty).withColumn("day_bad", _day_bad(F.col("n_good"), p))
+    every = (grid.stations.select("sid", F.explode(F.sequence(F.lit(0), last)).alias("pos")).join(days, "pos")
+             .join(held, ["sid", "day"], "left")
+             .select("sid", "day", "mk", F.coalesce("held", _empty_good(missing_good)).alias("n_good")))
+    every = every.withColumn("day_bad", _day_bad(F.col("n_good"), p))
     verdict = station_months(grid, p, good, missing_good).select("sid", "mk", "month_bad")
-    every = every.join(verdict, ["sid", "mk"])
-    return every.select("sid", "day", "n_good", "day_bad", "month_bad",
-                        F.when(F.col("day_bad") | F.col("month_bad"), F.lit(0)).otherwise(F.col("n_good")).cast("long").alias("n_out"))
+    return every.join(verdict, ["sid", "mk"]).select(
+        "sid", "day", "n_good", "day_bad", "month_bad",
+        F.when(F.col("day_bad") | F.col("month_bad"), F.lit(0)).otherwise(F.col("n_good")).cast("long").alias("n_out"))
 
 
 def completeness_counters(grid: RunGrid, p: float, good: Column | None = None, missing_good: bool = False) -> DataFrame:

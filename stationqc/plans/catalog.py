@@ -72,4 +72,5 @@ def month_str(t="t"):
 
 
 # import the query modules so that they register themselves
-from stationqc.plans import q_files, q_geo, q_grid, q_ingest, q_plans, q_runs, q_spatial, q_temporal  # noqa: E402,F401
+from stationqc.plans import (q_files, q_geo, q_grid, q_ingest, q_plans, q_runs, q_spatial, q_temporal,  # noqa: E402,F401
+                             q_adaptive, q_propagate)

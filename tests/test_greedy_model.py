@@ -81,7 +81,7 @@ def test_greedy_matches_model(spark, inner, outer, stct):
                     temporal_threshold=3.0, eps=0.1)
     sdf = spark.createDataFrame([(s[0], s[2], s[1], s[3]) for s in st], "sid long, lat double, lon double, alt double")
     g = spark.createDataFrame(rows, "t timestamp_ntz, sid long, v double")
-    plans = ["scan", "rounds"] + (["closed"] if inner >= 0.2 else [])
+    plans = ["scan"] + (["closed"] if inner >= 0.2 else []) + (["rounds"] if inner < 0.2 or stct else [])
     # temporal flags of the model from the positional neighbours
     by_sid = {}
     for t, s, v in sorted(rows):

@@ -22,10 +22,14 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from pyspark.sql import functions as F
 
+    from stationqc.operators import adaptive as A
     from stationqc.operators import completeness as C
     from stationqc.operators import grid as G
+    from stationqc.operators import moments as M
+    from stationqc.operators import runs as R
     from stationqc.operators import temporal as T
     from stationqc.operators.buddy import buddy_check
+    from stationqc.operators.spatial_rounds import settle_round
     from stationqc.operators.spatial import sct
     from stationqc.params import GREEDY, SEQUENTIAL_BUDDY
     from stationqc.session import get_spark
@@ -36,11 +40,20 @@ def main():
     grid = G.dense_grid(cells)
     st = X.station_dim(cells)
     gl = G.dense_grid(G.hourly_cells(X.lineitem_obs(spark, sf)))
+    cl = G.hourly_cells(X.lineitem_obs(spark, sf))
+    near = "array<struct<dist: double, j: bigint, da: double, v: double>>"
+    one_round = spark.createDataFrame([], f"t timestamp_ntz, sid long, v double, tf boolean, n_outer long, near {near}, level int")
+    sent = spark.createDataFrame([], "t timestamp_ntz, i long, j long, gone boolean, block boolean, from_level int, to_level int")
     plans = {
         "hourly cells (B1)": cells,
         "dense grid by gap filling (B3)": grid,
         "buddy check (D4)": buddy_check(grid, st, SEQUENTIAL_BUDDY),
         "greedy spatial test, general scan (D7)": sct(X.fill_rule(grid), st, GREEDY, plan="general"),
+        "greedy spatial test, one dependency round (D7)": settle_round(one_round, sent, GREEDY, False),
+        "completeness counters on run-length cells (D12)": R.completeness_counters(R.run_grid(cl), 0.2),
+        "rolling z-score in blocks with halos (D14)": T.rolling_zscore(grid, 720, 3.0, 300, block_hours=1440),
+        "climatology from stored moments (D15)": M.climatology_of(M.day_moments(cl), M.axis_days(cl), cl.select("sid").distinct()),
+        "radius pairs with adaptive cells (C3)": A.adaptive_pairs(st, "lon", "lat", 0.04),
         "daily/monthly completeness (D12)": C.completeness_temporal(gl.withColumn("f", F.col("v").isNotNull()), "f", 0.2),
         "rolling z-score (D14)": T.rolling_zscore(grid, 720, 3.0, 300),
         "climatology + seasonal z (D15, D16)": T.seasonal_zscore(gl, T.climatology(gl, 15.0), 1.6, 40),

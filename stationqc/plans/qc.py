@@ -19,7 +19,7 @@ from stationqc.functions.columns import mask, round_to
 from stationqc.operators import completeness as C
 from stationqc.operators import temporal as T
 from stationqc.operators.buddy import buddy_check, eligible_times
-from stationqc.operators.grid import current_level
+from stationqc.operators.grid import apply_masks, combine_flags, current_level
 from stationqc.operators.seasonal import seasonal_good
 from stationqc.operators.spatial import sct
 from stationqc.params import (BATCH_BUDDY, BATCH_SCT, BATCH_SEASON_LIMITS, OVERLAY, SEQUENTIAL_BUDDY,
@@ -49,12 +49,10 @@ def batch_qc(grid: DataFrame, stations: DataFrame, limits: dict = BATCH_SEASON_L
     kept = g.join(tm.where("keep_t").select("t"), "t", "left_semi")
     k = buddy_check(kept, stations, buddy, out="buddy_suspect")
     k = sct(k, stations, sct_prm, stct=False, plan=sct_plan)
-    k = k.withColumn("combined", F.col("seasonal_good") & ~F.col("buddy_suspect") & ~F.col("sct_flag"))
+    k = k.withColumn("combined", combine_flags("seasonal_good", "buddy_suspect", "sct_flag"))
     k = cut_lineage(k.select("t", "sid", "buddy_suspect", "sct_flag", "combined"))
     sm = C.station_completeness(k, "combined", p).select("sid", "keep_s")
-    out = (g.join(k.select("t", "sid", "buddy_suspect", "sct_flag", "combined"), ["t", "sid"], "left")
-           .join(tm, "t", "left").join(sm, "sid", "left"))
-    out = out.withColumn("final_good", F.coalesce(F.col("combined") & F.col("keep_s"), F.lit(False)))
+    out = apply_masks(g.join(k, ["t", "sid"], "left"), tm, sm, good="combined")
     out = out.withColumn("v_qc", mask("v", "final_good"))
     # stations and times are counted on their own small tables, not over the grid
     n_removed = (g.select("sid").distinct().join(sm.where("keep_s"), "sid", "left_anti")

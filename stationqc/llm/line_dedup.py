@@ -1,6 +1,6 @@
 """Cross-site boilerplate removal by the distinct-site spread of lines (native Spark only).
 
-A line's key is the hash of its text without surrounding white space.  One
+A line's key is the 128-bit digest of its text without surrounding white space.  One
 aggregation by key merges HyperLogLog sketches of the sites a line occurs on.
 Lines whose estimate is clearly below or above the threshold are settled by it;
 those within the sketch's error band get an exact distinct count over their
@@ -48,7 +48,7 @@ def line_spread(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
                        min_sites: int = MIN_SITES) -> DataFrame:
     """doc_id, n_lines, n_removed, text (without the boilerplate lines)."""
-    key = lambda line: F.xxhash64(F.regexp_replace(line, _EDGES, ""))
+    key = lambda line: F.unhex(F.md5(F.regexp_replace(line, _EDGES, "")))
     site = F.coalesce(F.concat(F.lit("s"), F.col(site_col)), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), site.alias("site"), F.col(text_col).alias("text"))
     lines = (base.select("doc_id", "site", F.explode(F.split("text", "\n", -1)).alias("line"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stationqc.functions.columns import with_utm
+from stationqc.session import store
 
 
 def project(stations: DataFrame, zone: int = 33) -> DataFrame:
@@ -44,8 +45,12 @@ def _pairs(st: DataFrame, xcol: str, ycol: str, r: float, keep_self: bool = Fals
 
 
 def radius_pairs_metric(stations: DataFrame, r: float, zone: int = 33) -> DataFrame:
-    """Ordered pairs i != j with projected distance <= r (metres)."""
-    return _pairs(project(stations, zone), "x", "y", r)
+    """Ordered pairs i != j with projected distance <= r (metres).
+
+    The projected stations are stored first: the join's null filters would otherwise be
+    pushed below the projection, which writes its whole series out once per use.
+    """
+    return _pairs(store(project(stations, zone).select("sid", "x", "y", "alt")), "x", "y", r)
 
 
 def radius_pairs_degree(stations: DataFrame, r: float) -> DataFrame:

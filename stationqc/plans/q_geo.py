@@ -9,7 +9,7 @@ from stationqc.operators import buddy as B
 from stationqc.operators import geo as Geo
 from stationqc.operators.temporal import temporal_step
 from stationqc.params import BuddyParams
-from stationqc.plans.catalog import cells_e, cells_l, grid_e, grid_f, r4, register
+from stationqc.plans.catalog import grid_e, grid_f, r4, register
 from stationqc.plans.sqlfix import FGRID, GRID, STATIONS, e_cells, l_cells
 from stationqc.sources import fixtures as X
 
@@ -23,7 +23,7 @@ DPAIRS = ("dp AS (SELECT a.sid AS i, b.sid AS j, sqrt((b.lon - a.lon)^2 + (b.lat
 
 
 def stations_l(spark, sf):
-    return X.station_dim(cells_l(spark, sf))
+    return X.stations_l(spark, sf)
 
 
 @register("utm_xy", f"""WITH {l_cells()}, {STATIONS}, {PROJ}
@@ -79,7 +79,7 @@ FROM nb GROUP BY t, i""")
 def q_idw_background(spark, sf):
     g = grid_f(spark, sf)
     cells = g.where(F.col("v").isNotNull())
-    pairs = Geo.nearest_k(Geo.radius_pairs_degree(X.station_dim(cells_e(spark, sf)), 0.04), 5)
+    pairs = Geo.nearest_k(Geo.radius_pairs_degree(X.stations_e(spark, sf), 0.04), 5)
     nb = Geo.neighbour_values(cells, pairs)
     bg = Geo.idw_background(nb, eps=0.1, slope=-0.0065)
     return bg.select("t", "i", F.col("n").cast("long").alias("n"), r4("background").alias("background"))
@@ -105,11 +105,8 @@ FROM {grid_rel} g LEFT JOIN st ON st.t = g.t AND st.sid = g.sid"""
 
 
 def _buddy_categories(g, stations, prm):
-    out = B.buddy_check(g, stations, prm, out="suspect")
-    # re-derive the category for reporting from the same statistics
-    cells = g.where(F.col("v").isNotNull()).select("t", "sid", "v")
-    st = B.buddy_stats(cells, B.buddy_pairs(stations, prm), prm).withColumnRenamed("i", "sid")
-    j = out.join(st, ["t", "sid"], "left")
+    # the category for reporting comes from the statistics of the same pass
+    j = B.buddy_check(g, stations, prm, out="suspect", keep_stats=True)
     cat = (F.when(F.col("v").isNull(), "missing")
            .when(F.coalesce(F.col("n_nb"), F.lit(0)) < prm.num_min, "isolated")
            .when(F.col("suspect"), "outlier").otherwise("ok"))
@@ -118,16 +115,14 @@ def _buddy_categories(g, stations, prm):
 
 @register("buddy_flags", _buddy_sql("grid", e_cells(), 20000.0, 100.0, 3.0, -0.0065))
 def q_buddy_flags(spark, sf):
-    cells = cells_e(spark, sf)
     prm = BuddyParams(radius=20000.0, num_min=3, threshold=3.0, max_elev_diff=100.0, elev_gradient=-0.0065)
-    return _buddy_categories(grid_e(spark, sf), X.station_dim(cells), prm)
+    return _buddy_categories(grid_e(spark, sf), X.stations_e(spark, sf), prm)
 
 
 @register("buddy_lapse", _buddy_sql("fgrid", e_cells(), 5000.0, 400.0, 1.5, -0.0065, extra_ctes=FGRID + ", "))
 def q_buddy_lapse(spark, sf):
-    cells = cells_e(spark, sf)
     prm = BuddyParams(radius=5000.0, num_min=3, threshold=1.5, max_elev_diff=400.0, elev_gradient=-0.0065)
-    return _buddy_categories(grid_f(spark, sf), X.station_dim(cells), prm)
+    return _buddy_categories(grid_f(spark, sf), X.stations_e(spark, sf), prm)
 
 
 @register("eligible_timesteps", f"""WITH {e_cells()}, {GRID}

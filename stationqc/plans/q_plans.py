@@ -12,7 +12,7 @@ from stationqc.operators.temporal import temporal_step
 from stationqc.params import (BATCH_SCT, GREEDY, BATCH_SEASON_LIMITS, SEQUENTIAL_BUDDY, SEQUENTIAL_SCT,
                               SEQUENTIAL_SEASON_LIMITS, BuddyParams, LongTermParams)
 from stationqc.plans import qc as Q
-from stationqc.plans.catalog import cells_e, grid_e, grid_f, register
+from stationqc.plans.catalog import grid_e, grid_f, register
 from stationqc.plans.sqlfix import (FGRID, GRID, STATIONS, buddy_ctes, completeness_counters_sql,
                                     completeness_sql, e_cells, greedy_ctes, proj_cte, sct_closed_ctes,
                                     seasonal_good_sql)
@@ -46,7 +46,7 @@ _BATCH_GREEDY_CTES = _batch_ctes(
 
 def _batch(spark, sf):
     g = grid_f(spark, sf)
-    st = X.station_dim(cells_e(spark, sf))
+    st = X.stations_e(spark, sf)
     return Q.batch_qc(g, st, BATCH_LIMITS, BATCH_BUDDY_F, BATCH_SCT, 0.8)
 
 
@@ -71,7 +71,7 @@ _BATCH_STATS_SELECT = """SELECT count(*)::BIGINT AS total_values, count(*) FILTE
 def q_batch_stats_greedy(spark, sf):
     """Batch QC with the general (order-dependent) spatial scan on the kept times."""
     g = grid_f(spark, sf)
-    st = X.station_dim(cells_e(spark, sf))
+    st = X.stations_e(spark, sf)
     return Q.batch_qc(g, st, BATCH_LIMITS, BATCH_BUDDY_F, GREEDY, 0.8, sct_plan="general").stats
 
 
@@ -118,7 +118,7 @@ l3 AS (SELECT * EXCLUDE (out, day_bad, month_bad, t_lvl3), out AS t_lvl3_flag,
 
 def _seq(spark, sf, checkpoint=True):
     g = grid_f(spark, sf)
-    st = X.station_dim(cells_e(spark, sf))
+    st = X.stations_e(spark, sf)
     return Q.sequential_qc(g, st, SEQUENTIAL_SEASON_LIMITS, SEQUENTIAL_BUDDY, SEQUENTIAL_SCT, 0.8,
                            checkpoint=checkpoint)
 

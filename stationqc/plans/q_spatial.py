@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stationqc.operators import spatial as SP
 from stationqc.params import BATCH_SCT, GREEDY, GREEDY_ST, SEQUENTIAL_SCT, SctParams
-from stationqc.plans.catalog import cells_e, grid_f, register
+from stationqc.plans.catalog import grid_f, register
 from stationqc.plans.sqlfix import FGRID, GRID, STATIONS, e_cells, greedy_ctes
 from stationqc.sources import fixtures as X
 
@@ -33,7 +33,7 @@ FROM {cells} g LEFT JOIN i0 ON i0.sid = g.sid LEFT JOIN st ON st.t = g.t AND i0.
 
 def _run(spark, sf, prm, stct, plan):
     g = grid_f(spark, sf)
-    st = X.station_dim(cells_e(spark, sf))
+    st = X.stations_e(spark, sf)
     out = SP.sct(g, st, prm, stct=stct, plan=plan)
     cols = ["t", "sid"] + (["temporal_flag"] if stct else []) + ["sct_flag"]
     return out.select(*cols)
@@ -60,7 +60,7 @@ def q_sct_greedy_text_ids(spark, sf):
     """The scan in the order of text ids (``st-10`` before ``st-2``)."""
     name = F.concat(F.lit("st-"), F.col("sid").cast("string"))
     g = grid_f(spark, sf).withColumn("sid", name)
-    st = X.station_dim(cells_e(spark, sf)).withColumn("sid", name)
+    st = X.stations_e(spark, sf).withColumn("sid", name)
     return SP.sct(g, st, GREEDY, plan="general").select("t", "sid", "sct_flag")
 
 
@@ -69,7 +69,7 @@ def q_sct_greedy_text_ids(spark, sf):
 SELECT t, sid, temporal_flag, sct_flag FROM gs""")
 def q_sct_obs_to_check(spark, sf):
     """Only stations at 400 m and above are tested (none of unknown altitude)."""
-    st = X.station_dim(cells_e(spark, sf)).withColumn("check", F.col("alt") >= 400)
+    st = X.stations_e(spark, sf).withColumn("check", F.col("alt") >= 400)
     out = SP.sct(grid_f(spark, sf), st, GREEDY_ST, stct=True, plan="general", to_check="check")
     return out.select("t", "sid", "temporal_flag", "sct_flag")
 
@@ -111,6 +111,6 @@ lev AS (SELECT sid, max(level) AS level FROM up GROUP BY sid)
 SELECT level, count(*)::BIGINT AS stations, min(sid) AS first_station FROM lev GROUP BY level""")
 def q_sct_levels(spark, sf):
     """The rounds of the scan: how many stations each settles."""
-    stations = X.station_dim(cells_e(spark, sf))
+    stations = X.stations_e(spark, sf)
     lev = SP.scan_levels(stations, GREEDY)
     return lev.groupBy("level").agg(F.count(F.lit(1)).alias("stations"), F.min("sid").alias("first_station"))

@@ -53,6 +53,16 @@ def station_dim(cells: DataFrame) -> DataFrame:
                                                   c["alt"].alias("alt"))
 
 
+def stations_e(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``station_dim`` of the cells of adapter E: the stations with a value, without building the cells."""
+    return station_dim(events_obs(spark, sf_dir).where(F.col("v").isNotNull()))
+
+
+def stations_l(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``station_dim`` of the cells of adapter L."""
+    return station_dim(lineitem_obs(spark, sf_dir).where(F.col("v").isNotNull()))
+
+
 def fill_rule(grid: DataFrame) -> DataFrame:
     """Adapter F: fill most holes of a dense grid by a fixed arithmetic rule."""
     hidx = F.floor(epoch_seconds("t") / 3600).cast("long")

@@ -49,13 +49,14 @@ def dense_grid(cells: DataFrame, axis: DataFrame | None = None, extra: list[str]
     """Every axis time x every station with a cell, NULL where absent.
 
     ``extra`` names further value columns of ``cells`` carried along (B4).
-    AQE turns the axis joins into broadcasts when the axis is small at run time.
+    The axis (one row per hour of the calendar) is broadcast, so the cells cross one
+    shuffle, by station, and the grid rows none: the grid stays partitioned by station.
     """
     extra = list(extra or [])
     vals = ["v"] + extra
     if axis is None:
         axis = time_axis(cells)
-    c = spread(cells.join(axis, "t"), "sid")
+    c = spread(cells.join(F.broadcast(axis), "t"), "sid")
     w = Window.partitionBy("sid").orderBy("idx")
     c = (c.withColumn("prev_idx", F.lag("idx").over(w))
          .withColumn("next_idx", F.lead("idx").over(w)))
@@ -64,7 +65,7 @@ def dense_grid(cells: DataFrame, axis: DataFrame | None = None, extra: list[str]
     runs = c.select("sid", "idx", *vals, F.explode(F.sequence(start, stop)).alias("k"))
     runs = runs.select("sid", F.col("k").alias("idx"),
                        *[F.when(F.col("k") == F.col("idx"), F.col(x)).alias(x) for x in vals])
-    return runs.join(axis.select("t", "idx"), "idx").select("t", "sid", *vals)
+    return runs.join(F.broadcast(axis.select("t", "idx")), "idx").select("t", "sid", *vals)
 
 
 def outer_product(df: DataFrame, keys: tuple[str, str] = ("t", "sid"), values: list[str] | None = None) -> DataFrame:

@@ -31,13 +31,12 @@ from stationqc.operators.geo import _pairs, project
 from stationqc.operators.spatial_rounds import sct_rounds, testable
 from stationqc.operators.temporal import temporal_step
 from stationqc.params import SctParams
-from stationqc.session import cut_lineage
+from stationqc.session import cut_lineage, store
 
 
 def _coords(stations: DataFrame, prm: SctParams) -> DataFrame:
     if prm.metric == "m":
-        p = project(stations)
-        return p.select("sid", F.col("x").alias("cx"), F.col("y").alias("cy"), "alt")
+        return store(project(stations).select("sid", F.col("x").alias("cx"), F.col("y").alias("cy"), "alt"))
     return stations.select("sid", F.col("lon").alias("cx"), F.col("lat").alias("cy"), "alt")
 
 
@@ -98,7 +97,7 @@ def sct_closed_form(grid: DataFrame, stations: DataFrame, prm: SctParams, stct:
     g = grid
     if stct:
         g = temporal_step(g, prm.temporal_threshold, v=v, out="temporal_flag").drop("v_prev", "v_next")
-    g = g.join(st, "t", "left")
+    g = g.join(F.broadcast(st), "t", "left")   # one row per axis time
     if stct:
         bg = F.col("swv") / F.col("sw") + F.col("mda") * F.lit(float(prm.vertical_scale))
     else:

@@ -2,9 +2,9 @@
 
 Each function returns a small result object holding DataFrames.  The
 exchange key alternates between time (spatial tests) and station
-(completeness, temporal tests); the sequential plan cuts lineage after every
-level with a reliable checkpoint in the cluster's checkpoint folder, so a lost
-executor recomputes at most one level.
+(completeness, temporal tests); the sequential plan stores every level as a
+compressed table in the cluster's checkpoint folder, so a lost executor recomputes
+at most one level.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from stationqc.operators.seasonal import seasonal_good
 from stationqc.operators.spatial import sct
 from stationqc.params import (BATCH_BUDDY, BATCH_SCT, BATCH_SEASON_LIMITS, OVERLAY, SEQUENTIAL_BUDDY,
                               SEQUENTIAL_SCT, SEQUENTIAL_SEASON_LIMITS, BuddyParams, LongTermParams, SctParams)
-from stationqc.session import cut_lineage
+from stationqc.session import store
 from stationqc.sources.files import write_qc_dataset
 
 
@@ -43,16 +43,19 @@ def batch_qc(grid: DataFrame, stations: DataFrame, limits: dict = BATCH_SEASON_L
              sct_plan: str = "auto") -> QcResult:
     """Seasonal -> timestep completeness -> buddy and SCT independently on the raw
     values of kept times -> combine -> station completeness -> final mask."""
-    # the grid feeds eight branches below: materialise it once (reliable checkpoint)
-    g = cut_lineage(grid.withColumn("seasonal_good", seasonal_good("v", "t", limits)))
+    # the grid feeds eight branches below: store it once
+    g = store(grid.withColumn("seasonal_good", seasonal_good("v", "t", limits)))
     tm = C.timestep_completeness(g, "seasonal_good", p).select("t", "keep_t")
-    kept = g.join(tm.where("keep_t").select("t"), "t", "left_semi")
+    kept_times = F.broadcast(tm.where("keep_t").select("t"))       # a part of the time axis
+    kept = g.join(kept_times, "t", "left_semi")
     k = buddy_check(kept, stations, buddy, out="buddy_suspect")
     k = sct(k, stations, sct_prm, stct=False, plan=sct_plan)
     k = k.withColumn("combined", combine_flags("seasonal_good", "buddy_suspect", "sct_flag"))
-    k = cut_lineage(k.select("t", "sid", "buddy_suspect", "sct_flag", "combined"))
+    k = store(k.select(*g.columns, "buddy_suspect", "sct_flag", "combined"))
     sm = C.station_completeness(k, "combined", p).select("sid", "keep_s")
-    out = apply_masks(g.join(k, ["t", "sid"], "left"), tm, sm, good="combined")
+    # the tested cells carry the grid's columns; those of the other times have no flags
+    rest = g.join(kept_times, "t", "left_anti").select("*", *[F.lit(None).cast("boolean").alias(c) for c in ("buddy_suspect", "sct_flag", "combined")])
+    out = apply_masks(k.unionByName(rest), F.broadcast(tm), sm, good="combined")
     out = out.withColumn("v_qc", mask("v", "final_good"))
     # stations and times are counted on their own small tables, not over the grid
     n_removed = (g.select("sid").distinct().join(sm.where("keep_s"), "sid", "left_anti")
@@ -96,7 +99,7 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
     """Level 1 seasonal, level 2 buddy, level 3 spatio-temporal test, each followed by
     the daily/monthly completeness rule; values are masked after each step, so
     every test sees only the survivors of the previous one."""
-    keep = (lambda d: cut_lineage(d)) if checkpoint else (lambda d: d)
+    keep = store if checkpoint else (lambda d: d)
     g = grid.select("t", "sid", F.col("v").alias("t_lvl0"))   # read once by level 1: no copy
     # level 1
     g = g.withColumn("seasonal_ok", seasonal_good("t_lvl0", "t", limits))
@@ -108,7 +111,7 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
     g = c1.drop("day", "mk", "day_bad", "month_bad")
     # level 2
     el = eligible_times(g, buddy.num_min, v="t_lvl1").select("t", F.col("eligible").alias("el2"))
-    b = buddy_check(g.join(el, "t"), stations, buddy, v="t_lvl1", out="_bs")
+    b = buddy_check(g.join(F.broadcast(el), "t"), stations, buddy, v="t_lvl1", out="_bs")
     b = b.withColumn("buddy_ok", ~(F.col("el2") & F.col("_bs"))).drop("_bs", "el2")
     b = keep(b.withColumn("t_lvl2", mask("t_lvl1", "buddy_ok")))
     d2 = keep(C.station_days(b, "buddy_ok", p))      # one row per station-day, for the cells and the counters
@@ -118,7 +121,7 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
     g = c2.drop("day", "mk", "day_bad", "month_bad")
     # level 3
     el = eligible_times(g, sct_prm.num_min, v="t_lvl2").select("t", F.col("eligible").alias("el3"))
-    s = sct(g.join(el, "t"), stations, sct_prm, stct=True, v="t_lvl2", plan=sct_plan)
+    s = sct(g.join(F.broadcast(el), "t"), stations, sct_prm, stct=True, v="t_lvl2", plan=sct_plan)
     s = (s.withColumn("sct_ok", ~(F.col("el3") & F.col("sct_flag")))
          .withColumn("temporal_ok", ~(F.col("el3") & F.col("temporal_flag")))
          .drop("sct_flag", "temporal_flag", "el3"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stationqc.functions.columns import mask, month_key, nan_to_null, season, timeframe_label
-from stationqc.session import spread
+from stationqc.session import spread, store
 
 
 def hourly_cells(obs: DataFrame, t: str = "t", sid: str = "sid", v: str = "v") -> DataFrame:
@@ -90,6 +90,10 @@ def duplicate_keys(df: DataFrame, keys=("t", "sid")) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+#: Stations of a wide frame at most that have a column each.
+WIDE_STATIONS = 1000
+
+
 def to_wide(grid: DataFrame, station_ids: list | None = None, value: str = "v") -> DataFrame:
     """One row per time, one column per station (export view only), in time
     order (E8: a distributed range-partitioned sort at the edge)."""
@@ -102,6 +106,31 @@ def to_long(wide: DataFrame, value: str = "v") -> DataFrame:
     return wide.unpivot("t", ids, "sid", value)
 
 
+def to_wide_blocks(grid: DataFrame, value: str = "v", width: int = WIDE_STATIONS) -> tuple[DataFrame, DataFrame]:
+    """B5 for any number of stations: (wide frame, header ``(block, pos, sid)``).
+
+    The stations are dealt into blocks of ``width`` places.  A row of the wide frame is a
+    time and a block, column ``c<pos>`` the value of the block's station at that place.
+    """
+    # places in the order of hashed parts: counted per part, then the running count of the parts before
+    ids = grid.select("sid").distinct().withColumn("part", F.pmod(F.xxhash64("sid"), F.lit(width)))
+    ids = store(ids.withColumn("nth", F.row_number().over(Window.partitionBy("part").orderBy("sid")) - 1))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = ids.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", before.alias("before"))
+    at = F.col("before") + F.col("nth")
+    header = store(ids.join(F.broadcast(parts), "part").select(F.floor(at / width).alias("block"), (at % width).cast("int").alias("pos"), "sid"))
+    mine = header.select("block", "pos", F.col("sid").alias("_sid"))
+    placed = grid.join(mine, F.col("sid").eqNullSafe(F.col("_sid"))).groupBy("t", "block").pivot("pos", list(range(width))).agg(F.first(value, ignorenulls=True))
+    return placed.withColumnsRenamed({str(p): f"c{p}" for p in range(width)}), header
+
+
+def from_wide_blocks(wide: DataFrame, header: DataFrame, value: str = "v") -> DataFrame:
+    """Inverse of ``to_wide_blocks`` on a dense grid: back to ``(t, sid, v)``; station ids come back as strings, as in ``to_long``."""
+    cells = [c for c in wide.columns if c not in ("t", "block")]
+    at = wide.select("t", "block", F.posexplode(F.array(*cells)).alias("pos", value))
+    return at.join(header, ["block", "pos"]).select("t", F.coalesce(F.col("sid").cast("string"), F.lit("null")).alias("sid"), value)
+
+
 def slice_time(grid: DataFrame, start=None, end=None) -> DataFrame:
     """Both ends inclusive; absent or unusable bounds mean the full range."""
     low, high = (F.lit(bound).try_cast("timestamp_ntz") for bound in (start, end))

@@ -238,8 +238,8 @@ def q_station_metadata(spark, sf):
 SELECT t, sid::VARCHAR AS sid, round(v, 4) AS v FROM grid""")
 def q_wide_long(spark, sf):
     g = G.dense_grid(cells_e(spark, sf))
-    w = G.to_wide(g)   # pivot values found by Spark (bounded by spark.sql.pivotMaxValues)
-    return G.to_long(w).select("t", "sid", r4("v").alias("v"))
+    w, header = G.to_wide_blocks(g)   # a column per station up to a block's width, further blocks as rows
+    return G.from_wide_blocks(w, header).select("t", "sid", r4("v").alias("v"))
 
 
 @register("outer_product", f"""WITH {e_cells()}, {GRID}

@@ -108,7 +108,8 @@ def nearest_k_any(stations: DataFrame, xcol: str, ycol: str, k: int, bound: int
     A station's first ring is as wide as the quad-tree leaf (of about 4 k stations) that
     holds it.  In each round the stations whose ring is due are answered if k others
     lie within it; the rest wait for twice the ring.  An eager loop of at most
-    ``DEPTH`` rounds and a few, each of them over fewer stations.
+    ``DEPTH`` rounds and a few, each of them over fewer stations.  Stations at one place
+    ask together, so a place of any number of stations costs as much as a few.
     """
     st = cut_lineage(stations.select("sid", F.col(xcol).alias("x"), F.col(ycol).alias("y"), "alt"))
     box = st.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
@@ -116,23 +117,42 @@ def nearest_k_any(stations: DataFrame, xcol: str, ycol: str, k: int, bound: int
     if box["x0"] is None:
         return empty
     wide = math.hypot(box["x1"] - box["x0"], box["y1"] - box["y0"]) * (1 + 1e-9) or 1.0
-    members, _ = quad_leaves(_placed(st, "x", "y", wide, box["x0"], box["y0"]), 4 * k)
-    waiting = cut_lineage(members.select("sid", "level"))
-    found = []
+    # stations at one place share their list: all of them see the others at the same distances, so a place
+    # asks once, for k + 1 stations (one may be the asker), and shows its k + 1 smallest ids
+    places = cut_lineage(st.where(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("x", "y").agg(F.min("sid").alias("place")))
+    # a station given several times is asked and shown once, its entries are repeated at the end
+    at = st.join(places, ["x", "y"]).groupBy("sid", "x", "y", "place").agg(F.first("alt").alias("alt"))
+    times = cut_lineage(st.groupBy("sid").agg(F.least(F.lit(k), F.count(F.lit(1))).cast("int").alias("times")))
+    shown = cut_lineage(at.withColumn("nth", F.row_number().over(Window.partitionBy("place").orderBy("sid")))
+                        .where(F.col("nth") <= k + 1).select("sid", "x", "y", "alt", "place"))
+    asking = shown.where(F.col("sid") == F.col("place")).select("sid")
+    members, _ = quad_leaves(_placed(shown, "x", "y", wide, box["x0"], box["y0"]), 4 * k)
+    waiting = cut_lineage(members.join(asking, "sid", "left_semi").select("sid", "level"))
+    lists = []
     for level in range(DEPTH, -1, -1):
         due = waiting.where(F.col("level") >= level)
         if due.isEmpty():
             continue
         ring = wide / 2 ** level
         w = Window.partitionBy("i").orderBy("dist", "j")
-        near = adaptive_pairs(st, "x", "y", ring, bound, probes=due)
-        near = cut_lineage(near.select("i", "j", "dist", F.row_number().over(w).alias("rank")).where(F.col("rank") <= k))
-        done = near.where(F.col("rank") == k).select("i") if level else due.select(F.col("sid").alias("i"))
-        found.append(near.join(done, "i", "left_semi").select("i", "rank", "j", "dist"))
+        near = adaptive_pairs(shown, "x", "y", ring, bound, keep_self=True, probes=due)
+        near = cut_lineage(near.select("i", "j", "dist", F.row_number().over(w).alias("rank")).where(F.col("rank") <= k + 1))
+        done = near.where(F.col("rank") == k + 1).select("i") if level else due.select(F.col("sid").alias("i"))
+        lists.append(near.join(done, "i", "left_semi").select(F.col("i").alias("place"), "rank", "j", "dist"))
         waiting = cut_lineage(waiting.join(done.withColumnRenamed("i", "sid"), "sid", "left_anti"))
         if waiting.isEmpty():
             break
-    out = empty
-    for part in found:
-        out = out.unionByName(part)
-    return out
+    if not lists:
+        return empty
+    found = lists[0]
+    for part in lists[1:]:
+        found = found.unionByName(part)
+    # one row per place holds its list; a station takes the first k that are not itself
+    kept = (found.join(times.withColumnRenamed("sid", "j"), "j").groupBy("place")
+            .agg(F.sort_array(F.collect_list(F.struct("rank", "j", "dist", "times"))).alias("near")))
+    mine = at.select(F.col("sid").alias("i"), "place").join(kept, "place").join(times.withColumnRenamed("sid", "i"), "i")
+    others = F.filter("near", lambda e: e["j"] != F.col("i"))
+    again = F.flatten(F.transform(others, lambda e: F.array_repeat(e, e["times"] * F.col("times"))))
+    mine = mine.select("i", F.slice(again, 1, k).alias("near"))
+    return mine.select("i", F.posexplode("near").alias("at", "e")).select(
+        "i", (F.col("at") + 1).cast("int").alias("rank"), F.col("e.j").alias("j"), F.col("e.dist").alias("dist"))

@@ -82,3 +82,33 @@ def test_dense_grid_rows_cross_no_shuffle(spark):
     p = _plan(dense_grid(spark.createDataFrame([], "t timestamp_ntz, sid long, v double")))
     above = p.split("Generate", 1)[0]
     assert "Exchange" not in above.replace("BroadcastExchange", "").split("BroadcastHashJoin")[0] and "SortMergeJoin" not in p
+
+
+def test_wide_blocks_hold_any_number_of_stations(spark):
+    from stationqc.operators.grid import from_wide_blocks, to_wide_blocks
+
+    rows = [(T0 + dt.timedelta(hours=h), s, None if s % 5 == h else float(s + h)) for h in range(3) for s in range(50)]
+    grid = spark.createDataFrame(rows, "t timestamp_ntz, sid long, v double")
+    spark.conf.set("spark.sql.pivotMaxValues", "20")
+    try:
+        wide, header = to_wide_blocks(grid, width=16)
+        assert len(wide.columns) == 18 and wide.count() == 3 * 4
+        back = from_wide_blocks(wide, header).collect()
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+    assert sorted(map(tuple, back), key=str) == sorted(((t, str(s), v) for t, s, v in rows), key=str)
+
+
+def test_nearest_of_crowded_places(spark):
+    """Many stations at one place: as many candidates as asked for, not all pairs; a station given twice counts twice."""
+    from stationqc.operators.adaptive import nearest_k_any
+
+    rows = [(s, float(s % 3), 0.0, 0.0) for s in range(300)] + [(300, 50.0, 0.0, 0.0), (300, 50.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "sid long, x double, y double, alt double")
+    got = {}
+    for r in nearest_k_any(df, "x", "y", 3).collect():
+        got.setdefault(r.i, []).append((r.rank, r.j, r.dist))
+    for i in {r[0] for r in rows}:
+        x = next(r[1] for r in rows if r[0] == i)
+        pairs = sorted((abs(b[1] - x), b[0]) for a in rows if a[0] == i for b in rows if b[0] != i)[:3]
+        assert sorted(got[i]) == [(n + 1, j, d) for n, (d, j) in enumerate(pairs)]

@@ -11,6 +11,7 @@ from stationqc.operators.temporal import temporal_step
 from stationqc.params import BuddyParams
 from stationqc.plans.catalog import grid_e, grid_f, r4, register
 from stationqc.plans.sqlfix import FGRID, GRID, STATIONS, e_cells, l_cells
+from stationqc.session import store
 from stationqc.sources import fixtures as X
 
 XS, YS = utm_sql("lat", "lon")
@@ -77,8 +78,7 @@ SELECT t, i, count(*)::BIGINT AS n,
              sum(v_j / (dist + 0.1)) / sum(1.0 / (dist + 0.1)) + avg(da) * -0.0065 END, 4) AS background
 FROM nb GROUP BY t, i""")
 def q_idw_background(spark, sf):
-    g = grid_f(spark, sf)
-    cells = g.where(F.col("v").isNotNull())
+    cells = store(grid_f(spark, sf).where(F.col("v").isNotNull()))   # read twice below
     pairs = Geo.nearest_k(Geo.radius_pairs_degree(X.stations_e(spark, sf), 0.04), 5)
     nb = Geo.neighbour_values(cells, pairs)
     bg = Geo.idw_background(nb, eps=0.1, slope=-0.0065)

@@ -11,6 +11,7 @@ from stationqc.params import BATCH_SEASON_LIMITS
 from stationqc.plans import reports as R
 from stationqc.plans.catalog import cells_e, cells_l, day_str, grid_e, grid_l, month_str, r4, register
 from stationqc.plans.sqlfix import GRID, STATIONS, completeness_sql, e_cells, l_cells, season_sql, seasonal_good_sql
+from stationqc.session import store
 from stationqc.sources import fixtures as X
 
 LIM = BATCH_SEASON_LIMITS
@@ -102,7 +103,7 @@ SELECT sid, strftime(t, '%Y-%m') AS month, count(*)::BIGINT AS n_rows,
        bool_or(month_bad) AS month_bad, count(*) FILTER (WHERE day_bad)::BIGINT AS n_day_bad,
        count(*) FILTER (WHERE out)::BIGINT AS n_out FROM comp GROUP BY 1, 2""")
 def q_monthly_completeness(spark, sf):
-    g = grid_l(spark, sf).withColumn("flag", F.col("v").isNotNull())
+    g = store(grid_l(spark, sf).withColumn("flag", F.col("v").isNotNull()))   # read twice below
     c = C.completeness_temporal(g, "flag", 0.2, out="out")
     return c.groupBy("sid", month_str().alias("month")).agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"), F.bool_or("month_bad").alias("month_bad"),

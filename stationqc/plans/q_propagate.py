@@ -13,7 +13,7 @@ from stationqc.params import BuddyParams
 from stationqc.plans import propagate as P
 from stationqc.plans.catalog import cells_l, register
 from stationqc.plans.sqlfix import GRID, STATIONS, buddy_ctes, completeness_sql, l_cells, proj_cte
-from stationqc.session import cut_lineage
+from stationqc.session import store
 from stationqc.sources import fixtures as X
 
 STEP, WINDOW, Z, SAMPLES, SHARE = 30.0, 2400, 1.6, 40, 0.04
@@ -45,11 +45,11 @@ FROM comp c JOIN kb ON kb.t = c.t AND kb.sid = c.sid GROUP BY c.sid""")
 def q_propagated_flags(spark, sf):
     """Flags stored before a change, with what the change can reach done again and spliced in."""
     cells = cells_l(spark, sf)
-    old = cut_lineage(dense_grid(cells))
-    new = cut_lineage(old.withColumn("v", change()))
+    old = store(dense_grid(cells))
+    new = store(old.withColumn("v", change()))
     stations = X.station_dim(old)
     axis, held = time_axis(old), R.run_grid(old.where("v IS NOT NULL"))
-    changes = cut_lineage(P.changed_months(old, new))
+    changes = store(P.changed_months(old, new))
     stored = (temporal_step(old, STEP).select("t", "sid", "step_suspect"),
               rolling_zscore(old, WINDOW, Z, SAMPLES).select("t", "sid", "roll_good"),
               buddy_check(old, stations, BUDDY).select("t", "sid", "buddy_suspect"))

@@ -115,7 +115,7 @@ def sct_closed_form(grid: DataFrame, stations: DataFrame, prm: SctParams, stct:
 
 # ------------------------------------------------------------------ general scan
 GROUP_CELLS = 400_000   # cells of one scan group: as many whole times of a component as fit, at least one
-SCAN_STATIONS = 20_000   # stations of a component that one scan group may hold
+SCAN_STATIONS = 4_000   # stations of a component that one scan group may hold
 
 
 def _links(stations: DataFrame, prm: SctParams) -> DataFrame:

@@ -101,29 +101,33 @@ def buddy_stats(grid: DataFrame, stations: DataFrame, pairs: DataFrame, prm: Bud
     std of the adjusted values (all NULL without a neighbour)."""
     members, near = neighbour_groups(stations, pairs, prm.radius)
     buckets = F.least(F.lit(BUCKETS), F.ceil(F.col("n") / BUCKET_STATIONS)).cast("int")
-    rest = [c for c in grid.columns if c not in ("t", "sid")]
+    # the tested value travels once, for its own row and as a neighbour
+    once = v not in ("t", "sid") and dict(grid.dtypes)[v] == "double"
+    rest = [c for c in grid.columns if c not in ("t", "sid") and not (once and c == v)]
+    carried = F.struct(*rest) if rest else F.struct(F.lit(None).cast("boolean").alias("_"))
     own = F.coalesce("own", F.lit(True))             # a station outside the dimension has no neighbours
     day = F.coalesce(F.datediff(F.to_date("t"), F.lit("1970-01-01")), F.lit(0))
     cells = (grid.join(members, "sid", "left")
              .where(own | F.col(v).isNotNull())
              .select(F.coalesce("grp", F.xxhash64("sid")).alias("grp"), F.pmod(day, F.coalesce(buckets, F.lit(1))).alias("bucket"),
                      "t", "sid", F.coalesce("pos", F.lit(-1)).alias("pos"), own.alias("own"), F.col(v).cast("double").alias("_v"),
-                     F.when(own, F.struct(*rest)).alias("rest")))
+                     F.when(own, carried).alias("rest")))
     near = near.withColumn("in_bucket", F.explode(F.sequence(F.lit(0), buckets - 1))).withColumnRenamed("grp", "in_grp")
     gradient = float(prm.elev_gradient)
 
     def with_stats(cells: pa.Table, near: pa.Table) -> pa.Table:
         own, n_nb, n_adj, mean, std = _group_stats(cells, near, gradient)
-        out = cells.select(["t", "sid", "rest"]).take(pa.array(own))
+        out = cells.select(["t", "sid", "_v", "rest"]).take(pa.array(own))
         for name, x, kind, known in (("n_nb", n_nb, pa.int64(), n_nb > 0), ("n_adj", n_adj, pa.int64(), n_nb > 0),
                                      ("nb_mean", mean, pa.float64(), n_adj > 0), ("nb_std", std, pa.float64(), n_adj > 0)):
             out = out.append_column(name, pa.array(x, type=kind, mask=~known, from_pandas=False))
         return out
 
-    shape = StructType(cells.select("t", "sid", "rest").schema.fields).add("n_nb", "long").add("n_adj", "long")
+    shape = StructType(cells.select("t", "sid", "_v", "rest").schema.fields).add("n_nb", "long").add("n_adj", "long")
     done = (cells.groupBy("grp", "bucket").cogroup(near.groupBy("in_grp", "in_bucket"))
             .applyInArrow(with_stats, shape.add("nb_mean", "double").add("nb_std", "double")))
-    return done.select(*[F.col(c) if c in ("t", "sid") else F.col(f"rest.{c}").alias(c) for c in grid.columns],
+    back = {c: F.col(f"rest.{c}") for c in rest} | ({v: F.col("_v")} if once else {})
+    return done.select(*[back[c].alias(c) if c in back else F.col(c) for c in grid.columns],
                        "n_nb", "n_adj", "nb_mean", "nb_std")
 
 

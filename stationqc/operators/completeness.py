@@ -30,6 +30,24 @@ def station_completeness(grid: DataFrame, flag: str, p: float, kept_times: DataF
     return agg.withColumn("keep_s", F.coalesce(F.col("share") >= F.lit(float(p)), F.lit(False)))
 
 
+def _month_limits(axis_days: DataFrame) -> DataFrame:
+    """``(mk, guard, expected)`` of an axis given as days ``(day, mk, lo, hi)``: twelve rows a year."""
+    months = axis_days.groupBy("mk").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                         F.first(days_in_month("day")).cast("long").alias("dim"))
+    whole = Window.partitionBy()   # over the month table only
+    return months.select("mk", (F.floor((F.max("hi").over(whole) - F.min("lo").over(whole)) / 86400) >= 30)
+                         .alias("guard"),
+                         F.least("dim", F.floor((F.col("hi") - F.col("lo")) / 86400) + 1).alias("expected"))
+
+
+def axis_months(times: DataFrame) -> DataFrame:
+    """The month table of D11, ``(mk, guard, expected)``, from the axis times ``(t)`` of a grid."""
+    sec = epoch_seconds("t")
+    days = (times.groupBy(F.to_date("t").alias("day")).agg(F.min(sec).alias("lo"), F.max(sec).alias("hi"))
+            .where(F.col("day").isNotNull()))
+    return _month_limits(days.withColumn("mk", month_key("day")))
+
+
 def station_days(grid: DataFrame, flag: str, p: float) -> DataFrame:
     """D10 and D11 as aggregates: one row ``(sid, day, mk, day_bad, month_bad)`` per
     station-day of the dense grid.
@@ -43,13 +61,7 @@ def station_days(grid: DataFrame, flag: str, p: float) -> DataFrame:
     days = (grid.groupBy("sid", F.to_date("t").alias("day"))
             .agg(F.count_if(F.col(flag)).alias("n_good"), F.min(sec).alias("lo"), F.max(sec).alias("hi"))
             .withColumn("mk", month_key("day")))
-    axis_days = days.groupBy("day", "mk").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    months = axis_days.groupBy("mk").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-                                         F.first(days_in_month("day")).cast("long").alias("dim"))
-    whole = Window.partitionBy()   # over the month table only
-    months = months.select("mk", (F.floor((F.max("hi").over(whole) - F.min("lo").over(whole)) / 86400) >= 30)
-                           .alias("guard"),
-                           F.least("dim", F.floor((F.col("hi") - F.col("lo")) / 86400) + 1).alias("expected"))
+    months = _month_limits(days.groupBy("day", "mk").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
     valid = days.groupBy("sid", "mk").agg(F.count_if(F.col("n_good") > 0).alias("valid_days"))
     month_bad = F.col("guard") & (F.col("valid_days") / F.col("expected") < F.lit(p))
     by_month = valid.join(F.broadcast(months), "mk").select("sid", "mk", month_bad.alias("month_bad"))
@@ -78,6 +90,30 @@ def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "comp
             .select(*[F.col(c) for c in grid.columns if c != out], "day", "mk", "day_bad", "month_bad", out))
 
 
+def completeness_by_station(grid: DataFrame, flag: str, p: float, months: DataFrame, out: str = "complete") -> DataFrame:
+    """D12 as ``completeness_temporal`` gives it, by windows within a station.
+
+    ``months`` is the ``axis_months`` of the grid.  A grid that is partitioned by station
+    (as ``dense_grid`` and ``temporal_step`` leave it) gets its verdicts where its rows are:
+    one sort for all windows, no join of cells and no shuffle.
+    """
+    p = float(p)
+    g = grid.where(F.col("sid").isNotNull() & F.col("t").isNotNull()).withColumn("day", F.to_date("t"))
+    g = g.withColumn("mk", month_key("day"))
+    # the window by station comes first: it asks for no partitioning beyond the station
+    opens = ~F.lag("day").over(Window.partitionBy("sid").orderBy("mk", "day", "t")).eqNullSafe(F.col("day"))
+    g = g.withColumn("_opens", opens)
+    of_day = (Window.partitionBy("sid", "mk", "day").orderBy("t")
+              .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    g = g.withColumn("_good", F.count_if(F.col(flag)).over(of_day))
+    valid = F.count_if(F.col("_opens") & (F.col("_good") > 0)).over(Window.partitionBy("sid", "mk"))
+    g = g.withColumn("_valid", valid).join(F.broadcast(months), "mk")
+    g = g.withColumn("day_bad", F.col("_good") / F.lit(float(EXPECTED_PER_DAY)) < F.lit(p))
+    g = g.withColumn("month_bad", F.col("guard") & (F.col("_valid") / F.col("expected") < F.lit(p)))
+    return (g.withColumn(out, F.col(flag) & ~F.col("day_bad") & ~F.col("month_bad"))
+            .select(*[F.col(c) for c in grid.columns if c != out], "day", "mk", "day_bad", "month_bad", out))
+
+
 def completeness_stats(per_day: DataFrame, out: bool = False) -> DataFrame:
     """The four counters of D12 from the output of ``station_days``: no cell is read again.
 

@@ -24,7 +24,7 @@ from stationqc.operators.seasonal import seasonal_good
 from stationqc.operators.spatial import sct
 from stationqc.params import (BATCH_BUDDY, BATCH_SCT, BATCH_SEASON_LIMITS, OVERLAY, SEQUENTIAL_BUDDY,
                               SEQUENTIAL_SCT, SEQUENTIAL_SEASON_LIMITS, BuddyParams, LongTermParams, SctParams)
-from stationqc.session import store
+from stationqc.session import spread, store
 from stationqc.sources.files import write_qc_dataset
 
 
@@ -93,6 +93,17 @@ def _completeness_counters(per_day: DataFrame, level: int) -> DataFrame:
     return st.select(*[F.col(c).alias(f"{c}_lvl{level}") for c in st.columns])
 
 
+def _folded(levels: DataFrame, cur: str, *flags: str) -> DataFrame:
+    """``(t, sid, cur, masked, flags)``: a level's value is that of level 0 or missing, so the
+    levels before are kept as the values that ``cur`` has lost (``masked``) and the flags."""
+    return levels.select("t", "sid", cur, F.when(F.col(cur).isNull(), F.col("t_lvl0")).alias("masked"), *flags)
+
+
+def _unfolded(levels: DataFrame, cur: str) -> DataFrame:
+    """``_folded`` with the values of level 0 again."""
+    return levels.withColumn("t_lvl0", F.coalesce(cur, "masked")).drop("masked")
+
+
 def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIAL_SEASON_LIMITS,
                   buddy: BuddyParams = SEQUENTIAL_BUDDY, sct_prm: SctParams = SEQUENTIAL_SCT, p: float = 0.8,
                   sct_plan: str = "auto", checkpoint: bool = True) -> QcResult:
@@ -100,38 +111,33 @@ def sequential_qc(grid: DataFrame, stations: DataFrame, limits: dict = SEQUENTIA
     the daily/monthly completeness rule; values are masked after each step, so
     every test sees only the survivors of the previous one."""
     keep = store if checkpoint else (lambda d: d)
-    g = grid.select("t", "sid", F.col("v").alias("t_lvl0"))   # read once by level 1: no copy
-    # level 1
+    months = keep(C.axis_months(grid.select("t")))   # no level adds or drops a time
+    g = grid.select("t", "sid", F.col("v").alias("t_lvl0"))
+    # level 1: the dense grid is partitioned by station, so its verdicts are found in place
     g = g.withColumn("seasonal_ok", seasonal_good("t_lvl0", "t", limits))
-    g = keep(g.withColumn("t_lvl1", mask("t_lvl0", "seasonal_ok")))
-    d1 = keep(C.station_days(g, "seasonal_ok", p))      # one row per station-day, for the cells and the counters
-    c1 = C.completeness_temporal(g, "seasonal_ok", p, out="t_lvl1_flag", per_day=d1)
-    c1 = c1.withColumn("t_lvl1", mask("t_lvl1", "t_lvl1_flag"))
-    st1 = _completeness_counters(d1, 1)
-    g = c1.drop("day", "mk", "day_bad", "month_bad")
+    c1 = C.completeness_by_station(g, "seasonal_ok", p, months, out="t_lvl1_flag")
+    g = keep(_folded(c1.withColumn("t_lvl1", mask("t_lvl0", "t_lvl1_flag")), "t_lvl1", "seasonal_ok", "t_lvl1_flag"))
+    st1 = _completeness_counters(keep(C.station_days(g, "seasonal_ok", p)), 1)
     # level 2
     el = eligible_times(g, buddy.num_min, v="t_lvl1").select("t", F.col("eligible").alias("el2"))
-    b = buddy_check(g.join(F.broadcast(el), "t"), stations, buddy, v="t_lvl1", out="_bs")
+    b = buddy_check(g, stations, buddy, v="t_lvl1", out="_bs").join(F.broadcast(el), "t")
     b = b.withColumn("buddy_ok", ~(F.col("el2") & F.col("_bs"))).drop("_bs", "el2")
-    b = keep(b.withColumn("t_lvl2", mask("t_lvl1", "buddy_ok")))
-    d2 = keep(C.station_days(b, "buddy_ok", p))      # one row per station-day, for the cells and the counters
-    c2 = C.completeness_temporal(b, "buddy_ok", p, out="t_lvl2_flag", per_day=d2)
-    c2 = c2.withColumn("t_lvl2", mask("t_lvl2", "t_lvl2_flag"))
-    st2 = _completeness_counters(d2, 2)
-    g = c2.drop("day", "mk", "day_bad", "month_bad")
-    # level 3
+    c2 = C.completeness_by_station(spread(b, "sid"), "buddy_ok", p, months, out="t_lvl2_flag")
+    c2 = _unfolded(c2, "t_lvl1").withColumn("t_lvl2", mask("t_lvl1", "t_lvl2_flag"))
+    g = keep(_folded(c2, "t_lvl2", "seasonal_ok", "t_lvl1_flag", "buddy_ok", "t_lvl2_flag"))
+    st2 = _completeness_counters(keep(C.station_days(g, "buddy_ok", p)), 2)
+    # level 3: the temporal test partitions by station again
     el = eligible_times(g, sct_prm.num_min, v="t_lvl2").select("t", F.col("eligible").alias("el3"))
-    s = sct(g.join(F.broadcast(el), "t"), stations, sct_prm, stct=True, v="t_lvl2", plan=sct_plan)
+    s = sct(g, stations, sct_prm, stct=True, v="t_lvl2", plan=sct_plan).join(F.broadcast(el), "t")
     s = (s.withColumn("sct_ok", ~(F.col("el3") & F.col("sct_flag")))
          .withColumn("temporal_ok", ~(F.col("el3") & F.col("temporal_flag")))
          .drop("sct_flag", "temporal_flag", "el3"))
-    s = keep(s.withColumn("l3_ok", F.col("sct_ok") & F.col("temporal_ok"))
-             .withColumn("t_lvl3", mask("t_lvl2", "l3_ok")))
-    d3 = keep(C.station_days(s, "l3_ok", p))      # one row per station-day, for the cells and the counters
-    c3 = C.completeness_temporal(s, "l3_ok", p, out="t_lvl3_flag", per_day=d3)
-    c3 = c3.withColumn("t_lvl3", mask("t_lvl3", "t_lvl3_flag"))
-    st3 = _completeness_counters(d3, 3)
-    out = c3.drop("day", "mk", "day_bad", "month_bad")
+    s = s.withColumn("l3_ok", F.col("sct_ok") & F.col("temporal_ok"))
+    c3 = C.completeness_by_station(s, "l3_ok", p, months, out="t_lvl3_flag")
+    c3 = _unfolded(c3, "t_lvl2").withColumn("t_lvl3", mask("t_lvl2", "t_lvl3_flag"))
+    out = keep(c3.select("t", "sid", "t_lvl0", "seasonal_ok", mask("t_lvl0", "t_lvl1_flag").alias("t_lvl1"), "t_lvl1_flag",
+                         "buddy_ok", "t_lvl2", "t_lvl2_flag", "sct_ok", "temporal_ok", "l3_ok", "t_lvl3", "t_lvl3_flag"))
+    st3 = _completeness_counters(keep(C.station_days(out, "l3_ok", p)), 3)
     counts = out.agg(
         F.count(F.lit(1)).cast("long").alias("total_values"),
         *[F.count(c).cast("long").alias(f"{c}_valid") for c in LEVEL_COLS],

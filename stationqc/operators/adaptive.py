@@ -37,15 +37,16 @@ def _morton(u: Column, w: Column) -> Column:
     return code
 
 
-def _placed(stations: DataFrame, xcol: str, ycol: str, r: float, x0: float = 0.0, y0: float = 0.0) -> DataFrame:
-    """``(sid, px, py, alt, cx, cy, code)``: the cell of each station and its Morton code within."""
+def _placed(stations: DataFrame, xcol: str, ycol: str, r: float, x0: float = 0.0, y0: float = 0.0,
+            keep: tuple = ("sid", "alt")) -> DataFrame:
+    """``(px, py, cx, cy, code)`` and the columns ``keep``: the cell of each station and its Morton code within."""
     px, py = F.col(xcol) - F.lit(x0), F.col(ycol) - F.lit(y0)
     cx, cy = F.floor(px / F.lit(r)).cast("long"), F.floor(py / F.lit(r)).cast("long")
     top = F.lit(2 ** DEPTH - 1).cast("long")
 
     def within(p: Column, c: Column) -> Column:
         return F.greatest(F.lit(0).cast("long"), F.least(top, F.floor((p / F.lit(r) - c) * F.lit(float(2 ** DEPTH))).cast("long")))
-    return stations.select("sid", F.col(xcol).alias("px"), F.col(ycol).alias("py"), "alt", cx.alias("cx"), cy.alias("cy"),
+    return stations.select(*keep, F.col(xcol).alias("px"), F.col(ycol).alias("py"), cx.alias("cx"), cy.alias("cy"),
                            _morton(within(px, cx), within(py, cy)).alias("code"))
 
 
@@ -102,6 +103,106 @@ def adaptive_pairs(stations: DataFrame, xcol: str, ycol: str, r: float, bound: i
     return out.withColumn("da", F.col("alt_j") - F.col("alt_i"))
 
 
+def _places(per: DataFrame) -> DataFrame:
+    """``(x, y, n, lo, lo2, hi, hi2)`` of ``(sid, x, y, m)``: rows, two smallest and two largest ids of a place."""
+    ends = per.groupBy("x", "y").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
+    return (per.join(ends, ["x", "y"]).groupBy("x", "y", "lo", "hi")
+            .agg(F.sum("m").alias("n"), F.min(F.when(F.col("sid") > F.col("lo"), F.col("sid"))).alias("lo2"),
+                 F.max(F.when(F.col("sid") < F.col("hi"), F.col("sid"))).alias("hi2")))
+
+
+def _descend(places: DataFrame, r: float, bound: int) -> DataFrame:
+    """``(x, y, n, lo, hi, far)`` of the other places within ``r`` of each place.
+
+    The quad-tree is walked level by level by all places at once.  A node wholly within
+    reach gives its count and its smallest and largest id; it is opened only while it
+    may hold the farthest station, that is while its far corner is beyond the distance
+    that some node is known to reach.  Nodes on the edge and those on the way to the place
+    itself are opened down to the leaves, whose members are compared one by one.
+    """
+    placed = cut_lineage(_placed(places, "x", "y", r, keep=("n", "lo", "hi")))
+    held = placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("held"))
+    deep = F.when(F.col("held") > bound, F.sequence(F.lit(0), F.lit(DEPTH))).otherwise(F.array(F.lit(0)))
+    rows = placed.join(held, ["cx", "cy"]).select("*", F.explode(deep).alias("level"))
+    rows = cut_lineage(rows.withColumn("prefix", F.expr(f"shiftright(code, 2 * ({DEPTH} - level))"))
+                       .select(*_NODE, "px", "py", "n", "lo", "hi"))
+    nodes = cut_lineage(rows.groupBy(*_NODE).agg(
+        F.count(F.lit(1)).alias("held"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.min("px").alias("x0"), F.max("px").alias("x1"), F.min("py").alias("y0"), F.max("py").alias("y1")))
+    around = F.array(*[F.lit(o) for o in (-1, 0, 1)])
+    open_ = (placed.select("px", "py", F.col("cx").alias("qx"), F.col("cy").alias("qy"), "code")
+             .withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
+             .select("px", "py", "qx", "qy", "code", (F.col("qx") + F.col("dx")).alias("cx"), (F.col("qy") + F.col("dy")).alias("cy"),
+                     F.lit(0).cast("long").alias("up"), F.lit(False).alias("counted"), F.lit(0.0).alias("low")))
+    apart = {a: F.greatest(F.lit(0.0), F.col(f"{a}0") - F.col(f"p{a}"), F.col(f"p{a}") - F.col(f"{a}1")) for a in "xy"}
+    to = {f"{a}{e}": F.abs(F.col(f"{a}{e}") - F.col(f"p{a}")) for a in "xy" for e in "01"}
+    near = F.sqrt(apart["x"] ** 2 + apart["y"] ** 2)
+    far = F.sqrt(F.greatest(to["x0"], to["x1"]) ** 2 + F.greatest(to["y0"], to["y1"]) ** 2)
+    # every side of the bounding box holds a station
+    sure = F.greatest(F.sqrt(F.greatest(to["x0"], to["x1"]) ** 2 + apart["y"] ** 2),
+                      F.sqrt(F.greatest(to["y0"], to["y1"]) ** 2 + apart["x"] ** 2))
+    hair, own_place = 1e-9, Window.partitionBy("px", "py")
+    taken, visits = [], []
+    for level in range(DEPTH + 1):
+        here = nodes.where(F.col("level") == level).withColumn("up", F.shiftright("prefix", 2))
+        f = open_.join(here, ["cx", "cy", "up"])
+        own = ((F.col("cx") == F.col("qx")) & (F.col("cy") == F.col("qy"))
+               & (F.shiftright("code", 2 * (DEPTH - level)) == F.col("prefix")))
+        f = f.withColumn("near", near).withColumn("far", far).where(F.col("counted") | (F.col("near") <= F.lit(r * (1 + hair))))
+        f = f.withColumn("inside", ~own & (F.col("counted") | (F.col("far") <= F.lit(r * (1 - hair)))))
+        f = f.withColumn("low", F.greatest("low", F.max(F.when(F.col("inside"), sure)).over(own_place)))
+        f = cut_lineage(f.select("px", "py", "qx", "qy", "code", *_NODE, "n", "lo", "hi", "held", "inside", "counted", "far", "low"))
+        taken.append(f.where(F.col("inside") & ~F.col("counted")).select("px", "py", "n", "lo", "hi"))
+        f = f.where(~F.col("inside") | (F.col("far") * F.lit(1 + hair) >= F.col("low")))
+        leaf = (F.col("held") <= bound) | F.lit(level == DEPTH)
+        visits.append(f.where(leaf).select("px", "py", *_NODE, F.col("inside").alias("counted")))
+        open_ = f.where(~leaf).select("px", "py", "qx", "qy", "code", "cx", "cy", F.col("prefix").alias("up"),
+                                      F.col("inside").alias("counted"), "low")
+        if open_.isEmpty():
+            break
+    whole, single = taken[0], visits[0]
+    for a, b in zip(taken[1:], visits[1:]):
+        whole, single = whole.unionByName(a), single.unionByName(b)
+    members = rows.select(*_NODE, F.col("px").alias("xj"), F.col("py").alias("yj"), "n", "lo", "hi")
+    d = F.sqrt((F.col("xj") - F.col("px")) ** 2 + (F.col("yj") - F.col("py")) ** 2)
+    single = (single.join(members, _NODE).withColumn("far", d).where(F.col("far") <= F.lit(r))
+              .where((F.col("xj") != F.col("px")) | (F.col("yj") != F.col("py"))))
+    new = ~F.col("counted")
+    single = single.select("px", "py", *[F.when(new, F.col(c)).alias(c) for c in ("n", "lo", "hi")], "far")
+    return (whole.withColumn("far", F.lit(None).cast("double")).unionByName(single).groupBy(F.col("px").alias("x"), F.col("py").alias("y"))
+            .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("far").alias("far")))
+
+
+def adaptive_reach(stations: DataFrame, xcol: str, ycol: str, r: float, bound: int = BOUND) -> DataFrame:
+    """``(i, n, first_j, last_j, farthest)``: the pairs of ``adaptive_pairs`` counted per station, with the
+    smallest and largest neighbour and the largest distance, without a row per pair.
+
+    Stations at one place ask once, and places within reach are taken by whole quad-tree
+    nodes, so a place costs about as many rows as there are nodes on the edge of its circle.
+    Rows of one id at several places, if there are any, are asked for by pairs.
+    """
+    r = float(r)
+    if r <= 0:
+        raise ValueError("radius must be positive")
+    known = F.col("sid").isNotNull() & F.col(xcol).isNotNull() & F.col(ycol).isNotNull()
+    st = stations.where(known)
+    per = cut_lineage(st.groupBy("sid", F.col(xcol).alias("x"), F.col(ycol).alias("y")).agg(F.count(F.lit(1)).alias("m")))
+    strewn = cut_lineage(per.groupBy("sid").agg(F.count(F.lit(1)).alias("at")).where(F.col("at") > 1).select("sid"))
+    places = cut_lineage(_places(per))
+    around = _descend(places, r, bound).select("x", "y", F.col("n").alias("n_out"), F.col("lo").alias("lo_out"), F.col("hi").alias("hi_out"), "far")
+    j = per.join(strewn, "sid", "left_anti").join(places, ["x", "y"]).join(around, ["x", "y"], "left")
+    others = F.col("n") - F.col("m") + F.coalesce("n_out", F.lit(0))
+    low, high = (F.when(F.col(c) != F.col("sid"), F.col(c)).otherwise(F.col(f"{c}2")) for c in ("lo", "hi"))
+    out = j.where(others > 0).select(
+        F.col("sid").alias("i"), (F.col("m") * others).cast("long").alias("n"), F.least("lo_out", low).alias("first_j"),
+        F.greatest("hi_out", high).alias("last_j"), F.coalesce("far", F.lit(0.0)).alias("farthest"))
+    if strewn.isEmpty():
+        return out
+    pairs = adaptive_pairs(st, xcol, ycol, r, bound, probes=strewn)
+    return out.unionByName(pairs.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.min("j").alias("first_j"), F.max("j").alias("last_j"),
+                                                  F.max("dist").alias("farthest")))
+
+
 def nearest_k_any(stations: DataFrame, xcol: str, ycol: str, k: int, bound: int = BOUND) -> DataFrame:
     """C6 without a radius: ``(i, rank, j, dist)``, the k nearest others (all, if fewer), ties to the smaller id.
 

@@ -12,9 +12,19 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 DAYS = 366
+#: Readings that one task is meant to hold.
+TASK_ROWS = 500_000
+
+
+def dealt(rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """``rows`` hash-partitioned by station into parts of about ``TASK_ROWS`` rows of ``of`` (default: of themselves),
+    ``spark.sql.shuffle.partitions`` at least: cells, moments and windows are made where the rows
+    are, and a task's memory does not grow with the table."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(least, math.ceil((rows if of is None else of).count() / TASK_ROWS)), "sid")
 
 
 def day_moments(cells: DataFrame, v: str = "v") -> DataFrame:
@@ -58,24 +68,33 @@ def retract_moments(a: DataFrame, b: DataFrame) -> DataFrame:
 def climatology_of(moments: DataFrame, axis: DataFrame, stations: DataFrame, half_days: float = 15.0) -> DataFrame:
     """D15 ``(sid, doy, clim_rows, clim_n, clim_mean, clim_std)`` from stored moments.
 
-    Each row is spread to the days within +-half (circular over 366 days); days are
+    A day's window is a frame of +-half days over the station's days in order, with the days
+    of the year's edges repeated beyond the other edge (circular over 366 days); days are
     merged around the station's mean of the window, as sums of n, n * mean and M2 with
-    the part between days.
+    the part between days.  The moments cross one shuffle, by station, and a station's window
+    holds 366 days and the repeated ones, whatever the width and the number of stations.
     """
     h = int(math.floor(half_days))
     lo, hi = max(-h, -182), min(h, 183)
 
     def reached(doy: Column) -> Column:
         return F.transform(F.sequence(F.lit(lo), F.lit(hi)), lambda k: F.pmod(doy - 1 + k, F.lit(DAYS)) + 1)
-    near = moments.select("sid", F.explode(reached(F.col("doy"))).alias("doy"), "n", "mean", "m2")
-    s1, s2 = F.sum(F.col("n") * F.col("mean")), F.sum(F.col("n") * F.col("mean") * F.col("mean"))
-    near = near.groupBy("sid", "doy").agg(F.sum("n").alias("clim_n"), s1.alias("s1"), (F.sum("m2") + s2).alias("s2"))
-    mean = F.col("s1") / F.col("clim_n")
-    var = F.greatest(F.col("s2") / F.col("clim_n") - mean * mean, F.lit(0.0))
     rows = axis.select(F.explode(reached(F.col("doy"))).alias("doy"), "n_times").groupBy("doy").agg(F.sum("n_times").alias("clim_rows"))
-    frame = stations.select("sid", F.explode(F.sequence(F.lit(1), F.lit(DAYS))).alias("doy")).join(rows, "doy")
-    return (frame.join(near, ["sid", "doy"], "left")
-            .select("sid", "doy", F.col("clim_rows").cast("long").alias("clim_rows"), F.coalesce("clim_n", F.lit(0)).alias("clim_n"),
+    rows = F.broadcast(rows)   # 366 rows
+    days = stations.select("sid", F.explode(F.sequence(F.lit(1), F.lit(DAYS))).alias("doy")).join(rows, "doy")
+    near = days.select("sid", "doy", "clim_rows", *[F.lit(None).cast(k).alias(c) for c, k in (("n", "long"), ("s1", "double"), ("s2", "double"))])
+    # a row of the moments counts on its own day and, near the year's edges, a year before or after
+    shown = F.array(F.col("doy"), F.when(F.col("doy") > DAYS - hi, F.col("doy") - DAYS), F.when(F.col("doy") <= -lo, F.col("doy") + DAYS))
+    s1 = F.col("n") * F.col("mean")
+    given = moments.where(F.col("sid").isNotNull()).select(
+        "sid", F.explode(F.array_compact(shown)).alias("doy"), F.lit(None).cast("long").alias("clim_rows"), "n", s1.alias("s1"),
+        (F.col("m2") + s1 * F.col("mean")).alias("s2"))
+    w = Window.partitionBy("sid").orderBy("doy").rangeBetween(-hi, -lo)
+    j = dealt(near.unionByName(given), moments).select("sid", "doy", "clim_rows", *[F.sum(c).over(w).alias(c) for c in ("n", "s1", "s2")])
+    mean = F.col("s1") / F.col("n")
+    var = F.greatest(F.col("s2") / F.col("n") - mean * mean, F.lit(0.0))
+    return (j.where(F.col("clim_rows").isNotNull())
+            .select("sid", "doy", F.col("clim_rows").cast("long").alias("clim_rows"), F.coalesce("n", F.lit(0)).alias("clim_n"),
                     mean.alias("clim_mean"), F.sqrt(var).alias("clim_std")))
 
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from stationqc.operators import moments as M
 from stationqc.operators import temporal as T
+from stationqc.operators.grid import hourly_cells
 from stationqc.plans.catalog import ORACLE, cells_e, cells_l, grid_e, grid_l, r4, r4_tie, register
 from stationqc.plans.sqlfix import GRID, e_cells, l_cells
 from stationqc.session import ensure_checkpoint_dir
+from stationqc.sources import fixtures as X
 
 
 def _roll_sql(half_h: int) -> str:
@@ -130,7 +132,7 @@ def q_rolling_z_blocks(spark, sf):
 @register("climatology_moments", ORACLE["climatology"])
 def q_climatology_moments(spark, sf):
     """Three deliveries merged into stored moments; the last replaces the values of the second."""
-    cells = cells_l(spark, sf)
+    cells = hourly_cells(M.dealt(X.lineitem_obs(spark, sf)))
     path = f"{ensure_checkpoint_dir(spark)}/moments-{uuid.uuid4().hex}"
     first, second = cells.where("t < '1994-03-01'"), cells.where("t >= '1994-03-01'")
     raw = second.withColumn("v", F.col("v") * 2 + 1)

@@ -29,7 +29,7 @@ def main():
     from stationqc.operators import runs as R
     from stationqc.operators import temporal as T
     from stationqc.operators.buddy import buddy_check
-    from stationqc.operators.spatial_rounds import settle_round
+    from stationqc.operators.spatial_rounds import settle_round, settling
     from stationqc.operators.spatial import sct
     from stationqc.params import GREEDY, SEQUENTIAL_BUDDY
     from stationqc.session import get_spark
@@ -41,15 +41,16 @@ def main():
     st = X.station_dim(cells)
     gl = G.dense_grid(G.hourly_cells(X.lineitem_obs(spark, sf)))
     cl = G.hourly_cells(X.lineitem_obs(spark, sf))
-    near = "array<struct<dist: double, j: bigint, da: double, v: double>>"
-    one_round = spark.createDataFrame([], f"t timestamp_ntz, sid long, v double, tf boolean, n_outer long, near {near}, level int")
-    sent = spark.createDataFrame([], "t timestamp_ntz, i long, j long, gone boolean, block boolean, from_level int, to_level int")
+    near = "array<struct<dist: double, j: bigint, da: double, here: bigint, v: array<double>>>"
+    heirs = "array<struct<i: bigint, to_level: int, to_part: int, inner: boolean, outer: boolean>>"
+    lists = spark.createDataFrame([], f"sid long, block int, n_outer long, heirs {heirs}, here long, tf long, v array<double>, near {near}")
+    sent = spark.createDataFrame([], "block int, i long, j long, gone bigint, blocked bigint")
     plans = {
         "hourly cells (B1)": cells,
         "dense grid by gap filling (B3)": grid,
         "buddy check (D4)": buddy_check(grid, st, SEQUENTIAL_BUDDY),
         "greedy spatial test, general scan (D7)": sct(X.fill_rule(grid), st, GREEDY, plan="general"),
-        "greedy spatial test, one dependency round (D7)": settle_round(one_round, sent, GREEDY, False),
+        "greedy spatial test, one dependency round (D7)": settle_round(lists, sent, settling(GREEDY, False)),
         "completeness counters on run-length cells (D12)": R.completeness_counters(R.run_grid(cl), 0.2),
         "rolling z-score in blocks with halos (D14)": T.rolling_zscore(grid, 720, 3.0, 300, block_hours=1440),
         "climatology from stored moments (D15)": M.climatology_of(M.day_moments(cl), M.axis_days(cl), cl.select("sid").distinct()),

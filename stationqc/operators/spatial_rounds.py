@@ -24,8 +24,9 @@ states as bits of a long:
 What is sent to a level is broadcast to the stored rows.  A level to which more than
 ``SENT_ROWS`` rows may be sent is settled in parts of its stations, each with a broadcast of
 about that many.  No task holds a component: blocks and stations of a round are spread
-freely, and a lost executor recomputes tasks of one round.  The round tables lie in a
-folder of the run below the checkpoint folder.
+freely, and a lost executor recomputes tasks of one round.  At the end the cells meet the
+flags of their station, as one array of longs, and cross no shuffle for it.  The round tables
+lie in a folder of the run below the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -200,6 +201,26 @@ def _read(path: str, schema: str, nothing: DataFrame) -> DataFrame:
         return nothing
 
 
+def with_flags(g: DataFrame, axis: DataFrame, found: DataFrame) -> DataFrame:
+    """``g`` with ``sct_flag`` from ``found``, the longs ``gone`` of the flagged times by station ``i`` and block.
+
+    A station's longs lie in one array by block (0 where nothing is flagged) and meet the cells by station
+    alone: cells that lie by station, as those of a dense grid do, cross no shuffle, and no row is made per flag.
+    """
+    none = F.lit(0).cast("long")
+    found = found.groupBy(F.col("i").alias("sid")).agg(F.sort_array(F.collect_set(F.struct("block", "gone"))).alias("found"))
+
+    def placed(e, k):
+        """The long of a block behind the zeros of the blocks since the one before."""
+        before = F.coalesce(F.get("found", k - 1)["block"], F.lit(-1))
+        return F.concat(F.array_repeat(none, e["block"] - before - 1), F.array(e["gone"]))
+    found = found.select("sid", F.flatten(F.transform("found", placed)).alias("_gone"))
+    at = axis.select("t", F.struct("block", "at").alias("_at"))      # one row per axis time
+    flag = F.coalesce(_bit(F.get("_gone", F.col("_at.block")), F.col("_at.at")), F.lit(False)).alias("sct_flag")
+    return (g.join(F.broadcast(at), "t", "left").join(found, "sid", "left")
+            .select("t", "sid", *[c for c in g.columns if c not in ("t", "sid")], flag))
+
+
 def sct_rounds(grid: DataFrame, stations: DataFrame, links: DataFrame, prm: SctParams, stct: bool = False, v: str = "v",
                to_check: str | None = None) -> DataFrame:
     """Adds ``sct_flag`` (and ``temporal_flag`` for D8) to a dense grid (every station at every time).
@@ -254,6 +275,4 @@ def sct_rounds(grid: DataFrame, stations: DataFrame, links: DataFrame, prm: SctP
                         F.col("to.to_part").alias("to_part")).where(changes))
         told.hint("rebalance", "to_level", "to_part").write.mode("append").partitionBy("to_level", "to_part").parquet(f"{folder}/sent")
     found = _read(f"{folder}/sent/to_level=-1/to_part=0", sent_schema, nothing)
-    flags = (found.join(F.broadcast(axis), "block").where(_bit(F.col("gone"), F.col("at")))
-             .select("t", F.col("i").alias("sid"), F.lit(True).alias("sct_flag")))
-    return g.join(flags, ["t", "sid"], "left").withColumn("sct_flag", F.coalesce("sct_flag", F.lit(False)))
+    return with_flags(g, axis, found)

@@ -71,7 +71,7 @@ def station_days(grid: DataFrame, flag: str, p: float) -> DataFrame:
 
 
 def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "complete",
-                          per_day: DataFrame | None = None) -> DataFrame:
+                          per_day: DataFrame | None = None, months: DataFrame | None = None) -> DataFrame:
     """D12 on a dense grid with a non-null boolean ``flag`` column.
 
     Adds ``day``, ``mk``, ``day_bad`` (D10), ``month_bad`` (D11) and ``out`` = flag and
@@ -82,8 +82,12 @@ def completeness_temporal(grid: DataFrame, flag: str, p: float, out: str = "comp
       month, whole days between the month's first and last axis time + 1).
     ``grid`` is read twice (station-days, then the cells): give a stored table or a
     checkpoint where it is costly to derive.  ``per_day`` is the ``station_days`` of the
-    grid where the caller has them already.
+    grid where the caller has them already.  With ``months``, the ``axis_months`` of a grid that
+    is partitioned by station, the verdicts are found where its rows are
+    (``completeness_by_station``): the grid is read once and crosses no shuffle.
     """
+    if months is not None:
+        return completeness_by_station(grid, flag, p, months, out)
     per_day = station_days(grid, flag, p) if per_day is None else per_day
     g = grid.withColumn("day", F.to_date("t")).join(per_day.drop("n_good"), ["sid", "day"])
     return (g.withColumn(out, F.col(flag) & ~F.col("day_bad") & ~F.col("month_bad"))

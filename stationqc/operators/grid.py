@@ -10,6 +10,8 @@ partitions are bounded by the axis length (one cell per axis time).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stationqc.functions.columns import mask, month_key, nan_to_null, season, timeframe_label
@@ -45,18 +47,31 @@ def time_axis(cells: DataFrame) -> DataFrame:
             .select("t", (F.col("base") + F.col("w")).cast("long").alias("idx"), F.col("n_times").cast("long")))
 
 
-def dense_grid(cells: DataFrame, axis: DataFrame | None = None, extra: list[str] | None = None) -> DataFrame:
+#: Cells of a dense grid that one task is meant to hold.
+TASK_CELLS = 2_000_000
+
+
+def grid_parts(cells: DataFrame, axis: DataFrame) -> int:
+    """Parts by station of about ``TASK_CELLS`` dense cells, ``spark.sql.shuffle.partitions`` at least, so that
+    a task sorts its cells in memory however large the grid is (counts the stations: give stored cells)."""
+    least = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, math.ceil(cells.select("sid").distinct().count() * axis.count() / TASK_CELLS))
+
+
+def dense_grid(cells: DataFrame, axis: DataFrame | None = None, extra: list[str] | None = None,
+               parts: int | None = None) -> DataFrame:
     """Every axis time x every station with a cell, NULL where absent.
 
     ``extra`` names further value columns of ``cells`` carried along (B4).
     The axis (one row per hour of the calendar) is broadcast, so the cells cross one
-    shuffle, by station, and the grid rows none: the grid stays partitioned by station.
+    shuffle, by station, and the grid rows none: the grid stays partitioned by station
+    (in ``parts`` parts, see ``spread``).
     """
     extra = list(extra or [])
     vals = ["v"] + extra
     if axis is None:
         axis = time_axis(cells)
-    c = spread(cells.join(F.broadcast(axis), "t"), "sid")
+    c = spread(cells.join(F.broadcast(axis), "t"), "sid", parts=parts)
     w = Window.partitionBy("sid").orderBy("idx")
     c = (c.withColumn("prev_idx", F.lag("idx").over(w))
          .withColumn("next_idx", F.lead("idx").over(w)))

@@ -16,14 +16,15 @@ from stationqc.functions.columns import epoch_seconds, round_to
 from stationqc.session import spread
 
 
-def temporal_step(grid: DataFrame, thr: float, v: str = "v", out: str = "step_suspect") -> DataFrame:
+def temporal_step(grid: DataFrame, thr: float, v: str = "v", out: str = "step_suspect", parts: int | None = None) -> DataFrame:
     """Suspect when |v - prev| > thr or |v - next| > thr on the dense grid.
 
     prev/next are the adjacent axis rows of the station (not adjacent hours);
     the axis edges have no neighbour; a missing value is never suspect.
+    ``parts`` is the number of parts by station (see ``spread``).
     """
     w = Window.partitionBy("sid").orderBy("t")
-    g = spread(grid, "sid")
+    g = spread(grid, "sid", parts=parts)
     g = g.withColumn("v_prev", F.lag(v).over(w)).withColumn("v_next", F.lead(v).over(w))
     s = (F.coalesce(F.abs(F.col(v) - F.col("v_prev")) > F.lit(float(thr)), F.lit(False))
          | F.coalesce(F.abs(F.col(v) - F.col("v_next")) > F.lit(float(thr)), F.lit(False)))
@@ -31,12 +32,13 @@ def temporal_step(grid: DataFrame, thr: float, v: str = "v", out: str = "step_su
 
 
 def rolling_zscore(grid: DataFrame, window_hours: int = 720, thr: float = 3.0, min_samples: int = 720,
-                   v: str = "v", block_hours: int | None = None) -> DataFrame:
+                   v: str = "v", block_hours: int | None = None, parts: int | None = None) -> DataFrame:
     """Centred window [t - W//2 h, t + W//2 h], both ends inclusive, self included.
 
     Needs >= min_samples axis rows (missing rows count); z = (v - mean)/std with
     the mean and population std of the non-missing values; bad when |z| > thr.
-    Adds ``roll_rows``, ``roll_z`` and ``roll_good``.
+    Adds ``roll_rows``, ``roll_z`` and ``roll_good``.  ``parts`` is the number of parts by
+    station, or by station and block (see ``spread``).
 
     With ``block_hours`` (half the window at least) a station's axis is cut into blocks
     of that many hours.  A cell goes to its own block and, within half a window of an
@@ -62,7 +64,7 @@ def rolling_zscore(grid: DataFrame, window_hours: int = 720, thr: float = 3.0, m
     before = run.rangeBetween(Window.unboundedPreceding, -half - 1)
     # running sums up to both window edges, linear in the cells; centred on the mean of
     # the station (or block) so that the squares stay small
-    g = spread(g, *keys).withColumn("_c", F.avg(v).over(by_key))
+    g = spread(g, *keys, parts=parts).withColumn("_c", F.avg(v).over(by_key))
     x = F.col(v) - F.col("_c")
     sums = F.struct(F.count(F.lit(1)).over(upto).alias("rows"), F.count(v).over(upto).alias("n"),
                     F.coalesce(F.sum(x).over(upto), F.lit(0.0)).alias("s1"),

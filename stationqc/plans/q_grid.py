@@ -103,8 +103,10 @@ SELECT sid, strftime(t, '%Y-%m') AS month, count(*)::BIGINT AS n_rows,
        bool_or(month_bad) AS month_bad, count(*) FILTER (WHERE day_bad)::BIGINT AS n_day_bad,
        count(*) FILTER (WHERE out)::BIGINT AS n_out FROM comp GROUP BY 1, 2""")
 def q_monthly_completeness(spark, sf):
-    g = store(grid_l(spark, sf).withColumn("flag", F.col("v").isNotNull()))   # read twice below
-    c = C.completeness_temporal(g, "flag", 0.2, out="out")
+    cells = store(cells_l(spark, sf))
+    axis = store(G.time_axis(cells))
+    g = G.dense_grid(cells, axis, parts=G.grid_parts(cells, axis)).withColumn("flag", F.col("v").isNotNull())
+    c = C.completeness_temporal(g, "flag", 0.2, out="out", months=C.axis_months(axis))
     return c.groupBy("sid", month_str().alias("month")).agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"), F.bool_or("month_bad").alias("month_bad"),
         F.count_if("day_bad").cast("long").alias("n_day_bad"), F.count_if("out").cast("long").alias("n_out"))

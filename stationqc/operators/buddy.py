@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from stationqc.operators.geo import elev_max, project, radius_pairs_metric
 from stationqc.params import BuddyParams
-from stationqc.session import store
+from stationqc.session import spread, store
 
 #: Own stations of a group at most; stations (halo included) for which one more bucket of days is opened.
 GROUP_STATIONS, BUCKET_STATIONS, BUCKETS = 256, 64, 256
@@ -96,9 +96,10 @@ def _group_stats(cells: pa.Table, near: pa.Table, gradient: float) -> tuple[np.n
     return own, np.where(some, counts[spot], 0), np.where(some, used[spot], 0), means[spot], stds[spot]
 
 
-def buddy_stats(grid: DataFrame, stations: DataFrame, pairs: DataFrame, prm: BuddyParams, v: str = "v") -> DataFrame:
+def buddy_stats(grid: DataFrame, stations: DataFrame, pairs: DataFrame, prm: BuddyParams, v: str = "v",
+                parts: int | None = None) -> DataFrame:
     """The grid with ``n_nb, n_adj, nb_mean, nb_std`` per (t, sid): neighbour count and mean / population
-    std of the adjusted values (all NULL without a neighbour)."""
+    std of the adjusted values (all NULL without a neighbour).  The groups are dealt into ``parts`` parts if given."""
     members, near = neighbour_groups(stations, pairs, prm.radius)
     buckets = F.least(F.lit(BUCKETS), F.ceil(F.col("n") / BUCKET_STATIONS)).cast("int")
     # the tested value travels once, for its own row and as a neighbour
@@ -112,6 +113,8 @@ def buddy_stats(grid: DataFrame, stations: DataFrame, pairs: DataFrame, prm: Bud
              .select(F.coalesce("grp", F.xxhash64("sid")).alias("grp"), F.pmod(day, F.coalesce(buckets, F.lit(1))).alias("bucket"),
                      "t", "sid", F.coalesce("pos", F.lit(-1)).alias("pos"), own.alias("own"), F.col(v).cast("double").alias("_v"),
                      F.when(own, carried).alias("rest")))
+    if parts is not None:
+        cells = spread(cells, "grp", "bucket", parts=parts)
     near = near.withColumn("in_bucket", F.explode(F.sequence(F.lit(0), buckets - 1))).withColumnRenamed("grp", "in_grp")
     gradient = float(prm.elev_gradient)
 
@@ -132,7 +135,8 @@ def buddy_stats(grid: DataFrame, stations: DataFrame, pairs: DataFrame, prm: Bud
 
 
 def buddy_check(grid: DataFrame, stations: DataFrame, prm: BuddyParams = BuddyParams(), v: str = "v",
-                out: str = "buddy_suspect", pairs: DataFrame | None = None, keep_stats: bool = False) -> DataFrame:
+                out: str = "buddy_suspect", pairs: DataFrame | None = None, keep_stats: bool = False,
+                parts: int | None = None) -> DataFrame:
     """Suspect-flag over the dense grid.
 
     Missing -> suspect.  Neighbours: within ``radius`` (projected), not self,
@@ -140,10 +144,22 @@ def buddy_check(grid: DataFrame, stations: DataFrame, prm: BuddyParams = BuddyPa
     when |v - mean| > threshold * max(std, min_std), strictly.  A NULL
     neighbour altitude under a gradient poisons the mean: no comparison.
     ``keep_stats`` keeps the columns of ``buddy_stats``.
+
+    With ``parts`` the rows come out by station in so many parts, and a missing cell, which is suspect
+    whatever its neighbours, does not travel to its group: for a grid of many missing cells that lies
+    by station in ``parts`` parts and is cheap to read twice.
     """
     if pairs is None:
         pairs = buddy_pairs(stations, prm)
-    j = buddy_stats(grid, stations, pairs, prm, v)
+    if parts is not None and not keep_stats:
+        filled = _flagged(buddy_stats(grid.where(F.col(v).isNotNull()), stations, pairs, prm, v, parts), prm, v, out, False)
+        missing = grid.where(F.col(v).isNull()).withColumn(out, F.lit(True))
+        return spread(filled, "sid", parts=parts).unionByName(spread(missing, "sid", parts=parts))
+    return _flagged(buddy_stats(grid, stations, pairs, prm, v, parts), prm, v, out, keep_stats)
+
+
+def _flagged(j: DataFrame, prm: BuddyParams, v: str, out: str, keep_stats: bool) -> DataFrame:
+    """The verdicts ``out`` from the columns of ``buddy_stats``."""
     scale = F.greatest(F.col("nb_std"), F.lit(float(prm.min_std)))
     outlier = (F.col("n_adj") == F.col("n_nb")) & \
         (F.abs(F.col(v) - F.col("nb_mean")) > F.lit(float(prm.threshold)) * scale)

@@ -48,7 +48,7 @@ def time_axis(cells: DataFrame) -> DataFrame:
 
 
 #: Cells of a dense grid that one task is meant to hold.
-TASK_CELLS = 2_000_000
+TASK_CELLS = 1_000_000
 
 
 def grid_parts(cells: DataFrame, axis: DataFrame) -> int:

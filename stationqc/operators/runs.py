@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from stationqc.functions.columns import days_in_month, epoch_seconds, month_key, round_to, season
 from stationqc.operators.completeness import EXPECTED_PER_DAY
 from stationqc.operators.grid import time_axis
-from stationqc.session import cut_lineage, spread
+from stationqc.session import cut_lineage, spread, store
 
 
 @dataclass(frozen=True)
@@ -38,9 +38,9 @@ class RunGrid:
 def run_grid(cells: DataFrame) -> RunGrid:
     """The axis tables of ``cells`` (one row per filled cell).
 
-    The cells are stored once (reliable checkpoint), as every rule reads them.
+    The cells are stored once, as every rule reads them.
     """
-    cells = cut_lineage(cells)
+    cells = store(cells)
     sec = epoch_seconds("t")
     days = cut_lineage(cells.select("t").distinct().groupBy(F.to_date("t").alias("day"))
                        .agg(F.count(F.lit(1)).alias("n_rows"), F.min(sec).alias("lo"), F.max(sec).alias("hi"))
@@ -101,7 +101,7 @@ def station_share(grid: RunGrid, p: float, good: Column | None = None, missing_g
 def _held_days(grid: RunGrid, p: float, good: Column | None, missing_good: bool) -> DataFrame:
     """Station-days with cells: ``(sid, day, mk, n_rows, n_good, n_cells, day_bad)``."""
     per = grid.cells.groupBy("sid", F.to_date("t").alias("day")).agg(_good_cells(good).alias("g"), F.count(F.lit(1)).alias("n_cells"))
-    per = per.join(grid.days.select("day", "mk", "n_rows"), "day")
+    per = per.join(F.broadcast(grid.days.select("day", "mk", "n_rows")), "day")      # the day table
     n_good = F.col("g") + ((F.col("n_rows") - F.col("n_cells")) if missing_good else F.lit(0))
     return per.select("sid", "day", "mk", "n_rows", n_good.alias("n_good"), "n_cells").withColumn("day_bad", _day_bad(F.col("n_good"), p))
 
@@ -135,7 +135,7 @@ def station_months(grid: RunGrid, p: float, good: Column | None = None, missing_
     blank = grid.days.groupBy("mk").agg(F.sum("n_rows").alias("n_rows"), *figures(empty, "b_"))
     months = grid.months.join(blank, "mk").withColumn("pos", F.row_number().over(Window.orderBy("mk")) - 1)   # the month table
     last = months.select(F.max("pos")).scalar()
-    frame = grid.stations.select("sid", F.explode(F.sequence(F.lit(0), last)).alias("pos")).join(months, "pos")
+    frame = grid.stations.select("sid", F.explode(F.sequence(F.lit(0), last)).alias("pos")).join(F.broadcast(months), "pos")
     j = frame.join(held, ["sid", "mk"], "left")
 
     def total(name: str) -> Column:
@@ -146,18 +146,29 @@ def station_months(grid: RunGrid, p: float, good: Column | None = None, missing_
             .withColumn("n_out", F.when(F.col("month_bad"), F.lit(0)).otherwise(F.col("out")).cast("long")).drop("out"))
 
 
-def station_days(grid: RunGrid, p: float, good: Column | None = None, missing_good: bool = False) -> DataFrame:
+def station_days(grid: RunGrid, p: float, good: Column | None = None, missing_good: bool = False,
+                 parts: int | None = None) -> DataFrame:
     """D10 for every station-day of the axis ``(sid, day, n_good, day_bad, month_bad, n_out)``: here, as
-    the output, the days without cells are written out."""
+    the output, the days without cells are written out.
+
+    As in ``dense_grid``, a day with cells (and a mark before the first day) writes out the run of days up to
+    the station's next one, and the station brings along its bad months: what crosses a shuffle
+    are the days with cells and the stations; the rows lie by station (in ``parts`` parts, see ``spread``).
+    """
     held = _held_days(grid, p, good, missing_good).select("sid", "day", F.col("n_good").alias("held"))
     days = grid.days.withColumn("pos", F.row_number().over(Window.orderBy("day")) - 1)                        # the day table
     last = days.select(F.max("pos")).scalar()
-    every = (grid.stations.select("sid", F.explode(F.sequence(F.lit(0), last)).alias("pos")).join(days, "pos")
-             .join(held, ["sid", "day"], "left")
-             .select("sid", "day", "mk", F.coalesce("held", _empty_good(missing_good)).alias("n_good")))
-    every = every.withColumn("day_bad", _day_bad(F.col("n_good"), p))
-    verdict = station_months(grid, p, good, missing_good).select("sid", "mk", "month_bad")
-    return every.join(verdict, ["sid", "mk"]).select(
+    held = held.join(F.broadcast(days.select("day", "pos")), "day").select("sid", F.col("pos").alias("own"), "held")
+    marks = grid.stations.select("sid", F.lit(-1).alias("own"), F.lit(None).cast("long").alias("held"))
+    next_own = F.coalesce(F.lead("own").over(Window.partitionBy("sid").orderBy("own")), last + 1)
+    runs = spread(held.unionByName(marks), "sid", parts=parts).withColumn("next", next_own)
+    every = runs.select("sid", "own", "held", F.explode(F.sequence("own", F.col("next") - 1)).alias("pos")).where("pos >= 0")
+    every = every.join(F.broadcast(days.select("pos", "day", "mk", "n_rows")), "pos").where(F.col("mk").isNotNull())
+    n_good = F.coalesce(F.when(F.col("pos") == F.col("own"), F.col("held")), _empty_good(missing_good))
+    every = every.select("sid", "day", "mk", n_good.alias("n_good")).withColumn("day_bad", _day_bad(F.col("n_good"), p))
+    verdict = (station_months(grid, p, good, missing_good).groupBy("sid")
+               .agg(F.collect_set(F.when(F.col("month_bad"), F.col("mk"))).alias("bad")))        # twelve a year
+    return every.join(verdict, "sid").withColumn("month_bad", F.array_contains("bad", F.col("mk"))).select(
         "sid", "day", "n_good", "day_bad", "month_bad",
         F.when(F.col("day_bad") | F.col("month_bad"), F.lit(0)).otherwise(F.col("n_good")).cast("long").alias("n_out"))
 

@@ -14,10 +14,16 @@ The rule then runs over the context alone, and its verdicts for the redo cells a
 spliced into the stored flags.  The context of a station is one span for changes that lie
 close together; apart they are separate spans, each of them a station of its own to
 the rule.  Times are those of the stored axis: a change of values, not of the axis.
+
+Grids and flags that lie by station, in ``parts`` parts where a step takes that number, meet
+there: what has to be looked up (months, spans) comes as a few rows per station, and two
+tables of cells meet as one union in which a station's rows are one group.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -28,15 +34,31 @@ from stationqc.operators.buddy import buddy_check
 from stationqc.operators.geo import radius_pairs_metric
 from stationqc.operators.temporal import rolling_zscore, temporal_step
 from stationqc.params import BuddyParams
+from stationqc.session import spread
 
 #: A changed station-month is (sid, mk), mk = 12 * year + month - 1.
 CHANGES = ("sid", "mk")
 
 
 def changed_months(old: DataFrame, new: DataFrame, v: str = "v") -> DataFrame:
-    """``(sid, mk)`` in which two grids of the same cells differ."""
-    j = old.select("t", "sid", F.col(v).alias("a")).join(new.select("t", "sid", F.col(v).alias("b")), ["t", "sid"], "full_outer")
-    return j.where(~F.col("a").eqNullSafe(F.col("b"))).select("sid", month_key("t").alias("mk")).distinct()
+    """``(sid, mk)`` in which two grids of the same cells differ.
+
+    A cell of one grid alone differs if it has a value, a cell of both if its values are not all the same.
+    """
+    both = (old.select("t", "sid", F.col(v).alias("x"), F.lit(False).alias("is_new"))
+            .unionByName(new.select("t", "sid", F.col(v).alias("x"), F.lit(True).alias("is_new"))))
+    cells = both.groupBy("sid", "t").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_new").alias("n_new"), F.count("x").alias("filled"),
+                                         F.min("x").alias("low"), F.max("x").alias("high"))
+    paired = F.col("n_new").between(1, F.col("n") - 1) & F.col("sid").isNotNull() & F.col("t").isNotNull()
+    same = (F.col("filled") == 0) | ((F.col("filled") == F.col("n")) & (F.col("low") == F.col("high")) & paired)
+    return cells.where(~same).select("sid", month_key("t").alias("mk")).distinct()
+
+
+def _in_months(rows: DataFrame, months: DataFrame) -> DataFrame:
+    """The rows ``(sid, mk, ...)`` of the station-months ``(sid, mk)``.  A station's months (twelve a year) come
+    as one array, so that rows that lie by station cross no shuffle."""
+    of = months.groupBy(F.col("sid").alias("_sid")).agg(F.collect_set("mk").alias("_mks"))
+    return rows.join(of, F.col("sid") == F.col("_sid")).where(F.array_contains("_mks", F.col("mk"))).drop("_sid", "_mks")
 
 
 def _spans(edges: DataFrame, reach: int) -> DataFrame:
@@ -59,48 +81,55 @@ def _over_spans(grid: DataFrame, at, edges: DataFrame, reach: int, rule: Callabl
     return done.select("t", F.col("sid._sid").alias("sid"), *flags)
 
 
-def redo_step(grid: DataFrame, axis: DataFrame, changes: DataFrame, thr: float) -> DataFrame:
+def redo_step(grid: DataFrame, axis: DataFrame, changes: DataFrame, thr: float, parts: int | None = None) -> DataFrame:
     """D9 anew: ``(t, sid, step_suspect)`` of the cells that the changes can reach; ``axis`` is ``time_axis``."""
     months = axis.groupBy(month_key("t").alias("mk")).agg(F.min("idx").alias("lo"), F.max("idx").alias("hi"))
-    edges = changes.join(months, "mk").select("sid", "lo", "hi")
-    placed = grid.join(axis.select("t", "idx"), "t")
-    return _over_spans(placed, F.col("idx"), edges, 1, lambda g: temporal_step(g, thr), ["step_suspect"])
+    edges = changes.join(F.broadcast(months), "mk").select("sid", "lo", "hi")
+    placed = grid.join(F.broadcast(axis.select("t", "idx")), "t")
+    return _over_spans(placed, F.col("idx"), edges, 1, lambda g: temporal_step(g, thr, parts=parts), ["step_suspect"])
 
 
-def redo_rolling(grid: DataFrame, axis: DataFrame, changes: DataFrame, window_hours: int, thr: float, min_samples: int) -> DataFrame:
+def redo_rolling(grid: DataFrame, axis: DataFrame, changes: DataFrame, window_hours: int, thr: float, min_samples: int,
+                 parts: int | None = None) -> DataFrame:
     """D14 anew: ``(t, sid, roll_good)`` of the cells that the changes can reach."""
     sec = epoch_seconds("t")
     months = axis.groupBy(month_key("t").alias("mk")).agg(F.min(sec).alias("lo"), F.max(sec).alias("hi"))
-    edges = changes.join(months, "mk").select("sid", "lo", "hi")
+    edges = changes.join(F.broadcast(months), "mk").select("sid", "lo", "hi")
     return _over_spans(grid, sec, edges, int(window_hours) // 2 * 3600,
-                       lambda g: rolling_zscore(g, window_hours, thr, min_samples), ["roll_good"])
+                       lambda g: rolling_zscore(g, window_hours, thr, min_samples, parts=parts), ["roll_good"])
 
 
-def redo_completeness(axis: R.RunGrid, cells: DataFrame, changes: DataFrame, p: float) -> DataFrame:
+def redo_completeness(axis: R.RunGrid, cells: DataFrame, changes: DataFrame, p: float, parts: int | None = None) -> DataFrame:
     """D10-D12 anew for the changed station-months: ``(sid, day, day_bad, month_bad, n_out)``.
 
     ``axis`` has the axis tables, ``cells`` the filled cells after the change.
     """
-    mine = cells.withColumn("mk", month_key("t")).join(changes, ["sid", "mk"], "left_semi").drop("mk")
+    mine = _in_months(cells.withColumn("mk", month_key("t")), changes).drop("mk")
     some = R.RunGrid(mine, axis.days.join(changes.select("mk").distinct(), "mk", "left_semi"),
                      axis.months.join(changes.select("mk").distinct(), "mk", "left_semi"), changes.select("sid").distinct())
-    days = R.station_days(some, p).withColumn("mk", month_key("day"))
-    return days.join(changes, ["sid", "mk"], "left_semi").select("sid", "day", "day_bad", "month_bad", "n_out")
+    days = R.station_days(some, p, parts=parts).withColumn("mk", month_key("day"))
+    return _in_months(days, changes).select("sid", "day", "day_bad", "month_bad", "n_out")
 
 
-def redo_buddy(grid: DataFrame, stations: DataFrame, changes: DataFrame, prm: BuddyParams) -> DataFrame:
+def redo_buddy(grid: DataFrame, stations: DataFrame, changes: DataFrame, prm: BuddyParams, parts: int | None = None) -> DataFrame:
     """D4 anew: ``(t, sid, buddy_suspect)`` of the changed stations and their neighbours, in the changed months."""
     pairs = radius_pairs_metric(stations, prm.radius).select("i", "j")
 
     def with_neighbours(months: DataFrame) -> DataFrame:
         return months.unionByName(months.join(pairs, F.col("sid") == F.col("i")).select(F.col("j").alias("sid"), "mk")).distinct()
     redo = with_neighbours(changes)
-    cells = grid.withColumn("mk", month_key("t"))
-    context = cells.join(with_neighbours(redo), ["sid", "mk"], "left_semi")
-    done = buddy_check(context.select("t", "sid", "v"), stations, prm, out="buddy_suspect").withColumn("mk", month_key("t"))
-    return done.join(redo, ["sid", "mk"], "left_semi").select("t", "sid", "buddy_suspect")
+    context = _in_months(grid.withColumn("mk", month_key("t")), with_neighbours(redo))
+    done = buddy_check(context.select("t", "sid", "v"), stations, prm, out="buddy_suspect", parts=parts).withColumn("mk", month_key("t"))
+    return _in_months(done, redo).select("t", "sid", "buddy_suspect")
+
 
+def splice(stored: DataFrame, redone: DataFrame, keys: tuple[str, ...] = ("t", "sid"), parts: int | None = None) -> DataFrame:
+    """The stored rows with those that were done again in their place.
 
-def splice(stored: DataFrame, redone: DataFrame, keys: tuple[str, ...] = ("t", "sid")) -> DataFrame:
-    """The stored rows with those that were done again in their place."""
-    return stored.join(redone.select(*keys), list(keys), "left_anti").unionByName(redone.select(*stored.columns))
+    ``keys`` hold the station: stored rows that lie by station, in ``parts`` parts, stay there.
+    """
+    both = (spread(stored.withColumn("_again", F.lit(False)), "sid", parts=parts)
+            .unionByName(spread(redone.select(*stored.columns, F.lit(True).alias("_again")), "sid", parts=parts)))
+    unknown = functools.reduce(operator.or_, [F.col(k).isNull() for k in keys])       # a null key is none of the others
+    again = F.max("_again").over(Window.partitionBy(*sorted(keys, key="sid".__ne__)))
+    return both.withColumn("_done", again & ~unknown).where(F.col("_again") | ~F.col("_done")).select(*stored.columns)

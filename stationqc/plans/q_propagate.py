@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stationqc.functions.columns import month_key
 from stationqc.operators import runs as R
 from stationqc.operators.buddy import buddy_check
-from stationqc.operators.grid import dense_grid, time_axis
+from stationqc.operators.grid import dense_grid, grid_parts, time_axis
 from stationqc.operators.temporal import rolling_zscore, temporal_step
 from stationqc.params import BuddyParams
 from stationqc.plans import propagate as P
@@ -44,20 +44,22 @@ SELECT c.sid, count(*) FILTER (WHERE c.step)::BIGINT AS n_step,
 FROM comp c JOIN kb ON kb.t = c.t AND kb.sid = c.sid GROUP BY c.sid""")
 def q_propagated_flags(spark, sf):
     """Flags stored before a change, with what the change can reach done again and spliced in."""
-    cells = cells_l(spark, sf)
-    old = store(dense_grid(cells))
-    new = store(old.withColumn("v", change()))
-    stations = X.station_dim(old)
-    axis, held = time_axis(old), R.run_grid(old.where("v IS NOT NULL"))
+    held = R.run_grid(cells_l(spark, sf).where("t IS NOT NULL"))
+    axis = store(time_axis(held.cells))
+    parts = grid_parts(held.cells, axis)
+    # the grids lie by station in so many parts, and so do all flags: they are made from the stored cells wherever they are read
+    old = dense_grid(held.cells, axis, parts=parts)
+    new = old.withColumn("v", change())
+    stations = store(X.station_dim(held.cells))
     changes = store(P.changed_months(old, new))
-    stored = (temporal_step(old, STEP).select("t", "sid", "step_suspect"),
-              rolling_zscore(old, WINDOW, Z, SAMPLES).select("t", "sid", "roll_good"),
-              buddy_check(old, stations, BUDDY).select("t", "sid", "buddy_suspect"))
-    redone = (P.redo_step(new, axis, changes, STEP), P.redo_rolling(new, axis, changes, WINDOW, Z, SAMPLES),
-              P.redo_buddy(new, stations, changes, BUDDY))
-    step, roll, buddy = (P.splice(a, b) for a, b in zip(stored, redone))
-    days = P.splice(R.station_days(held, SHARE).select("sid", "day", "n_out"),
-                    P.redo_completeness(held, new.where("v IS NOT NULL"), changes, SHARE), ("sid", "day"))
+    stored = (temporal_step(old, STEP, parts=parts).select("t", "sid", "step_suspect"),
+              rolling_zscore(old, WINDOW, Z, SAMPLES, parts=parts).select("t", "sid", "roll_good"),
+              buddy_check(old, stations, BUDDY, parts=parts).select("t", "sid", "buddy_suspect"))
+    redone = (P.redo_step(new, axis, changes, STEP, parts), P.redo_rolling(new, axis, changes, WINDOW, Z, SAMPLES, parts),
+              P.redo_buddy(new, stations, changes, BUDDY, parts))
+    step, roll, buddy = (P.splice(a, b, parts=parts) for a, b in zip(stored, redone))
+    days = P.splice(R.station_days(held, SHARE, parts=parts).select("sid", "day", "n_out"),
+                    P.redo_completeness(held, new.where("v IS NOT NULL"), changes, SHARE, parts), ("sid", "day"), parts)
     return (step.groupBy("sid").agg(F.count_if("step_suspect").alias("n_step"))
             .join(roll.groupBy("sid").agg(F.count_if(~F.col("roll_good")).alias("n_roll_bad")), "sid")
             .join(buddy.groupBy("sid").agg(F.count_if("buddy_suspect").alias("n_buddy")), "sid")

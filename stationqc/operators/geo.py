@@ -13,7 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stationqc.functions.columns import with_utm
-from stationqc.session import store
+from stationqc.operators.grid import time_axis
+from stationqc.session import spread, store
+
+#: Axis positions whose cells travel as one row (a position within is a byte).
+BLOCK = 128
 
 
 def project(stations: DataFrame, zone: int = 33) -> DataFrame:
@@ -76,16 +80,30 @@ def nearest_k(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def neighbour_values(cells: DataFrame, pairs: DataFrame) -> DataFrame:
+def neighbour_values(cells: DataFrame, pairs: DataFrame, axis: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """Per time, each station's non-missing neighbour readings.
 
     ``cells`` is ``(t, sid, v)`` with non-null ``v``.  Returns
-    ``(t, i, v_i, j, v_j, dist, da)``.  The pair list is dimension-sized (AQE
-    broadcasts it when small); the second join is keyed by ``(t, j)``.
+    ``(t, i, v_i, j, v_j, dist, da)``.  A station's cells of ``BLOCK`` axis positions are one row
+    of arrays; it travels to the station itself and to every station it is a neighbour of, where the
+    positions are written out and meet the station's own by a window.  The result lies by ``i`` in ``parts`` parts
+    (see ``spread``), so that grouping it by time and station crosses no further shuffle.
+    ``axis`` is the ``time_axis`` of the cells (broadcast) where the caller has it; the pair list is dimension-sized.
     """
-    a = cells.select("t", F.col("sid").alias("i"), F.col("v").alias("v_i"))
-    b = cells.select("t", F.col("sid").alias("j"), F.col("v").alias("v_j"))
-    return a.join(pairs.select("i", "j", "dist", "da"), "i").join(b, ["t", "j"])
+    axis = F.broadcast((time_axis(cells) if axis is None else axis).select("t", "idx"))
+    at = cells.where(F.col("sid").isNotNull()).join(axis, "t")
+    entry = F.struct((F.col("idx") % BLOCK).cast("byte").alias("p"), F.col("v").alias("x"))
+    blocks = at.groupBy("sid", F.floor(F.col("idx") / BLOCK).alias("block")).agg(F.collect_list(entry).alias("es"))
+    blocks = blocks.select("sid", "block", F.col("es.p").alias("p"), F.col("es.x").alias("x"))
+    link = pairs.where(F.col("i").isNotNull()).select(F.col("j").alias("sid"), "i", "dist", "da", F.lit(False).alias("own"))
+    none = [F.lit(None).cast(link.schema[c].dataType).alias(c) for c in ("dist", "da")]
+    ways = link.unionByName(link.select("i").distinct().select(F.col("i").alias("sid"), "i", *none, F.lit(True).alias("own")))
+    sent = spread(blocks.join(ways, "sid"), "i", parts=parts)
+    rows = sent.select("i", F.col("sid").alias("j"), "dist", "da", "own", "block", F.inline(F.arrays_zip("p", "x")).alias("p", "v_j"))
+    rows = rows.select("i", "j", "dist", "da", "own", (F.col("block") * BLOCK + F.col("p")).alias("idx"), "v_j")
+    here = F.collect_list(F.when(F.col("own"), F.struct("v_j"))).over(Window.partitionBy("i", "idx"))
+    met = rows.withColumn("here", here).where(~F.col("own")).select("*", F.explode("here").alias("me"))
+    return met.join(axis, "idx").select("t", "i", F.col("me.v_j").alias("v_i"), "j", "v_j", "dist", "da")
 
 
 def idw_background(nbrs: DataFrame, eps: float = 0.1, slope: float = 0.0,

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from stationqc.functions.columns import utm_sql
 from stationqc.operators import buddy as B
 from stationqc.operators import geo as Geo
+from stationqc.operators.grid import dense_grid, grid_parts, time_axis
 from stationqc.operators.temporal import temporal_step
 from stationqc.params import BuddyParams
-from stationqc.plans.catalog import grid_e, grid_f, r4, register
+from stationqc.plans.catalog import cells_e, grid_e, grid_f, r4, register
 from stationqc.plans.sqlfix import FGRID, GRID, STATIONS, e_cells, l_cells
 from stationqc.session import store
 from stationqc.sources import fixtures as X
@@ -78,9 +79,12 @@ SELECT t, i, count(*)::BIGINT AS n,
              sum(v_j / (dist + 0.1)) / sum(1.0 / (dist + 0.1)) + avg(da) * -0.0065 END, 4) AS background
 FROM nb GROUP BY t, i""")
 def q_idw_background(spark, sf):
-    cells = store(grid_f(spark, sf).where(F.col("v").isNotNull()))   # read twice below
-    pairs = Geo.nearest_k(Geo.radius_pairs_degree(X.stations_e(spark, sf), 0.04), 5)
-    nb = Geo.neighbour_values(cells, pairs)
+    given = store(cells_e(spark, sf))
+    axis = store(time_axis(given))
+    parts = grid_parts(given, axis)
+    cells = X.fill_rule(dense_grid(given, axis, parts=parts)).where(F.col("v").isNotNull())
+    pairs = store(Geo.nearest_k(Geo.radius_pairs_degree(X.stations_e(spark, sf), 0.04), 5))
+    nb = Geo.neighbour_values(cells, pairs, axis, parts * (5 + 1))
     bg = Geo.idw_background(nb, eps=0.1, slope=-0.0065)
     return bg.select("t", "i", F.col("n").cast("long").alias("n"), r4("background").alias("background"))
 
